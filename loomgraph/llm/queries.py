@@ -2,14 +2,40 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, rules
+from . import bpe, line_dedup, media, mixing, quality, rules, warc
 from .common import read
 
 
+def tokenizer_file() -> str:
+    """The vocabulary file, from the session's machine; ``LOOMGRAPH_BPE`` names another one."""
+    if path := os.environ.get("LOOMGRAPH_BPE"):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(read(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(read(spark, sf_dir, "pages"))
+
+
+def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media(read(spark, sf_dir, "documents"))
+
+
 def op5_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
@@ -28,4 +54,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing_sources": mixing.SQL, "op8_quality_rules": rules.SQL, "op10_line_dedup": line_dedup.SQL}
+    return {"op5_mixing_sources": mixing.SQL, "op6_warc": warc.SQL, "op8_quality_rules": rules.SQL, "op10_line_dedup": line_dedup.SQL}
