@@ -1,7 +1,58 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: documents to token ids, in five stages.
+
+Each stage is a function of (session, documents, folder of the tables) and returns a DataFrame, which is
+written as Parquet and read again as the next stage's documents. All but the last return the columns of
+``documents``; the last returns the ids of every document and of its text decoded again.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from loomgraph.llm import bpe, line_dedup, mixing, near_dups, rules
+from loomgraph.llm.common import materialize, read
+from loomgraph.llm.queries import tokenizer_file
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or a certified threshold of their language go."""
+    return rules.keep(docs, read(spark, sf_dir, "labels"))
+
+
+def drop_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines on more than a tenth of their source's documents go."""
+    return line_dedup.drop_boilerplate(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document stays of each component linked by five-word shingles at a similarity of 0.8 or more."""
+    return near_dups.deduplicated(docs, k=5, percent=80)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each source's documents as often as its target asks for; a document taken twice is there twice."""
+    return mixing.mixed_documents(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, n_tokens and the digests of the ids and of the text decoded from them."""
+    return bpe.encode(docs, tokenizer_file(), carry=("doc_id", "source"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", drop_frequent_lines),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("mixing_sources", mix_sources),
+    ("bpe_encoding", encode),
+]
+
+#: SQL expresses neither near-duplicate components nor BPE; the tests hold run() against brute force.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, line_dedup, media, mixing, quality, rules, warc
+from . import bpe, html_text, language, line_dedup, media, mixing, near_dups, quality, rules, warc
 from .common import read
 
 
@@ -36,10 +36,25 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media(read(spark, sf_dir, "documents"))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(read(spark, sf_dir, "documents"), k=3, percent=85).drop("set_hash")
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents (doc_id) and all pages (page_id), the other id being null."""
+    docs = read(spark, sf_dir, "documents")
+    rows = language.document_rows(docs).unionByName(language.page_rows(read(spark, sf_dir, "pages")))
+    return language.identify(rows, language.fit(docs), ["doc_id", "page_id"])
+
+
 def op5_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(read(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
