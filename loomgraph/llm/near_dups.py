@@ -33,6 +33,7 @@ from .common import fresh, materialize
 
 TREES, SHALLOW, DEEP, LEVELS = 20, 3, 6, 8
 CROWDED, BLOCK = 4_096, 1_024
+MARKS = 1 << 21
 #: A candidate's estimated similarity may lie this far (over 4 standard deviations) below the threshold.
 SLACK = 0.27
 HASHES = TREES * SHALLOW
@@ -171,7 +172,12 @@ def confirmed(docs: DataFrame, groups: DataFrame, k: int, percent: int) -> DataF
     """Links (a, b) that span the components of each tile, from (node, group) and the texts of the nodes."""
     blocks = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     members = groups.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    texts = docs.select("doc_id", "text").join(members, F.col("doc_id") == F.col("node")).select("node", "group", "block", "blocks", "text")
+    # Only texts of grouped nodes are worth a shuffle. A table of at most MARKS hashes, broadcast, sorts most of the
+    # others out beforehand; how full it is changes the traffic and not the result.
+    mark = lambda c: F.pmod(F.xxhash64(c), F.lit(MARKS)).cast("int")
+    marks = members.select(mark("node").alias("mark")).distinct()
+    likely = docs.select("doc_id", "text").join(F.broadcast(marks), mark("doc_id") == F.col("mark"), "left_semi")
+    texts = likely.join(members, F.col("doc_id") == F.col("node")).select("node", "group", "block", "blocks", "text")
     tiles = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiles = tiles.select("node", "block", "text", "group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
 
