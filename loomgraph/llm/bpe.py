@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, materialize
 
 LEXICON_SIZE = 32_768
 #: Distinct words that a counting task, and words that an encoding task, holds at most at a time.
@@ -250,8 +250,8 @@ def coder(path: str, lexicon: bytes) -> Coder:
 
 
 def frequent_words(docs: DataFrame, path: str, size: int = LEXICON_SIZE) -> DataFrame:
-    """The ``size`` most frequent words of all texts (ties by the word): word, n. Counts are summed per
-    task, at most ``HELD`` words at a time, then by word."""
+    """The most frequent words of all texts, ``size`` at most: word, n. Counts are summed per task, at most
+    ``HELD`` pieces at a time, then by word."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, pieces = Vocabulary(path), Counter()
@@ -275,7 +275,16 @@ def frequent_words(docs: DataFrame, path: str, size: int = LEXICON_SIZE) -> Data
         yield out()
 
     partial = docs.select(F.col("text").alias("t")).mapInArrow(count, "word string, n long")
-    return partial.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(size)
+    counts = materialize(partial.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").withColumn("step", F.floor(F.log2("n") * 16).cast("int")))
+    # The lowest of some hundred steps of frequency above which there are at most ``size`` words. Sorting for the
+    # exact top would send that many rows from every task to the driver.
+    least, found = None, 0
+    for r in sorted(counts.groupBy("step").count().collect(), reverse=True):
+        found += r["count"]
+        if found > size:
+            break
+        least = r.step
+    return counts.where(F.col("step") >= least) if least is not None else counts.limit(0)
 
 
 def build_lexicon(docs: DataFrame, path: str, size: int = LEXICON_SIZE) -> bytes:
