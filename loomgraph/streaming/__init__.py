@@ -1,0 +1 @@
+"""The reference data model is batch only; there is no streaming operator to mirror (see the README)."""
