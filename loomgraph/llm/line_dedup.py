@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, let
+from .common import fresh, let, materialize
 
 RATIO, MIN_PAGES = 0.1, 5
 
@@ -49,7 +49,8 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO
     with a word) and n_dropped."""
     bad = boilerplate(docs, host, ratio, min_pages)
     h, s, k = fresh(docs, "line_host", "line_set", "line_kept")
-    bad = bad.withColumnsRenamed({"line_host": h, "line_set": s})
+    # written, so that its size is known when the join is planned: a small table never has the texts shuffled
+    bad = materialize(bad).withColumnsRenamed({"line_host": h, "line_set": s})
     joined = docs.join(bad, F.col(f"`{host}`").eqNullSafe(F.col(h)), "left")
     kept = F.when(F.col(s).isNull(), _lines(F.col("text"))).otherwise(F.filter(_lines(F.col("text")), lambda x: ~F.array_contains(F.col(s), _bare(x))))
     out = joined.withColumn(k, kept).select(
