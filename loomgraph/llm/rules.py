@@ -124,7 +124,7 @@ def verdict(cutoff: str, m=F.col) -> Column:
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """Per row of ``docs``: doc_id, the measures, base_failed, kept."""
     measured = materialize(docs.select("doc_id", F.col(f"`{stratum}`").alias("stratum"), measures(F.col("text")).alias("m")).select("doc_id", "stratum", "m.*"))
-    cut = certify(measured, labels).withColumnRenamed("stratum", "cut_stratum")
+    cut = materialize(certify(measured, labels)).withColumnRenamed("stratum", "cut_stratum")
     out = measured.join(cut, F.col("stratum").eqNullSafe(F.col("cut_stratum")), "left").withColumn("base_failed", base_failed())
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & verdict("cutoff")).alias("kept"), "n_lines")
 
@@ -135,7 +135,7 @@ def keep(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame
     m, s, c = fresh(docs, "rule_measures", "cut_stratum", "cutoff")
     measured = materialize(docs.withColumn(m, measures(F.col("text"))))
     narrow = measured.select("doc_id", F.col(f"`{stratum}`").alias("stratum"), f"{m}.*")
-    cut = certify(narrow, labels).withColumnsRenamed({"stratum": s, "cutoff": c})
+    cut = materialize(certify(narrow, labels)).withColumnsRenamed({"stratum": s, "cutoff": c})
     of = lambda name: F.col(f"{m}.{name}")
     failed = (of("n_words") < 50) | (100 * of("n_repeat_words") > 50 * of("n_words"))
     return measured.join(cut, F.col(f"`{stratum}`").eqNullSafe(F.col(s)), "left").where(~failed & verdict(c, of)).select(*[F.col(f"`{x}`") for x in docs.columns])
