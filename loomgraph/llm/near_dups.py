@@ -16,7 +16,7 @@
 
 Defined cases: texts without words (and null texts) have an empty set, are linked with nothing and are kept;
 repeated rows, and rows of one doc_id with different texts, are one node; rows with a null doc_id belong to the
-class of their set but never represent it; an empty table gives an empty result; other columns are left out.
+class of their set, never represent it and are kept; an empty table gives an empty result; other columns are left out.
 """
 
 from __future__ import annotations
@@ -168,15 +168,18 @@ def _links(sets: list[np.ndarray], block: list[int], percent: int) -> Iterator[t
             yield x, int(y)
 
 
+def _mark(name: str):
+    return F.pmod(F.xxhash64(name), F.lit(MARKS)).cast("int")
+
+
 def confirmed(docs: DataFrame, groups: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) that span the components of each tile, from (node, group) and the texts of the nodes."""
     blocks = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     members = groups.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # Only texts of grouped nodes are worth a shuffle. A table of at most MARKS hashes, broadcast, sorts most of the
     # others out beforehand; how full it is changes the traffic and not the result.
-    mark = lambda c: F.pmod(F.xxhash64(c), F.lit(MARKS)).cast("int")
-    marks = members.select(mark("node").alias("mark")).distinct()
-    likely = docs.select("doc_id", "text").join(F.broadcast(marks), mark("doc_id") == F.col("mark"), "left_semi")
+    marks = members.select(_mark("node").alias("mark")).distinct()
+    likely = docs.select("doc_id", "text").join(F.broadcast(marks), _mark("doc_id") == F.col("mark"), "left_semi")
     texts = likely.join(members, F.col("doc_id") == F.col("node")).select("node", "group", "block", "blocks", "text")
     tiles = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiles = tiles.select("node", "block", "text", "group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
@@ -214,14 +217,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     owned = classes.select("set_hash", "node").join(linked, "node", "left").select(F.col("set_hash").alias("c_hash"), F.coalesce("root", "node").alias("component_id"))
     out = sketches.join(owned, F.col("set_hash") == F.col("c_hash"), "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     # rows of one id with different texts are one node, named by the smallest of their components
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"), "set_hash")
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "set_hash")
 
 
 def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` of which one stays for each component."""
-    found = materialize(near_duplicates(docs, k, percent).where("kept"))
-    name, n = fresh(docs, "kept_id", "kept_rows")
-    ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias(n)).withColumnRenamed("doc_id", name)
-    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col(name)))
-    again = kept.where(F.col(n) > 1).dropDuplicates(["doc_id", "text"])  # rows that the table repeats
-    return kept.where(F.col(n) == 1).unionByName(again).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` of which one stays for each component; an id that stays for one of its texts stays with all
+    of them, and rows without an id stay. Only rows whose id hashes like one that goes are shuffled."""
+    found = materialize(near_duplicates(docs, k, percent).select("doc_id", "kept"))
+    ids = found.groupBy("doc_id").agg(F.max("kept").alias("any"), F.sum(F.col("kept").cast("int")).alias("n"))
+    name, key = fresh(docs, "gone_id", "gone_mark")
+    gone = materialize(ids.where(~F.col("any")).select(F.col("doc_id").alias(name)))
+    marks = F.broadcast(gone.select(_mark(name).alias(key)).distinct())  # at most MARKS rows
+    on = _mark("doc_id") == F.col(key)
+    stay = docs.join(marks, on, "left_anti").unionByName(docs.join(marks, on, "left_semi").join(gone, F.col("doc_id") == F.col(name), "left_anti"))
+    again = ids.where("n > 1 and doc_id is not null").select(F.col("doc_id").alias(name))
+    if again.isEmpty():
+        return stay
+    same = F.col("doc_id") == F.col(name)  # rows that the table repeats
+    return stay.join(again, same, "left_anti").unionByName(stay.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
