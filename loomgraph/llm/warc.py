@@ -104,7 +104,7 @@ def write(rows: DataFrame, dictionary: bytes, folder: str) -> DataFrame:
             for row in batch.to_pylist():
                 if out is None:
                     name, n, size = f"{base}/{uuid.uuid4().hex}.warc.zst", 0, 0
-                    out = store.open_output_stream(name)
+                    out = store.open_output_stream(name, compression=None)
                     size += out.write(leading_frame(dictionary)) or 0
                 size += out.write(frame := pack.compress(record_bytes(row))) or len(frame)
                 n += 1
@@ -151,7 +151,7 @@ def read(files: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 rows = []
-                with store.open_input_stream(path) as stream:
+                with store.open_input_stream(path, compression=None) as stream:
                     for data in read_frames(stream):
                         head, body = parse_record(data)
                         declared, size = head["WARC-Payload-Digest"].removeprefix("sha256:"), int(head["X-Payload-Length"])

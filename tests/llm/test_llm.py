@@ -262,7 +262,7 @@ def test_media_round_trip(spark, odd):
         assert r.media_sha256 == hashlib.sha256(media.to_wav(raw)).hexdigest()
         assert list(r.pair_times) == sorted(r.pair_times) and len(r.pair_times) == len(r.pair_codes)
     same = {r.doc_id: r.feature for r in out}
-    assert same[5] == same[6] != same[7] and same[1] == same[2]
+    assert same[5] == same[6] != same[9] and same[1] == same[2]  # a few words more may leave the peaks as they are
     assert media.media(odd.limit(0)).count() == 0
 
 
