@@ -34,7 +34,7 @@ from .common import materialize, shared_dir
 SKIPPABLE, FRAME = 0x184D2A5D, b"\x28\xb5\x2f\xfd"
 LEAST_REVISIT = 100
 SAMPLE, SAMPLE_BYTES, DICT_BYTES = 400, 65_536, 65_536
-ROLL = 32 << 20
+ROLL, MOST_TASKS = 32 << 20, 50_000
 
 
 def records(pages: DataFrame) -> DataFrame:
@@ -166,7 +166,9 @@ def read(files: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return files.select("path").repartition("path").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string")
+    # a task per file or so: left to itself, Spark would judge the work by the few bytes of the list
+    tasks = max(1, min(files.count(), MOST_TASKS))
+    return files.select("path").repartition(tasks).mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string")
 
 
 def archive(pages: DataFrame) -> DataFrame:
