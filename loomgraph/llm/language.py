@@ -98,8 +98,8 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], keys: list[st
     if not n:
         return rows.select(*keys, F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("probability"), F.lit(None).cast("string").alias("text_lang"), *labels)
     seen = materialize(evidence(rows, model))
-    whole = seen.agg(F.array(*[F.coalesce(F.sum(F.get("p", F.lit(i))), F.lit(0.0)) for i in range(n)]).alias("all_sum"))
-    out = seen.crossJoin(F.broadcast(whole))  # one row
+    whole = seen.agg(*[F.coalesce(F.sum(F.get("p", F.lit(i))), F.lit(0.0)) for i in range(n)]).first()  # one number per language
+    out = seen.withColumn("all_sum", F.array(*[F.lit(x) for x in whole]))
     values = {}
     for by in ("host", "domain", "declared", "suffix"):
         sums = _sums(seen, by, n)
