@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .common import fresh, let, materialize
 
 RATIO, MIN_PAGES = 0.1, 5
+MARKS = 1 << 21
 
 
 def _bare(line: Column) -> Column:
@@ -38,10 +39,18 @@ def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min
     pages = docs.select(F.col(f"`{host}`").alias("host"), F.col("text"))
     total = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     lines = pages.select("host", F.explode(F.array_distinct(F.transform(_lines(F.col("text")), _bare))).alias("line")).where(F.col("line") != "")
-    counted = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-    c, t = counted.alias("c"), total.alias("t")
-    over = c.join(t, F.col("c.host").eqNullSafe(F.col("t.host"))).where(F.col("n") > ratio * F.col("pages"))
-    return over.groupBy(F.col("c.host").alias("line_host")).agg(F.collect_set("line").alias("line_set"))
+
+    def frequent(rows: DataFrame, by: str) -> DataFrame:
+        c, t = rows.groupBy("host", by).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages).alias("c"), total.alias("t")
+        return c.join(t, F.col("c.host").eqNullSafe(F.col("t.host"))).where(F.col("n") > ratio * F.col("pages")).select("c.host", by)
+
+    # Most lines are on one page. Counts of 64-bit hashes, which no collision makes too small, leave few that may be
+    # frequent, and only these are shuffled as text and counted exactly. They are told by a table of at most MARKS
+    # numbers, broadcast; how full it is changes the traffic and not the result.
+    mark = lambda x: F.pmod(F.xxhash64("host", x), F.lit(MARKS)).cast("int")
+    marks = materialize(frequent(lines.select("host", F.xxhash64("line").alias("hash")), "hash").select(mark("hash").alias("mark")).distinct())
+    likely = lines.join(F.broadcast(marks), mark(F.xxhash64("line")) == F.col("mark"), "left_semi")
+    return frequent(likely, "line").groupBy(F.col("host").alias("line_host")).agg(F.collect_set("line").alias("line_set"))
 
 
 def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, counts: bool = False) -> DataFrame:
