@@ -3,7 +3,8 @@
 Pages are grouped by host. A line's ratio is the number of the host's pages that contain it over all
 pages of the host; lines above the boilerplate ratio are dropped from every page of that host. Each
 page counts a line once, and counts are summed before the shuffle, so neither a host with most of
-the pages nor a line on all of them meets in one task.
+the pages nor a line on all of them meets in one task. Lines are counted by their hashes first; the
+text of those that may be frequent is then counted exactly.
 
 A line is what stands between line feeds, compared without white space around it. Defined cases: a
 null text stays null and has no lines; lines without a word are kept and not counted; null hosts are

@@ -266,7 +266,9 @@ def test_media_round_trip(spark, odd):
     assert media.media(odd.limit(0)).count() == 0
 
 
-def test_line_dedup_by_site(spark, odd):
+@pytest.mark.parametrize("marks", [line_dedup.MARKS, 1])  # a full table of marks lets all lines through
+def test_line_dedup_by_site(spark, odd, monkeypatch, marks):
+    monkeypatch.setattr(line_dedup, "MARKS", marks)
     rows = [(i, f"own {i}\n  Menu \n\nshared {i // 20}", "en", "a" if i < 60 else None, 0) for i in range(90)]
     out = {r.doc_id: r for r in line_dedup.drop_boilerplate(spark.createDataFrame(rows, DOCS), counts=True).collect()}
     assert out[0].text == "own 0\n" and (out[0].n_lines, out[0].n_dropped) == (3, 2)
