@@ -24,6 +24,8 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from itertools import repeat
 
 import pyarrow as pa
 import regex
@@ -35,6 +37,9 @@ from .common import fresh, materialize
 LEXICON_SIZE = 32_768
 #: Distinct words that a counting task, and words that an encoding task, holds at most at a time.
 HELD = 300_000
+#: Bytes from which a word is merged with a heap; and marks of no merge and of a part merged away.
+LONG, NEVER, GONE = 64, 1 << 62, -1
+_BYTES = [bytes([b]) for b in range(256)]
 
 
 def byte_letters() -> list[str]:
@@ -52,13 +57,18 @@ class Vocabulary:
             spec = json.load(f)
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
-        self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
-        self.end = model["end_of_word_suffix"] or ""
+        end = model["end_of_word_suffix"] or ""
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        #: The rank of a pair of ids, and by rank the id of what it becomes.
+        self.ranks = {(self.ids[a], self.ids[b]): i for i, (a, b) in enumerate(merges)}
+        self.made = [self.ids[a + b] for a, b in merges]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.find = regex.compile(pattern).findall
         self.split_special = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")").split
-        self.letters = byte_letters()
+        #: The ids of a byte within a word and at its end.
+        self.letter = [self.ids[c] for c in byte_letters()]
+        self.last = [self.ids[c + end] for c in byte_letters()]
         self.tokens = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
 
     def pieces(self, text: str) -> Iterator[tuple[bool, str | list[str]]]:
@@ -79,25 +89,48 @@ class Vocabulary:
 
     def merge(self, word: str) -> list[int]:
         """Ids of a word: the pair of the lowest rank is merged first, the leftmost of equal ones."""
-        parts: list[str | None] = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
-        parts[-1] += self.end
+        raw = word.encode("utf-8", "surrogatepass")
+        parts = [self.letter[b] for b in raw]
+        parts[-1] = self.last[raw[-1]]
+        if len(parts) > LONG:
+            return self._merge_long(parts)
+        of, made = self.ranks.get, self.made
+        ranks = list(map(of, zip(parts, parts[1:], strict=False), repeat(NEVER)))
+        while ranks and (r := min(ranks)) < NEVER:
+            i = ranks.index(r)
+            del ranks[i], parts[i]
+            parts[i] = made[r]
+            if i:
+                ranks[i - 1] = of((parts[i - 1], parts[i]), NEVER)
+            if i < len(ranks):
+                ranks[i] = of((parts[i], parts[i + 1]), NEVER)
+        return parts
+
+    def _merge_long(self, parts: list[int]) -> list[int]:
+        """The same with a heap, so that a word of n bytes takes n log n steps."""
         n = len(parts)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := self.ranks.get((parts[i], parts[i + 1]))) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            r, i, a, b = heapq.heappop(heap)
             j = right[i]
             if parts[i] != a or j >= n or parts[j] != b:
                 continue
-            parts[i], parts[j] = a + b, None
+            parts[i], parts[j] = self.made[r], GONE
             right[i] = right[j]
             if right[j] < n:
                 left[right[j]] = i
             for x, y in ((left[i], i), (i, right[i])):
                 if x >= 0 and y < n and (r := self.ranks.get((parts[x], parts[y]))) is not None:
                     heapq.heappush(heap, (r, x, parts[x], parts[y]))
-        return [self.ids[p] for p in parts if p is not None]
+        return [p for p in parts if p != GONE]
+
+
+@lru_cache(maxsize=1)
+def vocabulary(path: str) -> Vocabulary:
+    """One per Python worker, which serves many tasks."""
+    return Vocabulary(path)
 
 
 def compile_lexicon(entries: dict[str, list[int]]) -> bytes:
@@ -179,11 +212,12 @@ class Lexicon:
 
     def get(self, word: str) -> list[int] | None:
         state = number = 0
+        find, labels, first = self.map.find, self.labels, self.first
         for b in word.encode("utf-8", "surrogatepass"):
-            e = self.map.find(b.to_bytes(), self.labels + self.first[state], self.labels + self.first[state + 1])
+            e = find(_BYTES[b], labels + first[state], labels + first[state + 1])
             if e < 0:
                 return None
-            e -= self.labels
+            e -= labels
             number += self.skip[e]
             state = self.target[e]
         if not self.map[self.final + state]:
@@ -192,47 +226,62 @@ class Lexicon:
 
 
 class Known(dict):
-    """What is known of pieces of text, filled as they come."""
+    """What is known of pieces of text, filled as they come. What was known before the last clearing is
+    still looked up, so that frequent pieces outlive it."""
 
     def __init__(self, of):
         super().__init__()
-        self.of = of
+        self.of, self.before = of, {}
 
-    def __missing__(self, piece: str) -> str:
-        out = self[piece] = self.of(piece)
+    def __missing__(self, piece: str) -> tuple[str, str]:
+        out = self[piece] = self.before.get(piece) or self.of(piece)
         return out
 
+    def age(self) -> None:
+        self.before = dict(self)
+        self.clear()
+
 
 class Coder:
     """Encodes and decodes texts. The ids of a piece, and the text decoded from them, are kept as strings,
-    so that a text costs two look-ups per piece."""
+    so that a text costs one look-up per piece; the ids of words are kept if they are in the lexicon, which is
+    walked once for each."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None = None):
         self.v, self.lexicon = vocabulary, lexicon
-        self.ids = Known(lambda piece: " ".join(str(i) for w in self.v.find(piece) for i in self.word(w)))
-        self.decoded = Known(lambda piece: self.decode(map(int, self.ids[piece].split())))
+        self.walked: dict[str, list[int]] = {}
+        self.known = Known(self.piece)
 
     def word(self, word: str) -> list[int]:
-        ids = self.lexicon.get(word) if self.lexicon else None
-        return self.v.merge(word) if ids is None else ids
+        ids = self.walked.get(word)
+        if ids is None:
+            if self.lexicon is None or (ids := self.lexicon.get(word)) is None:
+                return self.v.merge(word)
+            self.walked[word] = ids
+        return ids
+
+    def piece(self, piece: str) -> tuple[str, str]:
+        """The ids joined by one space and the text decoded from them."""
+        ids = [i for w in self.v.find(piece) for i in self.word(w)]
+        return " ".join(map(str, ids)), self.decode(ids)
 
     def decode(self, ids: Iterable[int]) -> str:
         """The file names no decoder, so the tokens are joined by one space."""
-        return " ".join(self.v.tokens[i] for i in ids)
+        return " ".join(map(self.v.tokens.__getitem__, ids))
 
     def __call__(self, text: str) -> tuple[int, str, str]:
         """Number of ids, the ids joined by one space, the text decoded from the ids."""
         ids, decoded = [], []
-        if len(self.ids) >= HELD:
-            self.ids.clear()
-            self.decoded.clear()
+        if len(self.known) >= HELD // 2:
+            self.known.age()
         for special, part in self.v.pieces(text):
             if special:
                 ids.append(str(self.v.special[part]))
                 decoded.append(self.decode([self.v.special[part]]))
             elif part:
-                ids.append(" ".join(map(self.ids.__getitem__, part)))
-                decoded.append(" ".join(map(self.decoded.__getitem__, part)))
+                found = list(map(self.known.__getitem__, part))
+                ids.append(" ".join([f[0] for f in found]))
+                decoded.append(" ".join([f[1] for f in found]))
         joined = " ".join(ids)
         return joined.count(" ") + bool(joined), joined, " ".join(decoded)
 
@@ -245,7 +294,7 @@ def coder(path: str, lexicon: bytes) -> Coder:
     key = (path, hashlib.sha256(lexicon).digest())
     if key not in _CODERS:
         _CODERS.clear()
-        _CODERS[key] = Coder(Vocabulary(path), Lexicon(lexicon))
+        _CODERS[key] = Coder(vocabulary(path), Lexicon(lexicon))
     return _CODERS[key]
 
 
@@ -254,7 +303,7 @@ def frequent_words(docs: DataFrame, path: str, size: int = LEXICON_SIZE) -> Data
     ``HELD`` pieces at a time, then by word."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, pieces = Vocabulary(path), Counter()
+        v, pieces = vocabulary(path), Counter()
 
         def out() -> pa.RecordBatch:
             counts = Counter()
@@ -289,7 +338,7 @@ def frequent_words(docs: DataFrame, path: str, size: int = LEXICON_SIZE) -> Data
 
 def build_lexicon(docs: DataFrame, path: str, size: int = LEXICON_SIZE) -> bytes:
     """Compiled on the driver from ``size`` words at most, a parameter and not a share of the input."""
-    v = Vocabulary(path)
+    v = vocabulary(path)
     return compile_lexicon({r.word: v.merge(r.word) for r in frequent_words(docs, path, size).collect()})
 
 
