@@ -52,8 +52,6 @@ _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>|<[!?/][^>]*>", re.S | re.I
 )
 _MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-MAIN = r"(?i)<(?:article|main)\b|\brole\s*=\s*[\"']?main\b"
-_main = re.compile(MAIN[4:], re.I).search
 
 
 def _is_chrome(attributes: str) -> bool:
@@ -65,12 +63,12 @@ def _is_chrome(attributes: str) -> bool:
     return False
 
 
-def blocks(page: str | None) -> tuple[list[str], bool]:
-    """The page's text blocks in order without skipped parts, and whether they are of a declared main part
-    (then only those of it)."""
+def parse(page: str | None) -> tuple[list[str], list[bool], bool]:
+    """The page's text blocks in order without skipped parts, which of them are its answer by structure, and
+    whether that is a declared main part (if not, all of them are)."""
     page = page or ""
-    inside: list[str] = []  # blocks of the main part
-    outside: list[str] = []
+    every: list[str] = []
+    inside: list[bool] = []  # whether a block is of the main part
     run: list[str] = []
     skip, skip_depth, main, main_depth, at, found = "", 0, "", 0, 0, False
 
@@ -79,7 +77,8 @@ def blocks(page: str | None) -> tuple[list[str], bool]:
             text = " ".join(_html.unescape("".join(run)).split())
             run.clear()
             if text:
-                (inside if main else outside).append(text)
+                every.append(text)
+                inside.append(bool(main))
 
     for m in _TOKEN.finditer(page):
         if not skip and m.start() > at:
@@ -118,7 +117,14 @@ def blocks(page: str | None) -> tuple[list[str], bool]:
     if not skip:
         run.append(page[at:])
     end_block()
-    return (inside, True) if found and inside else (outside, False)
+    declared = found and any(inside)
+    return every, inside if declared else [True] * len(every), declared
+
+
+def blocks(page: str | None) -> tuple[list[str], bool]:
+    """The blocks that are the page's answer by structure, and whether it declares a main part."""
+    every, inside, declared = parse(page)
+    return [b for b, i in zip(every, inside, strict=True) if i], declared
 
 
 def extract(page: str | None) -> str:
@@ -166,35 +172,35 @@ def unique_blocks(page_blocks: list[str], repeated: set[int]) -> list[str]:
 
 def main_text(pages: DataFrame) -> DataFrame:
     """Per row of ``pages``: page_id, url, text, n_chars."""
-    declares = F.coalesce(F.rlike("html", F.lit(MAIN)), F.lit(False))
 
-    def by_structure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [extract(h) for h in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+            found = [parse(h) for h in batch.column(2).to_pylist()]
+            body = [xxhash.xxh3_64_intdigest("\n".join(b)) - 2**63 for b, _, _ in found]
+            every, inside = pa.array([b for b, _, _ in found], pa.list_(pa.string())), pa.array([i for _, i, _ in found], pa.list_(pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), every, inside, pa.array([d for _, _, d in found], pa.bool_()), pa.array(body, pa.int64())], names=["page_id", "url", "blocks", "inside", "declared", "body"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select("page_id", "url").schema.fields)
-    declared = pages.where(declares).select("page_id", "url", "html").mapInArrow(by_structure, fields + ", text string")
-    others = pages.where(~declares).select("page_id", "url", "html")
+    host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
+    read = pages.select("page_id", "url", "html").mapInArrow(split, fields + ", blocks array<string>, inside array<boolean>, declared boolean, body long")
+    parsed = materialize(read.withColumn("host", host))
+    declared = parsed.where("declared").select("page_id", "url", F.array_join(F.filter("blocks", lambda _, i: F.get("inside", i)), " ").alias("text"))
+    others = parsed.where("not declared")
     out = declared if others.isEmpty() else declared.unionByName(by_host(others, fields))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
-def by_host(pages: DataFrame, fields: str) -> DataFrame:
+def by_host(parsed: DataFrame, fields: str) -> DataFrame:
     """page_id, url, text of pages without a declared main part."""
 
-    def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [blocks(h)[0] for h in batch.column(2).to_pylist()]
-            body = [xxhash.xxh3_64_intdigest("\n".join(b)) - 2**63 for b in found]
-            starts = [[h for _, h in suffixes([t for x in b for t in x.split()])] for b in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string())), pa.array(body, pa.int64()), pa.array(starts, pa.list_(pa.int64()))], names=["page_id", "url", "blocks", "body", "starts"])
+            starts = [list({h for _, h in suffixes([t for x in b for t in x.split()])}) for b in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(starts, pa.list_(pa.int64()))], names=["host", "body", "starts"])
 
-    host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
-    parsed = materialize(pages.mapInArrow(split, fields + ", blocks array<string>, body long, starts array<long>").withColumn("host", host))
-    bodies = parsed.groupBy("host", "body").agg(F.first("starts").alias("starts"))
+    bodies = parsed.groupBy("host", "body").agg(F.first("blocks").alias("blocks")).mapInArrow(start, "host string, body long, starts array<long>")
     sizes = bodies.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).withColumnRenamed("host", "s_host")
-    ordered = bodies.select("host", "body", F.explode(F.array_distinct("starts")).alias("start"))
+    ordered = bodies.select("host", "body", F.explode("starts").alias("start"))
     shared = ordered.groupBy("host", "start").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
     shared = shared.join(sizes, F.col("host") == F.col("s_host")).where(F.col("n") >= LEAST_SHARE * F.col("pages")).select(F.col("host").alias("r_host"), F.col("start").alias("r_start"))
     # back to the bodies that hold a repeated suffix; each body gets its own list, no longer than itself

@@ -221,6 +221,14 @@ def test_html_host_suffixes(spark):
     assert out[50] == out[0] and out[60] == legal and out[61] == ""
 
 
+@pytest.mark.parametrize("odd_part", ["<!-- <article> -->", "<script>var a = '<main>'</script>", "<article class=comment>reader</article>", "<article></article>"])
+def test_html_path_is_the_parsers(spark, odd_part):
+    menu = prose(30, 78)
+    pages = [(i, f"http://h.example/{i}", f"<body><div>{menu}</div><p>{prose(60, 600 + i)}</p>{odd_part}") for i in range(6)]
+    out = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert out == {i: prose(60, 600 + i) for i in range(6)}
+
+
 def test_rules_measures_by_brute_force(spark, odd):
     rows = odd.select("doc_id", "text", rules.measures(F.col("text")).alias("m")).collect() + spark.createDataFrame([(i, " ".join(random.Random(i).choice(["a", "b", "c#", "dd|"]) for _ in range(i)) + "\nq\n q\nq") for i in range(40)], "doc_id long, text string").select("doc_id", "text", rules.measures(F.col("text")).alias("m")).collect()
     for r in rows:
