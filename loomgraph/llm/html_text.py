@@ -3,14 +3,15 @@
 A page that declares its main part (article, main, role="main") is decided by its structure: the text of that
 part without menus, sidebars, notices, adverts, forms, scripts, styles and reader comments inside it.
 
-A page that doesn't is decided by its host: a sparse suffix array over the token streams of the host's
-undeclared pages. Suffixes start at content-chosen places (the least of every ``WINDOW`` hashes of ``DEPTH`` tokens), so
-that any substring of ``DEPTH + WINDOW - 1`` tokens that two pages share has a suffix in common, and are ordered by
-host and first ``DEPTH`` tokens; suffixes that agree there on enough distinct pages mark a repeated substring.
-Suffixes at most ``WINDOW`` apart join into runs; blocks that runs cover are boilerplate and dropped, unique runs are
-kept. Pages with equal blocks count once, so copies don't make their own text boilerplate, and a page of which
-nothing would be left is kept as it is. Ordering is by a grouped shuffle on (host, prefix) with partial counts, so
-that a host with most of the pages isn't worked on in one task.
+A page that doesn't is decided by its host: every suffix of its token stream enters with a fingerprint of its first
+``DEPTH`` tokens. Fingerprints found on ``LEAST_PAGES`` pages of the host, however large it is, mark exactly the tokens
+that a suffix array of the host would mark for common prefixes of at least ``DEPTH`` tokens among as many pages, as every
+longer repeat is a chain of such prefixes (but for equal fingerprints of unequal tokens, of 64 bits). Nothing is sorted:
+equal prefixes meet by a grouped shuffle on (host, fingerprint) with partial counts, so that a host with most of the
+pages, or a prefix on all of them, isn't worked on in one task. Blocks whose tokens are marked are boilerplate and
+dropped, others are kept whole. Pages with equal blocks count once, so copies don't make their own text boilerplate,
+and a page of which nothing would be left is kept as it is. Repeats of fewer than ``DEPTH`` tokens stay, as do those on
+fewer than ``LEAST_PAGES`` pages: two pages may be versions of one text.
 
 Defined cases: null html gives an empty text; unclosed, unbalanced and nested elements are tolerated (a skipped
 part ends where its element, the body or the document ends, or where the main part begins); repeated rows are
@@ -31,8 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-DEPTH, WINDOW = 6, 6
-LEAST_PAGES, LEAST_SHARE, COVERED = 3, 0.05, 0.7
+DEPTH, LEAST_PAGES, COVERED = 6, 3, 0.7
 
 #: Fixed names of the markup.
 RAW = "script|style|noscript|template|svg|iframe|object|textarea|select|math|audio|video|canvas"
@@ -142,25 +142,23 @@ def _hashes(tokens: list[str]) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def suffixes(tokens: list[str]) -> list[tuple[int, int]]:
-    """Places of the chosen suffixes in a token stream, with the hash of their first tokens."""
-    h = _hashes(tokens)
-    if len(h) == 0:
-        return []
-    view = np.lib.stride_tricks.sliding_window_view(h, min(WINDOW, len(h)))
-    places = np.unique(view.argmin(axis=1) + np.arange(len(view)))
-    return [(int(p), int(h[p].astype(np.int64))) for p in places]
+def suffixes(tokens: list[str]) -> list[int]:
+    """Per place of a token stream with ``DEPTH`` tokens left, the fingerprint of the first tokens of its suffix."""
+    return _hashes(tokens).astype(np.int64).tolist()
 
 
-def unique_blocks(page_blocks: list[str], repeated: set[int]) -> list[str]:
-    """The blocks less those covered by runs of repeated suffixes."""
-    tokens = [t for b in page_blocks for t in b.split()]
-    covered = np.zeros(len(tokens) + 1, bool)
-    last = None
-    for p, h in suffixes(tokens):
+def marked(tokens: list[str], repeated: set[int]) -> np.ndarray:
+    """Which tokens lie in the first tokens of a repeated suffix."""
+    out = np.zeros(len(tokens), bool)
+    for p, h in enumerate(suffixes(tokens)):
         if h in repeated:
-            covered[(last if last is not None and p - last <= DEPTH + WINDOW else p) : p + DEPTH] = True
-            last = p
+            out[p : p + DEPTH] = True
+    return out
+
+
+def unique_blocks(page_blocks: list[str], repeated: set[int]) -> list[str]:
+    """The blocks less those that repeated suffixes cover."""
+    covered = marked([t for b in page_blocks for t in b.split()], repeated)
     out, at = [], 0
     for b in page_blocks:
         n = len(b.split())
@@ -195,14 +193,13 @@ def by_host(parsed: DataFrame, fields: str) -> DataFrame:
 
     def start(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts = [list({h for _, h in suffixes([t for x in b for t in x.split()])}) for b in batch.column(2).to_pylist()]
+            starts = [list(set(suffixes([t for x in b for t in x.split()]))) for b in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(starts, pa.list_(pa.int64()))], names=["host", "body", "starts"])
 
     bodies = parsed.groupBy("host", "body").agg(F.first("blocks").alias("blocks")).mapInArrow(start, "host string, body long, starts array<long>")
-    sizes = bodies.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).withColumnRenamed("host", "s_host")
     ordered = bodies.select("host", "body", F.explode("starts").alias("start"))
     shared = ordered.groupBy("host", "start").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
-    shared = shared.join(sizes, F.col("host") == F.col("s_host")).where(F.col("n") >= LEAST_SHARE * F.col("pages")).select(F.col("host").alias("r_host"), F.col("start").alias("r_start"))
+    shared = materialize(shared.select(F.col("host").alias("r_host"), F.col("start").alias("r_start")))  # written first, so that a small one is broadcast
     # back to the bodies that hold a repeated suffix; each body gets its own list, no longer than itself
     lists = ordered.join(shared, (F.col("host") == F.col("r_host")) & (F.col("start") == F.col("r_start"))).groupBy("host", "body").agg(F.collect_list("start").alias("repeated"))
     lists = lists.withColumnsRenamed({"host": "l_host", "body": "l_body"})

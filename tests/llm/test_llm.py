@@ -221,6 +221,33 @@ def test_html_host_suffixes(spark):
     assert out[50] == out[0] and out[60] == legal and out[61] == ""
 
 
+def test_html_marks_equal_a_sorted_suffix_array():
+    r = random.Random(5)
+    shared = [[f"s{i}_{j}" for j in range(n)] for i, n in enumerate((5, 6, 7, 10, 14, 33))]
+    pages = [[t for _ in range(6) for t in ([f"u{r.random()}" for _ in range(r.randint(0, 9))] + r.choice(shared))] for _ in range(12)]
+    array = sorted((p[i:], k, i) for k, p in enumerate(pages) for i in range(len(p)))
+    want = [[False] * len(p) for p in pages]
+    at = 0
+    while at < len(array):  # runs of neighbours with a common prefix of DEPTH tokens
+        end = at + 1
+        while end < len(array) and array[end][0][: html_text.DEPTH] == array[at][0][: html_text.DEPTH]:
+            end += 1
+        if len(array[at][0]) >= html_text.DEPTH and len({k for _, k, _ in array[at:end]}) >= html_text.LEAST_PAGES:
+            for _, k, i in array[at:end]:
+                want[k][i : i + html_text.DEPTH] = [True] * html_text.DEPTH
+        at = end
+    n = Counter(h for p in pages for h in set(html_text.suffixes(p)))
+    repeated = {h for h, c in n.items() if c >= html_text.LEAST_PAGES}
+    assert [html_text.marked(p, repeated).tolist() for p in pages] == want and any(map(any, want))
+
+
+def test_html_short_repeats_on_a_large_host(spark):
+    short = prose(10, 79)
+    pages = [(i, "http://h.example/x", f"<p>{prose(20, 2000 + i)}</p>" + (f"<p>{short}</p>" if i < 4 else "") + f"<p>{prose(20, 3000 + i)}</p>") for i in range(120)]
+    out = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert out == {i: f"{prose(20, 2000 + i)} {prose(20, 3000 + i)}" for i in range(120)}
+
+
 @pytest.mark.parametrize("odd_part", ["<!-- <article> -->", "<script>var a = '<main>'</script>", "<article class=comment>reader</article>", "<article></article>"])
 def test_html_path_is_the_parsers(spark, odd_part):
     menu = prose(30, 78)
