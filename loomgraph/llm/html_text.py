@@ -4,7 +4,7 @@ A page that declares its main part (article, main, role="main") is decided by it
 part without menus, sidebars, notices, adverts, forms, scripts, styles and reader comments inside it.
 
 A page that doesn't is decided by its host: every suffix of its token stream enters with a fingerprint of its first
-``DEPTH`` tokens. Fingerprints found on ``LEAST_PAGES`` pages of the host, however large it is, mark exactly the tokens
+``DEPTH`` tokens. Fingerprints found on ``LEAST_PAGES`` pages of the host, with and without a declared part and however large it is, mark exactly the tokens
 that a suffix array of the host would mark for common prefixes of at least ``DEPTH`` tokens among as many pages, as every
 longer repeat is a chain of such prefixes (but for equal fingerprints of unequal tokens, of 64 bits). Nothing is sorted:
 equal prefixes meet by a grouped shuffle on (host, fingerprint) with partial counts, so that a host with most of the
@@ -183,27 +183,30 @@ def main_text(pages: DataFrame) -> DataFrame:
     read = pages.select("page_id", "url", "html").mapInArrow(split, fields + ", blocks array<string>, inside array<boolean>, declared boolean, body long")
     parsed = materialize(read.withColumn("host", host))
     declared = parsed.where("declared").select("page_id", "url", F.array_join(F.filter("blocks", lambda _, i: F.get("inside", i)), " ").alias("text"))
-    others = parsed.where("not declared")
-    out = declared if others.isEmpty() else declared.unionByName(by_host(others, fields))
+    out = declared if parsed.where("not declared").isEmpty() else declared.unionByName(by_host(parsed, fields))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def by_host(parsed: DataFrame, fields: str) -> DataFrame:
-    """page_id, url, text of pages without a declared main part."""
+    """page_id, url, text of pages without a declared main part, by the token streams of all pages of their hosts."""
 
     def start(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             starts = [list(set(suffixes([t for x in b for t in x.split()]))) for b in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(starts, pa.list_(pa.int64()))], names=["host", "body", "starts"])
 
-    bodies = parsed.groupBy("host", "body").agg(F.first("blocks").alias("blocks")).mapInArrow(start, "host string, body long, starts array<long>")
-    ordered = bodies.select("host", "body", F.explode("starts").alias("start"))
-    shared = ordered.groupBy("host", "start").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
+    def ordered(rows: DataFrame) -> DataFrame:
+        bodies = rows.groupBy("host", "body").agg(F.first("blocks").alias("blocks")).mapInArrow(start, "host string, body long, starts array<long>")
+        return bodies.select("host", "body", F.explode("starts").alias("start"))
+
+    others = parsed.where("not declared")
+    hosts = others.select(F.col("host").alias("o_host")).distinct()  # others have no page to decide
+    shared = ordered(parsed.join(hosts, F.col("host") == F.col("o_host"), "left_semi")).groupBy("host", "start").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
     shared = materialize(shared.select(F.col("host").alias("r_host"), F.col("start").alias("r_start")))  # written first, so that a small one is broadcast
     # back to the bodies that hold a repeated suffix; each body gets its own list, no longer than itself
-    lists = ordered.join(shared, (F.col("host") == F.col("r_host")) & (F.col("start") == F.col("r_start"))).groupBy("host", "body").agg(F.collect_list("start").alias("repeated"))
+    lists = ordered(others).join(shared, (F.col("host") == F.col("r_host")) & (F.col("start") == F.col("r_start"))).groupBy("host", "body").agg(F.collect_list("start").alias("repeated"))
     lists = lists.withColumnsRenamed({"host": "l_host", "body": "l_body"})
-    joined = parsed.join(lists, (F.col("host") == F.col("l_host")) & (F.col("body") == F.col("l_body")), "left").select("page_id", "url", "blocks", "repeated")
+    joined = others.join(lists, (F.col("host") == F.col("l_host")) & (F.col("body") == F.col("l_body")), "left").select("page_id", "url", "blocks", "repeated")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

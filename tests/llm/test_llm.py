@@ -241,6 +241,14 @@ def test_html_marks_equal_a_sorted_suffix_array():
     assert [html_text.marked(p, repeated).tolist() for p in pages] == want and any(map(any, want))
 
 
+def test_html_declared_pages_are_evidence(spark):
+    legal = prose(25, 80)
+    pages = [(i, f"http://h.example/{i}", f"<p>{legal}</p><article><p>{prose(40, 4000 + i)}</p><p>{legal}</p></article>") for i in range(5)]
+    pages += [(9, "http://h.example/9", f"<p>{legal}</p><p>{prose(40, 4009)}</p>")]
+    out = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert out[9] == prose(40, 4009) and all(out[i] == f"{prose(40, 4000 + i)} {legal}" for i in range(5))
+
+
 def test_html_short_repeats_on_a_large_host(spark):
     short = prose(10, 79)
     pages = [(i, "http://h.example/x", f"<p>{prose(20, 2000 + i)}</p>" + (f"<p>{short}</p>" if i < 4 else "") + f"<p>{prose(20, 3000 + i)}</p>") for i in range(120)]
