@@ -71,6 +71,12 @@ def test_quality_separates_held_out_labels(spark):
     assert sum(r.predicted == int(r.doc_id % 4 > 0) for r in held) / len(held) > 0.97
 
 
+def test_quality_features_see_long_words_of_long_texts():
+    for n in (10, 4999, 5000, 9000):
+        plain = quality.features("word " * n)
+        assert plain[-1] == pytest.approx(4 / 50) and quality.features("word " * n + "x" * 300)[-1] == pytest.approx(308 / 150)
+
+
 def test_quality_on_odd_tables(spark, odd, labels):
     out = quality.score(odd, labels).collect()
     assert len(out) == len(ODD) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in out)
