@@ -7,7 +7,8 @@ come from grouped sums of the posteriors by text alone: a host's are smoothed to
 the whole crawl's, each without the page itself. Sums are taken per host, domain, suffix and declaration over
 all rows and joined back; they are partial sums before their shuffle, and the joined rows are narrow.
 
-The trigram model is fitted on at most ``SAMPLE`` documents per language, by the order of a hash.
+The trigram model is fitted on at most ``SAMPLE`` documents per language, by the order of a hash. Every language
+that a document names is kept; the model has 4 * ``BUCKETS`` bytes for each, on the driver and each executor.
 
 Defined cases: empty and null texts have a flat likelihood, so the other terms decide; a missing or malformed
 declaration, address or host is a value of its own; ties go to the language first by name; repeated rows get
@@ -20,13 +21,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
 from .html_text import extract
 
-SAMPLE, MOST_LANGUAGES, BUCKETS = 1_000, 64, 1 << 15
+SAMPLE, BUCKETS = 1_000, 1 << 15
 TEMPER, WEIGHTY = 0.25, 200.0
 STRENGTH = 4.0  #: pages that the level above counts for
 
@@ -39,26 +40,34 @@ def _trigrams(text: str | None) -> np.ndarray:
 def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages by name and, per trigram bucket and language, the logarithm of its probability."""
     known = docs.where("lang is not null and text is not null")
-    langs = [r.lang for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()]
-    langs.sort()
-    chosen = [known.where(F.col("lang") == name).select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE) for name in langs]
-    rows = [r for c in chosen for r in c.collect()]
-    if not rows:
+    bucket = F.shiftright(F.xxhash64("doc_id"), 52)  # in the order of the hash
+    sizes = known.groupBy("lang", bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    below = F.sum("n").over(Window.partitionBy("lang").orderBy("b")) - F.col("n")
+    last = sizes.withColumn("below", below).where(F.col("below") < SAMPLE).groupBy("lang").agg(F.max("b").alias("last"))
+    last = {r.lang: r["last"] for r in last.collect()}  # one row per language
+    langs = sorted(last)
+    if not langs:
         return [], np.zeros((BUCKETS, 0), np.float32)
-    wanted = docs.sparkSession.createDataFrame([(r.doc_id, r.lang) for r in rows], "w_id long, w_lang string")  # at most SAMPLE * MOST_LANGUAGES
+    first = docs.sparkSession.createDataFrame(list(last.items()), "w_lang string, last long")
+    few = known.select("doc_id", "lang").join(F.broadcast(first), F.col("lang") == F.col("w_lang")).where(bucket <= F.col("last"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    wanted = few.select("doc_id", "lang", rank.alias("rank")).where(F.col("rank") <= SAMPLE).select(F.col("doc_id").alias("w_id"), F.col("lang").alias("w_lang")).distinct()
+    wanted = materialize(wanted)  # at most SAMPLE rows per language
     texts = known.join(F.broadcast(wanted), (F.col("doc_id") == F.col("w_id")) & (F.col("lang") == F.col("w_lang"))).select("lang", "text")
+    place = {name: i for i, name in enumerate(langs)}
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((len(langs), BUCKETS), np.int64)
+        sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums[langs.index(name)] += np.bincount(_trigrams(text), minlength=BUCKETS)
-        at = np.nonzero(sums)
-        yield pa.RecordBatch.from_pydict({"l": pa.array(at[0], pa.int32()), "g": pa.array(at[1], pa.int32()), "n": pa.array(sums[at], pa.int64())})
+                sums[name] = sums.get(name, 0) + np.bincount(_trigrams(text), minlength=BUCKETS)
+        for name, sum_ in sums.items():
+            at = np.flatnonzero(sum_)
+            yield pa.RecordBatch.from_pydict({"l": pa.array(np.full(len(at), place[name]), pa.int32()), "g": pa.array(at, pa.int32()), "n": pa.array(sum_[at], pa.int64())})
 
     counts = np.full((BUCKETS, len(langs)), 0.5)
-    for r in texts.mapInArrow(count, "l int, g int, n long").groupBy("l", "g").agg(F.sum("n").alias("n")).collect():  # at most BUCKETS per language
-        counts[r.g, r.l] += r.n
+    found = texts.mapInArrow(count, "l int, g int, n long").groupBy("l", "g").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS per language
+    counts[found["g"].to_numpy(), found["l"].to_numpy()] += found["n"].to_numpy()
     return langs, np.log(counts / counts.sum(axis=0)).astype(np.float32)
 
 
@@ -100,26 +109,29 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], keys: list[st
     seen = materialize(evidence(rows, model))
     whole = seen.agg(*[F.coalesce(F.sum(F.get("p", F.lit(i))), F.lit(0.0)) for i in range(n)]).first()  # one number per language
     out = seen.withColumn("all_sum", F.array(*[F.lit(x) for x in whole]))
-    values = {}
-    for by in ("host", "domain", "declared", "suffix"):
+    values = ("host", "domain", "declared", "suffix")
+    for by in values:
         sums = _sums(seen, by, n)
         out = out.join(sums, F.col(by).eqNullSafe(F.col(f"{by}_key")), "left")
-        values[by] = sums
-    one = lambda name, i: F.get(name, F.lit(i))
-    total = lambda name: F.aggregate(name, F.lit(0.0), lambda a, x: a + x)
-    logs = []
-    for i in range(n):
-        whole_prior = (one("all_sum", i) + 1) / (total("all_sum") + n)
-        domain_prior = (F.greatest(F.lit(0.0), one("domain_sum", i) - one("p", i)) + STRENGTH * whole_prior) / (F.greatest(F.lit(0.0), total("domain_sum") - 1) + STRENGTH)
-        host_prior = (F.greatest(F.lit(0.0), one("host_sum", i) - one("p", i)) + STRENGTH * domain_prior) / (F.greatest(F.lit(0.0), total("host_sum") - 1) + STRENGTH)
-        log = F.log(host_prior) + F.log(F.greatest(one("p", i), F.lit(1e-300)))
+    one = lambda name, i: F.get(name, i)
+    for name in ("all", *values):
+        out = out.withColumn(f"{name}_total", F.aggregate(f"{name}_sum", F.lit(0.0), lambda a, x: a + x))
+
+    def log(p: Column, i: Column) -> Column:
+        """Of one language by its place; a function of the place, so that the plan doesn't grow with the languages."""
+        without = lambda name: F.greatest(F.lit(0.0), one(name, i) - p)
+        whole_prior = (one("all_sum", i) + 1) / (F.col("all_total") + n)
+        domain_prior = (without("domain_sum") + STRENGTH * whole_prior) / (F.greatest(F.lit(0.0), F.col("domain_total") - 1) + STRENGTH)
+        host_prior = (without("host_sum") + STRENGTH * domain_prior) / (F.greatest(F.lit(0.0), F.col("host_total") - 1) + STRENGTH)
+        out = F.log(host_prior) + F.log(F.greatest(p, F.lit(1e-300)))
         for by in ("declared", "suffix"):
             # P(value | language), without the page itself, smoothed towards P(value)
-            share = total(f"{by}_sum") / total("all_sum")
-            likely = (F.greatest(F.lit(0.0), one(f"{by}_sum", i) - one("p", i)) + STRENGTH * share) / (F.greatest(F.lit(0.0), one("all_sum", i) - one("p", i)) + STRENGTH)
-            log = log + F.when(F.col(by).isNull(), F.lit(0.0)).otherwise(F.log(F.greatest(likely, F.lit(1e-300))))
-        logs.append(log)
-    out = out.withColumn("logs", F.array(*logs)).withColumn("best", F.array_position("logs", F.array_max("logs")).cast("int"))
+            share = F.col(f"{by}_total") / F.col("all_total")
+            likely = (without(f"{by}_sum") + STRENGTH * share) / (without("all_sum") + STRENGTH)
+            out = out + F.when(F.col(by).isNull(), F.lit(0.0)).otherwise(F.log(F.greatest(likely, F.lit(1e-300))))
+        return out
+
+    out = out.withColumn("logs", F.transform("p", log)).withColumn("best", F.array_position("logs", F.array_max("logs")).cast("int"))
     names = F.array(*[F.lit(x) for x in langs])
     norm = F.aggregate("logs", F.lit(0.0), lambda a, x: a + F.exp(x - F.array_max("logs")))
     return out.select(*keys, F.get(names, F.col("best") - 1).alias("lang"), (1 / norm).alias("probability"), F.get(names, F.array_position("p", F.array_max("p")).cast("int") - 1).alias("text_lang"), *labels)

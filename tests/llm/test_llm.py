@@ -157,6 +157,26 @@ def test_language_fuses_evidence(spark):
     assert [r.lang for r in none] == [None] * 5
 
 
+def test_language_knows_rare_languages(spark):
+    text = lambda i, n, seed: " ".join(chr(0x4E00 + 40 * i + random.Random(seed * 1000 + j).randrange(40)) * 2 for j in range(n))
+    rows = [(100 * i + j, text(i, 30, j), f"l{i:02}", f"s{i}", 0) for i in range(70) for j in range(3 if i < 64 else 2)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = language.fit(docs)
+    assert model[0] == [f"l{i:02}" for i in range(70)]
+    out = {r.doc_id: r.lang for r in language.identify(language.document_rows(docs), model, ["doc_id"]).collect()}
+    assert out == {r[0]: r[2] for r in rows}
+
+
+def test_language_samples_in_the_order_of_a_hash(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 5)
+    rows = [(j, chr(97 + j % 26) * 9, "en" if j % 3 else "de", "s", 0) for j in range(90)]
+    docs = spark.createDataFrame(rows, DOCS)
+    texts = [r.text for name in ("de", "en") for r in docs.where(F.col("lang") == name).orderBy(F.xxhash64("doc_id"), "doc_id").limit(5).collect()]
+    for k, got in enumerate(language.fit(docs)[1].T):
+        seen = {g for t in texts[5 * k : 5 * k + 5] for g in language._trigrams(t).tolist()}
+        assert {g for g in range(language.BUCKETS) if got[g] > got.min()} == seen
+
+
 def test_mixing_meets_budgets(spark):
     r = random.Random(9)
     rows = [(i, "w " * r.randint(0, 50), "en", s, 0) for i, s in enumerate(["a"] * 60 + ["b"] * 30 + ["c"] * 200 + ["d"] * 5 + [None] * 20)]
