@@ -144,7 +144,7 @@ def to_nquads(quads: DataFrame, prefixes: dict[str, str]) -> DataFrame:
 
     def iri(c: Column) -> Column:
         name = F.element_at(table, F.split_part(c, F.lit(":"), F.lit(1)))
-        return F.concat(F.lit("<"), F.when(name.isNotNull(), F.concat(name, F.substring(c, F.length(F.split_part(c, F.lit(":"), F.lit(1))) + 2, F.lit(100_000)))).otherwise(c), F.lit(">"))
+        return F.concat(F.lit("<"), F.when(name.isNotNull(), F.concat(name, F.substring(c, F.length(F.split_part(c, F.lit(":"), F.lit(1))) + 2, F.length(c)))).otherwise(c), F.lit(">"))
 
     value = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace("o_value", r"\\", r"\\\\"), '"', r'\\"'), "\n", r"\\n"), "\r", r"\\r")
     literal = F.concat(F.lit('"'), value, F.lit('"'), F.when(F.coalesce(F.col("o_datatype"), F.lit("xsd:string")) == "xsd:string", "").otherwise(F.concat(F.lit("^^"), iri(F.col("o_datatype")))))

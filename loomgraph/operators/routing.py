@@ -42,7 +42,7 @@ def resolve_refs(rows: DataFrame, reference: Column, targets: DataFrame, key: st
     named = targets.select(F.col(key).alias("target_key")).distinct()
     out = rows.withColumn("ref_value", reference).join(named, F.col("ref_value") == F.col("target_key"), "left")
     if contained is not None:
-        out = out.withColumn("target_key", F.coalesce("target_key", F.when(F.array_contains(contained, F.substring("ref_value", 2, 1_000)), F.col("ref_value"))))
+        out = out.withColumn("target_key", F.coalesce("target_key", F.when(F.array_contains(contained, F.substring(F.col("ref_value"), F.lit(2), F.length("ref_value"))), F.col("ref_value"))))
     return out.drop("ref_value")
 
 

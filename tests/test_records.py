@@ -180,3 +180,13 @@ def test_entry_imports_without_the_subpackage(monkeypatch):
     assert "result_for_person" in entry.queries() and not any(n.startswith("op") for n in entry.queries())
     monkeypatch.undo()
     importlib.reload(__spark_entry__)
+
+
+def test_long_names_are_whole(spark):
+    long = "x" * 150_000
+    quad = spark.createDataFrame([("ex:g", "ex:" + long, "ex:p", "iri", "ex:o", None)], "graph_key string, s string, p string, o_kind string, o_value string, o_datatype string")
+    assert graph.to_nquads(quad, {"ex": "http://e/"}).first().value == f"<http://e/{long}> <http://e/p> <http://e/o> <http://e/g> ."
+    same = "y" * 1_000
+    rows = spark.createDataFrame([("#" + same + "a", [same + "a"]), ("#" + same + "b", [same])], "r string, ids array<string>")
+    out = routing.resolve_refs(rows, F.col("r"), spark.createDataFrame([("t",)], "k string"), "k", F.col("ids"))
+    assert {r.r: r.target_key for r in out.collect()} == {"#" + same + "a": "#" + same + "a", "#" + same + "b": None}
