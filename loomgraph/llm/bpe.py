@@ -7,6 +7,10 @@ its number, under which its ids lie. The automaton is a few hundred kilobytes of
 worker maps it into memory from an unlinked file. Any other word is merged exactly by rank, so the size
 of the lexicon changes the time taken and nothing else.
 
+A worker takes texts by the megabyte: their words not met before are sorted by length into matrices of bytes,
+which walk the automaton together, a column at a time, and those that it lacks are merged together, a merge of
+each row at a time. What is kept of words met before is bounded in bytes.
+
 Results equal those of the ``tokenizers`` library for the same vocabulary file. Defined cases: a null
 text is encoded as the empty one (no ids, empty text back); strings of special tokens inside a text
 become the special ids; other columns, repeated rows and empty tables are passed through.
@@ -14,6 +18,7 @@ become the special ids; other columns, repeated rows and empty tables are passed
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
@@ -25,8 +30,9 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import repeat
+from itertools import chain, repeat
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -35,11 +41,12 @@ from pyspark.sql import functions as F
 from .common import fresh, materialize
 
 LEXICON_SIZE = 32_768
-#: Distinct words that a counting task, and words that an encoding task, holds at most at a time.
-HELD = 300_000
+#: Distinct pieces, and characters of texts, that a counting task gathers before it counts their words.
+HELD, HELD_CHARS = 300_000, 64 << 20
+#: Characters of texts that are encoded together, pieces of one long text, and bytes of what is kept of pieces.
+CHUNK, SLICE, KEPT = 4 << 20, 500_000, 96 << 20
 #: Bytes from which a word is merged with a heap; and marks of no merge and of a part merged away.
-LONG, NEVER, GONE = 64, 1 << 62, -1
-_BYTES = [bytes([b]) for b in range(256)]
+LONG, NEVER, GONE = 64, 1 << 30, -1
 
 
 def byte_letters() -> list[str]:
@@ -65,11 +72,34 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.find = regex.compile(pattern).findall
+        self.find_lines = regex.compile(pattern + "|\\n").findall  # no word holds white space
         self.split_special = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")").split
         #: The ids of a byte within a word and at its end.
         self.letter = [self.ids[c] for c in byte_letters()]
         self.last = [self.ids[c + end] for c in byte_letters()]
         self.tokens = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
+        # the same as arrays: the ranks of pairs by a * width + b, and those of two bytes, the second of them plain or last
+        self.width = max(self.tokens) + 1
+        pairs = sorted((a * self.width + b, r) for (a, b), r in self.ranks.items())
+        self.pair_keys, self.pair_ranks = (np.array(x, t) for x, t in zip(zip(*pairs, strict=True), (np.int64, np.int32), strict=True))
+        self.letters, self.lasts, self.made_ids = (np.array(x, np.int32) for x in (self.letter, self.last, self.made))
+        second = np.concatenate([self.letters, self.lasts])
+        self.byte_ranks = self.rank_of(np.repeat(self.letters, 512), np.tile(second, 256)).reshape(256, 512)
+
+    def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        keys = a.astype(np.int64) * self.width + b
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], np.int32(NEVER))
+
+    def words_of(self, pieces: list[str]) -> list[list[str]]:
+        """The words of each piece, by one search."""
+        out: list[list[str]] = [[]]
+        for word in self.find_lines("\n".join([p.replace("\n", " ") for p in pieces])):
+            if word == "\n":
+                out.append([])
+            else:
+                out[-1].append(word)
+        return out if pieces else []
 
     def pieces(self, text: str) -> Iterator[tuple[bool, str | list[str]]]:
         """(True, special token) or (False, what lies between white space in ordinary text).
@@ -106,6 +136,34 @@ class Vocabulary:
                 ranks[i] = of((parts[i], parts[i + 1]), NEVER)
         return parts
 
+    def merge_rows(self, raw: np.ndarray) -> Iterator[tuple[np.ndarray, list[list[int]]]]:
+        """``merge`` of words of one length, the rows of a matrix of bytes: the places of some rows and their ids, until
+        all rows have come."""
+        parts = self.letters[raw]
+        parts[:, -1] = self.lasts[raw[:, -1]]
+        after = raw[:, 1:].astype(np.int32)
+        after[:, -1:] += 256
+        ranks = self.byte_ranks[raw[:, :-1], after]
+        rows = np.arange(len(raw))
+        while len(rows):
+            low = ranks.min(axis=1, initial=NEVER)
+            if (done := low == NEVER).any():
+                yield rows[done], parts[done].tolist()
+                rows, parts, ranks, low = rows[~done], parts[~done], ranks[~done], low[~done]
+                if not len(rows):
+                    return
+            i, k = ranks.argmin(axis=1), np.arange(len(rows))  # the leftmost of equal ones
+            parts[k, i] = self.made_ids[low]
+            stay = np.ones(parts.shape, bool)
+            stay[k, i + 1] = False
+            parts = parts[stay].reshape(len(rows), -1)
+            stay = np.ones(ranks.shape, bool)
+            stay[k, i] = False
+            ranks = ranks[stay].reshape(len(rows), -1)
+            for near in (i - 1, i):
+                at = np.flatnonzero((near >= 0) & (near < ranks.shape[1]))
+                ranks[at, near[at]] = self.rank_of(parts[at, near[at]], parts[at, near[at] + 1])
+
     def _merge_long(self, parts: list[int]) -> list[int]:
         """The same with a heap, so that a word of n bytes takes n log n steps."""
         n = len(parts)
@@ -206,85 +264,140 @@ class Lexicon:
         for n in (states + 1, edges, edges, words + 1, ids):
             parts.append(view[at : at + 4 * n].cast("I"))
             at += 4 * n
-        self.first, self.target, self.skip, self.start, self.ids = parts
-        self.final = at
-        self.labels = at + states
+        first, self.target, self.skip, self.start, self.ids = (np.frombuffer(p, np.uint32) for p in parts)
+        self.final = np.frombuffer(view[at : at + states], np.uint8)
+        labels = np.frombuffer(view[at + states : at + states + edges], np.uint8)
+        # edges lie by state and byte, so that state and byte find one by bisection
+        self.edge_keys = np.repeat(np.arange(states, dtype=np.int64), np.diff(first.astype(np.int64))) << 8 | labels
+
+    def numbers(self, raw: np.ndarray) -> np.ndarray:
+        """The number of each word among words of one length, the rows of a matrix of bytes; -1 if it isn't here."""
+        out = np.full(len(raw), -1, np.int64)
+        rows, state, number = np.arange(len(raw)), np.zeros(len(raw), np.int64), np.zeros(len(raw), np.int64)
+        for column in raw.T if len(self.edge_keys) else []:
+            keys = state << 8 | column[rows]
+            edge = np.minimum(np.searchsorted(self.edge_keys, keys), len(self.edge_keys) - 1)
+            on = self.edge_keys[edge] == keys
+            rows, edge = rows[on], edge[on]
+            state, number = self.target[edge].astype(np.int64), number[on] + self.skip[edge]
+        ends = self.final[state] == 1 if len(self.edge_keys) and raw.shape[1] else np.zeros(len(rows), bool)
+        out[rows[ends]] = number[ends]
+        return out
 
     def get(self, word: str) -> list[int] | None:
-        state = number = 0
-        find, labels, first = self.map.find, self.labels, self.first
-        for b in word.encode("utf-8", "surrogatepass"):
-            e = find(_BYTES[b], labels + first[state], labels + first[state + 1])
-            if e < 0:
-                return None
-            e -= labels
-            number += self.skip[e]
-            state = self.target[e]
-        if not self.map[self.final + state]:
-            return None
-        return list(self.ids[self.start[number] : self.start[number + 1]])
-
-
-class Known(dict):
-    """What is known of pieces of text, filled as they come. What was known before the last clearing is
-    still looked up, so that frequent pieces outlive it."""
-
-    def __init__(self, of):
-        super().__init__()
-        self.of, self.before = of, {}
-
-    def __missing__(self, piece: str) -> tuple[str, str]:
-        out = self[piece] = self.before.get(piece) or self.of(piece)
-        return out
+        number = self.numbers(np.frombuffer(word.encode("utf-8", "surrogatepass"), np.uint8)[None, :])[0]
+        return self.of(number) if number >= 0 else None
 
-    def age(self) -> None:
-        self.before = dict(self)
-        self.clear()
+    def of(self, number: int) -> list[int]:
+        return self.ids[self.start[number] : self.start[number + 1]].tolist()
 
 
 class Coder:
     """Encodes and decodes texts. The ids of a piece, and the text decoded from them, are kept as strings,
-    so that a text costs one look-up per piece; the ids of words are kept if they are in the lexicon, which is
-    walked once for each."""
+    so that a text costs one look-up per piece. Pieces come in two generations: the older one goes when the younger
+    one has ``KEPT`` bytes, and frequent pieces outlive that."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None = None):
         self.v, self.lexicon = vocabulary, lexicon
-        self.walked: dict[str, list[int]] = {}
-        self.known = Known(self.piece)
-
-    def word(self, word: str) -> list[int]:
-        ids = self.walked.get(word)
-        if ids is None:
-            if self.lexicon is None or (ids := self.lexicon.get(word)) is None:
-                return self.v.merge(word)
-            self.walked[word] = ids
-        return ids
-
-    def piece(self, piece: str) -> tuple[str, str]:
-        """The ids joined by one space and the text decoded from them."""
-        ids = [i for w in self.v.find(piece) for i in self.word(w)]
-        return " ".join(map(str, ids)), self.decode(ids)
-
-    def decode(self, ids: Iterable[int]) -> str:
-        """The file names no decoder, so the tokens are joined by one space."""
-        return " ".join(map(self.v.tokens.__getitem__, ids))
-
-    def __call__(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, the ids joined by one space, the text decoded from the ids."""
+        self.id_texts = {i: str(i) for i in vocabulary.tokens}
+        self.known: dict[str, tuple[str, str]] = {}
+        self.older: dict[str, tuple[str, str]] = {}
+        self.size = 0
+
+    def texts_of(self, ids: Iterable[int]) -> tuple[str, str]:
+        """The ids joined by one space, and the text decoded from them: the file names no decoder, so that tokens are
+        joined by one space too."""
+        ids = list(ids)
+        return " ".join(map(self.id_texts.__getitem__, ids)), " ".join(map(self.v.tokens.__getitem__, ids))
+
+    def words(self, words: Iterable[str]) -> dict[str, tuple[str, str]]:
+        """The ids and decoded texts of distinct words."""
+        names = list(words)
+        out: list[tuple[str, str]] = [("", "")] * len(names)
+        raw = np.frombuffer("\n".join(names).encode("utf-8", "surrogatepass"), np.uint8)
+        ends = np.append(np.flatnonzero(raw == 10), len(raw))  # no word holds a line feed
+        starts = np.append(0, ends[:-1] + 1)
+        for n in np.unique(ends - starts).tolist() if names else ():
+            which = np.flatnonzero(ends - starts == n)
+            if n > LONG:
+                for i in which.tolist():
+                    out[i] = self.texts_of(self.v.merge(names[i]))
+                continue
+            rows = raw[starts[which][:, None] + np.arange(n)]
+            numbers = self.lexicon.numbers(rows) if self.lexicon else np.full(len(rows), -1)
+            for i, number in zip(which[numbers >= 0].tolist(), numbers[numbers >= 0].tolist(), strict=True):
+                out[i] = self.texts_of(self.lexicon.of(number))
+            others = which[numbers < 0]
+            for at, ids in self.v.merge_rows(rows[numbers < 0]):
+                for i, x in zip(others[at].tolist(), ids, strict=True):
+                    out[i] = self.texts_of(x)
+        return dict(zip(names, out, strict=True))
+
+    def learn(self, pieces: set[str]) -> None:
+        """Makes all ``pieces`` known."""
+        if self.size > KEPT:
+            self.older, self.known, self.size = self.known, {}, 0
+        unknown = pieces.difference(self.known)
+        again = unknown.intersection(self.older)
+        self.known.update({p: self.older[p] for p in again})
+        unknown -= again
+        whole, mixed = [], []  # a piece of letters alone is one word
+        for piece in unknown:
+            (whole if piece.isalpha() else mixed).append(piece)
+        split = self.v.words_of(mixed)
+        of = self.words({*whole, *chain.from_iterable(split)})
+        self.known.update(zip(whole, map(of.__getitem__, whole), strict=True))
+        for piece, words in zip(mixed, split, strict=True):
+            found = [of[w] for w in words]
+            self.known[piece] = " ".join([f[0] for f in found]), " ".join([f[1] for f in found])
+        # the ids and tokens of a word take some ten characters for each of its own
+        self.size += 300 * (len(unknown) + len(again)) + 10 * (sum(map(len, unknown)) + sum(map(len, again)))
+        gc.freeze()  # what is kept has no cycles, and the collector need not visit it
+
+    def joined(self, parts: list[tuple[bool, str | list[str]]], slices: bool) -> tuple[int, str, str]:
         ids, decoded = [], []
-        if len(self.known) >= HELD // 2:
-            self.known.age()
-        for special, part in self.v.pieces(text):
+        for special, part in parts:
             if special:
-                ids.append(str(self.v.special[part]))
-                decoded.append(self.decode([self.v.special[part]]))
-            elif part:
-                found = list(map(self.known.__getitem__, part))
+                found = [self.texts_of([self.v.special[part]])]
+                ids.append(found[0][0])
+                decoded.append(found[0][1])
+                continue
+            for at in range(0, len(part), SLICE):
+                now = part[at : at + SLICE] if slices else part
+                if slices:
+                    self.learn(set(now))
+                found = list(map(self.known.__getitem__, now))
                 ids.append(" ".join([f[0] for f in found]))
                 decoded.append(" ".join([f[1] for f in found]))
+                if not slices:
+                    break
         joined = " ".join(ids)
         return joined.count(" ") + bool(joined), joined, " ".join(decoded)
 
+    def encode(self, texts: Iterable[str]) -> Iterator[tuple[int, str, str]]:
+        """Of each text in turn: number of ids, the ids joined by one space, the text decoded from the ids."""
+        group, size = [], 0
+
+        def flush() -> Iterator[tuple[int, str, str]]:
+            split = [list(self.v.pieces(t)) for t in group]
+            self.learn(set().union(*(part for parts in split for special, part in parts if not special)))
+            for parts in split:
+                yield self.joined(parts, slices=False)
+            group.clear()
+
+        for text in texts:
+            if len(text) >= CHUNK:
+                yield from flush()
+                size = 0
+                yield self.joined(list(self.v.pieces(text)), slices=True)
+                continue
+            group.append(text)
+            size += len(text)
+            if size >= CHUNK:
+                yield from flush()
+                size = 0
+        yield from flush()
+
 
 _CODERS: dict[tuple, Coder] = {}
 
@@ -299,28 +412,32 @@ def coder(path: str, lexicon: bytes) -> Coder:
 
 
 def frequent_words(docs: DataFrame, path: str, size: int = LEXICON_SIZE) -> DataFrame:
-    """The most frequent words of all texts, ``size`` at most: word, n. Counts are summed per task, at most
+    """The most frequent words of all texts, ``size`` at most: word, n. Counts are summed per task, some
     ``HELD`` pieces at a time, then by word."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, pieces = vocabulary(path), Counter()
 
         def out() -> pa.RecordBatch:
-            counts = Counter()
-            for piece, n in pieces.items():
-                for word in v.find(piece):
-                    counts[word] += n
+            counts = Counter({p: n for p, n in pieces.items() if p.isalpha()})  # a piece of letters alone is one word
+            mixed = [p for p in pieces if not p.isalpha()]
+            for piece, words in zip(mixed, v.words_of(mixed), strict=True):
+                for word in words:
+                    counts[word] += pieces[piece]
             pieces.clear()
             batch = pa.RecordBatch.from_pydict({"word": pa.array(counts.keys(), pa.string()), "n": pa.array(counts.values(), pa.int64())})
             return batch
 
+        size = 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for special, part in v.pieces(text or ""):
                     if not special:
                         pieces.update(part)
-                if len(pieces) >= HELD:
+                size += len(text or "")
+                if len(pieces) >= HELD or size >= HELD_CHARS:
                     yield out()
+                    size = 0
         yield out()
 
     partial = docs.select(F.col("text").alias("t")).mapInArrow(count, "word string, n long")
@@ -357,8 +474,7 @@ def encode(docs: DataFrame, path: str, size: int = LEXICON_SIZE, digests: bool =
         sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
         for batch in batches:
             n, first, second = [], [], []
-            for text in batch.column(len(carry)).to_pylist():
-                count, ids, decoded = code(text or "")
+            for count, ids, decoded in code.encode(t or "" for t in batch.column(len(carry)).to_pylist()):
                 n.append(count)
                 first.append(sha(ids) if digests else [int(i) for i in ids.split()])
                 second.append(sha(decoded) if digests else decoded)
