@@ -85,5 +85,11 @@ def time_datatype(lexical: Column) -> Column:
     return out
 
 
+def interval_nodes(start: Column, end: Column) -> Column:
+    """The ends that an interval has, as an array of (kind, value): an open one has no end, and none is made up."""
+    ends = F.array(F.struct(F.lit("start").alias("kind"), start.alias("value")), F.struct(F.lit("end").alias("kind"), end.alias("value")))
+    return F.filter(ends, lambda x: x["value"].isNotNull())
+
+
 def is_decimal(lexical: Column) -> Column:
     return F.rlike(lexical, F.lit(r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"))

@@ -1,112 +1,42 @@
-"""The reviewed pairs, as data. Prefixed names stay as they are in terms; ``PREFIXES`` expands them on export."""
+"""The reviewed maps: one JSON file each, read by ``load``. Prefixed names stay as they are in terms; ``PREFIXES`` expands
+them on export."""
 
 from __future__ import annotations
 
-from ..plans.contract import MapContract, parse
+from functools import lru_cache
+from pathlib import Path
+
+from ..plans.contract import MapContract, load
 
 #: Namespaces and code systems of public vocabularies.
 PREFIXES = {
-    "rdf": "http://www.w3.org/1999/02/22-rdf-syntax-ns#", "xsd": "http://www.w3.org/2001/XMLSchema#", "prov": "http://www.w3.org/ns/prov#",
-    "sulo": "https://w3id.org/sulo/", "fhir": "http://hl7.org/fhir/", "ex": "https://example.org/graph/",
+    "rdf": "http://www.w3.org/1999/02/22-rdf-syntax-ns#",
+    "xsd": "http://www.w3.org/2001/XMLSchema#",
+    "prov": "http://www.w3.org/ns/prov#",
+    "sulo": "https://w3id.org/sulo/",
+    "fhir": "http://hl7.org/fhir/",
+    "ex": "https://example.org/graph/",
 }
 LOINC, UCUM = "http://loinc.org", "http://unitsofmeasure.org"
-EGFR_CODE, SYSTOLIC, DIASTOLIC = "33914-3", "8480-6", "8462-4"
+EGFR_CODE, PANEL_CODE, SYSTOLIC, DIASTOLIC = "33914-3", "85354-9", "8480-6", "8462-4"
 
-EGFR_SOURCE = """
-<Observation> {
-  fhir:Observation.id xsd:string %Map:{ egfr:id %} ;
-  fhir:Observation.status [final amended corrected] ;
-  fhir:Observation.effectiveDateTime xsd:string %Map:{ egfr:effective %} ;
-  fhir:Observation.valueQuantity @<Quantity>
-}
-<Quantity> {
-  fhir:Quantity.value { fhir:value xsd:decimal %Map:{ egfr:value %} } ;
-  fhir:Quantity.code { fhir:value xsd:string %Map:{ egfr:unitCode %} }
-}
-"""
-#: The static variables: local (the identifier in node names), person, quality, unit, source (version), timeType.
-EGFR_TARGET = """
-<Person> id("{egfr:person}") { a [ex:Person] ; sulo:hasFeature @<Quality> }
-<Quality> id("{egfr:quality}") { a [sulo:Feature ex:RenalFiltrationQuality] ; sulo:isFeatureOf @<Person> }
-<Result> id("ex:egfr-result-{egfr:local}") {
-  a [sulo:Quantity ex:EGFRResult] ;
-  sulo:hasValue xsd:decimal %Map:{ egfr:value %} ;
-  sulo:hasPart @<Unit> ;
-  sulo:refersTo @<Quality> ;
-  sulo:atTime @<Time> ;
-  prov:wasDerivedFrom iri: %Map:{ egfr:source %}
-}
-<Unit> id("{egfr:unit}") { a [sulo:Unit] ; sulo:hasValue xsd:string %Map:{ egfr:unitCode %} }
-<Time> id("ex:time-egfr-{egfr:local}") { a [sulo:TimeInstant] ; sulo:hasValue xsd:dateTimeStamp %Map:{ egfr:effective %} }
-<Record> id("ex:egfr-record-{egfr:local}") {
-  a [sulo:InformationObject ex:ObservationRecord] ;
-  sulo:refersTo @<Result> ;
-  prov:wasDerivedFrom iri: %Map:{ egfr:source %}
-}
-"""
-
-BP_SOURCE = """
-<Observation> {
-  fhir:Observation.id xsd:string %Map:{ bp:id %} ;
-  fhir:Observation.status [final amended corrected] ;
-  fhir:Observation.effectiveDateTime xsd:string %Map:{ bp:effective %} ;
-  fhir:Observation.component @<Component> * $component
-}
-<Component> {
-  fhir:Component.kind xsd:string %Map:{ bp:kind %} ;
-  fhir:Component.key xsd:string %Map:{ bp:key %} ;
-  fhir:Component.quality xsd:string %Map:{ bp:quality %} ;
-  fhir:Component.value xsd:decimal ? %Map:{ bp:value %} ;
-  fhir:Component.unit xsd:string ? %Map:{ bp:unit %}
-}
-"""
-BP_TARGET = """
-<Panel> id("ex:bp-record-{bp:id}") {
-  a [sulo:InformationObject ex:BloodPressurePanel] ;
-  sulo:refersTo @<Part> * ;
-  sulo:atTime @<Time> ;
-  prov:wasDerivedFrom iri: %Map:{ bp:source %}
-}
-<Time> id("ex:time-bp-{bp:id}") { a [sulo:TimeInstant] ; sulo:hasValue xsd:dateTimeStamp %Map:{ bp:effective %} }
-<Part> id("ex:bp-part-{bp:key}") $component {
-  a [ex:ComponentRecord] ;
-  ex:componentKind xsd:string %Map:{ bp:kind %} ;
-  ^ sulo:hasValue xsd:decimal %Map:{ bp:value %} ;
-  ^ sulo:hasPart iri: %Map:{ bp:unit %} ;
-  sulo:refersTo iri: %Map:{ bp:quality %}
-}
-<PartQuality> id("{bp:quality}") $component { a [sulo:Feature ex:PressureQuality] ; sulo:isFeatureOf iri: %Map:{ bp:person %} }
-"""
 
-ENCOUNTER_SOURCE = """
-<Encounter> {
-  fhir:Encounter.id xsd:string %Map:{ enc:id %} ;
-  fhir:Encounter.status [finished] ;
-  fhir:Encounter.period @<Period>
-}
-<Period> { fhir:Period.start xsd:string %Map:{ enc:start %} ; fhir:Period.end xsd:string ? %Map:{ enc:end %} }
-"""
-ENCOUNTER_TARGET = """
-<Encounter> id("ex:encounter-{enc:local}") {
-  a [sulo:Process ex:ClinicalEncounter] ;
-  sulo:hasParticipant @<PatientRole> ; sulo:hasParticipant @<ClinicianRole> ;
-  sulo:atTime @<Interval>
-}
-<PatientRole> id("ex:patient-role-{enc:id}") { a [sulo:Role ex:PatientRole] ; sulo:isFeatureOf iri: %Map:{ enc:person %} }
-<ClinicianRole> id("ex:clinician-role-{enc:id}") { a [sulo:Role ex:ClinicianRole] ; sulo:isFeatureOf iri: %Map:{ enc:clinician %} }
-<Interval> id("ex:interval-{enc:id}") { a [sulo:TimeInterval] ; sulo:hasPart iri: %Map:{ enc:startNode %} ; ^ sulo:hasPart iri: %Map:{ enc:endNode %} }
-<Start> id("{enc:startNode}") { a [sulo:StartTime] ; sulo:hasValue xsd:dateTimeStamp %Map:{ enc:start %} }
-<End> id("{enc:endNode}") { ^ a [sulo:EndTime] ; ^ sulo:hasValue xsd:dateTimeStamp %Map:{ enc:end %} }
-"""
+@lru_cache
+def named(name: str) -> MapContract:
+    return load(Path(__file__).with_name(f"{name}.json").read_text("utf-8"))
 
 
 def egfr() -> MapContract:
-    return parse("egfr", EGFR_SOURCE, EGFR_TARGET, {"egfr:local", "egfr:person", "egfr:quality", "egfr:unit", "egfr:source"})
+    return named("egfr")
 
 
 def blood_pressure() -> MapContract:
-    return parse("bp", BP_SOURCE, BP_TARGET, {"bp:person", "bp:source"})
+    return named("bp")
 
 
 def encounter() -> MapContract:
-    return parse("encounter", ENCOUNTER_SOURCE, ENCOUNTER_TARGET, {"enc:local", "enc:person", "enc:clinician", "enc:startNode", "enc:endNode"})
+    return named("encounter")
+
+
+def medication() -> MapContract:
+    return named("medication")

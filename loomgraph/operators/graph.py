@@ -21,9 +21,73 @@ def distinct_quads(quads: DataFrame) -> DataFrame:
 
 
 def graph_hash(quads: DataFrame) -> DataFrame:
-    """(graph_key, hash) over the ordered distinct lines of each graph: a graph is one source version's."""
-    lines = quads.select("graph_key", quad_text().alias("line")).distinct()
-    return lines.groupBy("graph_key").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("line")), "\n"), 256).alias("hash"))
+    """(graph_key, hash) over the ordered distinct lines of each graph: a graph is one source version's. One exchange."""
+    lines = F.array_sort(F.collect_set(quad_text()))
+    return quads.groupBy("graph_key").agg(F.sha2(F.array_join(lines, "\n"), 256).alias("hash"))
+
+
+def expect_graph(quads: DataFrame, golden: DataFrame) -> DataFrame:
+    """Quads that only one side has, without regard to graphs: (s, p, o_kind, o_value, o_datatype, side). Empty if equal."""
+    a, b = (q.select(*KEYS[1:]).distinct() for q in (quads, golden))
+    return a.subtract(b).withColumn("side", F.lit("unexpected")).unionByName(b.subtract(a).withColumn("side", F.lit("missing")))
+
+
+def cardinality(bound: DataFrame, m, key: str = "graph_key") -> DataFrame:
+    """Violations of the numbers that a map declares, from its bindings: (key, var, n). A variable that must be there has
+    to have a value in every repetition of its scope."""
+    scope_of, out = m.scope_of(), []
+    for var, b in [*m.source.get("bind", {}).items(), *(x for s in m.source.get("scopes", {}).values() for x in s["bind"].items())]:
+        name = var.split(":")[-1]
+        if b.get("least", 1):
+            scope = scope_of[var]
+            n = F.when(F.col(f"b.{name}").isNull(), 1).otherwise(0) if scope is None else F.coalesce(F.size(F.filter(f"scope_{scope}", lambda x: x[name].isNull())), F.lit(0))
+            out.append(F.struct(F.lit(var).alias("var"), n.cast("long").alias("n")))
+    return bound.select(key, F.explode(F.array(*out)).alias("x")).select(key, "x.*").where("n > 0")
+
+
+def nest(parts: DataFrame, key: str, *fields: str) -> DataFrame:
+    """(key, tree): the repetitions of each record in one array of structs, in the order of their content."""
+    return parts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("tree"))
+
+
+def pivot_diff(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Triples that only one side has, apart from the source records that they were derived from, so that graphs of
+    records of two releases compare: (s, p, o_kind, o_value, o_datatype, side)."""
+    clean = lambda q: q.where("p <> 'prov:wasDerivedFrom'")
+    return expect_graph(clean(a), clean(b))
+
+
+def validate_target(quads: DataFrame, m) -> DataFrame:
+    """Violations of the target that a map declares: (graph_key, s, violation). A node of one of its kinds has each triple
+    that isn't optional, once unless it may repeat, and literals have the declared datatype."""
+    grouped = quads.groupBy("graph_key", "s")
+    out = []
+    for node in m.target:
+        own = [t for t in node["triples"] if not t.get("optional") and not node.get("optional")]
+        rules = {}
+        for t in own:
+            same = [x for x in own if x["p"] == t["p"]]
+            rules.setdefault(t["p"], (len(same), any(x.get("many") for x in same) or any(x["p"] == t["p"] and x.get("optional") for x in node["triples"])))
+        typed = [t for t in node["triples"] if t.get("datatype") and t["datatype"] != "time"]
+        aggregates = [F.collect_set(F.when(F.col("p") == "rdf:type", F.col("o_value"))).alias("types")]
+        aggregates += [F.count_distinct(F.when(F.col("p") == p, F.col("o_value"))).alias(f"n{i}") for i, p in enumerate(rules)]
+        aggregates += [F.count_if((F.col("p") == t["p"]) & ~F.col("o_datatype").eqNullSafe(F.lit(t["datatype"]))).alias(f"d{i}") for i, t in enumerate(typed)]
+        rows = grouped.agg(*aggregates).where(F.size(F.array_intersect("types", F.array(*[F.lit(x) for x in node["types"]]))) == len(node["types"]))
+        bad = [F.when((F.col(f"n{i}") < n) & ~F.lit(many) | (F.col(f"n{i}") > n) & ~F.lit(many), F.lit(f"{node['label']}: {p} isn't there {n} times")) for i, (p, (n, many)) in enumerate(rules.items())]
+        bad += [F.when(F.col(f"d{i}") > 0, F.lit(f"{node['label']}: {t['p']} isn't {t['datatype']}")) for i, t in enumerate(typed)]
+        if bad:
+            out.append(rows.select("graph_key", "s", F.explode(F.array_compact(F.array(*bad))).alias("violation")))
+    found = out[0]
+    for more in out[1:]:
+        found = found.unionByName(more)
+    return found
+
+
+def validation_digest(violations: DataFrame) -> str:
+    """A digest of a validation report that doesn't depend on the order of its rows: counts by violation, which are as few
+    as the rules of the map."""
+    rows = violations.groupBy("violation").agg(F.count(F.lit(1)).alias("n"), F.sum(F.crc32(F.concat_ws(" ", "graph_key", "s").cast("binary"))).alias("sum"))
+    return rows.agg(F.sha2(F.coalesce(F.array_join(F.array_sort(F.collect_list(F.concat_ws("|", "violation", "n", "sum"))), "\n"), F.lit("")), 256)).first()[0]
 
 
 def graph_diff(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -91,19 +155,19 @@ def erroneous(quads: DataFrame, contexts: DataFrame, status: str = "entered-in-e
 
 
 def results(quads: DataFrame, cls: str) -> DataFrame:
-    """(person, result, value, unit, time) of every result of a class: four hops over the graph, each an equi-join."""
-    of = lambda p, s, o: quads.where(F.col("p") == p).select(F.col("graph_key").alias(f"g_{s}_{o}"), F.col("s").alias(f"{s}_of_{o}"), F.col("o_value").alias(o))
-    out = quads.where((F.col("p") == "rdf:type") & (F.col("o_value") == cls)).select("graph_key", F.col("s").alias("result"))
-
-    def hop(df: DataFrame, p: str, s: str, o: str) -> DataFrame:
-        right = of(p, s, o)
-        return df.join(right, (F.col("graph_key") == F.col(f"g_{s}_{o}")) & (F.col(s) == F.col(f"{s}_of_{o}"))).drop(f"g_{s}_{o}", f"{s}_of_{o}")
-
-    out = hop(out, "sulo:hasValue", "result", "value")
-    out = hop(hop(out, "sulo:hasPart", "result", "unit_node"), "sulo:hasValue", "unit_node", "unit")
-    out = hop(hop(out, "sulo:refersTo", "result", "quality"), "sulo:isFeatureOf", "quality", "person")
-    out = hop(hop(out, "sulo:atTime", "result", "time_node"), "sulo:hasValue", "time_node", "time")
-    return out.select("person", "result", "value", "unit", "time")
+    """(person, result, value, unit, time) of every result of a class, by four hops within its graph: one grouping by graph
+    and subject, then one by graph, which is a single record's and so small, without any join."""
+    hops = ("sulo:hasValue", "sulo:hasPart", "sulo:refersTo", "sulo:isFeatureOf", "sulo:atTime")
+    named = {p: p.split(":")[1] for p in hops}
+    mine = quads.where(F.col("p").isin(*hops) | ((F.col("p") == "rdf:type") & (F.col("o_value") == cls)))
+    one = [F.max(F.when(F.col("p") == p, F.col("o_value"))).alias(n) for p, n in named.items()]
+    # one exchange: rows of a graph are in one place before the first grouping already
+    nodes = mine.repartition("graph_key").groupBy("graph_key", "s").agg(F.max(F.col("p") == "rdf:type").alias("is_result"), *one)
+    whole = nodes.groupBy("graph_key").agg(F.map_from_entries(F.collect_list(F.struct("s", F.struct("is_result", *named.values())))).alias("n"))
+    found = whole.select("n", F.explode("n").alias("result", "r")).where("r.is_result")
+    at = lambda c: F.try_element_at("n", c)
+    out = found.select(at(F.col("r.refersTo"))["isFeatureOf"].alias("person"), "result", F.col("r.hasValue").alias("value"), at(F.col("r.hasPart"))["hasValue"].alias("unit"), at(F.col("r.atTime"))["hasValue"].alias("time"))
+    return out.where("person is not null and value is not null and unit is not null and time is not null")
 
 
 def scoped_pairs(bound: DataFrame, array: str, kind: str, value: str, left: str, right: str) -> DataFrame:
@@ -138,14 +202,27 @@ def inconsistencies(quads: DataFrame, disjoint: list[tuple[str, str]]) -> DataFr
     return types.withColumn("axiom", F.explode(hit)).select("graph_key", "s", "axiom")
 
 
+#: Characters that an IRI may not hold, apart from control characters: they are percent-encoded on export.
+NOT_IN_IRIS = {" ": "%20", "<": "%3C", ">": "%3E", '"': "%22", "{": "%7B", "}": "%7D", "|": "%7C", "^": "%5E", "`": "%60", "\\": "%5C"}
+
+
 def to_nquads(quads: DataFrame, prefixes: dict[str, str]) -> DataFrame:
-    """One line per quad: value STRING, with prefixed names expanded."""
+    """One line per quad: value STRING, with prefixed names expanded. A graph key becomes an absolute IRI (urn:graph:...).
+    A quad with a null term is an error, never a shorter line."""
     table = F.create_map(*[F.lit(x) for kv in prefixes.items() for x in kv])
 
     def iri(c: Column) -> Column:
-        name = F.element_at(table, F.split_part(c, F.lit(":"), F.lit(1)))
-        return F.concat(F.lit("<"), F.when(name.isNotNull(), F.concat(name, F.substring(c, F.length(F.split_part(c, F.lit(":"), F.lit(1))) + 2, F.length(c)))).otherwise(c), F.lit(">"))
+        prefix = F.split_part(c, F.lit(":"), F.lit(1))
+        name = F.element_at(table, prefix)
+        out = F.when(name.isNotNull(), F.concat(name, F.substring(c, F.length(prefix) + 2, F.length(c)))).otherwise(c)
+        safe = F.regexp_replace(out, r"[\x00-\x1F\x7F]", "")
+        for character, code in NOT_IN_IRIS.items():
+            safe = F.replace(safe, F.lit(character), F.lit(code))
+        return F.concat(F.lit("<"), F.when(F.rlike(out, F.lit(r'[\x00-\x20\x7F<>"{}|^`\\]')), safe).otherwise(out), F.lit(">"))
 
     value = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace("o_value", r"\\", r"\\\\"), '"', r'\\"'), "\n", r"\\n"), "\r", r"\\r")
     literal = F.concat(F.lit('"'), value, F.lit('"'), F.when(F.coalesce(F.col("o_datatype"), F.lit("xsd:string")) == "xsd:string", "").otherwise(F.concat(F.lit("^^"), iri(F.col("o_datatype")))))
-    return quads.select(F.concat_ws(" ", iri(F.col("s")), iri(F.col("p")), F.when(F.col("o_kind") == "iri", iri(F.col("o_value"))).otherwise(literal), iri(F.col("graph_key")), F.lit(".")).alias("value"))
+    graph = F.when(F.col("graph_key").startswith("graph:"), F.concat(F.lit("<urn:"), F.col("graph_key"), F.lit(">"))).otherwise(iri(F.col("graph_key")))
+    terms = [iri(F.col("s")), iri(F.col("p")), F.when(F.col("o_kind") == "iri", iri(F.col("o_value"))).otherwise(literal), graph, F.lit(".")]
+    line = F.concat(*[x for t in terms for x in (t, F.lit(" "))][:-1])
+    return quads.select(F.coalesce(line, F.raise_error(F.lit("a quad has a null term")).cast("string")).alias("value"))

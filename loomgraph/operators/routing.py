@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 MAPPED, SOURCE_ONLY, REJECTED = "mapped", "source-only", "rejected"
 
 
-def small(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``most_rows`` rows; beyond that Spark chooses the join."""
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
-
-
 def has_modifier(*arrays: Column) -> Column:
     out = F.lit(False)
     for a in arrays:
@@ -46,39 +41,52 @@ def resolve_refs(rows: DataFrame, reference: Column, targets: DataFrame, key: st
     return out.drop("ref_value")
 
 
+def _one_rule(rules: DataFrame, keys: dict[str, str], *values: str) -> DataFrame:
+    """One row per key: the values of its only rule, null if rules disagree, and ``n_rules``, how many they are. Equal rules
+    are one, so a repeated or a conflicting rule never multiplies records. Spark broadcasts the result if its size allows."""
+    rows = rules.select(*[F.col(k).alias(name) for name, k in keys.items()], *values).distinct()
+    n = F.count(F.lit(1))
+    return rows.groupBy(*keys).agg(n.alias("n_rules"), *[F.when(n == 1, F.min(v)).alias(v) for v in values])
+
+
 def type_by_code(rows: DataFrame, system: Column, code: Column, rules: DataFrame) -> DataFrame:
-    """``rows`` with target_class and map_id of the reviewed rule, or null; rules are one per (system, code)."""
-    r = small(rules.select(F.col("system").alias("r_system"), F.col("code").alias("r_code"), "target_class", "map_id"))
-    return rows.join(r, (system == F.col("r_system")) & (code == F.col("r_code")), "left").drop("r_system", "r_code")
+    """``rows`` with target_class and map_id of the reviewed rule; null if there is none or if rules disagree."""
+    r = _one_rule(rules, {"r_system": "system", "r_code": "code"}, "target_class", "map_id")
+    return rows.join(r, (system == F.col("r_system")) & (code == F.col("r_code")), "left").drop("r_system", "r_code", "n_rules")
 
 
 def unit_node(rows: DataFrame, system: Column, code: Column, rules: DataFrame) -> DataFrame:
-    """``rows`` with unit_iri, null if the unit is missing or not recognised."""
-    r = small(rules.select(F.col("system").alias("u_system"), F.col("code").alias("u_code"), "unit_iri"))
-    return rows.join(r, (system == F.col("u_system")) & (code == F.col("u_code")), "left").drop("u_system", "u_code")
+    """``rows`` with unit_iri; null if the unit is missing, not recognised, or rules disagree."""
+    r = _one_rule(rules, {"u_system": "system", "u_code": "code"}, "unit_iri")
+    return rows.join(r, (system == F.col("u_system")) & (code == F.col("u_code")), "left").drop("u_system", "u_code", "n_rules")
 
 
 def eligibility(rows: DataFrame, status: Column, policy: DataFrame, resource_type: str) -> DataFrame:
-    """``rows`` with status_outcome by policy; a status without a policy is source-only."""
-    p = small(policy.where(F.col("resource_type") == resource_type).select(F.col("status").alias("p_status"), F.col("outcome").alias("status_outcome")))
-    return rows.join(p, status == F.col("p_status"), "left").withColumn("status_outcome", F.coalesce("status_outcome", F.lit(SOURCE_ONLY))).drop("p_status")
+    """``rows`` with status_outcome by policy; a status without a policy is source-only, one with several is rejected."""
+    p = _one_rule(policy.where(F.col("resource_type") == resource_type), {"p_status": "status"}, "outcome").withColumnsRenamed({"outcome": "p_outcome", "n_rules": "p_rules"})
+    out = F.when(F.col("p_rules") > 1, REJECTED).otherwise(F.coalesce("p_outcome", F.lit(SOURCE_ONLY)))
+    return rows.join(p, status == F.col("p_status"), "left").withColumn("status_outcome", out).drop("p_status", "p_outcome", "p_rules")
 
 
-def route(rows: DataFrame, reasons: dict[str, tuple[Column, str]]) -> DataFrame:
+def route(rows: DataFrame, reasons: dict[str, tuple[Column, str]], shape: Column | None = None) -> DataFrame:
     """``rows`` with outcome and reasons. ``reasons``: name to (condition, outcome). All that hold are listed; one that
-    rejects outweighs one that keeps the source only, and a row without any is mapped."""
+    rejects outweighs one that keeps the source only. A row without any is mapped if it has the ``shape`` that its map
+    asks for, and otherwise source-only with the reason "shape", so that none is lost between outcome and graph."""
     held = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(name)) for name, (c, _) in reasons.items()]))
     rejecting = F.lit(False)
     for c, outcome in reasons.values():
         if outcome == REJECTED:
             rejecting = rejecting | F.coalesce(c, F.lit(False))
+    if shape is not None:
+        held = F.when((F.size(held) == 0) & ~F.coalesce(shape, F.lit(False)), F.array(F.lit("shape"))).otherwise(held)
     return rows.withColumn("reasons", held).withColumn("outcome", F.when(rejecting, REJECTED).when(F.size("reasons") > 0, SOURCE_ONLY).otherwise(MAPPED))
 
 
 def alternatives(rows: DataFrame, options: dict[str, Column]) -> DataFrame:
-    """``rows`` with every alternative that matches, for inspection, and whether there are several."""
+    """``rows`` with every alternative that matches, for inspection, whether there are several, and the only one."""
     matching = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in options.items()]))
-    return rows.withColumn("alternatives", matching).withColumn("ambiguous", F.size("alternatives") > 1)
+    rows = rows.withColumn("alternatives", matching).withColumn("ambiguous", F.size("alternatives") > 1)
+    return rows.withColumn("map_id", F.when(F.size("alternatives") == 1, F.get("alternatives", F.lit(0))))
 
 
 def unknown_fields(rows: DataFrame, raw: str, allowed: list[str]) -> DataFrame:

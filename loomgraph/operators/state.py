@@ -21,23 +21,29 @@ def latest(rows: DataFrame, key: str, *order: str) -> DataFrame:
     return last.select("row.*")
 
 
+ORDER = ("seq", "run_seq")  #: of pointers: the version's order, then that of runs over one version
+
+
 def current_graph(history: DataFrame, pointer: DataFrame) -> DataFrame:
-    now = latest(pointer, "resource_key", "seq").where("graph_key is not null")
+    now = latest(pointer, "resource_key", *ORDER).where("graph_key is not null")
     return history.join(now.select(F.col("graph_key").alias("g"), F.col("run_id").alias("r")), (F.col("graph_key") == F.col("g")) & (F.col("run_id") == F.col("r")), "left_semi")
 
 
-def replace(pointer: DataFrame, outcomes: DataFrame, run_id: str) -> DataFrame:
+def replace(pointer: DataFrame, outcomes: DataFrame, run_id: str, run_seq: int) -> DataFrame:
     """Pointer rows to append for a run (outcomes: resource_key, seq, graph_key, outcome): a mapped version points to its
-    graph; any other outcome retracts. A version no later than the current one changes nothing."""
-    now = latest(pointer, "resource_key", "seq").select(F.col("resource_key").alias("k"), F.col("seq").alias("current_seq"))
-    news = outcomes.join(now, F.col("resource_key") == F.col("k"), "left").where("current_seq is null or seq > current_seq")
-    return news.select("resource_key", "seq", F.when(F.col("outcome") == "mapped", F.col("graph_key")).alias("graph_key"), F.lit(run_id).alias("run_id"), "outcome")
+    graph; any other outcome retracts. A later run of the current version replaces it (a new map, a new policy); an
+    earlier version, and a run that isn't later, change nothing. Of versions in one run the last counts."""
+    now = latest(pointer, "resource_key", *ORDER).select(F.col("resource_key").alias("k"), *[F.col(c).alias(f"now_{c}") for c in ORDER])
+    news = latest(outcomes.withColumn("run_seq", F.lit(run_seq).cast("long")), "resource_key", "seq").join(now, F.col("resource_key") == F.col("k"), "left")
+    news = news.where("k is null or seq > now_seq or (seq = now_seq and run_seq > now_run_seq)")
+    return news.select("resource_key", "seq", "run_seq", F.when(F.col("outcome") == "mapped", F.col("graph_key")).alias("graph_key"), F.lit(run_id).alias("run_id"), "outcome")
 
 
-def retract(pointer: DataFrame, keys: DataFrame, run_id: str) -> DataFrame:
-    """Pointer rows that take the graphs of ``keys`` (resource_key) away."""
-    now = latest(pointer, "resource_key", "seq").join(keys, "resource_key", "left_semi")
-    return now.select("resource_key", (F.col("seq") + 1).alias("seq"), F.lit(None).cast("string").alias("graph_key"), F.lit(run_id).alias("run_id"), F.lit("source-only").alias("outcome"))
+def retract(pointer: DataFrame, keys: DataFrame, run_id: str, run_seq: int) -> DataFrame:
+    """Pointer rows that take the graphs of ``keys`` (resource_key) away: a later run over the same version, so that the
+    next version of the record isn't taken for an old one."""
+    now = latest(pointer, "resource_key", *ORDER).join(keys, "resource_key", "left_semi").where(F.col("run_seq") < run_seq)
+    return now.select("resource_key", "seq", F.lit(run_seq).cast("long").alias("run_seq"), F.lit(None).cast("string").alias("graph_key"), F.lit(run_id).alias("run_id"), F.lit("source-only").alias("outcome"))
 
 
 def pending(contexts: DataFrame, committed: DataFrame) -> DataFrame:
@@ -48,11 +54,11 @@ def pending(contexts: DataFrame, committed: DataFrame) -> DataFrame:
 
 
 def provenance(runs: DataFrame) -> DataFrame:
-    """Activity and derivation quads of runs (run_id, graph_key, source_version, pair_hash), in a graph of their own."""
+    """Activity and derivation quads of runs (run_id, graph_key, source_version, pair_hash), in one graph for each run."""
     activity = F.concat(F.lit("ex:run-"), F.col("run_id"))
     say = lambda s, p, kind, o: F.struct(s.alias("s"), F.lit(p).alias("p"), F.lit(kind).alias("o_kind"), o.alias("o_value"), F.lit(None).cast("string").alias("o_datatype"))
     quads = F.explode(F.array(
         say(activity, "rdf:type", "iri", F.lit("prov:Activity")), say(activity, "prov:used", "iri", F.col("source_version")), say(activity, "prov:used", "literal", F.col("pair_hash")),
         say(F.col("graph_key"), "prov:wasGeneratedBy", "iri", activity), say(F.col("graph_key"), "prov:wasDerivedFrom", "iri", F.col("source_version")),
     ))
-    return runs.select(F.lit("graph:provenance").alias("graph_key"), quads.alias("q")).select("graph_key", "q.*").distinct()
+    return runs.select(F.concat(F.lit("graph:provenance-"), F.col("run_id")).alias("graph_key"), quads.alias("q")).select("graph_key", "q.*").distinct()

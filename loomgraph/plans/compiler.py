@@ -1,7 +1,7 @@
-"""Compilation of a checked pair: source shape to bindings, target shape to quads with lineage, and back.
+"""A checked map as column expressions: bindings, quads with lineage, and back.
 
-Bindings stay in the row of their resource (repeated ones as arrays of structs, one per repetition), so the join of
-source and target on shared variables needs no shuffle: materialisation is one explode of an array of structs.
+Bindings stay in the row of their record (repeated ones as arrays of structs, one per repetition), so the join of source
+and target on shared variables needs no shuffle: materialisation is one explode of an array of structs.
 """
 
 from __future__ import annotations
@@ -12,169 +12,126 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.terms import node_id
-from .contract import MapContract, MapError, Shape, checked, source_variables
+from ..functions.terms import is_decimal, node_id, time_datatype
+from .contract import MapContract, checked, key_variables
 
 QUAD = ("s", "p", "o_kind", "o_value", "o_datatype")
+TRIPLE = "struct<s:string,p:string,o_kind:string,o_value:string,o_datatype:string,var:string,is_constant:boolean,constraint_id:string,optional:boolean>"
 
 
-def _field(predicate: str) -> str:
-    """``fhir:Quantity.value`` is the element ``value``."""
-    return re.split(r"[.:]", predicate)[-1]
-
+def _name(var: str) -> str:
+    return re.sub(r"\W", "_", var.split(":")[-1])
 
-def conditions(m: MapContract, row=F.col) -> Column:
-    """Whether the resource has the value sets, datatypes and cardinalities that the source shape asks for, outside
-    repeated scopes."""
-
-    def of(shape: Shape, get) -> list[Column]:
-        out = []
-        for c in shape.constraints:
-            value = get(_field(c.predicate))
-            below = c.nested or (m.source.get(c.shape) if c.shape else None)
-            if c.many:
-                if c.least:
-                    out.append(F.coalesce(F.size(value) >= c.least, F.lit(False)))
-                continue
-            primitive = below is not None and [_field(x.predicate) for x in below.constraints] == ["value"] and c.nested is not None
-            if primitive:
-                out += _value(below.constraints[0], value, c.least)
-            elif below is not None:
-                inner = of(below, lambda n, v=value: v[n])
-                out += inner if c.least else [value.isNull() | reduce(lambda a, b: a & b, inner, F.lit(True))]
-            else:
-                out += _value(c, value, c.least)
-        return out
 
-    return reduce(lambda a, b: a & b, of(m.source_root, row), F.lit(True))
+def _fits(binding: dict, value: Column) -> Column:
+    """Whether a value is there, if it must be, and has its datatype."""
+    ok = is_decimal(value) if binding.get("datatype") == "xsd:decimal" else F.lit(True)
+    return F.coalesce(ok & value.isNotNull(), F.lit(False)) if binding.get("least", 1) else value.isNull() | F.coalesce(ok, F.lit(False))
 
 
-def _value(c, value: Column, least: int) -> list[Column]:
-    ok = F.lit(True)
-    if c.values is not None:
-        ok = value.isin(*c.values)
-    elif c.datatype == "xsd:decimal":
-        ok = value.try_cast("decimal(38,18)").isNotNull()
-    return [F.coalesce(ok & value.isNotNull(), F.lit(False)) if least else (value.isNull() | F.coalesce(ok, F.lit(False)))]
+def _at(row, path: str) -> Column:
+    first, *rest = path.split(".")
+    return reduce(lambda c, n: c[n], rest, row(first))
 
 
-def bind(m: MapContract, resources: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``keep`` and the static variables, ``b`` (a struct of the variables once per resource) and one array of
-    structs per scope, in columns ``scope_<name>``. Null elements of a repeated group stay elements."""
+def conditions(m: MapContract, row=F.col) -> Column:
+    """Whether the record has the value sets, datatypes and numbers that the source asks for, in every repetition too."""
+    out = [F.coalesce(_at(row, path).isin(*values), F.lit(False)) for path, values in m.source.get("values", {}).items()]
+    out += [_fits(b, _at(row, b["path"])) for b in m.source.get("bind", {}).values()]
+    for scope in m.source.get("scopes", {}).values():
+        group = _at(row, scope["path"])
+        out.append(F.coalesce(F.size(group), F.lit(0)) >= scope.get("least", 0))
+        each = lambda x: reduce(lambda a, b: a & b, [_fits(b, _at(lambda n: x[n], b["path"])) for b in scope["bind"].values()])  # noqa: E731, B023
+        out.append(F.coalesce(F.forall(group, each), F.lit(True)))
+    return reduce(lambda a, b: a & b, out, F.lit(True))
+
+
+def complete(m: MapContract) -> Column:
+    """Whether all variables that the target needs are there: those that the run supplies as well."""
+    static = [F.col(_name(v)).isNotNull() for v in m.required() if v in m.static]
+    return reduce(lambda a, b: a & b, static, conditions(m))
+
+
+def bind(m: MapContract, records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``keep`` and ``b`` (a struct of the variables once per record) and one array of structs per scope, in columns
+    ``scope_<name>``. Null elements of a repeated group stay elements."""
     checked(m)
-    once: dict[str, Column] = {}
-    scopes: dict[str, Column] = {}
-
-    def element(shape: Shape):
-        def of(x: Column) -> Column:
-            own: dict[str, Column] = {}
-            walk(shape, lambda n: x[n], own)
-            return F.struct(*[v.alias(_name(k)) for k, v in own.items()])
-
-        return of
-
-    def walk(shape: Shape, get, into: dict[str, Column]) -> None:
-        for c in shape.constraints:
-            value = get(_field(c.predicate))
-            below = c.nested or (m.source.get(c.shape) if c.shape else None)
-            if c.var:
-                into[c.var] = value
-            if below is None:
-                continue
-            if c.many:
-                scopes[c.scope] = F.transform(value, element(below))
-            elif c.nested is not None and [_field(x.predicate) for x in below.constraints] == ["value"]:
-                if below.constraints[0].var:
-                    into[below.constraints[0].var] = value
-            else:
-                walk(below, lambda n, v=value: v[n], into)
-
-    walk(m.source_root, F.col, once)
-    once |= {v: F.col(_name(v)) for v in m.static}
-    return resources.select(*keep, F.struct(*[v.cast("string").alias(_name(k)) for k, v in once.items()]).alias("b"), *[v.alias(f"scope_{k}") for k, v in scopes.items()])
-
-
-def _name(var: str) -> str:
-    return re.sub(r"\W", "_", var.split(":")[-1])
+    once = {v: _at(F.col, b["path"]) for v, b in m.source.get("bind", {}).items()} | {v: F.col(_name(v)) for v in m.static}
+    scopes = {}
+    for name, scope in m.source.get("scopes", {}).items():
+        element = lambda x: F.struct(*[_at(lambda n: x[n], b["path"]).cast("string").alias(_name(v)) for v, b in scope["bind"].items()])  # noqa: E731, B023
+        scopes[name] = F.transform(_at(F.col, scope["path"]), element)
+    return records.select(*keep, F.struct(*[v.cast("string").alias(_name(k)) for k, v in once.items()]).alias("b"), *[v.alias(f"scope_{k}") for k, v in scopes.items()])
 
 
 def materialize_graph(m: MapContract, bound: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``keep``, the quad columns and the lineage of each (var, is_constant, constraint_id), from the rows of ``bind``.
 
-    One explode per row; a triple whose key or value is null is left out if its constraint says so (``^``) and
-    otherwise comes with a null, for the guards of the caller to find."""
-    by_scope = source_variables(m)
+    One explode per row. An optional triple whose key or value is null is left out; of others none is null if the record
+    passed ``complete``."""
+    scope_of = m.scope_of()
 
     def get(var: str, x: Column | None) -> Column:
-        return x[_name(var)] if by_scope.get(var) is not None and x is not None else F.col(f"b.{_name(var)}")
-
-    def key(shape: Shape, x: Column | None) -> Column:
-        names = re.findall(r"\{([^}]+)\}", shape.key)
-        return node_id(shape.key, {v: get(v, x) for v in names})
-
-    def triples(shape: Shape, x: Column | None) -> list[Column]:
-        out = []
-        for i, c in enumerate(shape.constraints):
-            p = "rdf:type" if c.predicate == "a" else c.predicate
-            say = lambda kind, value, datatype, var, c=c, p=p, i=i: F.struct(
-                key(shape, x).alias("s"), F.lit(p).alias("p"), F.lit(kind).alias("o_kind"), value.cast("string").alias("o_value"),
-                (datatype if isinstance(datatype, Column) else F.lit(datatype)).cast("string").alias("o_datatype"), F.lit(var).cast("string").alias("var"), F.lit(var is None).alias("is_constant"),
-                F.lit(f"{shape.label}#{i}").alias("constraint_id"), F.lit(c.optional).alias("optional"))
-            if c.values is not None:
-                out += [say("iri", F.lit(v), None, None) for v in c.values]
-            elif c.shape:
-                other = m.target[c.shape]
-                if other.scope and other.scope != shape.scope:
+        return x[_name(var)] if scope_of.get(var) is not None and x is not None else F.col(f"b.{_name(var)}")
+
+    def key(node: dict, x: Column | None) -> Column:
+        return node_id(node["key"], {v: get(v, x) for v in key_variables(node)})
+
+    def say(node, i, s, p, kind, value, datatype, var, optional) -> Column:
+        return F.struct(
+            s.alias("s"), F.lit(p).alias("p"), F.lit(kind).alias("o_kind"), value.cast("string").alias("o_value"), datatype.cast("string").alias("o_datatype"),
+            F.lit(var).cast("string").alias("var"), F.lit(var is None).alias("is_constant"), F.lit(f"{node['label']}#{i}").alias("constraint_id"), F.lit(bool(optional)).alias("optional"),
+        )
+
+    def triples(node: dict, x: Column | None) -> list[Column]:
+        none, gone = F.lit(None), node.get("optional")
+        out = [say(node, 0, key(node, x), "rdf:type", "iri", F.lit(t), none, None, gone) for t in node.get("types", [])]
+        for i, t in enumerate(node["triples"], 1):
+            optional = gone or t.get("optional")
+            if "node" in t:
+                other = m.node(t["node"])
+                if other.get("scope") and other["scope"] != node.get("scope"):
                     continue  # stated from the repeated side
-                out.append(say("iri", key(other, x), None, ",".join(re.findall(r"\{([^}]+)\}", other.key))))
-            elif c.datatype == "iri:":
-                out.append(say("iri", get(c.var, x), None, c.var))
+                out.append(say(node, i, key(node, x), t["p"], "iri", key(other, x), none, ",".join(key_variables(other)), optional))
+            elif "iri" in t:
+                out.append(say(node, i, key(node, x), t["p"], "iri", get(t["iri"], x), none, t["iri"], optional))
             else:
-                out.append(say("literal", get(c.var, x), c.datatype, c.var))
+                value = get(t["var"], x)
+                out.append(say(node, i, key(node, x), t["p"], "literal", value, time_datatype(value) if t["datatype"] == "time" else F.lit(t["datatype"]), t["var"], optional))
         return out
 
     def back_links(scope: str, x: Column) -> list[Column]:
-        """Links of once-per-resource shapes to the repeated ones."""
-        out = []
-        for shape in m.target.values():
-            if shape.scope:
-                continue
-            for i, c in enumerate(shape.constraints):
-                if c.shape and m.target[c.shape].scope == scope:
-                    out.append(F.struct(key(shape, None).alias("s"), F.lit(c.predicate).alias("p"), F.lit("iri").alias("o_kind"), key(m.target[c.shape], x).alias("o_value"), F.lit(None).cast("string").alias("o_datatype"),
-                                        F.lit(m.target[c.shape].key).alias("var"), F.lit(False).alias("is_constant"), F.lit(f"{shape.label}#{i}").alias("constraint_id"), F.lit(c.optional).alias("optional")))
-        return out
-
-    def repetition(scope: str, repeated: list[Shape]):
-        return lambda x: F.array(*[t for s in repeated for t in triples(s, x)], *back_links(scope, x))
-
-    arrays = [F.array(*[t for s in m.target.values() if not s.scope for t in triples(s, None)])]
-    for scope in sorted({s.scope for s in m.target.values() if s.scope}):
-        repeated = [s for s in m.target.values() if s.scope == scope]
-        arrays.append(F.coalesce(F.flatten(F.transform(F.col(f"scope_{scope}"), repetition(scope, repeated))), F.array().cast(f"array<struct<s:string,p:string,o_kind:string,o_value:string,o_datatype:string,var:string,is_constant:boolean,constraint_id:string,optional:boolean>>")))
+        """Links of once-per-record nodes to the repeated ones."""
+        return [
+            say(node, i, key(node, None), t["p"], "iri", key(m.node(t["node"]), x), F.lit(None), ",".join(key_variables(m.node(t["node"]))), t.get("optional"))
+            for node in m.target if not node.get("scope") for i, t in enumerate(node["triples"], 1) if "node" in t and m.node(t["node"]).get("scope") == scope
+        ]
+
+    arrays = [F.array(*[t for n in m.target if not n.get("scope") for t in triples(n, None)])]
+    for scope in m.source.get("scopes", {}):
+        each = lambda x: F.array(*[t for n in m.target if n.get("scope") == scope for t in triples(n, x)], *back_links(scope, x))  # noqa: E731, B023
+        arrays.append(F.coalesce(F.flatten(F.transform(F.col(f"scope_{scope}"), each)), F.array().cast(f"array<{TRIPLE}>")))
     rows = bound.select(*keep, F.explode(F.concat(*arrays) if len(arrays) > 1 else arrays[0]).alias("t")).select(*keep, "t.*")
     return rows.where(~(F.col("optional") & (F.col("o_value").isNull() | F.col("s").isNull()))).drop("optional")
 
 
 def invert(m: MapContract, quads: DataFrame, graph: str = "graph_key") -> DataFrame:
-    """The shared variables back from the graph, along the target shape: (graph, node, scope, var, value).
+    """The shared variables back from the graph, along the target: (graph, node, scope, var, value).
 
-    A literal's variable is the value of its predicate on nodes of the shape's types; variables in node keys are read
-    from the key by its template. Conditional aggregation per subject, no self-join."""
+    A literal's variable is the value of its predicate on nodes of the node's types; variables in node keys are read from
+    the key by its template. One grouping by subject for each kind of node, no self-join."""
     found = []
-    for shape in m.target.values():
-        types = [v for c in shape.constraints if c.predicate == "a" for v in c.values or []]
-        if not types:
-            raise MapError(f"{shape.label} has no type to be found by")
-        typed = quads.where((F.col("p") == "rdf:type") & F.col("o_value").isin(*types)).groupBy(graph, "s").agg(F.count_distinct("o_value").alias("n")).where(F.col("n") == len(set(types))).select(F.col(graph).alias("g"), F.col("s").alias("node"))
-        names = re.findall(r"\{([^}]+)\}", shape.key)
-        pattern = "^" + "(.+)".join(re.escape(x) for x in re.split(r"\{[^}]+\}", shape.key)) + "$"
-        for i, var in enumerate(names):
-            if len(names) == 1 and var not in m.static:
-                found.append(typed.select(F.col("g").alias(graph), "node", F.lit(shape.scope).alias("scope"), F.lit(var).alias("var"), F.regexp_extract("node", pattern, i + 1).alias("value")))
-        own = {c.predicate: c.var for c in shape.constraints if c.var and c.datatype and c.var not in m.static}
-        if own:
-            pairs = F.create_map(*[F.lit(x) for kv in own.items() for x in kv])
-            values = quads.where(F.col("p").isin(*own)).join(typed, (F.col(graph) == F.col("g")) & (F.col("s") == F.col("node")))
-            found.append(values.select(graph, "node", F.lit(shape.scope).alias("scope"), F.element_at(pairs, F.col("p")).alias("var"), F.col("o_value").alias("value")))
+    for node in m.target:
+        own = {t["p"]: t["var"] for t in node["triples"] if t.get("var") and t["var"] not in m.static}
+        keys = [v for v in key_variables(node) if len(key_variables(node)) == 1 and v not in m.static]
+        if not own and not keys:
+            continue
+        types = node["types"]
+        values = [F.collect_list(F.when(F.col("p") == p, F.col("o_value"))).alias(f"v{i}") for i, p in enumerate(own)]
+        typed = quads.where(F.col("p").isin("rdf:type", *own)).groupBy(graph, "s").agg(F.collect_set(F.when(F.col("p") == "rdf:type", F.col("o_value"))).alias("types"), *values)
+        typed = typed.where(F.size(F.array_intersect("types", F.array(*[F.lit(t) for t in types]))) == len(set(types))).withColumnRenamed("s", "node")
+        pattern = "^" + "(.+)".join(re.escape(x) for x in re.split(r"\{[^}]+\}", node["key"])) + "$"
+        rows = [F.transform(F.col(f"v{i}"), lambda x: F.struct(F.lit(var).alias("var"), x.alias("value"))) for i, var in enumerate(own.values())]
+        rows += [F.array(F.struct(F.lit(v).alias("var"), F.regexp_extract("node", pattern, 1).alias("value"))) for v in keys]
+        found.append(typed.select(graph, "node", F.lit(node.get("scope")).cast("string").alias("scope"), F.explode(F.concat(*rows)).alias("x")).select(graph, "node", "scope", "x.*"))
     return reduce(DataFrame.unionByName, found)

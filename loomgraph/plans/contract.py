@@ -1,206 +1,107 @@
-"""A small language for pairs of shapes with shared variables, and its static checks.
-
-A pair is two texts in a subset of ShEx compact syntax. Triple constraints are a predicate and one of: a value
-set ``[...]``, a datatype, a reference ``@<Shape>`` or a nested shape ``{...}``; then a cardinality (none, ``?``,
-``*``, ``+``) and a shared variable ``%Map:{ name %}``. A repeated reference of the source names a scope
-(``$name``). A target shape has a node key ``id("template with {variables}")`` and may name the scope whose
-repetitions it follows. ``^`` before a variable's constraint of the target leaves the triple out if it is null.
-
-``check`` runs before any data: variables that the source never binds, scopes that do not nest, bad keys.
+"""Maps as data: what a map file says, and the checks that it passes before any data is read.
+
+A map is a JSON object. ``source`` has the value sets of elements (``values``), the variables bound once per record
+(``bind``: variable to path, datatype and least number) and repeated groups (``scopes``: name to path, ``least`` and the
+variables bound in each repetition). ``static`` names the variables that the run supplies. ``target`` lists nodes: a key
+template with ``{variables}``, the scope whose repetitions the node follows, its types, and its triples, each with one of
+``var`` (a literal with its ``datatype``, or ``time`` for the narrowest one that fits), ``iri`` (a variable) or ``node``.
+An ``optional`` triple or node is left out where a value is null. The other entries are the map's manifest.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+
+MANIFEST_FIELDS = (
+    "map_id", "semver", "source_release", "source_profile", "source_shape", "target_shape", "terminology_deps", "status_eligibility",
+    "expected_failures", "ontology_version", "fixtures", "nonmapped_fields",
+)
 
 
 class MapError(ValueError):
     """A map that must not run."""
 
 
-@dataclass
-class Constraint:
-    predicate: str
-    values: list[str] | None = None
-    datatype: str | None = None
-    shape: str | None = None
-    nested: Shape | None = None
-    least: int = 1
-    many: bool = False
-    var: str | None = None
-    scope: str | None = None
-    optional: bool = False
-
-
-@dataclass
-class Shape:
-    label: str
-    constraints: list[Constraint] = field(default_factory=list)
-    key: str | None = None
-    scope: str | None = None
-
-
-@dataclass
+@dataclass(frozen=True)
 class MapContract:
     map_id: str
-    source: dict[str, Shape]
-    target: dict[str, Shape]
-    prefixes: dict[str, str]
+    spec: dict
     pair_hash: str
-    static: frozenset[str] = frozenset()
 
     @property
-    def source_root(self) -> Shape:
-        return next(iter(self.source.values()))
-
-
-_TOKEN = re.compile(r'\s+|#[^\n]*|(%Map:\{\s*[\w:.-]+\s*%\}|id\("[^"]*"\)|"[^"]*"|@?<[^>\s]*>|\$[\w-]+|[A-Za-z_][\w.-]*:[\w.:/-]*|[A-Za-z_][\w.-]*|[\[\]{}();?*+^])')
-
-
-def _tokens(text: str) -> list[str]:
-    out, at = [], 0
-    while at < len(text):
-        m = _TOKEN.match(text, at)
-        if not m:
-            raise MapError(f"cannot read the map at: {text[at : at + 30]!r}")
-        if m[1]:
-            out.append(m[1])
-        at = m.end()
-    return out
-
-
-class _Parser:
-    def __init__(self, text: str):
-        self.tokens, self.at, self.prefixes = _tokens(text), 0, {}
-
-    def peek(self) -> str:
-        return self.tokens[self.at] if self.at < len(self.tokens) else ""
-
-    def take(self, want: str | None = None) -> str:
-        token = self.peek()
-        if not token or want and token != want:
-            raise MapError(f"expected {want or 'more'}, found {token or 'the end'}")
-        self.at += 1
-        return token
-
-    def shapes(self) -> dict[str, Shape]:
-        found: dict[str, Shape] = {}
-        while self.peek():
-            if self.peek().upper() == "PREFIX":
-                self.take()
-                name, iri = self.take(), self.take()
-                self.prefixes[name.rstrip(":")] = iri.strip("<>")
-                continue
-            label = self.take().strip("<>")
-            if label in found:
-                raise MapError(f"shape {label} is defined twice")
-            found[label] = self.shape(label)
+    def source(self) -> dict:
+        return self.spec["source"]
+
+    @property
+    def target(self) -> list[dict]:
+        return self.spec["target"]
+
+    @property
+    def static(self) -> list[str]:
+        return self.spec.get("static", [])
+
+    @property
+    def types(self) -> list[str]:
+        """The classes that the map may assert."""
+        return sorted({t for node in self.target for t in node.get("types", [])})
+
+    def node(self, label: str) -> dict:
+        return next(n for n in self.target if n["label"] == label)
+
+    def scope_of(self) -> dict[str, str | None]:
+        """Each variable of the source and of the run with the scope that binds it (None: once per record)."""
+        found: dict[str, str | None] = dict.fromkeys([*self.source.get("bind", {}), *self.static])
+        for name, scope in self.source.get("scopes", {}).items():
+            found |= dict.fromkeys(scope["bind"], name)
         return found
 
-    def shape(self, label: str) -> Shape:
-        shape = Shape(label)
-        while self.peek() != "{":
-            token = self.take()
-            if token.startswith("id("):
-                shape.key = token[4:-2]
-            elif token.startswith("$"):
-                shape.scope = token[1:]
-            else:
-                raise MapError(f"unexpected {token} before shape {label}")
-        self.take("{")
-        while self.peek() != "}":
-            shape.constraints.append(self.constraint())
-            if self.peek() == ";":
-                self.take()
-        self.take("}")
-        return shape
-
-    def constraint(self) -> Constraint:
-        optional = self.peek() == "^" and bool(self.take())
-        c = Constraint(self.take(), optional=optional)
-        token = self.peek()
-        if token == "[":
-            self.take()
-            c.values = []
-            while self.peek() != "]":
-                c.values.append(self.take().strip('"'))
-            self.take("]")
-        elif token == "{":
-            c.nested = self.shape(c.predicate)
-        elif token.startswith("@"):
-            c.shape = self.take()[2:-1]
-        elif ":" in token and not token.startswith("%"):
-            c.datatype = self.take()
-        if self.peek() in ("?", "*", "+"):
-            mark = self.take()
-            c.least, c.many = int(mark == "+"), mark != "?"
-        if self.peek().startswith("$"):
-            c.scope = self.take()[1:]
-        if self.peek().startswith("%Map"):
-            c.var = re.match(r"%Map:\{\s*([\w:.-]+)\s*%\}", self.take())[1]
-        return c
-
-
-def parse(map_id: str, source: str, target: str, static: frozenset[str] | set[str] = frozenset()) -> MapContract:
-    """``static``: variables that the run supplies, such as the resolved person."""
-    a, b = _Parser(source), _Parser(target)
-    pair_hash = hashlib.sha256(f"{source}\0{target}".encode()).hexdigest()
-    return MapContract(map_id, a.shapes(), b.shapes(), a.prefixes | b.prefixes, pair_hash, frozenset(static))
-
-
-def source_variables(m: MapContract) -> dict[str, str | None]:
-    """Each variable of the source with the scope that binds it (None: once per resource)."""
-    found: dict[str, str | None] = {}
-
-    def walk(shape: Shape, scope: str | None, seen: tuple[str, ...]) -> None:
-        for c in shape.constraints:
-            inner = scope
-            if c.many and (c.shape or c.nested):
-                if not c.scope:
-                    raise MapError(f"{c.predicate} repeats and names no scope")
-                inner = c.scope
-            if c.var:
-                if c.var in found:
-                    raise MapError(f"{c.var} is bound twice")
-                found[c.var] = scope
-            below = c.nested or (m.source.get(c.shape) if c.shape else None)
-            if c.shape and below is None:
-                raise MapError(f"shape {c.shape} is not defined")
-            if below and below.label not in seen:
-                walk(below, inner, (*seen, below.label))
-
-    walk(m.source_root, None, (m.source_root.label,))
-    return found
+    def required(self) -> list[str]:
+        """Variables bound once per record without which the target is incomplete."""
+        used = {v for n in self.target if not n.get("scope") and not n.get("optional") for v in [*key_variables(n), *(t.get("var") or t.get("iri") for t in n["triples"] if not t.get("optional"))] if v}
+        once = {v for v, scope in self.scope_of().items() if scope is None}
+        return sorted((used | {v for v, b in self.source.get("bind", {}).items() if b.get("least", 1)}) & once - set(self.spec.get("optional_static", [])))
+
+
+def key_variables(node: dict) -> list[str]:
+    return re.findall(r"\{([^{}]+)\}", node.get("key") or "")
+
+
+def load(text: str) -> MapContract:
+    """A map from its file's text. Its hash is that of the content, whatever the spacing of the file."""
+    spec = json.loads(text)
+    return MapContract(spec["map_id"], spec, hashlib.sha256(json.dumps(spec, sort_keys=True).encode()).hexdigest())
 
 
 def check(m: MapContract) -> list[str]:
-    """What is wrong with a pair; empty if it may run."""
+    """What is wrong with a map; empty if it may run."""
     errors: list[str] = []
-    try:
-        bound = source_variables(m) | dict.fromkeys(m.static)
-    except MapError as e:
-        return [str(e)]
-    for shape in m.target.values():
-        if not shape.key:
-            errors.append(f"invalid id(): {shape.label} has no node key")
+    bound = m.scope_of()
+    names = [*m.source.get("bind", {}), *m.static, *(v for s in m.source.get("scopes", {}).values() for v in s["bind"])]
+    errors += [f"{v} is bound twice" for v in sorted({v for v in names if names.count(v) > 1})]
+    labels = {n["label"]: n for n in m.target}
+    for node in m.target:
+        label, key, scope = node["label"], node.get("key"), node.get("scope")
+        if not key:
+            errors.append(f"invalid id(): {label} has no node key")
             continue
-        if shape.key.count("{") != shape.key.count("}") or re.search(r"\{\s*\}", shape.key):
-            errors.append(f"invalid id(): {shape.key}")
-        for var in [*re.findall(r"\{([^}]+)\}", shape.key), *(c.var for c in shape.constraints if c.var)]:
-            if var not in bound:
-                errors.append(f"unbound variable: {var} in {shape.label}")
-            elif bound[var] is not None and bound[var] != shape.scope:
-                errors.append(f"incompatible scopes: {var} repeats with {bound[var]}, {shape.label} with {shape.scope or 'its resource'}")
-        if shape.scope and not any(bound.get(v) == shape.scope for v in re.findall(r"\{([^}]+)\}", shape.key)):
-            errors.append(f"invalid id(): the key of {shape.label} is the same for every {shape.scope}")
-        for c in shape.constraints:
-            other = m.target.get(c.shape) if c.shape else None
-            if c.shape and other is None:
-                errors.append(f"shape {c.shape} is not defined")
-            if other is not None and other.scope and other.scope != shape.scope and not c.many:
-                errors.append(f"incompatible scopes: {shape.label} refers once to {other.label}, which repeats")
+        if key.count("{") != key.count("}") or re.search(r"\{\s*\}", key):
+            errors.append(f"invalid id(): {key}")
+        for v in [*key_variables(node), *(t.get("var") or t.get("iri") for t in node["triples"])]:
+            if v and v not in bound:
+                errors.append(f"unbound variable: {v} in {label}")
+            elif v and bound[v] is not None and bound[v] != scope:
+                errors.append(f"incompatible scopes: {v} repeats with {bound[v]}, {label} with {scope or 'its record'}")
+        if scope and not any(bound.get(v) == scope for v in key_variables(node)):
+            errors.append(f"invalid id(): the key of {label} is the same for every {scope}")
+        for t in node["triples"]:
+            other = labels.get(t["node"]) if t.get("node") else None
+            if t.get("node") and other is None:
+                errors.append(f"node {t['node']} is not defined")
+            if other and other.get("scope") and other["scope"] != scope and not t.get("many"):
+                errors.append(f"incompatible scopes: {label} refers once to {other['label']}, which repeats")
     return errors
 
 
@@ -210,17 +111,16 @@ def checked(m: MapContract) -> MapContract:
     return m
 
 
-MANIFEST_FIELDS = (
-    "map_id", "semver", "source_release", "source_profile", "source_shape", "target_shape", "pivots", "terminology_deps", "status_eligibility",
-    "expected_failures", "ontology_version", "fixtures", "nonmapped_fields",
-)
-
-
-def check_manifest(manifest: dict, m: MapContract) -> list[str]:
-    """A manifest is complete if every field is there and every pivot is a variable of the pair."""
-    errors = [f"missing: {f}" for f in MANIFEST_FIELDS if f not in manifest]
-    variables = set(source_variables(m)) | m.static
-    named = {p["name"] for p in manifest.get("pivots", [])}
-    errors += [f"pivot without a source: {n}" for n in sorted(named - variables)]
-    errors += [f"variable without a rule: {n}" for n in sorted(variables - named)]
+def check_manifest(m: MapContract) -> list[str]:
+    """A manifest is complete if every entry is there and every element that the source binds, guards or leaves out is
+    named once; every variable is used by the target or declared as lineage only."""
+    errors = [f"missing: {f}" for f in MANIFEST_FIELDS if f not in m.spec]
+    if set(m.source.get("values", {}).get("status", [])) - set(m.spec.get("status_eligibility", [])):
+        errors.append("a status is mapped that isn't eligible")
+    if not m.spec.get("fixtures"):
+        errors.append("no fixture")
+    used = {v for n in m.target for v in [*key_variables(n), *(t.get("var") or t.get("iri") for t in n["triples"])] if v}
+    errors += [f"variable without a rule: {v}" for v in sorted(set(m.scope_of()) - used - set(m.spec.get("lineage_only", [])) - {f"{m.map_id}:id"})]
+    paths = {b["path"].split(".")[0] for b in m.source.get("bind", {}).values()} | set(m.source.get("values", {}))
+    errors += [f"{p} is mapped and declared as not mapped" for p in sorted(paths & set(m.spec.get("nonmapped_fields", [])))]
     return errors

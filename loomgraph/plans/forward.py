@@ -1,56 +1,148 @@
-"""The forward transform of numeric observations and of encounters: context, outcome, bindings, quads."""
+"""The forward transform: records to contexts, outcomes, bindings and quads, one function of outcomes for each kind.
+
+Every record gets one outcome with all its reasons, and only mapped ones enter the graph. Guards that mean "this meaning
+isn't supported" keep the source only; failures of identity, unit, value or time reject.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import maps
-from ..functions.terms import graph_key, is_decimal, quality_key, time_precision, version_iri
-from ..operators import routing
-from .compiler import bind, conditions, materialize_graph
+from ..functions.terms import coding_key, graph_key, has_code, is_decimal, norm_ref, quality_key, time_precision, version_iri
+from ..operators import graph, routing
+from .compiler import bind, complete, materialize_graph
+from .contract import MapContract
 
 SERVER = "https://records.example"
+#: The kinds of the components of a panel.
+KINDS = {maps.SYSTOLIC: "systolic", maps.DIASTOLIC: "diastolic"}
+
+
+def _bad_time(lexical: Column) -> Column:
+    return F.coalesce(time_precision(lexical), F.lit("none")).isin("none", "invalid")
+
+
+def select_map(records: DataFrame, contracts: list[MapContract], release: str = "R4") -> DataFrame:
+    """``records`` of one release with map_id, alternatives and ambiguous: a map fits by resource type, release, declared
+    profile and code. The maps are a handful, so that this is one expression and no join."""
+
+    def fits(m: MapContract) -> Column:
+        ok = F.lit(m.spec["source_release"] == release) & (F.col("resourceType") == m.spec["source_shape"])
+        if m.spec.get("source_profile"):
+            ok = ok & F.array_contains("meta.profile", m.spec["source_profile"])
+        for i, (system, code) in enumerate(m.spec["codes"]):
+            ok = ok & has_code(F.col("code"), system, code) if i == 0 else ok | has_code(F.col("code"), system, code)
+        return ok
+
+    return routing.alternatives(records, {m.map_id: fits(m) for m in contracts})
+
+
+def _context(records: DataFrame, kind: str, map_id: str, identity_map: DataFrame, policy: DataFrame) -> DataFrame:
+    """``records`` with person and n_candidates, status_outcome, source (version IRI) and graph key. The resource's clocks
+    stay apart: only the clinically relevant time enters the graph."""
+    rows = records.withColumn("reference", F.col("subject.reference"))
+    rows = routing.resolve_identity(rows, "reference", identity_map)
+    rows = routing.eligibility(rows, F.col("status"), policy, kind)
+    version = F.coalesce("meta.versionId", F.lit("1"))
+    return rows.withColumns({
+        "source": version_iri(F.lit(SERVER), F.lit(kind), F.col("id"), version), "person": F.col("person_iri"),
+        "graph_key": graph_key(F.lit(SERVER), F.lit(kind), F.col("id"), version, F.lit(map_id)),
+    })
+
 
+def _common() -> dict[str, tuple[Column, str]]:
+    return {
+        "policy": (F.col("status_outcome") == routing.REJECTED, routing.REJECTED),
+        "status": (F.col("status_outcome") == routing.SOURCE_ONLY, routing.SOURCE_ONLY),
+        "modifier-extension": (routing.has_modifier(F.col("modifierExtension")), routing.SOURCE_ONLY),
+        "identity": (F.col("n_candidates") != 1, routing.REJECTED),
+    }
 
-def observation_outcomes(records: DataFrame, identity_map: DataFrame, unit_rules: DataFrame, policy: DataFrame, codes: list[str], quality_policy: str = "persistent") -> DataFrame:
+
+def observation_outcomes(
+    records: DataFrame, identity_map: DataFrame, unit_rules: DataFrame, policy: DataFrame, codes: list[str], quality_policy: str = "persistent", system: str = maps.LOINC
+) -> DataFrame:
     """``records`` (the observation schema) with identity, unit, graph key, outcome and reasons."""
     value = F.col("valueQuantity")
-    rows = records.withColumns({"reference": F.col("subject.reference"), "local": F.regexp_replace("id", "^egfr-", "")})
-    rows = routing.resolve_identity(rows, "reference", identity_map)
+    rows = _context(records, "Observation", "egfr", identity_map, policy).withColumn("local", F.regexp_replace("id", "^egfr-", ""))
     rows = routing.unit_node(rows, value["system"], value["code"], unit_rules)
-    rows = routing.eligibility(rows, F.col("status"), policy, "Observation")
-    version = F.coalesce("meta.versionId", F.lit("1"))
-    rows = rows.withColumns({
-        "source": version_iri(F.lit(SERVER), F.lit("Observation"), F.col("id"), version), "person": F.col("person_iri"), "unit": F.col("unit_iri"),
-        "quality": quality_key(quality_policy, "renal-quality", F.col("person_iri"), F.col("id"), F.col("effectiveDateTime"), F.lit(codes[0])),
-        "graph_key": graph_key(F.lit(SERVER), F.lit("Observation"), F.col("id"), version, F.lit("egfr")),
-    })
-    known = F.exists("code.coding", lambda c: c["code"].isin(*codes))
+    rows = rows.withColumns({"unit": F.col("unit_iri"), "quality": quality_key(quality_policy, "renal-quality", F.col("person_iri"), F.col("id"), F.col("effectiveDateTime"), F.lit(codes[0]))})
+    known = F.lit(False)
+    for code in codes:
+        known = known | has_code(F.col("code"), system, code)
+    common = _common()
     return routing.route(rows, {
-        "status": (F.col("status_outcome") != routing.MAPPED, routing.SOURCE_ONLY),
+        "policy": common["policy"],
+        "status": common["status"],
         "code": (~F.coalesce(known, F.lit(False)), routing.SOURCE_ONLY),
-        "modifier-extension": (routing.has_modifier(F.col("modifierExtension")), routing.SOURCE_ONLY),
+        "modifier-extension": common["modifier-extension"],
         "absent-value": (value["value"].isNull() | F.col("dataAbsentReason").isNotNull(), routing.SOURCE_ONLY),
         "comparator": (value["comparator"].isNotNull(), routing.SOURCE_ONLY),
-        "identity": (F.col("n_candidates") != 1, routing.REJECTED),
+        "identity": common["identity"],
         "unit": (value["value"].isNotNull() & F.col("unit_iri").isNull(), routing.REJECTED),
         "value": (value["value"].isNotNull() & ~is_decimal(value["value"]), routing.REJECTED),
-        "time": (F.coalesce(time_precision(F.col("effectiveDateTime")), F.lit("none")) != "instant", routing.REJECTED),
-    })
+        "time": (_bad_time(F.col("effectiveDateTime")), routing.REJECTED),
+    }, complete(maps.egfr()))
 
 
 def observation_graph(outcomes: DataFrame, keep: tuple[str, ...] = ("graph_key",)) -> DataFrame:
     """Quads with lineage of the mapped rows: only these enter the graph."""
     m = maps.egfr()
-    eligible = outcomes.where((F.col("outcome") == routing.MAPPED) & conditions(m))
-    return materialize_graph(m, bind(m, eligible, keep), keep)
+    return materialize_graph(m, bind(m, outcomes.where(F.col("outcome") == routing.MAPPED), keep), keep)
+
+
+def panel_outcomes(records: DataFrame, identity_map: DataFrame, unit_rules: DataFrame, policy: DataFrame, system: str = maps.LOINC) -> DataFrame:
+    """Panels (the observation schema, repeated components) with prepared components, outcome, reasons and
+    ``diagnostics``: what is wrong with single components, which leaves the panel as it is.
+
+    A component's key is its kind, or its kind, value and rank among equal ones where the kind occurs several times: never
+    its place, so that permuted lists give the same graph. Components of an unknown code are no part of the map; one with
+    an absent reason, a comparator or an unknown unit stays a component without a number; one with a modifier extension
+    keeps the whole panel out of the graph."""
+    rows = _context(records, "Observation", "bp", identity_map, policy)
+    kinds = F.create_map(*[F.lit(x) for kv in KINDS.items() for x in kv])
+    own = F.filter(F.transform(F.col("c.code.coding"), coding_key), lambda k: k["system"] == system)
+    parts = rows.select("graph_key", "person", F.explode("component").alias("c")).withColumns({
+        "kind": F.get(F.array_compact(F.transform(own, lambda k: F.try_element_at(kinds, k["code"]))), F.lit(0)), "value": F.col("c.valueQuantity.value"),
+    })
+    parts = routing.unit_node(parts, F.col("c.valueQuantity.system"), F.col("c.valueQuantity.code"), unit_rules)
+    issue = (
+        F.when(F.col("c.dataAbsentReason").isNotNull() | F.col("value").isNull(), "absent-value").when(F.col("c.valueQuantity.comparator").isNotNull(), "comparator")
+        .when(~is_decimal(F.col("value")), "value").when(F.col("unit_iri").isNull(), "unit")
+    )
+    parts = parts.withColumn("issue", issue).where("kind is not null")
+    number = F.when(F.col("issue").isNull(), F.col("value"))
+    parts = parts.select("graph_key", F.col("kind"), number.alias("value"), F.when(F.col("issue").isNull(), F.col("unit_iri")).alias("unit"), "issue", routing.has_modifier(F.col("c.modifierExtension")).alias("modifier"))
+    trees = graph.nest(parts.withColumnRenamed("graph_key", "part_key"), "part_key", "kind", "value", "unit", "issue", "modifier")
+    rows = rows.join(trees, F.col("graph_key") == F.col("part_key"), "left").drop("part_key")
+
+    def key(x: Column, i: Column) -> Column:
+        same = F.size(F.filter("tree", lambda y: y["kind"] == x["kind"]))
+        rank = F.size(F.filter("tree", lambda y, j: (y["kind"] == x["kind"]) & y["value"].eqNullSafe(x["value"]) & (j <= i)))
+        return F.concat(F.col("id"), F.lit("-"), x["kind"], F.when(same > 1, F.concat(F.lit("-"), F.coalesce(x["value"], F.lit("absent")), F.lit("-"), rank.cast("string"))).otherwise(""))
+
+    def prepared(x: Column, i: Column) -> Column:
+        return F.struct(x["kind"].alias("kind"), key(x, i).alias("key"), F.concat(F.lit("ex:"), x["kind"], F.lit("-quality-"), key(x, i)).alias("quality"), x["value"].alias("value"), x["unit"].alias("unit"))
+
+    rows = rows.withColumns({
+        "component": F.transform("tree", prepared), "component_modifier": F.coalesce(F.exists("tree", lambda x: x["modifier"]), F.lit(False)),
+        "diagnostics": F.transform(F.filter("tree", lambda x: x["issue"].isNotNull()), lambda x: F.concat(x["kind"], F.lit(": "), x["issue"])),
+    })
+    return routing.route(rows, _common() | {
+        "code": (F.coalesce(F.size("component"), F.lit(0)) == 0, routing.SOURCE_ONLY),
+        "component-modifier": (F.col("component_modifier"), routing.SOURCE_ONLY),
+        "time": (_bad_time(F.col("effectiveDateTime")), routing.REJECTED),
+    }, complete(maps.blood_pressure()))
 
 
 def panel_graph(panels: DataFrame, keep: tuple[str, ...] = ("graph_key",)) -> DataFrame:
-    """Quads of repeated components (``component``: structs of kind, key, quality, value, unit), paired by their record."""
+    """Quads of repeated components (``component``: structs of kind, key, quality, value, unit), paired by their record.
+    Rows that lack something the map needs give none: ``panel_outcomes`` has named them before."""
     m = maps.blood_pressure()
-    return materialize_graph(m, bind(m, panels.where(conditions(m)), keep), keep)
+    rows = panels.where(F.col("outcome") == routing.MAPPED) if "outcome" in panels.columns else panels
+    return materialize_graph(m, bind(m, rows.where(complete(m)), keep), keep)
 
 
 def encounter_rows(records: DataFrame) -> DataFrame:
@@ -60,11 +152,55 @@ def encounter_rows(records: DataFrame) -> DataFrame:
         "local": F.regexp_replace("id", "^enc-", ""), "startNode": F.concat(F.lit("ex:start-"), ident),
         "endNode": F.when(F.col("period.end").isNotNull(), F.concat(F.lit("ex:end-"), ident)),
         "graph_key": graph_key(F.lit(SERVER), F.lit("Encounter"), ident, F.coalesce("meta.versionId", F.lit("1")), F.lit("encounter")),
-    })
+    })
+
+
+def encounter_outcomes(records: DataFrame, identity_map: DataFrame, policy: DataFrame) -> DataFrame:
+    """Encounters (their schema) with patient and clinician resolved, outcome and reasons. Exactly one clinician has to be
+    named, as the map has one role for it."""
+    rows = _context(records, "Encounter", "encounter", identity_map, policy).withColumnsRenamed({"n_candidates": "n_patients", "person_iri": "patient_iri"})
+    one = F.when(F.size("participant") == 1, F.get("participant", F.lit(0))["individual"]["reference"])
+    rows = routing.resolve_identity(rows.withColumn("clinician_ref", one), "clinician_ref", identity_map)
+    rows = encounter_rows(rows.withColumnsRenamed({"n_candidates": "n_clinicians", "person_iri": "clinician"}).withColumn("n_candidates", F.least("n_patients", "n_clinicians")))
+    rows = rows.withColumn("n_candidates", F.when((F.col("n_patients") == 1) & (F.col("n_clinicians") == 1), 1).otherwise(0))
+    bad = _bad_time(F.col("period.start")) | (F.col("period.end").isNotNull() & _bad_time(F.col("period.end")))
+    return routing.route(rows, _common() | {"time": (bad, routing.REJECTED)}, complete(maps.encounter()))
 
 
 def encounter_graph(rows: DataFrame, keep: tuple[str, ...] = ("graph_key",)) -> DataFrame:
-    """Quads of finished encounters (``rows`` of ``encounter_rows`` with person and clinician)."""
+    """Quads of finished encounters (``rows`` of ``encounter_outcomes``, or of ``encounter_rows`` with person and
+    clinician)."""
     m = maps.encounter()
-    quads = materialize_graph(m, bind(m, rows.where(conditions(m)), keep), keep)
-    return quads.where("s is not null and o_value is not null")
+    rows = rows.where(F.col("outcome") == routing.MAPPED) if "outcome" in rows.columns else rows
+    return materialize_graph(m, bind(m, rows.where(complete(m)), keep), keep)
+
+
+def medication_outcomes(records: DataFrame, identity_map: DataFrame, unit_rules: DataFrame, policy: DataFrame) -> DataFrame:
+    """Administrations (their schema) with patient and performer resolved, outcome and reasons. The medication's code stays
+    a code: it isn't taken for a physical drug."""
+    rows = _context(records, "MedicationAdministration", "medication", identity_map, policy).withColumnsRenamed({"n_candidates": "n_patients", "person_iri": "patient_iri"})
+    one = F.when(F.size("performer") == 1, F.get("performer", F.lit(0))["actor"]["reference"])
+    rows = routing.resolve_identity(rows.withColumn("performer_ref", one), "performer_ref", identity_map)
+    dose = F.col("dosage.dose")
+    code = lambda concept: F.transform(concept, lambda k: F.concat_ws("|", k["system"], k["code"]))
+    rows = routing.unit_node(rows, dose["system"], dose["code"], unit_rules).withColumns({
+        "performer": F.col("person_iri"), "n_candidates": F.when((F.col("n_patients") == 1) & (F.col("n_candidates") == 1), 1).otherwise(0), "unit": F.col("unit_iri"),
+        "local": F.regexp_replace("id", "^med-", ""), "code": F.get(code(F.col("medicationCodeableConcept.coding")), F.lit(0)), "route": F.get(code(F.col("dosage.route.coding")), F.lit(0)),
+    })
+    return routing.route(rows, _common() | {
+        "code": (F.col("code").isNull(), routing.SOURCE_ONLY),
+        "absent-value": (dose["value"].isNull(), routing.SOURCE_ONLY),
+        "unit": (dose["value"].isNotNull() & F.col("unit_iri").isNull(), routing.REJECTED),
+        "time": (_bad_time(F.col("effectiveDateTime")), routing.REJECTED),
+    }, complete(maps.medication()))
+
+
+def medication_graph(outcomes: DataFrame, keep: tuple[str, ...] = ("graph_key",)) -> DataFrame:
+    m = maps.medication()
+    return materialize_graph(m, bind(m, outcomes.where(F.col("outcome") == routing.MAPPED), keep), keep)
+
+
+def resolved_reference(records: DataFrame, targets: DataFrame, key: str) -> DataFrame:
+    """``records`` with target_key of their subject: relative, absolute, versioned and contained references."""
+    contained = F.transform("contained", lambda c: F.get_json_object(c, "$.id")) if "contained" in records.columns else None
+    return routing.resolve_refs(records, norm_ref(F.col("subject.reference"), F.lit(SERVER)), targets, key, contained)

@@ -203,7 +203,7 @@ def latest_version(spark, d):
 
 def _pointer(spark, d):
     """Events as versions of their user's record; an error retracts."""
-    return _read(spark, d, "events").select(_text("user_id").alias("resource_key"), F.col("event_id").alias("seq"), F.when(F.col("event_type") != "error", F.concat(F.lit("g-"), _text("event_id"))).alias("graph_key"), F.lit("r1").alias("run_id"), F.lit("mapped").alias("outcome"))
+    return _read(spark, d, "events").select(_text("user_id").alias("resource_key"), F.col("event_id").alias("seq"), F.when(F.col("event_type") != "error", F.concat(F.lit("g-"), _text("event_id"))).alias("graph_key"), F.lit("r1").alias("run_id"), F.lit("mapped").alias("outcome"), F.lit(1).cast("long").alias("run_seq"))
 
 
 def _history(spark, d):
@@ -215,9 +215,9 @@ def current_graph(spark, d):
 
 
 def graph_diff(spark, d):
-    """From the state after half of the events to the state after all."""
-    h, p = _history(spark, d).withColumn("graph_key", F.col("graph_key")), _pointer(spark, d)
-    half = p.where("seq < 5000")
+    """From the state after the first half of the events, by their ids, to the state after all."""
+    h, p = _history(spark, d), _pointer(spark, d)
+    half = p.join(F.broadcast(p.agg(F.max("seq").alias("last"))), F.col("seq") * 2 < F.col("last")).drop("last")  # one row
     removed, added = graph.graph_diff(state.current_graph(h, half), state.current_graph(h, p))
     return removed.withColumn("change", F.lit("removed")).unionByName(added.withColumn("change", F.lit("added"))).groupBy("change", "o_value").agg(F.count(F.lit(1)).alias("n"))
 
@@ -256,7 +256,7 @@ def exactly_one_check(spark, d):
 
 def invariant_check(spark, d):
     q = quads(spark, d).withColumn("p", F.when((F.col("p") == "sulo:hasFeature") & F.col("s").endswith("3"), "sulo:hasPatient").otherwise(F.col("p")))
-    declared = sorted({v for s in maps.egfr().target.values() for c in s.constraints if c.predicate == "a" for v in c.values} - {"sulo:Unit"})
+    declared = sorted(set(maps.egfr().types) - {"sulo:Unit"})
     return graph.invariants(q, declared).groupBy("violation").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -267,14 +267,122 @@ def time_forms(spark, d):
 
 
 def nquads(spark, d):
-    return graph.to_nquads(quads(spark, d).withColumn("graph_key", F.col("id")), maps.PREFIXES)
+    return graph.to_nquads(quads(spark, d), maps.PREFIXES)
+
+
+def code_guard(spark, d):
+    """The same code of another system is another meaning: every third event has one."""
+    o = observations(spark, d)
+    other = F.transform("code.coding", lambda c: F.struct(F.when(F.col("seq") % 3 == 0, "urn:other").otherwise(c["system"]).alias("system"), c["code"].alias("code")))
+    o = o.withColumn("code", F.struct(other.alias("coding")))
+    return forward.observation_outcomes(o, identities(spark, d), unit_rules(spark), policy(spark), [maps.EGFR_CODE]).select("id", "outcome", F.array_join("reasons", " ").alias("reasons"))
+
+
+def ambiguous_rules(spark, d):
+    """Two unit rules that disagree reject, repeated ones count once, and none of them multiplies records."""
+    units = unit_rules(spark)
+    units = units.unionByName(units).unionByName(spark.createDataFrame([(maps.UCUM, "u-purchase", "ex:unit-other")], units.schema))
+    return routing.outcome_counts(forward.observation_outcomes(observations(spark, d), identities(spark, d), units, policy(spark), [maps.EGFR_CODE]))
+
+
+def shape_outcomes(spark, d):
+    """A status that the policy allows and the map doesn't know is an outcome of its own, not a row that vanishes."""
+    o = observations(spark, d).withColumn("status", F.when(F.col("event_type") == "purchase", "preliminary").otherwise(F.col("status")))
+    allowed = policy(spark).unionByName(spark.createDataFrame([("Observation", "preliminary", "mapped")], "resource_type string, status string, outcome string"))
+    rows = stored(forward.observation_outcomes(o, identities(spark, d), unit_rules(spark), allowed, [maps.EGFR_CODE]))
+    graphs = forward.observation_graph(rows).select("graph_key").distinct().withColumnRenamed("graph_key", "g")
+    rows = rows.join(graphs, F.col("graph_key") == F.col("g"), "left").groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.count("g").alias("graphs"), F.count_if(F.array_contains("reasons", "shape")).alias("shapes"))
+    return rows
+
+
+def _versions(spark, d):
+    e = _read(spark, d, "events")
+    return e.select(_text("user_id").alias("resource_key"), "user_id", F.col("event_id").alias("seq"), F.concat(F.lit("g-"), _text("event_id")).alias("graph_key"), F.when(F.col("event_type") == "error", "source-only").otherwise("mapped").alias("outcome"))
+
+
+def _first_run(spark, d):
+    empty = spark.createDataFrame([], "resource_key string, seq long, run_seq long, graph_key string, run_id string, outcome string")
+    return stored(state.replace(empty, _versions(spark, d), "r1", 1))
+
+
+def store_replay(spark, d):
+    """A second run over the same versions, under a new map, replaces; one over older versions changes nothing."""
+    p, v = _first_run(spark, d), _versions(spark, d)
+    p = stored(p.unionByName(state.replace(p, v.where("user_id % 3 = 0"), "r2", 2)))
+    old = v.join(p.select(F.col("resource_key").alias("k"), F.col("seq").alias("now")), (F.col("resource_key") == F.col("k")) & (F.col("seq") < F.col("now"))).drop("k", "now")
+    p = p.unionByName(state.replace(p, old, "r3", 3))
+    return state.latest(p, "resource_key", *state.ORDER).select("resource_key", "seq", "graph_key", "run_id")
+
+
+def store_retract(spark, d):
+    """A retraction takes a graph away, and the record's next version, whatever its number, brings one back."""
+    p = _first_run(spark, d)
+    p = stored(p.unionByName(state.retract(p, p.where("cast(resource_key as bigint) % 5 = 0").select("resource_key"), "r2", 2)))
+    last = state.latest(p, "resource_key", *state.ORDER).where("cast(resource_key as bigint) % 10 = 0")
+    news = last.select("resource_key", (F.col("seq") + 1).alias("seq"), F.concat(F.lit("n-"), "resource_key").alias("graph_key"), F.lit("mapped").alias("outcome"))
+    p = p.unionByName(state.replace(p, news, "r3", 3))
+    return state.latest(p, "resource_key", *state.ORDER).select("resource_key", "seq", "graph_key", "run_id")
+
+
+def panel_graph_quads(spark, d):
+    return forward.panel_graph(panels(spark, d), ("graph_key", "id")).select("id", *QUAD)
+
+
+def lineage_quads(spark, d):
+    """Every quad with the variable or constant that made it, its source version, map and run."""
+    o = outcomes(spark, d).where("outcome = 'mapped'")
+    runs = o.select("graph_key", F.lit("run-1").alias("run_id"), F.col("source").alias("source_version"), F.lit(maps.egfr().pair_hash).alias("pair_hash"))
+    return graph.trace(quads(spark, d), runs).select("id", "s", "p", "o_value", "is_constant", F.col("var").isNull().alias("no_variable"), "source_version", "pair_hash", "run_id")
+
+
+def target_validation(spark, d):
+    """Results without a value, and values of another datatype, are found against the map's target."""
+    q = quads(spark, d)
+    n = F.expr("cast(substring(id, 6) as bigint)")
+    broken = q.where(~((F.col("p") == "sulo:hasValue") & F.col("s").startswith("ex:egfr-result-") & (n % 10 == 3)))
+    broken = broken.withColumn("o_datatype", F.when((F.col("o_datatype") == "xsd:decimal") & (n % 10 == 5), "xsd:string").otherwise(F.col("o_datatype")))
+    return graph.validate_target(broken, maps.egfr()).groupBy("violation").agg(F.count(F.lit(1)).alias("n"))
+
+
+def encounter_records(spark: SparkSession, d: str) -> DataFrame:
+    """``encounters`` in the schema that records are read with."""
+    return encounters(spark, d).withColumns({
+        "resourceType": F.lit("Encounter"), "subject": F.struct(F.regexp_replace("person", "^ex:person-", "Patient/").alias("reference")),
+        "participant": F.array(F.struct(F.struct(F.regexp_replace("clinician", "^ex:clinician-", "Practitioner/").alias("reference")).alias("individual"))), "modifierExtension": F.lit(None).cast("array<struct<url:string>>"),
+    }).drop("person", "clinician")
+
+
+def encounter_routing(spark, d):
+    """Outcomes of encounters; practitioner 9 is unknown."""
+    people = identities(spark, d).unionByName(spark.range(9).select(F.concat(F.lit("Practitioner/"), _text("id")).alias("source_ref"), F.concat(F.lit("ex:clinician-"), _text("id")).alias("person_iri")))
+    return forward.encounter_outcomes(encounter_records(spark, d), people, policy(spark)).select("id", "outcome", F.array_join("reasons", " ").alias("reasons"))
+
+
+def panel_routing(spark, d):
+    """Outcomes of panels whose components are read in the order of the table, with what is wrong with single components:
+    quantities over 45 have an unknown unit, and a third kind of component has no code that the map knows."""
+    li = _read(spark, d, "lineitem")
+    code = F.when(F.col("l_returnflag") == "A", maps.SYSTOLIC).when(F.col("l_returnflag") == "N", maps.DIASTOLIC).otherwise("x")
+    unit = F.when(F.col("l_quantity") > 45, "?").otherwise("u-click")
+    concept = F.struct(F.array(F.struct(F.lit(maps.LOINC).alias("system"), code.alias("code"))).alias("coding"))
+    quantity = F.struct(F.col("l_quantity").cast("long").cast("string").alias("value"), F.lit(None).cast("string").alias("comparator"), F.lit(maps.UCUM).alias("system"), unit.alias("code"))
+    part = F.struct(concept.alias("code"), quantity.alias("valueQuantity"), F.lit(None).cast("struct<coding:array<string>>").alias("dataAbsentReason"), F.lit(None).cast("array<string>").alias("modifierExtension"))
+    parts = li.groupBy("l_orderkey").agg(F.collect_list(part).alias("component"))
+    o = _read(spark, d, "orders").join(parts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    rows = o.select(
+        _text("o_orderkey").alias("id"), F.struct(F.lit("1").alias("versionId")).alias("meta"), F.lit("final").alias("status"), F.struct(F.concat(F.lit("Patient/"), _text("o_custkey")).alias("reference")).alias("subject"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("effectiveDateTime"), "component", F.lit(None).cast("array<string>").alias("modifierExtension"),
+    )
+    out = forward.panel_outcomes(rows, identities(spark, d), unit_rules(spark), policy(spark))
+    return out.select("id", "outcome", F.coalesce(F.size("component"), F.lit(0)).cast("long").alias("n_parts"), F.coalesce(F.size("diagnostics"), F.lit(0)).cast("long").alias("n_issues"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         eligibility_routing, identity_resolution, identity_ambiguous, reference_resolution, code_typing, unit_resolution, materialize_quads, lineage_trace, graph_hash, result_for_person, pivot_round_trip,
         scoped_components, pair_multiset, panel_quads, pair_by_time, interval_open_end, pro_participants, participants, latest_version, current_graph, graph_diff, replay_pending, orphan_check, cross_patient_check,
-        erroneous_check, exactly_one_check, invariant_check, time_forms, nquads)}
+        erroneous_check, exactly_one_check, invariant_check, time_forms, nquads, code_guard, ambiguous_rules, shape_outcomes, store_replay, store_retract, panel_graph_quads, lineage_quads, target_validation, encounter_routing,
+        panel_routing)}
 
 
 # --- the same in SQL, computed from the tables directly ----------------------------------------------------
@@ -311,6 +419,33 @@ _E = "WITH e AS (SELECT 'enc-' || o_orderkey AS id, o_orderkey AS k, o_orderstat
 _S = """
 WITH p AS (SELECT user_id, max(event_id) AS seq FROM events {} GROUP BY user_id)
 """
+_V = """
+WITH r AS (SELECT user_id, max(event_id) AS seq FROM events GROUP BY user_id),
+v AS (SELECT r.user_id, cast(r.user_id AS VARCHAR) AS resource_key, seq, CASE WHEN event_type <> 'error' THEN 'g-' || event_id END AS graph_key FROM r JOIN events ON event_id = seq)
+"""
+_P = """
+WITH c AS (
+  SELECT l_orderkey, CASE l_returnflag WHEN 'A' THEN 'sys' WHEN 'N' THEN 'dia' ELSE 'other' END AS kind, cast(cast(l_quantity AS BIGINT) AS VARCHAR) AS value FROM lineitem),
+k AS (
+  SELECT *, l_orderkey || '-' || kind || '-' || value || '-' || row_number() OVER (PARTITION BY l_orderkey, kind, value) AS key FROM c),
+o AS (
+  SELECT cast(o_orderkey AS VARCHAR) AS id, o_orderkey, 'ex:person-' || o_custkey AS person, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS t FROM orders),
+j AS (SELECT id, person, kind, value, key FROM o JOIN k ON o_orderkey = l_orderkey)
+""" + " UNION ALL ".join(
+    f"SELECT id, {s} AS s, '{p}' AS p, '{'literal' if t else 'iri'}' AS o_kind, {o} AS o_value, {repr(t) if t else 'NULL::VARCHAR'} AS o_datatype FROM {table}"
+    for table, s, p, o, t in (
+        ("o", "'ex:bp-record-' || id", "rdf:type", "'sulo:InformationObject'", None), ("o", "'ex:bp-record-' || id", "rdf:type", "'ex:BloodPressurePanel'", None), ("o", "'ex:bp-record-' || id", "sulo:atTime", "'ex:time-bp-' || id", None),
+        ("o", "'ex:bp-record-' || id", "prov:wasDerivedFrom", "'ex:src-' || id", None), ("o", "'ex:time-bp-' || id", "rdf:type", "'sulo:TimeInstant'", None), ("o", "'ex:time-bp-' || id", "sulo:hasValue", "t", "xsd:dateTimeStamp"),
+        ("j", "'ex:bp-record-' || id", "sulo:refersTo", "'ex:bp-part-' || key", None), ("j", "'ex:bp-part-' || key", "rdf:type", "'ex:ComponentRecord'", None), ("j", "'ex:bp-part-' || key", "ex:componentKind", "kind", "xsd:string"),
+        ("j", "'ex:bp-part-' || key", "sulo:hasValue", "value", "xsd:decimal"), ("j", "'ex:bp-part-' || key", "sulo:hasPart", "'ex:unit-piece'", None), ("j", "'ex:bp-part-' || key", "sulo:refersTo", "'ex:quality-' || key", None),
+        ("j", "'ex:quality-' || key", "rdf:type", "'sulo:Feature'", None), ("j", "'ex:quality-' || key", "rdf:type", "'ex:PressureQuality'", None), ("j", "'ex:quality-' || key", "sulo:isFeatureOf", "person", None),
+    ))
+
+
+def _nq(x: str) -> str:
+    """The IRI of a prefixed name in SQL."""
+    cases = " ".join(f"WHEN starts_with({x}, '{k}:') THEN '{v}' || substr({x}, {len(k) + 2})" for k, v in maps.PREFIXES.items())
+    return f"('<' || CASE {cases} ELSE {x} END || '>')"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -344,12 +479,33 @@ def oracle_sql() -> dict[str, str]:
         "participants": _E + "SELECT 'ex:encounter-' || k AS process, 'ex:PatientRole' AS role_type, 'ex:person-' || c AS person FROM e UNION ALL SELECT 'ex:encounter-' || k, 'ex:ClinicianRole', 'ex:clinician-' || (c % 10) FROM e",
         "latest_version": "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1",
         "current_graph": span(""),
-        "graph_diff": f"WITH a AS ({span('WHERE event_id < 5000')}), b AS ({span('')}), d AS (SELECT 'removed' AS change, o_value FROM (FROM a EXCEPT FROM b) UNION ALL SELECT 'added', o_value FROM (FROM b EXCEPT FROM a)) SELECT change, o_value, count(*) AS n FROM d GROUP BY ALL",
+        "graph_diff": f"WITH a AS ({span('WHERE event_id * 2 < (SELECT max(event_id) FROM events)')}), b AS ({span('')}), d AS (SELECT 'removed' AS change, o_value FROM (FROM a EXCEPT FROM b) UNION ALL SELECT 'added', o_value FROM (FROM b EXCEPT FROM a)) SELECT change, o_value, count(*) AS n FROM d GROUP BY ALL",
         "replay_pending": "SELECT event_id FROM events WHERE NOT (event_id % 3 = 0 AND event_id % 2 = 0)",
         "orphan_check": _B + "x AS (SELECT 1) SELECT unit, count(*) AS n FROM m WHERE k % 10 = 1 GROUP BY unit",
         "cross_patient_check": _B + "x AS (SELECT 1) SELECT result AS s, person, 'ex:person-x' AS person_iri FROM m WHERE k % 9 = 4",
         "erroneous_check": _Q + "SELECT p, count(*) AS n FROM q WHERE k % 8 = 2 GROUP BY p",
         "exactly_one_check": _B + "x AS (SELECT 1) SELECT result AS s, 0::BIGINT AS n FROM m WHERE k % 10 = 3",
         "invariant_check": _B + "x AS (SELECT 1) SELECT 'forbidden-predicate' AS violation, count(*) AS n FROM m WHERE person LIKE '%3' UNION ALL SELECT 'undeclared-class', count(*) FROM m",
+        "nquads": _Q + f"SELECT {_nq('s')} || ' ' || {_nq('p')} || ' ' || CASE WHEN o_kind = 'iri' THEN {_nq('o_value')} ELSE '\"' || o_value || '\"' || CASE WHEN o_datatype = 'xsd:string' THEN '' ELSE '^^' || {_nq('o_datatype')} END END || ' <urn:graph:' || sha256('[\"https://records.example\",\"Observation\",\"' || id || '\",\"1\",\"egfr\"]') || '> .' AS value FROM q",
+        "code_guard": _B + """x AS (SELECT id, nc, event_type, list_filter([CASE WHEN event_type = 'error' THEN 'status' END, CASE WHEN event_type = 'view' OR event_id % 3 = 0 THEN 'code' END, CASE WHEN nc <> 1 THEN 'identity' END,
+            CASE WHEN event_type = 'signup' THEN 'unit' END], lambda x: x IS NOT NULL) AS r FROM b)
+            SELECT id, CASE WHEN nc <> 1 OR event_type = 'signup' THEN 'rejected' WHEN len(r) > 0 THEN 'source-only' ELSE 'mapped' END AS outcome, array_to_string(r, ' ') AS reasons FROM x""",
+        "ambiguous_rules": _B + """x AS (SELECT nc, event_type, list_filter([CASE WHEN event_type = 'error' THEN 'status' END, CASE WHEN event_type = 'view' THEN 'code' END, CASE WHEN nc <> 1 THEN 'identity' END,
+            CASE WHEN event_type IN ('signup', 'purchase') THEN 'unit' END], lambda x: x IS NOT NULL) AS r FROM b),
+            y AS (SELECT CASE WHEN nc <> 1 OR event_type IN ('signup', 'purchase') THEN 'rejected' WHEN len(r) > 0 THEN 'source-only' ELSE 'mapped' END AS outcome, unnest(CASE WHEN len(r) = 0 THEN [NULL] ELSE r END) AS reason FROM x)
+            SELECT outcome, reason, count(*) AS n FROM y GROUP BY ALL""",
+        "shape_outcomes": _B + """x AS (SELECT CASE WHEN nc <> 1 OR event_type = 'signup' THEN 'rejected' WHEN event_type IN ('error', 'view', 'purchase') THEN 'source-only' ELSE 'mapped' END AS outcome, event_type FROM b)
+            SELECT outcome, count(*) AS n, count(*) FILTER (outcome = 'mapped') AS graphs, count(*) FILTER (outcome = 'source-only' AND event_type = 'purchase') AS shapes FROM x GROUP BY outcome""",
+        "store_replay": _V + "SELECT resource_key, seq, graph_key, CASE WHEN user_id % 3 = 0 THEN 'r2' ELSE 'r1' END AS run_id FROM v",
+        "store_retract": _V + """SELECT resource_key, CASE WHEN user_id % 10 = 0 THEN seq + 1 ELSE seq END AS seq, CASE WHEN user_id % 10 = 0 THEN 'n-' || resource_key WHEN user_id % 5 <> 0 THEN graph_key END AS graph_key,
+            CASE WHEN user_id % 10 = 0 THEN 'r3' WHEN user_id % 5 = 0 THEN 'r2' ELSE 'r1' END AS run_id FROM v""",
+        "panel_graph_quads": _P,
+        "lineage_quads": _Q + f"SELECT id, s, p, o_value, is_constant, is_constant AS no_variable, 'https://records.example/Observation/' || id || '/_history/1' AS source_version, '{maps.egfr().pair_hash}' AS pair_hash, 'run-1' AS run_id FROM q",
+        "target_validation": _B + "x AS (SELECT 1) SELECT 'Result: sulo:hasValue isn''t there 1 times' AS violation, count(*) AS n FROM m WHERE k % 10 = 3 UNION ALL SELECT 'Result: sulo:hasValue isn''t xsd:decimal', count(*) FROM m WHERE k % 10 = 5",
+        "encounter_routing": """WITH x AS (SELECT 'enc-' || o_orderkey AS id, o_orderstatus = 'P' AS s, o_custkey % 7 = 0 OR o_custkey % 11 = 0 OR o_custkey % 10 = 9 AS i FROM orders)
+            SELECT id, CASE WHEN i THEN 'rejected' WHEN s THEN 'source-only' ELSE 'mapped' END AS outcome, concat_ws(' ', CASE WHEN s THEN 'status' END, CASE WHEN i THEN 'identity' END) AS reasons FROM x""",
+        "panel_routing": """WITH c AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_quantity > 45) AS bad FROM lineitem WHERE l_returnflag IN ('A', 'N') GROUP BY l_orderkey)
+            SELECT cast(o_orderkey AS VARCHAR) AS id, CASE WHEN o_custkey % 7 = 0 OR o_custkey % 11 = 0 THEN 'rejected' WHEN n IS NULL THEN 'source-only' ELSE 'mapped' END AS outcome, coalesce(n, 0)::BIGINT AS n_parts, coalesce(bad, 0)::BIGINT AS n_issues
+            FROM orders LEFT JOIN c ON o_orderkey = l_orderkey""",
         "time_forms": "SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'year' WHEN 1 THEN 'month' WHEN 2 THEN 'day' ELSE 'instant' END AS precision FROM events",
     }

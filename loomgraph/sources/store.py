@@ -1,4 +1,8 @@
-"""The versioned store: append-only Parquet tables under one folder."""
+"""The versioned store: append-only Parquet tables under one folder.
+
+Nothing is ever updated in place. A run writes its outcomes, quads, lineage, validation report and record first and the
+pointer last, so that a crash leaves history that no pointer names and never half a graph.
+"""
 
 from __future__ import annotations
 
@@ -7,44 +11,49 @@ from pyspark.sql import functions as F
 
 from ..operators import state
 
-POINTER = "resource_key string, seq long, graph_key string, run_id string, outcome string"
+TABLES = {
+    "quads_history": "graph_key string, s string, p string, o_kind string, o_value string, o_datatype string, run_id string, map_id string",
+    "lineage": "graph_key string, quad_hash string, var string, is_constant boolean, constraint_id string, source_version string, pair_hash string, run_id string",
+    "outcomes": "resource_key string, version string, map_id string, outcome string, reasons array<string>, graph_key string, run_id string",
+    "validation": "graph_key string, s string, violation string, run_id string",
+    "run_record": "run_id string, run_seq long, resource_key string, source_version string, source_digest string, map_id string, pair_hash string, ontology string, terminology string, engine string, policy string, activity_time timestamp, graph_key string, validation_digest string, output_digest string",
+    "current_pointer": "resource_key string, seq long, run_seq long, graph_key string, run_id string, outcome string",
+}
+BY = {"quads_history": ("map_id",)}
 
 
 class GraphStore:
-    """quads_history (partitioned by map_id), lineage, outcomes, run_record and current_pointer."""
+    """The tables of ``TABLES``; those that aren't there are made empty."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        for name, schema in TABLES.items():
+            spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*BY.get(name, ())).parquet(f"{self.folder}/{name}")
 
-    def _append(self, name: str, df: DataFrame, *by: str) -> None:
-        df.write.mode("append").partitionBy(*by).parquet(f"{self.folder}/{name}")
-
-    def append_graph(self, quads: DataFrame, run_id: str, map_id: str) -> None:
-        self._append("quads_history", quads.withColumns({"run_id": F.lit(run_id), "map_id": F.lit(map_id)}), "map_id")
-
-    def append_lineage(self, lineage: DataFrame, run_id: str) -> None:
-        self._append("lineage", lineage.withColumn("run_id", F.lit(run_id)))
+    def append(self, name: str, df: DataFrame) -> None:
+        """Adds rows of exactly the table's columns."""
+        schema = self.table(name).schema
+        df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).write.mode("append").partitionBy(*BY.get(name, ())).parquet(f"{self.folder}/{name}")
 
-    def append_run(self, run_record: DataFrame) -> None:
-        self._append("run_record", run_record)
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}")
 
-    def write_outcomes(self, outcomes: DataFrame) -> None:
-        self._append("outcomes", outcomes)
+    def append_graph(self, quads: DataFrame, run_id: str, map_id: str) -> None:
+        """A graph is a set: repeated quads are written once."""
+        keys = ["graph_key", "s", "p", "o_kind", "o_value", "o_datatype"]
+        self.append("quads_history", quads.select(*keys).distinct().withColumns({"run_id": F.lit(run_id), "map_id": F.lit(map_id)}))
 
-    def switch(self, outcomes: DataFrame, run_id: str) -> None:
-        """The last write of a run. The rows are made before the table is appended to."""
-        rows = state.replace(self.pointer(), outcomes, run_id)
-        self._append("current_pointer", rows)
+    def switch(self, outcomes: DataFrame, run_id: str, run_seq: int) -> None:
+        """The last write of a run (outcomes: resource_key, seq, graph_key, outcome)."""
+        self.append("current_pointer", state.replace(self.table("current_pointer"), outcomes, run_id, run_seq))
 
-    def pointer(self) -> DataFrame:
-        path = f"{self.folder}/current_pointer"
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        if not hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop):
-            return self.spark.createDataFrame([], POINTER)
-        return self.spark.read.schema(POINTER).parquet(path)
+    def retract(self, keys: DataFrame, run_id: str, run_seq: int) -> None:
+        self.append("current_pointer", state.retract(self.table("current_pointer"), keys, run_id, run_seq))
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}")
+    def committed(self) -> DataFrame:
+        """Run records whose pointer was written: the others didn't end."""
+        done = self.table("current_pointer").select("resource_key", "run_id").distinct()
+        return self.table("run_record").join(done, ["resource_key", "run_id"], "left_semi")
 
     def current(self) -> DataFrame:
-        return state.current_graph(self.table("quads_history"), self.pointer())
+        return state.current_graph(self.table("quads_history"), self.table("current_pointer"))
