@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,23 +23,52 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under the one that the cluster names in spark.checkpoint.dir.
 
-    Only where the setting is absent (tests on one machine) is a temporary folder used.
+    Where the setting is absent, a session on one machine (tests) gets a temporary folder, and a cluster an error: its
+    machines wouldn't see each other's folders.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="loomgraph-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+_MADE: list[list[str]] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: it cuts the lineage, and any
-    executor that is lost later costs only the tasks that were running on it."""
+    executor that is lost later costs only the tasks that were running on it. What a caller still reads
+    lazily has to stay; within ``scratch`` it goes at the end."""
     path = shared_dir(df.sparkSession)
+    if _MADE:
+        _MADE[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Removes, at its end, what ``materialize`` has written within it. Results have to be written by then."""
+    _MADE.append([])
+    try:
+        yield
+    finally:
+        for path in _MADE.pop():
+            remove(path)
+
+
+def remove(path: str) -> None:
+    """Deletes a folder that the driver reaches; one in a store that it doesn't know is left to the store's expiry."""
+    try:
+        store, where = fs.FileSystem.from_uri(path)
+        store.delete_dir(where)
+    except (OSError, pa.ArrowException):
+        pass
+
+
 def words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text as an array; null gives an empty array."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
