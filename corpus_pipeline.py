@@ -3,6 +3,11 @@
 Each stage is a function of (session, documents, folder of the tables) and returns a DataFrame, which is
 written as Parquet and read again as the next stage's documents. All but the last return the columns of
 ``documents``; the last returns the ids of every document and of its text decoded again.
+
+Defined cases, as the stages' operators have them: a null or empty text has no words and goes with the quality
+rules; a null language or source is one of its own; rows that repeat a document are one for near duplicates, and one
+stays; an id with several texts stays with each that stays; rows without an id stay; an empty table gives an empty
+result; columns beside those of ``documents`` pass through all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loomgraph.llm import bpe, line_dedup, mixing, near_dups, rules
-from loomgraph.llm.common import materialize, read
+from loomgraph.llm.common import read, remove, scratch, shared_dir
 from loomgraph.llm.queries import tokenizer_file
 
 
@@ -52,7 +57,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """The stages over documents. What a stage has written on its way goes when its result is written, and the result when
+    the next one's is."""
+    docs, last = read(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        path = shared_dir(spark)
+        with scratch():
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if last:
+            remove(last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
