@@ -1,21 +1,28 @@
-"""Main text of web pages.
-
-A page that declares its main part (article, main, role="main") is decided by its structure: the text of that
-part without menus, sidebars, notices, adverts, forms, scripts, styles and reader comments inside it.
-
-A page that doesn't is decided by its host: every suffix of its token stream enters with a fingerprint of its first
-``DEPTH`` tokens. Fingerprints found on ``LEAST_PAGES`` pages of the host, with and without a declared part and however large it is, mark exactly the tokens
-that a suffix array of the host would mark for common prefixes of at least ``DEPTH`` tokens among as many pages, as every
-longer repeat is a chain of such prefixes (but for equal fingerprints of unequal tokens, of 64 bits). Nothing is sorted:
-equal prefixes meet by a grouped shuffle on (host, fingerprint) with partial counts, so that a host with most of the
-pages, or a prefix on all of them, isn't worked on in one task. Blocks whose tokens are marked are boilerplate and
-dropped, others are kept whole. Pages with equal blocks count once, so copies don't make their own text boilerplate,
-and a page of which nothing would be left is kept as it is. Repeats of fewer than ``DEPTH`` tokens stay, as do those on
-fewer than ``LEAST_PAGES`` pages: two pages may be versions of one text.
-
-Defined cases: null html gives an empty text; unclosed, unbalanced and nested elements are tolerated (a skipped
-part ends where its element, the body or the document ends, or where the main part begins); repeated rows are
-kept; an empty table gives an empty result; other columns are left out.
+"""Main text of web pages, by their structure and by the suffixes of their host.
+
+1. A page is parsed with the implied end tags of HTML (a ``p`` ends where a block begins, an ``li`` at the next one).
+   Elements that the contract names are gone at once: menus, footers, sidebars, forms, and parts whose class, id or role
+   says no more than that they are adverts, notices, reader comments and the like. The rest are blocks of three kinds: of
+   the declared main part (article, main, role="main"); outside it; and *contested* ones, which are those of a part whose
+   name may mean chrome or article ("related-work", "post-header"), and all blocks of a page that declares no main part.
+2. The host's suffix array: the token streams of all pages of a host, of every kind, with and without a main part. A page
+   enters suffixes that start near a *sampled* window of ``GRAM`` tokens, the least hash of every ``STEP`` windows, which
+   another page of the host has too. Any stretch of ``LONG`` tokens shared by two pages has such a window in both, at the
+   same place of the stretch, so that no shared stretch of that length is missed, and text that no other page has isn't
+   shuffled. The suffixes, cut to ``DEPTH`` tokens of 15 bits each, are sorted across the cluster by range; runs of
+   neighbours with common prefixes of ``LONG`` tokens from ``PAGES`` distinct pages are repeats, however large the host is.
+   Ranges include the page, so that a prefix on all pages of a large host is spread over several, and of each run
+   ``PAGES`` pages at most are counted together with those of its parts in other ranges. Pages with equal streams are one
+   page, so that copies don't make their own text boilerplate, and two pages may be versions of one text.
+3. A token lies in a repeat if any stretch of ``LONG`` tokens around it is one. Contested blocks with ``COVERED`` of their
+   tokens in repeats are boilerplate and dropped; others are unique and stay whole. Blocks of the declared main part stay,
+   as the contract has the whole article, and blocks outside it go. ``n_repeated`` says how many tokens of the page's
+   stream lie in repeats. A page without a main part of which nothing would be left is kept as it is.
+
+Defined cases: null html gives an empty text; unclosed, unbalanced and nested elements are tolerated (a skipped part
+ends where its element or an enclosing one ends, or where the main part begins, but for reader comments); null and
+malformed addresses share a host; repeated rows are kept and get equal answers; an empty table gives an empty result;
+very long pages cost time and memory in proportion to themselves; other columns are left out.
 """
 
 from __future__ import annotations
@@ -27,190 +34,457 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
 
-DEPTH, LEAST_PAGES, COVERED = 6, 3, 0.7
+#: Tokens of a sampled window, windows of which one is sampled at least, tokens of a long repeat, and of a sorted suffix.
+GRAM, STEP = 8, 12
+LONG, DEPTH = GRAM + STEP - 1, 28
+PAGES, COVERED = 3, 0.7
+#: Bits of the broadcast table that tells pages' windows that no other page has. How full it is changes the traffic alone.
+BITS = 1 << 24
+MAIN, CONTESTED, OUTSIDE = 0, 1, 2
 
 #: Fixed names of the markup.
-RAW = "script|style|noscript|template|svg|iframe|object|textarea|select|math|audio|video|canvas"
+RAW = "script|style|noscript|template|svg|iframe|object|textarea|select|audio|video|canvas|title"
 SKIPPED = {"head", "nav", "footer", "aside", "form", "button", "menu", "dialog", "search", "fieldset", "label"}
-BLOCKS = {
-    "p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "br", "hr", "tr", "td", "th", "table", "thead", "tbody", "tfoot", "caption", "section", "article", "main",
-    "header", "blockquote", "pre", "dl", "dt", "dd", "figure", "figcaption", "address", "body", "html", "details", "summary", "option", "center", "title", *SKIPPED,
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+CLOSES_P = {
+    "address", "article", "aside", "blockquote", "center", "details", "dialog", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "header", "hr", "li", "dd", "dt", "main", "menu", "nav", "ol", "p",
+    "pre", "search", "section", "summary", "table", "ul", *HEADINGS,
+}
+BLOCKS = {*CLOSES_P, "br", "tr", "td", "th", "thead", "tbody", "tfoot", "caption", "body", "html", "head", "option", "button", "label"}
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+IN_HEAD = {"meta", "link", "base", "basefont", "bgsound"}
+#: An open element that a start tag closes, and the elements that it isn't looked for beyond.
+IMPLIED = {
+    "li": ({"li"}, {"ul", "ol", "menu", "table", "section", "article", "main", "blockquote"}),
+    "dd": ({"dd", "dt"}, {"dl", "table", "section", "article", "main"}),
+    "dt": ({"dd", "dt"}, {"dl", "table", "section", "article", "main"}),
+    "td": ({"td", "th"}, {"tr", "table"}),
+    "th": ({"td", "th"}, {"tr", "table"}),
+    "tr": ({"tr"}, {"table"}),
+    "thead": ({"thead", "tbody", "tfoot"}, {"table"}),
+    "tbody": ({"thead", "tbody", "tfoot"}, {"table"}),
+    "tfoot": ({"thead", "tbody", "tfoot"}, {"table"}),
 }
-#: Words in class, id or role that mark a part which isn't main text.
+P_SCOPE = {"table", "td", "th", "caption", "button", "html"}
+#: Elements that an end tag doesn't reach beyond.
+CELLS, EVERY_BLOCK = {"td", "th"}, BLOCKS | SKIPPED
+BEYOND = {"li": {"ul", "ol", "menu"}, "p": P_SCOPE, **dict.fromkeys(("article", "main", "body", "html", "table", "tr", "td", "th", "thead", "tbody", "tfoot"), set())}
+#: Words in class, id or role: of reader comments; of chrome; that may be chrome; that say nothing beside another one.
+COMMENTS = {"comment", "comments", "commentlist", "commentary-list", "respond", "replies", "reply", "disqus"}
 CHROME = {
-    "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "masthead", "banner", "footer", "sidebar", "aside", "ad", "ads", "advert", "adverts", "advertisement", "advertising",
-    "promo", "promotion", "sponsor", "sponsored", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert", "popup", "modal", "overlay", "newsletter", "subscribe",
-    "subscription", "signup", "login", "comment", "comments", "commentlist", "respond", "reply", "replies", "disqus", "discussion", "share", "sharing", "social", "related", "recommended", "recommendations",
-    "widget", "pagination", "pager", "toolbar", "search", "skip", "copyright", "header", "complementary", "contentinfo",
-}
+    "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "masthead", "banner", "footer", "sidebar", "aside", "ad", "ads", "advert", "adverts", "advertisement", "advertising", "promo",
+    "sponsored", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "popup", "modal", "overlay", "newsletter", "pagination", "pager", "toolbar", "complementary", "contentinfo",
+}
+UNSURE = {
+    "header", "related", "recommended", "recommendations", "search", "share", "sharing", "social", "widget", "skip", "copyright", "alert", "notification", "subscribe", "subscription", "signup", "login",
+    "discussion", "promotion", "sponsor",
+}
+PLAIN = {
+    "site", "page", "main", "global", "top", "bottom", "left", "right", "primary", "secondary", "mobile", "desktop", "wrapper", "wrap", "container", "box", "block", "area", "bar", "list", "section", "slot",
+    "unit", "item", "items", "inner", "outer", "widget", "links", "link", "text", "message", "sticky", "fixed", "policy", "form",
+}
+NOT = {"has", "with", "no", "without", "is"}
+SKIP, SKIP_COMMENTS, WEAK, HEADER = 1, 2, 3, 4
+
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>|<[!?/][^>]*>", re.S | re.I
 )
 _MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ROLE_MAIN = re.compile(r"\brole\s*=\s*[\"']?main\b", re.I)
+_CASES = re.compile(r"([a-z0-9])([A-Z])")
 
 
-def _is_chrome(attributes: str) -> bool:
+def marks(attributes: str) -> int:
+    """What class, id and role say of an element: SKIP, SKIP_COMMENTS, HEADER, WEAK or 0. A name that has a word of chrome and
+    otherwise only words that say nothing is chrome; with other words, as in "related-work", it may be."""
+    found = 0
     for a, b, c in _MARKED.findall(attributes):
-        for name in (a or b or c).lower().split():
-            parts = re.split(r"[^a-z0-9]+", name)
-            if parts[0] not in ("has", "with", "no", "without") and not CHROME.isdisjoint(parts):
-                return True
-    return False
-
-
-def parse(page: str | None) -> tuple[list[str], list[bool], bool]:
-    """The page's text blocks in order without skipped parts, which of them are its answer by structure, and
-    whether that is a declared main part (if not, all of them are)."""
+        for name in (a or b or c).split():
+            parts = [x for x in re.split(r"[^a-z0-9]+", _CASES.sub(r"\1-\2", name).lower()) if x]
+            if not parts or parts[0] in NOT:
+                continue
+            rest = [x for x in parts if x not in PLAIN]
+            if rest and all(x in COMMENTS for x in rest):
+                return SKIP_COMMENTS
+            if rest and all(x in CHROME or x in COMMENTS for x in rest):
+                found = SKIP
+            elif rest == ["header"] and not found:
+                found = HEADER
+            elif not found and any(x in CHROME or x in COMMENTS or x in UNSURE for x in rest):
+                found = WEAK
+    return found
+
+
+def parse(page: str | None) -> tuple[list[str], list[int], bool]:
+    """The page's text blocks in order without skipped parts, their kinds, and whether the page declares a main part."""
     page = page or ""
-    every: list[str] = []
-    inside: list[bool] = []  # whether a block is of the main part
+    texts: list[str] = []
+    kinds: list[int] = []
     run: list[str] = []
-    skip, skip_depth, main, main_depth, at, found = "", 0, "", 0, 0, False
+    stack: list[list] = []  # [name, mark, whether it is a main part]
+    names: list[str] = []  # the names in the stack
+    open_marks, mains, declared, at = [0, 0, 0, 0, 0], 0, False, 0
 
     def end_block() -> None:
         if run:
-            text = " ".join(_html.unescape("".join(run)).split())
+            text = " ".join("".join(run).split())
             run.clear()
             if text:
-                every.append(text)
-                inside.append(bool(main))
+                texts.append(text)
+                kinds.append((CONTESTED if open_marks[WEAK] else MAIN) if mains else OUTSIDE)
+
+    def pop_to(i: int) -> None:
+        nonlocal mains
+        if run and not EVERY_BLOCK.isdisjoint(names[i:]):
+            end_block()
+        del names[i:]
+        while len(stack) > i:
+            _, mark, is_main = stack.pop()
+            open_marks[mark] -= 1
+            mains -= is_main
+
+    def close(wanted: set[str], beyond: set[str]) -> None:
+        for i in range(len(names) - 1, -1, -1):
+            if names[i] in wanted:
+                pop_to(i)
+                return
+            if names[i] in beyond:
+                return
+
+    def lifted(end: int) -> bool:
+        """Whether a main part that begins within skipped parts ends them: those that have no end tag, a form, and a part
+        skipped by its name alone if no other main part follows."""
+        low = page[end:].lower()
+        for name, mark, _ in stack:
+            if mark == SKIP and name != "form" and (f"</{name}" in low if name in SKIPPED or name == "header" else "<article" in low or "<main" in low):
+                return False
+        return True
 
     for m in _TOKEN.finditer(page):
-        if not skip and m.start() > at:
-            run.append(page[at : m.start()])
+        if m.start() > at and not (open_marks[SKIP] or open_marks[SKIP_COMMENTS]):
+            piece = page[at : m.start()]
+            run.append(_html.unescape(piece) if "&" in piece else piece)
         at = m.end()
         name = m[3]
         if name is None:
             continue
-        name, closing = name.lower(), bool(m[2])
-        attributes = m[4]
-        begins = not closing and (name in ("article", "main") or "role" in attributes and re.search(r"\brole\s*=\s*[\"']?main\b", attributes, re.I) is not None)
-        if begins and name not in ("main",) and attributes and _is_chrome(attributes):
-            begins = False
-        if skip:
-            if name == skip:
-                skip_depth += -1 if closing else 1
-            if skip_depth > 0 and not (begins and not main) and name != "body" and not (closing and name in ("html", main or "html")):
-                continue
-            ended, skip = name == skip, ""
-            if ended:
-                continue
-        if name in BLOCKS:
-            end_block()
-        if not closing and not begins and name not in ("body", "html") and (name in SKIPPED or (name == "header" and not main) or attributes and _is_chrome(attributes)):
-            if not attributes.rstrip().endswith("/") and name not in ("br", "hr", "img", "input", "meta", "link"):
+        name, attributes = name.lower(), m[4]
+        block = name in EVERY_BLOCK
+        if not block and not attributes and len(stack) == open_marks[0] and name not in VOID:
+            continue  # a part of a line that nothing depends on
+        if m[2]:  # an end tag
+            if block and run:
                 end_block()
-                skip, skip_depth = name, 1
+            if name in names:
+                close({name}, BEYOND.get(name, CELLS) if block else EVERY_BLOCK)
             continue
-        if main and name == main:
-            main_depth += -1 if closing else 1
-            if main_depth == 0:
-                main = ""
-        elif begins and not main:
-            end_block()
-            main, main_depth, found = name, 1, True
-    if not skip:
-        run.append(page[at:])
+        if names and names[-1] == "head" and name not in IN_HEAD:
+            pop_to(len(names) - 1)
+        if block:
+            if name in CLOSES_P:
+                if "p" in names:
+                    close({"p"}, P_SCOPE)
+                if name in HEADINGS and names and names[-1] in HEADINGS:
+                    pop_to(len(names) - 1)
+            if name in IMPLIED:
+                close(*IMPLIED[name])
+            if run:
+                end_block()
+        if name in VOID or attributes.rstrip().endswith("/"):
+            continue
+        mark = marks(attributes) if attributes and name not in ("body", "html") else 0
+        if mark == HEADER:
+            mark = 0 if mains else SKIP
+        is_main = name == "main" or name == "article" and not mark or "role" in attributes and _ROLE_MAIN.search(attributes) is not None
+        if is_main and not open_marks[SKIP_COMMENTS] and (not open_marks[SKIP] or not mains and lifted(m.end())):
+            mark = 0
+            for x in stack:  # the main part begins within something that isn't closed, or that wraps the page
+                if x[1] == SKIP:
+                    x[1] = 0
+                    open_marks[SKIP] -= 1
+                    open_marks[0] += 1
+        else:
+            is_main = False
+            if name in SKIPPED or name == "header" and not mains:
+                mark = mark if mark == SKIP_COMMENTS else SKIP
+            elif not block and mark == WEAK:
+                mark = 0  # a part of a line isn't decided alone
+        if block or mark or open_marks[SKIP] or open_marks[SKIP_COMMENTS]:
+            stack.append([name, mark, is_main])
+            names.append(name)
+            open_marks[mark] += 1
+            mains += is_main
+            declared |= is_main
+    if not (open_marks[SKIP] or open_marks[SKIP_COMMENTS]):
+        run.append(_html.unescape(page[at:]))
     end_block()
-    declared = found and any(inside)
-    return every, inside if declared else [True] * len(every), declared
-
-
-def blocks(page: str | None) -> tuple[list[str], bool]:
-    """The blocks that are the page's answer by structure, and whether it declares a main part."""
-    every, inside, declared = parse(page)
-    return [b for b, i in zip(every, inside, strict=True) if i], declared
+    if not (declared and any(k != OUTSIDE for k in kinds)):
+        return texts, [CONTESTED] * len(texts), False
+    return texts, kinds, True
 
 
 def extract(page: str | None) -> str:
     """The main text of one page by its structure alone."""
-    return " ".join(blocks(page)[0])
+    texts, kinds, _ = parse(page)
+    return " ".join(t for t, k in zip(texts, kinds, strict=True) if k != OUTSIDE)
 
 
-def _hashes(tokens: list[str]) -> np.ndarray:
-    ids = np.array([xxhash.xxh3_64_intdigest(t) for t in tokens], np.uint64)
-    if len(ids) < DEPTH:
+# --- token streams -------------------------------------------------------------------------------------------
+
+
+#: Fixed odd numbers, one for each place in a token, from a seeded generator; places beyond begin anew.
+_AT = np.random.default_rng(20_240_301).integers(0, 2**63, 4_096, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+#: Characters of text that are hashed together.
+CHUNK = 1 << 20
+
+
+def hashes(texts: list[str]) -> np.ndarray:
+    """One hash for each token of a stream: the sum of its bytes times the numbers of their places, mixed."""
+    raw = np.frombuffer(" ".join(texts).encode("utf-8", "surrogatepass") + b" ", np.uint8)
+    if len(raw) == 1:
         return np.empty(0, np.uint64)
-    h = ids[: len(ids) - DEPTH + 1].copy()
-    for j in range(1, DEPTH):
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + ids[j : len(ids) - DEPTH + 1 + j]
-    return h ^ (h >> np.uint64(31))
+    ends = np.flatnonzero(raw == 32)  # blocks hold single spaces, and no other white space
+    starts = np.append(0, ends[:-1] + 1)
+    lengths = ends - starts
+    places = np.arange(len(raw)) - np.repeat(starts, lengths + 1)
+    sums = np.add.reduceat((raw.astype(np.uint64) + np.uint64(1)) * _AT[places % len(_AT)], starts)
+    h = (sums ^ (sums >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(29))
+
+
+def sampled(ids: np.ndarray, bounds: np.ndarray, hosts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and fingerprints (with the host) of the sampled windows of streams that lie one after the other in ``ids``,
+    from ``bounds[k]`` to ``bounds[k + 1]``: the least, and leftmost, of every STEP windows of one stream."""
+    n = len(ids) - LONG + 1
+    if n < 1:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    h = ids[: len(ids) - GRAM + 1] ^ np.repeat(hosts.astype(np.uint64), np.diff(bounds))[: len(ids) - GRAM + 1]
+    for j in range(1, GRAM):
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + ids[j : len(ids) - GRAM + 1 + j]
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    stream = np.repeat(np.arange(len(hosts)), np.diff(bounds))
+    whole = np.flatnonzero(stream[:n] == stream[LONG - 1 :])  # stretches within one stream
+    places = np.unique(np.lib.stride_tricks.sliding_window_view(h, STEP)[whole].argmin(axis=1) + whole)
+    return places, h[places].astype(np.int64)
+
+
+class Streams:
+    """Some parsed pages and the streams of their tokens, one after the other."""
+
+    def __init__(self, hosts: list[int], parsed: list[tuple[list[str], list[int], bool]]):
+        self.hosts, self.parsed = np.array(hosts, np.int64), parsed
+        lists = [t for texts, _, _ in parsed for t in texts]
+        self.ids = hashes(lists)
+        n = [sum(t.count(" ") + 1 for t in texts) for texts, _, _ in parsed]
+        self.bounds = np.append(0, np.cumsum(n)).astype(np.int64)
+        self.places, self.fps = sampled(self.ids, self.bounds, self.hosts)
+        self.owner = np.searchsorted(self.bounds, self.places, side="right") - 1
+
+    def bodies(self) -> np.ndarray:
+        return np.array([_body(texts) for texts, _, _ in self.parsed], np.int64)
+
+
+def streams(hosts: list[int], pages: list[str | None]) -> Iterator[Streams]:
+    """The pages in their order, by CHUNK characters or so."""
+    at, size = 0, 0
+    for i, page in enumerate(pages):
+        size += len(page or "")
+        if size >= CHUNK or i + 1 == len(pages):
+            yield Streams(hosts[at : i + 1], [parse(x) for x in pages[at : i + 1]])
+            at, size = i + 1, 0
+
+
+def near(places: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The starts of stretches of LONG tokens that hold a window at one of ``places``, of streams from begin to end."""
+    starts = places[:, None] - np.arange(STEP)[None, :]
+    return np.unique(starts[(starts >= begin[:, None]) & (starts <= end[:, None] - LONG)])
 
 
-def suffixes(tokens: list[str]) -> list[int]:
-    """Per place of a token stream with ``DEPTH`` tokens left, the fingerprint of the first tokens of its suffix."""
-    return _hashes(tokens).astype(np.int64).tolist()
+def suffix_keys(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The first DEPTH tokens of the suffixes, 16 bits each, 0 beyond the end: they sort as bytes."""
+    short = ((ids >> np.uint64(48)) | np.uint64(1)).astype(">u2")
+    padded = np.concatenate([short, np.zeros(DEPTH, ">u2")])
+    return padded[starts[:, None] + np.arange(DEPTH)[None, :]]
 
 
-def marked(tokens: list[str], repeated: set[int]) -> np.ndarray:
-    """Which tokens lie in the first tokens of a repeated suffix."""
-    out = np.zeros(len(tokens), bool)
-    for p, h in enumerate(suffixes(tokens)):
-        if h in repeated:
-            out[p : p + DEPTH] = True
+def _binary(rows: np.ndarray) -> pa.Array:
+    width = rows.shape[1] * rows.itemsize
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows).tobytes())]).cast(pa.binary())
+
+
+def _host(url: Column) -> Column:
+    name = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)
+    return F.xxhash64(F.coalesce(F.lower(name), F.lit("")))
+
+
+def _body(texts: list[str]) -> int:
+    return xxhash.xxh3_64_intdigest("\n".join(texts).encode("utf-8", "surrogatepass")) - 2**63
+
+
+def candidates(pages: DataFrame) -> DataFrame:
+    """Fingerprints (fp) of sampled windows that two pages of a host share."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in streams(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = (part.bodies() & 0x7FFFFFFF).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(part.fps), pa.array(own[part.owner])], names=["fp", "body"])
+
+    rows = pages.select(_host(F.col("url")).alias("host"), "html").mapInArrow(run, "fp long, body int")
+    both = rows.groupBy("fp").agg(F.min("body").alias("lo"), F.max("body").alias("hi"))
+    return both.where("lo <> hi").select("fp")
+
+
+def bitmap(fps: DataFrame) -> np.ndarray:
+    """A table of BITS bits, of which each fingerprint sets one; it comes to the driver as at most BITS / 32,768 rows."""
+    place = F.pmod(F.col("fp"), F.lit(BITS))
+    rows = fps.groupBy(F.shiftright(place, 15).alias("bucket")).agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit(32_767))).alias("bits")).collect()
+    out = np.zeros(BITS, bool)
+    for r in rows:
+        out[r.bucket << 15 : (r.bucket + 1) << 15] = np.unpackbits(np.frombuffer(r.bits, np.uint8), bitorder="little")
+    return np.packbits(out, bitorder="little")
+
+
+def likely(fps: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    place = fps % BITS
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
+
+def suffixes(pages: DataFrame, bits) -> DataFrame:
+    """host, key, body of the suffixes that start near windows which other pages may have."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in streams(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                hit = likely(part.fps, bits.value)
+                owner = part.owner[hit]
+                starts = near(part.places[hit], part.bounds[owner], part.bounds[owner + 1])
+                owner = np.searchsorted(part.bounds, starts, side="right") - 1
+                keys = suffix_keys(part.ids, starts)
+                keys[starts[:, None] + np.arange(DEPTH)[None, :] >= part.bounds[owner + 1][:, None]] = 0  # a suffix ends with its page
+                bodies = part.bodies()[owner] if len(owner) else np.empty(0, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(part.hosts[owner]), _binary(keys), pa.array(bodies)], names=["host", "key", "body"])
+
+    return pages.select(_host(F.col("url")).alias("host"), "html").mapInArrow(run, "host long, key binary, body long")
+
+
+def common_prefixes(keys: np.ndarray, hosts: np.ndarray) -> np.ndarray:
+    """The common prefix, in tokens, of each sorted suffix with the one before it; 0 for the first and at a new host."""
+    out = np.zeros(len(keys), np.int64)
+    if len(keys) > 1:
+        same = keys[1:] == keys[:-1]
+        out[1:] = np.where(hosts[1:] == hosts[:-1], np.where(same.all(axis=1), DEPTH, same.argmin(axis=1)), 0)
+    return out
+
+
+def repeats(rows: DataFrame) -> DataFrame:
+    """(host, start): the first LONG tokens of suffixes that PAGES pages of a host share."""
+
+    def runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if n:
+                keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(n, DEPTH)
+                hosts, bodies = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+                begins = common_prefixes(keys, hosts) < LONG  # of runs that share LONG tokens
+                first, run = np.flatnonzero(begins), np.cumsum(begins) - 1
+                order = np.lexsort((bodies, run))
+                run, bodies = run[order], bodies[order]
+                new = np.append(True, (run[1:] != run[:-1]) | (bodies[1:] != bodies[:-1]))
+                run, bodies = run[new], bodies[new]
+                few = np.arange(len(run)) - np.searchsorted(run, run) < PAGES
+                run, bodies = run[few], bodies[few]
+                yield pa.RecordBatch.from_arrays([pa.array(hosts[first][run]), _binary(keys[first][run][:, :LONG]), pa.array(bodies)], names=["host", "start", "body"])
+
+    ordered = rows.repartitionByRange("host", "key", "body").sortWithinPartitions("host", "key", "body")
+    parts = ordered.mapInArrow(runs, "host long, start binary, body long")
+    return parts.groupBy("host", "start").agg(F.count_distinct("body").alias("n")).where(F.col("n") >= PAGES).select("host", "start")
+
+
+def covered(ids: np.ndarray, starts: set[bytes]) -> np.ndarray:
+    """Which tokens lie in a repeat, by the first LONG tokens of the repeats."""
+    out = np.zeros(len(ids), bool)
+    if starts and len(ids) >= LONG:
+        keys = suffix_keys(ids, np.arange(len(ids) - LONG + 1))[:, :LONG]
+        raw, width = np.ascontiguousarray(keys).tobytes(), 2 * LONG
+        for p in range(len(keys)):
+            if raw[p * width : (p + 1) * width] in starts:
+                out[p : p + LONG] = True
     return out
 
 
-def unique_blocks(page_blocks: list[str], repeated: set[int]) -> list[str]:
-    """The blocks less those that repeated suffixes cover."""
-    covered = marked([t for b in page_blocks for t in b.split()], repeated)
+def decide(texts: list[str], kinds: list[int], declared: bool, repeated: np.ndarray | None) -> list[str]:
+    """The blocks that stay, from which tokens of the stream lie in repeats, if any do."""
+    if repeated is None:
+        return [t for t, k in zip(texts, kinds, strict=True) if k != OUTSIDE]
     out, at = [], 0
-    for b in page_blocks:
-        n = len(b.split())
-        if covered[at : at + n].mean() < COVERED:
-            out.append(b)
+    for text, kind in zip(texts, kinds, strict=True):
+        n = text.count(" ") + 1
+        if kind == MAIN or kind == CONTESTED and repeated[at : at + n].mean() < COVERED:
+            out.append(text)
         at += n
-    return out or page_blocks
+    return out if declared else out or texts
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """Per row of ``pages``: page_id, url, text, n_chars."""
-
-    def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [parse(h) for h in batch.column(2).to_pylist()]
-            body = [xxhash.xxh3_64_intdigest("\n".join(b)) - 2**63 for b, _, _ in found]
-            every, inside = pa.array([b for b, _, _ in found], pa.list_(pa.string())), pa.array([i for _, i, _ in found], pa.list_(pa.bool_()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), every, inside, pa.array([d for _, _, d in found], pa.bool_()), pa.array(body, pa.int64())], names=["page_id", "url", "blocks", "inside", "declared", "body"])
-
+    """Per row of ``pages``: page_id, url, text, n_chars, n_repeated."""
+    spark = pages.sparkSession
+    bits = spark.sparkContext.broadcast(bitmap(materialize(candidates(pages))))
+    rows = materialize(suffixes(pages, bits))
+    found = materialize(repeats(rows).withColumnsRenamed({"host": "r_host", "start": "r_start"}))
+    start = F.substring("key", 1, 2 * LONG)
+    shared = rows.select("host", "body", start.alias("start")).join(found, (F.col("host") == F.col("r_host")) & (F.col("start") == F.col("r_start")))
+    # one list for each distinct page, no longer than the page
+    lists = materialize(shared.groupBy(F.col("host").alias("l_host"), F.col("body").alias("l_body")).agg(F.collect_set("start").alias("starts")))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select("page_id", "url").schema.fields)
-    host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
-    read = pages.select("page_id", "url", "html").mapInArrow(split, fields + ", blocks array<string>, inside array<boolean>, declared boolean, body long")
-    parsed = materialize(read.withColumn("host", host))
-    declared = parsed.where("declared").select("page_id", "url", F.array_join(F.filter("blocks", lambda _, i: F.get("inside", i)), " ").alias("text"))
-    out = declared if parsed.where("not declared").isEmpty() else declared.unionByName(by_host(parsed, fields))
-    return out.withColumn("n_chars", F.char_length("text").cast("long"))
+    source = pages.select("page_id", "url", _host(F.col("url")).alias("host"), "html")
+    answer = fields + ", text string, n_chars long, n_repeated long"
 
+    def answers(ids: list, batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = pa.array([t for t, _ in ids], pa.string())
+        n = pa.array([len(t) for t, _ in ids], pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts, n, pa.array([r for _, r in ids], pa.int64())], names=["page_id", "url", "text", "n_chars", "n_repeated"])
 
-def by_host(parsed: DataFrame, fields: str) -> DataFrame:
-    """page_id, url, text of pages without a declared main part, by the token streams of all pages of their hosts."""
-
-    def start(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def alone(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pages without a window that another page may have."""
+        for batch in batches:
+            out, kept, at = [], [], 0
+            for part in streams(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                hits = set(part.owner[likely(part.fps, bits.value)].tolist())
+                for i, (texts, kinds, declared) in enumerate(part.parsed):
+                    if i not in hits:
+                        out.append((" ".join(decide(texts, kinds, declared, None)), 0))
+                        kept.append(at + i)
+                at += len(part.parsed)
+            yield answers(out, batch.take(pa.array(kept, pa.int64())))
+
+    def shares(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The others, parsed, to be joined with their repeats."""
         for batch in batches:
-            starts = [list(set(suffixes([t for x in b for t in x.split()]))) for b in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(starts, pa.list_(pa.int64()))], names=["host", "body", "starts"])
-
-    def ordered(rows: DataFrame) -> DataFrame:
-        bodies = rows.groupBy("host", "body").agg(F.first("blocks").alias("blocks")).mapInArrow(start, "host string, body long, starts array<long>")
-        return bodies.select("host", "body", F.explode("starts").alias("start"))
-
-    others = parsed.where("not declared")
-    hosts = others.select(F.col("host").alias("o_host")).distinct()  # others have no page to decide
-    shared = ordered(parsed.join(hosts, F.col("host") == F.col("o_host"), "left_semi")).groupBy("host", "start").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
-    shared = materialize(shared.select(F.col("host").alias("r_host"), F.col("start").alias("r_start")))  # written first, so that a small one is broadcast
-    # back to the bodies that hold a repeated suffix; each body gets its own list, no longer than itself
-    lists = ordered(others).join(shared, (F.col("host") == F.col("r_host")) & (F.col("start") == F.col("r_start"))).groupBy("host", "body").agg(F.collect_list("start").alias("repeated"))
-    lists = lists.withColumnsRenamed({"host": "l_host", "body": "l_body"})
-    joined = others.join(lists, (F.col("host") == F.col("l_host")) & (F.col("body") == F.col("l_body")), "left").select("page_id", "url", "blocks", "repeated")
+            parsed, kept, at = [], [], 0
+            for part in streams(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                for i in sorted(set(part.owner[likely(part.fps, bits.value)].tolist())):
+                    parsed.append(part.parsed[i])
+                    kept.append(at + i)
+                at += len(part.parsed)
+            rows = batch.take(pa.array(kept, pa.int64()))
+            texts, kinds, declared = (pa.array([x[k] for x in parsed], t) for k, t in enumerate((pa.list_(pa.string()), pa.list_(pa.int32()), pa.bool_())))
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), rows.column(2), texts, kinds, declared, pa.array([_body(x[0]) for x in parsed], pa.int64())], names=["page_id", "url", "host", "texts", "kinds", "declared", "body"])
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [" ".join(unique_blocks(b or [], set(r)) if r else (b or [])) for b, r in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
-
-    return joined.mapInArrow(cut, fields + ", text string")
+            out = []
+            for texts, kinds, declared, starts in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
+                repeated = covered(hashes(texts), set(starts or ()))
+                out.append((" ".join(decide(texts, kinds, declared, repeated)), int(repeated.sum())))
+            yield answers(out, batch)
+
+    joined = source.mapInArrow(shares, fields + ", host long, texts array<string>, kinds array<int>, declared boolean, body long").join(lists, (F.col("host") == F.col("l_host")) & (F.col("body") == F.col("l_body")), "left")
+    both = joined.select("page_id", "url", "texts", "kinds", "declared", "starts").mapInArrow(cut, answer)
+    return source.mapInArrow(alone, answer).unionByName(both)

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,7 +60,7 @@ def test_lexicon_is_minimal_and_exact():
     lexicon = bpe.Lexicon(bpe.compile_lexicon(words))
     assert {w: lexicon.get(w) for w in words} == words
     assert [lexicon.get(w) for w in ("s", "sin", "singin", "xx", "", "ringings")] == [None] * 6
-    assert len(lexicon.first) - 1 < sum(len(w.encode()) for w in words)  # endings are shared
+    assert len(lexicon.final) < sum(len(w.encode()) for w in words)  # endings are shared
 
 
 def test_quality_separates_held_out_labels(spark):
@@ -118,7 +119,7 @@ def near_copies(seed, groups=12, most=25):
     return rows
 
 
-@pytest.mark.parametrize(("k", "percent", "block"), [(3, 85, 1024), (5, 80, 8)])
+@pytest.mark.parametrize(("k", "percent", "block"), [(3, 85, 1024), (5, 80, 8), (5, 60, 3)])
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, k, percent, block):
     monkeypatch.setattr(near_dups, "BLOCK", block)  # small blocks: groups over several tiles
     monkeypatch.setattr(near_dups, "CROWDED", 6)
@@ -227,7 +228,39 @@ def test_warc_round_trip(spark, tmp_path):
         data = f.read()
         assert data.startswith(warc.leading_frame(dictionary))
         f.seek(0)
-        assert all(warc.parse_record(x)[0]["WARC-Type"] for x in warc.read_frames(f, chunk=100))
+        heads = [warc.parse_record(x) for x in warc.read_frames(f, chunk=100)]
+    fields = [h for h, _ in heads]
+    assert [h["WARC-Type"] for h in fields].count("warcinfo") == 1 and fields[0]["WARC-Type"] == "warcinfo"
+    assert all(re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", h["WARC-Date"]) for h in fields) and len({h["WARC-Record-ID"] for h in fields}) == len(fields)
+    for h, block in heads:
+        if h["WARC-Type"] == "response":
+            assert h["Content-Type"] == "application/http; msgtype=response" and block.startswith(b"HTTP/1.1 200 OK\r\n")
+            assert hashlib.sha256(warc.payload_of(h, block)).hexdigest() == h["WARC-Payload-Digest"].removeprefix("sha256:")
+
+
+def test_warc_on_odd_tables(spark, monkeypatch):
+    body = "<p>" + prose(40, 5)
+    rows = [(1, None, body), (1, None, body), (2, "", body), (3, "a\r\nb\u00e9 %41", body), (None, "n", body), (4, "u", None), (5, "u", ""), (None, None, "only null ids " * 20), (None, "z", "only null ids " * 20), (6, "u", "x" * 99), (7, "u", "x" * 99), (8, "big", "y" * 2_000_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit(1) for c in ("payload", "mark", "own", "record_type", "first_id")})
+    want = sorted([
+        (1, None, "response", None), (1, None, "response", None), (2, "", "revisit", 1), (3, "a\r\nb\u00e9 %41", "revisit", 1), (None, "n", "revisit", 1), (4, "u", "response", None), (5, "u", "response", None),
+        (None, None, "response", None), (None, "z", "response", None), (6, "u", "response", None), (7, "u", "response", None), (8, "big", "response", None),
+    ], key=str)
+    for marks in (warc.MARKS, 1):  # a full table of marks lets all rows through
+        monkeypatch.setattr(warc, "MARKS", marks)
+        got = sorted(((r.page_id, r.url, r.record_type, r.refers_to) for r in warc.archive(pages).collect()), key=str)
+        assert got == want
+
+
+def test_warc_reads_archives_of_other_writers(tmp_path):
+    import io
+
+    import zstandard
+
+    record = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://x/\r\nContent-Type: application/http;msgtype=response\r\nContent-Length: 20\r\n\r\nHTTP/1.1 200\r\n\r\nbody\r\n\r\n"
+    data = b"".join(zstandard.ZstdCompressor().compress(x) for x in (record, record))
+    fields, block = warc.parse_record(next(warc.read_frames(io.BytesIO(data), chunk=7)))
+    assert fields["WARC-Target-URI"] == "http://x/" and warc.payload_of(fields, block) == b"body" and len(list(warc.read_frames(io.BytesIO(data)))) == 2
 
 
 def test_html_structure():
@@ -247,24 +280,104 @@ def test_html_host_suffixes(spark):
     assert out[50] == out[0] and out[60] == legal and out[61] == ""
 
 
-def test_html_marks_equal_a_sorted_suffix_array():
+@pytest.mark.parametrize("declared", [True, False])
+def test_html_repeats_equal_brute_force(spark, declared):
+    """Every page's tokens in stretches of LONG tokens that PAGES pages of its host share, over all pages."""
     r = random.Random(5)
-    shared = [[f"s{i}_{j}" for j in range(n)] for i, n in enumerate((5, 6, 7, 10, 14, 33))]
-    pages = [[t for _ in range(6) for t in ([f"u{r.random()}" for _ in range(r.randint(0, 9))] + r.choice(shared))] for _ in range(12)]
-    array = sorted((p[i:], k, i) for k, p in enumerate(pages) for i in range(len(p)))
-    want = [[False] * len(p) for p in pages]
-    at = 0
-    while at < len(array):  # runs of neighbours with a common prefix of DEPTH tokens
-        end = at + 1
-        while end < len(array) and array[end][0][: html_text.DEPTH] == array[at][0][: html_text.DEPTH]:
-            end += 1
-        if len(array[at][0]) >= html_text.DEPTH and len({k for _, k, _ in array[at:end]}) >= html_text.LEAST_PAGES:
-            for _, k, i in array[at:end]:
-                want[k][i : i + html_text.DEPTH] = [True] * html_text.DEPTH
-        at = end
-    n = Counter(h for p in pages for h in set(html_text.suffixes(p)))
-    repeated = {h for h, c in n.items() if c >= html_text.LEAST_PAGES}
-    assert [html_text.marked(p, repeated).tolist() for p in pages] == want and any(map(any, want))
+    shared = [[f"s{i}_{j}" for j in range(n)] for i, n in enumerate((8, html_text.LONG - 1, html_text.LONG, html_text.LONG + 1, 40, 90))]
+    streams = [[t for _ in range(5) for t in ([f"u{r.random()}" for _ in range(r.randint(0, 30))] + r.choice(shared))] for _ in range(40)]
+    streams += [streams[0], streams[0], [], ["x"] * 400]
+    html = lambda s: ("<article>" if declared else "") + f"<p>{' '.join(s[:50])}<p>{' '.join(s[50:])}"
+    pages = [(i, f"http://h{i % 2}.example/{i}", html(s)) for i, s in enumerate(streams)]
+    texts = [html_text.parse(h)[0] for _, _, h in pages]
+    n = html_text.LONG
+    found = defaultdict(set)
+    for i, s in enumerate(streams):
+        for p in range(len(s) - n + 1):
+            found[i % 2, tuple(s[p : p + n])].add("\n".join(texts[i]))
+    want, kept = {}, {}
+    for i, s in enumerate(streams):
+        marks = [False] * len(s)
+        for p in range(len(s) - n + 1):
+            if len(found[i % 2, tuple(s[p : p + n])]) >= html_text.PAGES:
+                marks[p : p + n] = [True] * n
+        want[i], at, stay = sum(marks), 0, []
+        for t in texts[i]:
+            m = marks[at : at + len(t.split())]
+            at += len(m)
+            if declared or sum(m) < html_text.COVERED * len(m):
+                stay.append(t)
+        kept[i] = " ".join(stay or texts[i])
+    out = html_text.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {x.page_id: x.n_repeated for x in out} == want and sum(want.values()) > 500
+    assert {x.page_id: x.text for x in out} == kept
+    assert all(x.n_chars == len(x.text) for x in out)
+
+
+def test_html_runs_cross_ranges(spark):
+    """Repeats are found whatever the number of ranges that their suffixes are sorted into."""
+    legal = prose(60, 81)
+    pages = spark.createDataFrame([(i, "http://h.example/x", f"<article><p>{prose(9, 7000 + i)} {legal} {prose(9, 8000 + i)}") for i in range(60)], "page_id long, url string, html string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {}
+        for n in (1, 13):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            got[n] = {r.page_id: r.n_repeated for r in html_text.main_text(pages).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got[1] == got[13] == dict.fromkeys(range(60), 60)
+
+
+def test_html_suffixes_sort_by_their_tokens():
+    ids = html_text.hashes(["b a b a c", "a b"])
+    keys = html_text.suffix_keys(ids, np.arange(len(ids)))
+    assert keys.shape == (7, html_text.DEPTH) and keys[0][:2].tolist() == keys[2][:2].tolist() and keys[0][2] != keys[2][2]
+    rows = keys[np.lexsort(keys.T[::-1])]
+    prefixes = html_text.common_prefixes(rows, np.zeros(7, np.int64)).tolist()
+    tokens = sorted((tuple(k.tolist()) for k in keys))
+    want = [0] + [next((i for i, (x, y) in enumerate(zip(a, b, strict=True)) if x != y), html_text.DEPTH) for a, b in zip(tokens, tokens[1:], strict=False)]
+    assert prefixes == want
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ('<article><p class="ad">buy<p>real text<p>more</article>', "real text more"),
+    ('<article><ul><li class="advert">buy<li>one<li>two</ul></article>', "one two"),
+    ('<article><section id="related-work"><h2>Related</h2><p>a</section><div class="post-header"><h1>T</h1></div><div id="search-results-section">s</div></article>', "Related a T s"),
+    ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds", "so x=1 holds"),
+    ("<article>a &<b>lt;</b> c &amp;amp; d&#233;</article>", "a &lt; c &amp; dé"),
+    ("<aside><article>teaser</article></aside><article>real</article>", "real"),
+    ("<form id=f><article>inside a form that wraps the page</article></form>", "inside a form that wraps the page"),
+    ("<article><header><h1>T</h1></header>u<footer>f</footer></article>", "T u"),
+    ('<div class="sidebar"><p>x</div><article>y<section class="comments"><article>reader</article></section>w</article>v', "y w"),
+    ('<article>x<span class="ad">buy<b>n</b>ow</span>y</article>', "xy"),
+    ("<article><table><tr><td>a<td>b<tr><td>c</table><h1>A<h2>B</article>", "a b c A B"),
+    ('<body class="has-sidebar"><div class="content no-sidebar">k</div>', "k"),
+    ("<head><title>T</title><p>text", "text"),
+])
+def test_html_odd_markup(page, text):
+    assert html_text.extract(page) == text
+
+
+def test_html_unsure_parts_are_decided_by_the_host(spark):
+    """A part whose name may mean chrome stays if its text is the page's own and goes if the host repeats it."""
+    links = prose(30, 91)
+    page = lambda i: f'<article><p>{prose(30, 6000 + i)}</p><div class="related-stories">{links}</div><div class="related-work">{prose(20, 6500 + i)}</div></article>'
+    pages = spark.createDataFrame([(i, "http://h.example/", page(i)) for i in range(5)] + [(9, "http://lone.example/", page(9))], "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in html_text.main_text(pages).collect()}
+    assert all(out[i] == f"{prose(30, 6000 + i)} {prose(20, 6500 + i)}" for i in range(5))
+    assert out[9] == f"{prose(30, 6009)} {links} {prose(20, 6509)}"
+
+
+def test_html_on_odd_tables(spark):
+    rows = [(1, None, None), (None, "x", "<p>a</p>"), (2, "http://h/", ""), (3, "http://h/", "<article>" + "<p>word " * 20_000), (3, "http://h/", "<article>" + "<p>word " * 20_000), (4, "not a url", "<" * 3000), (5, "", "<div " * 500)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit(1) for c in ("host", "body", "key", "text", "starts", "texts", "declared")})
+    out = html_text.main_text(pages)
+    assert out.columns == ["page_id", "url", "text", "n_chars", "n_repeated"]
+    got = [(r.page_id, r.text) for r in out.collect()]
+    assert sorted(got, key=str) == sorted([(1, ""), (None, "a"), (2, ""), (3, " ".join(["word"] * 20_000)), (3, " ".join(["word"] * 20_000)), (4, "<" * 3000), (5, "<div " * 499 + "<div")], key=str)
+    assert html_text.main_text(pages.limit(0)).count() == 0
 
 
 def test_html_declared_pages_are_evidence(spark):
@@ -276,7 +389,7 @@ def test_html_declared_pages_are_evidence(spark):
 
 
 def test_html_short_repeats_on_a_large_host(spark):
-    short = prose(10, 79)
+    short = prose(20, 79)
     pages = [(i, "http://h.example/x", f"<p>{prose(20, 2000 + i)}</p>" + (f"<p>{short}</p>" if i < 4 else "") + f"<p>{prose(20, 3000 + i)}</p>") for i in range(120)]
     out = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert out == {i: f"{prose(20, 2000 + i)} {prose(20, 3000 + i)}" for i in range(120)}
@@ -320,6 +433,34 @@ def test_rules_certify_and_keep(spark, odd, labels):
     assert rules.judge(odd, labels.limit(0)).where("kept").count() == 5
 
 
+def test_rules_equal_their_sql_where_cutoffs_are_certified(spark):
+    """At this risk the labels of the small test table certify cutoffs, which the production risk doesn't."""
+    import duckdb
+
+    d = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{d}/{t}.parquet'")
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    got = sorted(tuple(r) for r in rules.judge(docs, labels, risk=0.3, level=0.2).collect())
+    assert got == sorted(con.execute(rules.sql(0.3, 0.2)).fetchall())
+    measured = docs.select("doc_id", F.col("lang").alias("stratum"), rules.measures(F.col("text")).alias("m")).select("doc_id", "stratum", "m.*")
+    cuts = rules.certify(measured, labels, 0.3, 0.2).collect()
+    assert any(c is not None for r in cuts for c in r.cutoff)
+
+
+def test_rules_repeats_of_long_texts_take_linear_time(spark):
+    import time
+
+    took = []
+    for n in (20_000, 160_000):
+        df = spark.createDataFrame([(" ".join(f"w{i % 977}" for i in range(n)),)], "text string")
+        began = time.time()
+        assert df.select(rules.measures(F.col("text"))["n_repeat_words"]).first()[0] == n
+        took.append(time.time() - began)
+    assert took[1] < 30 * max(took[0], 0.2)
+
+
 def test_media_round_trip(spark, odd):
     out = media.media(odd).collect()
     assert len(out) == len(ODD)
@@ -335,9 +476,12 @@ def test_media_round_trip(spark, odd):
     assert media.media(odd.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("marks", [line_dedup.MARKS, 1])  # a full table of marks lets all lines through
-def test_line_dedup_by_site(spark, odd, monkeypatch, marks):
+@pytest.mark.parametrize(("marks", "broadcast"), [(line_dedup.MARKS, line_dedup.BROADCAST), (1, line_dedup.BROADCAST), (line_dedup.MARKS, 0)])
+def test_line_dedup_by_site(spark, odd, monkeypatch, marks, broadcast):
+    """A full table of marks lets all lines through; lists too large for a broadcast are joined host by host."""
     monkeypatch.setattr(line_dedup, "MARKS", marks)
+    monkeypatch.setattr(line_dedup, "BROADCAST", broadcast)
+    monkeypatch.setattr(line_dedup, "LARGE", 2)
     rows = [(i, f"own {i}\n  Menu \n\nshared {i // 20}", "en", "a" if i < 60 else None, 0) for i in range(90)]
     out = {r.doc_id: r for r in line_dedup.drop_boilerplate(spark.createDataFrame(rows, DOCS), counts=True).collect()}
     assert out[0].text == "own 0\n" and (out[0].n_lines, out[0].n_dropped) == (3, 2)
