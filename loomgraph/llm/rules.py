@@ -35,19 +35,19 @@ MEASURES = "n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words
 
 
 def _repeated(w: Column) -> Column:
-    """Words in three-word windows that occur more than once, by 64-bit hashes of the windows. The
-    hashes found more than once are dealt into about as many bins as the root of their number, so a
-    long text of nothing but repeats costs its length times that root."""
+    """Words in three-word windows that occur more than once, by 64-bit hashes of the windows: hashes and places are
+    sorted once, equal neighbours are marked, and the words that their sorted places cover are counted, so that a text
+    of n words takes n log n steps whatever it repeats."""
 
-    def covered(h: Column, dup: Column) -> Column:
-        n = F.greatest(F.lit(1), F.floor(F.sqrt(F.size(dup)))).cast("long")
-        bins = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda b: F.filter(dup, lambda d: F.pmod(d, n) == b))
-        at = lambda found: F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: let(F.get(h, i), lambda x: F.array_contains(F.get(found, F.pmod(x, n).cast("int")), x)))
-        return F.size(F.array_distinct(F.flatten(let(bins, lambda found: F.transform(at(found), lambda i: F.array(i, i + 1, i + 2))))))
+    def count(places: Column) -> Column:
+        # a place covers three words, less those that the next one covers too; least() passes over the null after the last
+        return F.aggregate(F.transform(places, lambda x, j: F.least(F.lit(3), F.get(places, j + 1) - x)), F.lit(0), lambda a, x: a + x)
 
     def of(h: Column) -> Column:
-        twice = let(F.sort_array(h), lambda s: F.array_distinct(F.filter(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1)))))
-        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(let(twice, lambda dup: covered(h, dup)))
+        pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        again = lambda s: F.filter(s, lambda e, j: (e["h"] == F.get(s, j - 1)["h"]) | (e["h"] == F.get(s, j + 1)["h"]))
+        places = F.sort_array(F.transform(let(pairs, again), lambda e: e["i"]))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(let(places, count))
 
     windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
     return F.when(F.size(w) < 3, F.lit(0)).otherwise(let(windows, of))
@@ -121,10 +121,10 @@ def verdict(cutoff: str, m=F.col) -> Column:
     return ok
 
 
-def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, level: float = LEVEL) -> DataFrame:
     """Per row of ``docs``: doc_id, the measures, base_failed, kept."""
     measured = materialize(docs.select("doc_id", F.col(f"`{stratum}`").alias("stratum"), measures(F.col("text")).alias("m")).select("doc_id", "stratum", "m.*"))
-    cut = materialize(certify(measured, labels)).withColumnRenamed("stratum", "cut_stratum")
+    cut = materialize(certify(measured, labels, risk, level)).withColumnRenamed("stratum", "cut_stratum")
     out = measured.join(cut, F.col("stratum").eqNullSafe(F.col("cut_stratum")), "left").withColumn("base_failed", base_failed())
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & verdict("cutoff")).alias("kept"), "n_lines")
 
@@ -141,10 +141,11 @@ def keep(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame
     return measured.join(cut, F.col(f"`{stratum}`").eqNullSafe(F.col(s)), "left").where(~failed & verdict(c, of)).select(*[F.col(f"`{x}`") for x in docs.columns])
 
 
-def _sql() -> str:
+def sql(risk: float = RISK, level: float = LEVEL) -> str:
+    """``judge`` over the tables documents and labels, in DuckDB's SQL."""
     sides = {"symbols": ("n_symbols", "word_chars"), "dup_lines": ("n_dup_lines", "n_lines"), "repeats": ("n_repeat_words", "n_words"), "length": ("word_chars", "n_words")}
     tests = ", ".join(f"{{'rule': '{rule}', 'cutoff': {c}, 'k': count(*) FILTER (1000 * {sides[rule][0]} > {c} * {sides[rule][1]})}}" for rule, grid in GRIDS.items() for c in grid)
-    limit = RISK / len(GRIDS)
+    limit = risk / len(GRIDS)
     tail = f"exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({limit!r}) + (n - i) * ln(1 - {limit!r}))"
     best = ", ".join(f"min(cutoff) FILTER (rule = '{rule}') AS cut_{rule}" for rule in GRIDS)
     bad = " OR ".join(f"coalesce(1000 * {a} > cut_{rule} * {b}, false)" for rule, (a, b) in sides.items())
@@ -170,7 +171,7 @@ k AS (
   WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels GROUP BY doc_id HAVING max(quality) = 1) GROUP BY lang),
 e AS (
   SELECT lang, n, alpha, t.rule AS rule, t.cutoff AS cutoff, t.k AS k
-  FROM (SELECT lang, n, {LEVEL!r} / ({len(GRIDS)} * count(*) OVER ()) AS alpha, unnest(tests) AS t FROM k)),
+  FROM (SELECT lang, n, {level!r} / ({len(GRIDS)} * count(*) OVER ()) AS alpha, unnest(tests) AS t FROM k)),
 i AS (
   SELECT lang, alpha, rule, cutoff, sum({tail}) AS tail
   FROM (SELECT *, unnest(range(0, k + 1)) AS i FROM e WHERE k <= {limit!r} * n) GROUP BY ALL),
@@ -180,4 +181,4 @@ FROM b LEFT JOIN c ON lang IS NOT DISTINCT FROM cut_lang
 """
 
 
-SQL = _sql()
+SQL = sql()
