@@ -6,6 +6,10 @@ page counts a line once, and counts are summed before the shuffle, so neither a
 the pages nor a line on all of them meets in one task. Lines are counted by their hashes first; the
 text of those that may be frequent is then counted exactly.
 
+The lists of boilerplate are joined to the pages by host. Lists of ``BROADCAST`` characters in all are broadcast.
+Beyond that the hosts with over 1 / ``LARGE`` of all pages, which are fewer than ``LARGE``, are joined by a broadcast of
+their lists, as their pages must not meet in one task, and the pages of the other hosts by a shuffle.
+
 A line is what stands between line feeds, compared without white space around it. Defined cases: a
 null text stays null and has no lines; lines without a word are kept and not counted; null hosts are
 one host; hosts with fewer than ``min_pages`` pages that carry a line never lose it; repeated rows
@@ -21,6 +25,7 @@ from .common import fresh, let, materialize
 
 RATIO, MIN_PAGES = 0.1, 5
 MARKS = 1 << 21
+BROADCAST, LARGE = 32 << 20, 1024
 
 
 def _bare(line: Column) -> Column:
@@ -32,7 +37,7 @@ def _lines(text: Column) -> Column:
 
 
 def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """One row per host that has boilerplate: its name and the lines.
+    """One row per host that has boilerplate: its name (line_host), the lines (line_set) and its number of pages.
 
     A host's lines number at most (mean distinct lines of its pages) / ratio, as each takes more than
     that share of its pages; the arrays are that small for any number of pages.
@@ -51,7 +56,8 @@ def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min
     mark = lambda x: F.pmod(F.xxhash64("host", x), F.lit(MARKS)).cast("int")
     marks = materialize(frequent(lines.select("host", F.xxhash64("line").alias("hash")), "hash").select(mark("hash").alias("mark")).distinct())
     likely = lines.join(F.broadcast(marks), mark(F.xxhash64("line")) == F.col("mark"), "left_semi")
-    return frequent(likely, "line").groupBy(F.col("host").alias("line_host")).agg(F.collect_set("line").alias("line_set"))
+    lists = frequent(likely, "line").groupBy(F.col("host").alias("line_host")).agg(F.collect_set("line").alias("line_set"))
+    return lists.join(total, F.col("line_host").eqNullSafe(F.col("host"))).select("line_host", "line_set", "pages")
 
 
 def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, counts: bool = False) -> DataFrame:
@@ -59,9 +65,19 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO
     with a word) and n_dropped."""
     bad = boilerplate(docs, host, ratio, min_pages)
     h, s, k = fresh(docs, "line_host", "line_set", "line_kept")
-    # written, so that its size is known when the join is planned: a small table never has the texts shuffled
-    bad = materialize(bad).withColumnsRenamed({"line_host": h, "line_set": s})
-    joined = docs.join(bad, F.col(f"`{host}`").eqNullSafe(F.col(h)), "left")
+    # written, so that its size is known when the join is planned
+    bad = materialize(bad)
+    same = F.col(f"`{host}`").eqNullSafe(F.col(h))
+    size = bad.agg(F.sum(F.aggregate("line_set", F.lit(0).cast("long"), lambda a, x: a + F.char_length(x)))).first()[0] or 0
+    if size <= BROADCAST:
+        joined = docs.join(F.broadcast(bad.select(F.col("line_host").alias(h), F.col("line_set").alias(s))), same, "left")
+    else:
+        total = docs.count()
+        large = F.col("pages") * LARGE > total
+        lists = lambda which: bad.where(which).select(F.col("line_host").alias(h), F.col("line_set").alias(s))
+        hosts = F.broadcast(lists(large).select(h))
+        few = docs.join(hosts, same, "left_semi").join(F.broadcast(lists(large)), same, "left")
+        joined = few.unionByName(docs.join(hosts, same, "left_anti").join(lists(~large), same, "left"))
     kept = F.when(F.col(s).isNull(), _lines(F.col("text"))).otherwise(F.filter(_lines(F.col("text")), lambda x: ~F.array_contains(F.col(s), _bare(x))))
     out = joined.withColumn(k, kept).select(
         *[F.array_join(F.col(k), "\n").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns],
