@@ -59,28 +59,24 @@ def pivot_diff(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def validate_target(quads: DataFrame, m) -> DataFrame:
     """Violations of the target that a map declares: (graph_key, s, violation). A node of one of its kinds has each triple
-    that isn't optional, once unless it may repeat, and literals have the declared datatype."""
-    grouped = quads.groupBy("graph_key", "s")
-    out = []
+    that isn't optional, once unless it may repeat, and literals have the declared datatype. One exchange: a subject's
+    triples are those of one record."""
+    whole = quads.groupBy("graph_key", "s").agg(F.collect_set(F.struct("p", "o_value", "o_datatype")).alias("t"))
+    types = F.transform(F.filter("t", lambda t: t["p"] == "rdf:type"), lambda t: t["o_value"])
+    bad = []
     for node in m.target:
-        own = [t for t in node["triples"] if not t.get("optional") and not node.get("optional")]
-        rules = {}
-        for t in own:
-            same = [x for x in own if x["p"] == t["p"]]
-            rules.setdefault(t["p"], (len(same), any(x.get("many") for x in same) or any(x["p"] == t["p"] and x.get("optional") for x in node["triples"])))
-        typed = [t for t in node["triples"] if t.get("datatype") and t["datatype"] != "time"]
-        aggregates = [F.collect_set(F.when(F.col("p") == "rdf:type", F.col("o_value"))).alias("types")]
-        aggregates += [F.count_distinct(F.when(F.col("p") == p, F.col("o_value"))).alias(f"n{i}") for i, p in enumerate(rules)]
-        aggregates += [F.count_if((F.col("p") == t["p"]) & ~F.col("o_datatype").eqNullSafe(F.lit(t["datatype"]))).alias(f"d{i}") for i, t in enumerate(typed)]
-        rows = grouped.agg(*aggregates).where(F.size(F.array_intersect("types", F.array(*[F.lit(x) for x in node["types"]]))) == len(node["types"]))
-        bad = [F.when((F.col(f"n{i}") < n) & ~F.lit(many) | (F.col(f"n{i}") > n) & ~F.lit(many), F.lit(f"{node['label']}: {p} isn't there {n} times")) for i, (p, (n, many)) in enumerate(rules.items())]
-        bad += [F.when(F.col(f"d{i}") > 0, F.lit(f"{node['label']}: {t['p']} isn't {t['datatype']}")) for i, t in enumerate(typed)]
-        if bad:
-            out.append(rows.select("graph_key", "s", F.explode(F.array_compact(F.array(*bad))).alias("violation")))
-    found = out[0]
-    for more in out[1:]:
-        found = found.unionByName(more)
-    return found
+        own = [] if node.get("optional") else [t for t in node["triples"] if not t.get("optional")]
+        is_node = F.size(F.array_intersect(types, F.array(*[F.lit(x) for x in node["types"]]))) == len(node["types"])
+        for p in dict.fromkeys(t["p"] for t in own):
+            if not any(t["p"] == p and (t.get("many") or t.get("optional")) for t in node["triples"]):
+                n = sum(t["p"] == p for t in own)
+                bad.append(F.when(is_node & (F.size(F.filter("t", lambda t: t["p"] == p)) != n), F.lit(f"{node['label']}: {p} isn't there {n} times")))  # noqa: B023
+        for t in node["triples"]:
+            if t.get("datatype") and t["datatype"] != "time":
+                p, datatype = t["p"], t["datatype"]
+                wrong = F.exists("t", lambda x: (x["p"] == p) & ~x["o_datatype"].eqNullSafe(F.lit(datatype)))  # noqa: B023
+                bad.append(F.when(is_node & wrong, F.lit(f"{node['label']}: {p} isn't {datatype}")))
+    return whole.select("graph_key", "s", F.explode(F.array_compact(F.array(*bad))).alias("violation"))
 
 
 def validation_digest(violations: DataFrame) -> str:

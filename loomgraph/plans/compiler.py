@@ -119,19 +119,19 @@ def invert(m: MapContract, quads: DataFrame, graph: str = "graph_key") -> DataFr
     """The shared variables back from the graph, along the target: (graph, node, scope, var, value).
 
     A literal's variable is the value of its predicate on nodes of the node's types; variables in node keys are read from
-    the key by its template. One grouping by subject for each kind of node, no self-join."""
+    the key by its template. One grouping by subject, whose triples are those of one record, and no join."""
+    whole = quads.groupBy(graph, F.col("s").alias("node")).agg(F.collect_list(F.struct("p", "o_value")).alias("t"))
+    types = F.transform(F.filter("t", lambda t: t["p"] == "rdf:type"), lambda t: t["o_value"])
     found = []
     for node in m.target:
-        own = {t["p"]: t["var"] for t in node["triples"] if t.get("var") and t["var"] not in m.static}
-        keys = [v for v in key_variables(node) if len(key_variables(node)) == 1 and v not in m.static]
-        if not own and not keys:
-            continue
-        types = node["types"]
-        values = [F.collect_list(F.when(F.col("p") == p, F.col("o_value"))).alias(f"v{i}") for i, p in enumerate(own)]
-        typed = quads.where(F.col("p").isin("rdf:type", *own)).groupBy(graph, "s").agg(F.collect_set(F.when(F.col("p") == "rdf:type", F.col("o_value"))).alias("types"), *values)
-        typed = typed.where(F.size(F.array_intersect("types", F.array(*[F.lit(t) for t in types]))) == len(set(types))).withColumnRenamed("s", "node")
+        is_node = F.size(F.array_intersect(types, F.array(*[F.lit(t) for t in node["types"]]))) == len(set(node["types"]))
+        say = lambda var, value: F.struct(F.lit(node.get("scope")).cast("string").alias("scope"), F.lit(var).alias("var"), value.alias("value"))  # noqa: E731, B023
+        rows = []
+        for p, var in {t["p"]: t["var"] for t in node["triples"] if t.get("var") and t["var"] not in m.static}.items():
+            rows.append(F.transform(F.filter("t", lambda t: t["p"] == p), lambda t: say(var, t["o_value"])))  # noqa: B023
         pattern = "^" + "(.+)".join(re.escape(x) for x in re.split(r"\{[^}]+\}", node["key"])) + "$"
-        rows = [F.transform(F.col(f"v{i}"), lambda x: F.struct(F.lit(var).alias("var"), x.alias("value"))) for i, var in enumerate(own.values())]
-        rows += [F.array(F.struct(F.lit(v).alias("var"), F.regexp_extract("node", pattern, 1).alias("value"))) for v in keys]
-        found.append(typed.select(graph, "node", F.lit(node.get("scope")).cast("string").alias("scope"), F.explode(F.concat(*rows)).alias("x")).select(graph, "node", "scope", "x.*"))
-    return reduce(DataFrame.unionByName, found)
+        if len(keys := key_variables(node)) == 1 and keys[0] not in m.static:
+            rows.append(F.array(say(keys[0], F.regexp_extract("node", pattern, 1))))
+        found += [F.when(is_node, r) for r in rows]
+    pairs = F.flatten(F.array_compact(F.array(*found)))
+    return whole.select(graph, "node", F.explode(pairs).alias("x")).select(graph, "node", "x.*")

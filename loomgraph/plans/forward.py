@@ -73,8 +73,14 @@ def observation_outcomes(
     for code in codes:
         known = known | has_code(F.col("code"), system, code)
     common = _common()
+    # one type of value and one of time, if the schema has several: none is chosen silently
+    several = F.lit(False)
+    for variants in (("valueQuantity", "valueString"), ("effectiveDateTime", "effectivePeriod")):
+        if set(variants) <= set(records.columns):
+            several = several | (routing.present_values(**{v: F.col(v) for v in variants}) == "several")
     return routing.route(rows, {
         "policy": common["policy"],
+        "several-types": (several, routing.SOURCE_ONLY),
         "status": common["status"],
         "code": (~F.coalesce(known, F.lit(False)), routing.SOURCE_ONLY),
         "modifier-extension": common["modifier-extension"],

@@ -22,8 +22,9 @@ from .sources.scratch import scratch, stored
 from .sources.store import GraphStore
 
 ENGINE = "loomgraph 2"
-#: Elements of each type that a map binds or declares as not mapped; others are listed as a diagnostic.
 KINDS = ("Observation", "Encounter", "MedicationAdministration")
+#: Elements outside the pinned schemas that a run's report names, the most frequent first.
+REPORTED = 100
 
 
 def _version_order() -> Column:
@@ -45,13 +46,27 @@ def _outcomes(m: MapContract, rows: DataFrame, rules: dict[str, DataFrame]) -> D
 GRAPHS = {"egfr": forward.observation_graph, "bp": forward.panel_graph, "encounter": forward.encounter_graph, "medication": forward.medication_graph}
 
 
-def run(spark: SparkSession, input_path: str, rules_path: str, store_path: str, run_seq: int | None = None, ontology: str = "1", terminology: str = "1", policy: str = "1") -> dict:
+def unknown_elements(spark: SparkSession, input_path: str) -> list[dict]:
+    """The most frequent top-level elements that the pinned schemas don't have, by type: Spark's reader drops them silently."""
+    raw = records.read_raw(spark, input_path).withColumn("kind", F.get_json_object("raw", "$.resourceType"))
+    found = []
+    for kind in KINDS:
+        allowed = [f.name for f in spark.createDataFrame([], records.SCHEMAS[kind]).schema.fields]
+        rows = routing.unknown_fields(raw.where(F.col("kind") == kind), "raw", allowed).select(F.explode("unknown").alias("element"))
+        found += [{"kind": kind, **r.asDict()} for r in rows.groupBy("element").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "element").limit(REPORTED).collect()]
+    return found
+
+
+def run(
+    spark: SparkSession, input_path: str, rules_path: str, store_path: str, run_seq: int | None = None, ontology: str = "1", terminology: str = "1", policy: str = "1", axioms_path: str | None = None
+) -> dict:
     """Transforms the records of ``input_path`` (JSON lines) that no committed run has done under the same map, ontology,
     terminology, policy and engine; returns counts by map, outcome and reason, and the run's id.
 
     Maps are checked before any data is read. Order of writes: outcomes, quads, lineage, validation, provenance, run
     record, and the pointer last: a run that dies is done anew, and one that repeats changes nothing. A graph with
-    violations of its map's target is stored and not pointed to: its record becomes rejected."""
+    violations of its map's target, or of the classes that ``axioms_path`` says exclude each other, is stored and not pointed
+    to: its record becomes rejected. The report names elements outside the pinned schemas."""
     contracts = [maps.egfr(), maps.blood_pressure(), maps.encounter(), maps.medication()]
     for m in contracts:
         if errors := [*check(m), *check_manifest(m)]:
@@ -60,7 +75,9 @@ def run(spark: SparkSession, input_path: str, rules_path: str, store_path: str,
     run_id = uuid.uuid4().hex
     if run_seq is None:
         run_seq = 1 + (store.table("run_record").agg(F.max("run_seq")).first()[0] or 0)
-    result: dict = {"run_id": run_id, "outcomes": []}
+    result: dict = {"run_id": run_id, "outcomes": [], "unknown": unknown_elements(spark, input_path)}
+    # the ontology's pairs of classes, as few as its axioms
+    disjoint = [(r.a, r.b) for r in records.read_axioms(spark, axioms_path).where("kind = 'disjoint'").collect()] if axioms_path else []
     switches: list[DataFrame] = []
     with scratch(spark) as folder:
         for kind in KINDS:
@@ -75,23 +92,40 @@ def run(spark: SparkSession, input_path: str, rules_path: str, store_path: str,
             keyed = chosen.withColumns({"ontology": F.lit(ontology), "terminology": F.lit(terminology), "policy": F.lit(policy), "engine": F.lit(ENGINE)})
             hashes = F.create_map(*[F.lit(x) for m in own for x in (m.map_id, m.pair_hash)])
             news = stored(state.pending(keyed.withColumn("pair_hash", F.element_at(hashes, F.col("map_id"))), store.committed()), folder)
-            for m in own:
+            named = {r.map_id for r in news.select("map_id").distinct().collect()}  # as few as the maps
+            if None in named:  # several maps fit: kept for inspection, and out of the graph
+                rows = news.where("map_id is null").withColumns({"outcome": F.lit(routing.REJECTED), "reasons": F.array(F.lit("map")), "graph_key": F.lit(None).cast("string")})
+                store.append("outcomes", rows.select("resource_key", F.coalesce("meta.versionId", F.lit("1")).alias("version"), "map_id", "outcome", "reasons", "graph_key", F.lit(run_id).alias("run_id"), *_clocks(rows)))
+                switches.append(rows.select("resource_key", "seq", "graph_key", "outcome"))
+            for m in (m for m in own if m.map_id in named):
                 done = stored(_outcomes(m, news.where(F.col("map_id") == m.map_id), rules), folder)
-                switches.append(_write(store, m, done, run_id, run_seq, folder, result))
-        store.switch(reduce(DataFrame.unionByName, switches), run_id, run_seq)
+                switches.append(_write(store, m, done, run_id, run_seq, folder, result, disjoint))
+        if switches:
+            store.switch(reduce(DataFrame.unionByName, switches), run_id, run_seq)
     return result
 
 
-def _write(store: GraphStore, m: MapContract, done: DataFrame, run_id: str, run_seq: int, folder: str, result: dict) -> DataFrame:
+def _clocks(rows: DataFrame) -> list[Column]:
+    """Three clocks, kept apart: only the first one enters the graph."""
+    effective = F.col("period.start") if "period" in rows.columns else F.col("effectiveDateTime")
+    issued = F.col("issued") if "issued" in rows.columns else F.lit(None).cast("string")
+    return [effective.alias("effective"), issued.alias("issued"), F.col("meta.lastUpdated").alias("last_updated")]
+
+
+def _write(store: GraphStore, m: MapContract, done: DataFrame, run_id: str, run_seq: int, folder: str, result: dict, disjoint: list[tuple[str, str]]) -> DataFrame:
     """Writes what a run has for one map; returns the rows for the pointer."""
     quads = stored(GRAPHS[m.map_id](done), folder)
-    bad = stored(graph.validate_target(quads, m).unionByName(graph.invariants(quads, m.types).select("graph_key", "s", "violation")), folder)
+    bad = graph.validate_target(quads, m).unionByName(graph.invariants(quads, m.types).select("graph_key", "s", "violation"))
+    if disjoint:
+        bad = bad.unionByName(graph.inconsistencies(quads, disjoint).withColumnRenamed("axiom", "violation"))
+    bad = stored(bad, folder)
     failed = bad.select(F.col("graph_key").alias("bad_key")).distinct()
     final = done.join(failed, F.col("graph_key") == F.col("bad_key"), "left").withColumns({
         "outcome": F.when(F.col("bad_key").isNotNull(), routing.REJECTED).otherwise(F.col("outcome")),
         "reasons": F.when(F.col("bad_key").isNotNull(), F.array(F.lit("target"))).otherwise(F.col("reasons")),
     })
-    slim = stored(final.select("resource_key", "seq", "graph_key", "outcome", "reasons", "source", "source_digest", F.coalesce("meta.versionId", F.lit("1")).alias("version"), *state.RUN_KEY[1:]), folder)
+    version = F.coalesce("meta.versionId", F.lit("1")).alias("version")
+    slim = stored(final.select("resource_key", "seq", "graph_key", "outcome", "reasons", "source", "source_digest", version, *_clocks(final), *state.RUN_KEY[1:]), folder)
     store.append("outcomes", slim.withColumns({"map_id": F.lit(m.map_id), "run_id": F.lit(run_id)}))
     store.append_graph(quads, run_id, m.map_id)
     # a source version and its map's hash are the same for all quads of a graph

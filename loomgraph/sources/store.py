@@ -6,6 +6,7 @@ pointer last, so that a crash leaves history that no pointer names and never hal
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from ..operators import state
 TABLES = {
     "quads_history": "graph_key string, s string, p string, o_kind string, o_value string, o_datatype string, run_id string, map_id string",
     "lineage": "graph_key string, quad_hash string, var string, is_constant boolean, constraint_id string, source_version string, pair_hash string, run_id string",
-    "outcomes": "resource_key string, version string, map_id string, outcome string, reasons array<string>, graph_key string, run_id string",
+    "outcomes": "resource_key string, version string, map_id string, outcome string, reasons array<string>, graph_key string, run_id string, effective string, issued string, last_updated string",
     "validation": "graph_key string, s string, violation string, run_id string",
     "run_record": "run_id string, run_seq long, resource_key string, source_version string, source_digest string, map_id string, pair_hash string, ontology string, terminology string, engine string, policy string, activity_time timestamp, graph_key string, validation_digest string, output_digest string",
     "current_pointer": "resource_key string, seq long, run_seq long, graph_key string, run_id string, outcome string",
@@ -28,12 +29,15 @@ class GraphStore:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
         for name, schema in TABLES.items():
-            spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*BY.get(name, ())).parquet(f"{self.folder}/{name}")
+            try:
+                self.table(name)
+            except AnalysisException:
+                spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*BY.get(name, ())).parquet(f"{self.folder}/{name}")
 
     def append(self, name: str, df: DataFrame) -> None:
         """Adds rows of exactly the table's columns."""
-        schema = self.table(name).schema
-        df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).write.mode("append").partitionBy(*BY.get(name, ())).parquet(f"{self.folder}/{name}")
+        fields = self.table(name).schema.fields
+        df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]).write.mode("append").partitionBy(*BY.get(name, ())).parquet(f"{self.folder}/{name}")
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}")

@@ -273,7 +273,10 @@ def test_a_run_from_input_to_store(spark, rules, tmp_path):
     for name in ("egfr", "bp", "encounter", "medication"):
         (source / f"{name}.json").write_text((FIXTURES / "r4" / f"{name}.json").read_text())
     first = running.run(spark, f"file://{source}", rules, folder)
+    assert [(x["kind"], x["element"]) for x in first["unknown"]] == []
     store = GraphStore(spark, folder)
+    clocks = store.table("outcomes").where("resource_key like '%egfr-clocks'").select("effective", "issued", "last_updated").first()
+    assert tuple(clocks) == ("2026-09-02T14:00:00Z", "2026-09-03T08:00:00Z", "2026-09-04T09:00:00Z")
     want = json.loads((FIXTURES / "expected/outcomes.json").read_text())
     got = {r.resource_key.split("/")[-1]: {"outcome": r.outcome, "reasons": r.reasons} for r in store.table("outcomes").collect()}
     assert got == want
@@ -294,16 +297,34 @@ def test_a_run_from_input_to_store(spark, rules, tmp_path):
     running.run(spark, f"file://{source}", rules, folder)
     of = lambda: [r.o_value for r in store.current().where("s = 'ex:egfr-result-456' and p = 'sulo:hasValue'").collect()]
     assert of() == ["60.0"] and store.table("quads_history").where("s = 'ex:egfr-result-456' and p = 'sulo:hasValue'").count() == 2
-    running.run(spark, f"file://{source}", rules, folder, terminology="2")  # all records again, in the same versions
-    assert of() == ["60.0"] and store.current().count() == n
     (source / "v3.json").write_text(json.dumps(change | {"meta": {"versionId": "11"}, "status": "entered-in-error"}))
-    running.run(spark, f"file://{source}", rules, folder, terminology="2")
+    last = running.run(spark, f"file://{source}", rules, folder, terminology="2")  # all records again in the same versions, and an error
     assert of() == [] and store.table("run_record").where(F.col("run_id") == first["run_id"]).count() == len(want)
+    assert store.current().select("run_id").distinct().collect()[0].run_id == last["run_id"] and store.current().count() == n - 20
     clean = f"file://{tmp_path}/other"
     running.run(spark, f"file://{source}", rules, clean, terminology="2")
     assert sorted(graph.graph_hash(GraphStore(spark, clean).current()).collect()) == sorted(graph.graph_hash(store.current()).collect())
 
 
+def test_a_run_that_dies_is_done_anew(spark, rules, tmp_path, monkeypatch):
+    source, folder = tmp_path / "in", f"file://{tmp_path}/store"
+    source.mkdir()
+    record = json.loads((FIXTURES / "r4/encounter.json").read_text().splitlines()[0])
+    (source / "e.json").write_text(json.dumps(record | {"surprise": 1}))
+    axioms = tmp_path / "axioms.json"
+    axioms.write_text(json.dumps({"kind": "disjoint", "a": "ex:ClinicalEncounter", "b": "sulo:Process"}))
+    with monkeypatch.context() as m:
+        m.setattr(GraphStore, "switch", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            running.run(spark, f"file://{source}", rules, folder)
+    store = GraphStore(spark, folder)
+    assert store.table("quads_history").where("map_id = 'encounter'").count() == 18 and store.current().count() == 0 and store.committed().count() == 0
+    again = running.run(spark, f"file://{source}", rules, folder)
+    assert store.current().count() == 18 and store.committed().count() == 1 and again["unknown"] == [{"kind": "Encounter", "element": "surprise", "n": 1}]
+    running.run(spark, f"file://{source}", rules, folder, ontology="2", axioms_path=f"file://{axioms}")  # an inconsistent graph isn't pointed to
+    assert store.current().count() == 0 and store.table("validation").where("violation = 'ex:ClinicalEncounter|sulo:Process'").count() == 1
+
+
 def test_a_run_refuses_bad_maps(spark, rules, tmp_path, monkeypatch):
     bad = MapContract("egfr", maps.egfr().spec | {"target": [{"label": "A", "types": [], "triples": []}]}, "")
     monkeypatch.setattr(maps, "egfr", lambda: bad)
