@@ -8,11 +8,15 @@
    unbounded one, and their parts are tied by their smallest members.
 3. Candidates whose signatures agree far enough tie classes into groups, by rounds of large-star and
    small-star joins. Two classes over the threshold agree in the first values of at least one order with
-   probability 1 - (1 - s^SHALLOW)^TREES (over 0.999999), and both are then in one group.
-4. Within a group every pair is decided on full sets: texts are dealt to tiles of two blocks of at most
-   ``BLOCK`` classes, where overlaps are counted through an inverted index. A large group is many tiles, so
-   links are exact at any size and a task holds a bounded number of texts. Tiles return a spanning forest, from
-   which the components follow by the same rounds.
+   probability 1 - (1 - s^SHALLOW)^TREES (over 0.999999). That they then are neighbours, or tied by rows between
+   them, isn't proved but measured: no link is missing against brute force (``tests/llm``).
+4. Within a group every pair that matters is decided on full sets. Sets travel as hashes. A group beyond one block
+   is linked to ``REPS`` representatives first, in slices that each hold some members and the representatives: one
+   pass over the group. What these links join needs no more comparing, so that the members outside the largest
+   such part alone are compared with all others, in tiles of two blocks, through an inverted index. Blocks have
+   ``BLOCK`` sets and ``WEIGHT`` hashes on average, as sets are dealt by a hash, and one set at least. Tiles return a
+   spanning forest, from which the components follow by the same rounds. A group of m near copies of which r are far
+   from all representatives costs m + m r / BLOCK sets of traffic; r grows with m where a group has no centre.
 
 Defined cases: texts without words (and null texts) have an empty set, are linked with nothing and are kept;
 repeated rows, and rows of one doc_id with different texts, are one node; rows with a null doc_id belong to the
@@ -26,18 +30,19 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, materialize
 
 TREES, SHALLOW, DEEP, LEVELS = 20, 3, 6, 8
-CROWDED, BLOCK = 4_096, 1_024
+CROWDED = 4_096
+REPS, BLOCK, WEIGHT = 4, 256, 1 << 21
 MARKS = 1 << 21
 #: A candidate's estimated similarity may lie this far (over 4 standard deviations) below the threshold.
 SLACK = 0.27
 HASHES = TREES * SHALLOW
-_CHUNK, _HELD = 16_384, 500_000
+_CHUNK, _HELD, _LONG = 16_384, 150_000, 64
 
 _rng = np.random.default_rng(20_240_229)
 _A = (_rng.integers(0, 2**31, HASHES).astype(np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -46,9 +51,11 @@ _B = _rng.integers(0, 2**32, HASHES).astype(np.uint32)
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > _HELD:
-            self.clear()
-        out = self[word] = xxhash.xxh3_64_intdigest(word)
+        out = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= _LONG:  # so that the table is bounded in bytes
+            if len(self) > _HELD:
+                self.clear()
+            self[word] = out
         return out
 
 
@@ -172,37 +179,120 @@ def _mark(name: str):
     return F.pmod(F.xxhash64(name), F.lit(MARKS)).cast("int")
 
 
+def _blocks(n: str, weight: str):
+    return F.ceil(F.greatest(F.col(n) / BLOCK, F.col(weight) / WEIGHT)).cast("int")
+
+
+def _spanning(names: list[int], links: Iterable[tuple[int, int]]) -> pa.Table:
+    """The links (a, b) of a spanning forest of places in ``names``."""
+    root = {n: n for n in names}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for x, y in links:
+        a, b = find(names[x]), find(names[y])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+    found = [(find(n), n) for n in root if find(n) != n]
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def _sets(table: pa.Table) -> tuple[list[int], list[np.ndarray], list[int]]:
+    """Nodes, sets and blocks of the rows, repeated ones once."""
+    rows = dict.fromkeys(zip(*(table.column(c).to_pylist() for c in ("node", "set", "block")), strict=True))
+    return [n for n, _, _ in rows], [np.frombuffer(s, np.uint64) for _, s, _ in rows], [b for _, _, b in rows]
+
+
+def _joined(mask: Column) -> Column:
+    """The representatives that those of a mask are joined with by sets linked to several (kinds: the masks of a group)."""
+    for _ in range(REPS - 1):
+        mask = F.aggregate("kinds", mask, lambda a, x: F.when(a.bitwiseAND(x["mask"]) != 0, a.bitwiseOR(x["mask"])).otherwise(a))
+    return mask
+
+
+def _sum(of: str, where) -> Column:
+    return F.aggregate("kinds", F.lit(0).cast("long"), lambda a, x: F.when(where(x["mask"]), a + x[of]).otherwise(a))
+
+
 def confirmed(docs: DataFrame, groups: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (a, b) that span the components of each tile, from (node, group) and the texts of the nodes."""
-    blocks = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = groups.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    """Links (a, b) that span the components of each group, from (node, group) and the texts of the nodes."""
     # Only texts of grouped nodes are worth a shuffle. A table of at most MARKS hashes, broadcast, sorts most of the
     # others out beforehand; how full it is changes the traffic and not the result.
-    marks = members.select(_mark("node").alias("mark")).distinct()
+    marks = groups.select(_mark("node").alias("mark")).distinct()
     likely = docs.select("doc_id", "text").join(F.broadcast(marks), _mark("doc_id") == F.col("mark"), "left_semi")
-    texts = likely.join(members, F.col("doc_id") == F.col("node")).select("node", "group", "block", "blocks", "text")
-    tiles = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.select("node", "block", "text", "group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-
-    def run(table: pa.Table) -> pa.Table:
-        rows = {(n, t): b for n, b, t in zip(*(table.column(c).to_pylist() for c in ("node", "block", "text")), strict=True)}
-        names = [n for n, _ in rows]
-        root = {n: n for n in names}
-
-        def find(x: int) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        for x, y in _links([shingles(t, k) for _, t in rows], list(rows.values()), percent):
-            a, b = find(names[x]), find(names[y])
-            if a != b:
-                root[max(a, b)] = min(a, b)
-        found = [(find(n), n) for n in root if find(n) != n]
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
-
-    return tiles.groupBy("group", "i", "j").applyInArrow(run, "a long, b long")
+
+    def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t, k) for t in batch.column(1).to_pylist()]
+            arrays = [batch.column(0).cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "set", "n"])
+
+    own = likely.mapInArrow(hashed, "doc_id long, set binary, n long").where("n > 0")
+    sets = materialize(own.join(groups, F.col("doc_id") == F.col("node")).select("node", "group", "set", "n"))
+    firsts = [F.min(F.struct(F.xxhash64("node", F.lit(i)), "node"))["node"] for i in range(REPS)]
+    sizes = sets.groupBy(F.col("group").alias("s_group")).agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("w"), F.array_distinct(F.array(*firsts)).alias("reps"))
+    sizes = materialize(sizes.select("s_group", _blocks("m", "w").alias("parts"), "reps"))
+    sized = sets.join(sizes, F.col("group") == F.col("s_group"))
+
+    def star(table: pa.Table) -> pa.Table:
+        names, found, block = _sets(table)
+        reps = [(i, -1 - b) for i, b in enumerate(block) if b < 0]
+        members = [x for x, b in enumerate(block) if b >= 0]
+        masks = []
+        for x in members:
+            mask = 0
+            for r, k in reps:
+                n = len(found[r]) + len(found[x])
+                small = min(len(found[r]), len(found[x]))
+                if 100 * small >= percent * (n - small):  # else sizes alone keep them apart
+                    shared = np.intersect1d(found[r], found[x], assume_unique=True).size
+                    mask |= int(100 * shared >= percent * (n - shared)) << k
+            masks.append(mask)
+        columns = {
+            "group": pa.array([table.column("group")[0].as_py()] * len(members), pa.int64()), "node": pa.array([names[x] for x in members], pa.int64()),
+            "set": pa.array([found[x].tobytes() for x in members], pa.binary()), "n": pa.array([len(found[x]) for x in members], pa.int64()), "mask": pa.array(masks, pa.int32()),
+        }
+        return pa.table(columns)
+
+    def tile(table: pa.Table) -> pa.Table:
+        names, found, block = _sets(table)
+        return _spanning(names, _links(found, block, percent))
+
+    zero = F.lit(0)
+    tiles = sized.where("parts = 1").select("node", "set", "group", zero.alias("block"), zero.alias("i"), zero.alias("j"))
+    links = None
+    if not sizes.where("parts > 1").isEmpty():
+        large = sized.where("parts > 1")
+        sliced = large.select("node", "group", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("slice"), "set", zero.alias("block"))
+        place = F.array_position("reps", F.col("node")).cast("int")
+        centres = large.where(place > 0).select("node", "group", F.explode(F.sequence(zero, F.col("parts") - 1)).alias("slice"), "set", (-place).alias("block"))
+        masks = materialize(sliced.unionByName(centres).groupBy("group", "slice").applyInArrow(star, "group long, node long, set binary, n long, mask int"))
+        # of each group by mask, 2^REPS at most: which representatives are joined, and which such part is the largest
+        kinds = masks.groupBy("group", "mask").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("w"))
+        kinds = kinds.groupBy(F.col("group").alias("k_group")).agg(F.collect_list(F.struct("mask", "m", "w")).alias("kinds"))
+        parts = F.transform(F.array(*[_joined(F.lit(1 << k)) for k in range(REPS)]), lambda c: F.struct(_sum("m", lambda x: x.bitwiseAND(c) != 0).alias("m"), c.alias("mask")))
+        kinds = kinds.withColumn("main", F.array_max(parts)["mask"])
+        inside, outside = (lambda x: x.bitwiseAND(F.col("main")) != 0), (lambda x: x.bitwiseAND(F.col("main")) == 0)
+        counted = kinds.select("k_group", "main", *[_sum(of, where).alias(f"{name}_{of}") for name, where in (("main", inside), ("rest", outside)) for of in ("m", "w")])
+        info = materialize(counted.select("k_group", "main", _blocks("main_m", "main_w").alias("n_main"), _blocks("rest_m", "rest_w").alias("n_rest")))
+        bits = F.array(*[F.lit(1 << k) for k in range(REPS)])
+        linked = F.filter("reps", lambda r, i: F.col("mask").bitwiseAND(F.get(bits, i)) != 0)
+        links = masks.select("group", "node", "mask").join(sizes, F.col("group") == F.col("s_group")).select("node", F.explode(linked).alias("rep"))
+        links = links.where("node <> rep").select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b"))
+        rest = F.col("mask").bitwiseAND(F.col("main")) == 0
+        dealt = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+        block = F.when(rest, dealt("n_rest")).otherwise(F.col("n_rest") + dealt("n_main"))
+        parted = masks.join(info.where("n_rest > 0"), F.col("group") == F.col("k_group")).select("node", "set", "group", block.alias("block"), "n_rest", (F.col("n_rest") + F.col("n_main")).alias("n_all"))
+        # a block of the rest meets every block, one of the main part those of the rest
+        others = F.sequence(zero, F.when(F.col("block") < F.col("n_rest"), F.col("n_all")).otherwise(F.col("n_rest")) - 1)
+        parted = parted.withColumn("other", F.explode(others))
+        tiles = tiles.unionByName(parted.select("node", "set", "group", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
+    found = tiles.groupBy("group", "i", "j").applyInArrow(tile, "a long, b long")
+    return found if links is None else found.unionByName(links)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
