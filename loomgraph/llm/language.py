@@ -12,7 +12,8 @@ that a document names is kept; the model has 4 * ``BUCKETS`` bytes for each, on
 
 Defined cases: empty and null texts have a flat likelihood, so the other terms decide; a missing or malformed
 declaration, address or host is a value of its own; ties go to the language first by name; repeated rows get
-equal answers; without documents of a known language the answer is null; other columns are left out.
+equal answers; without documents of a known language the answer is null; other columns are left out. A long text weighs
+more than a line, as its likelihood has more factors; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from .common import materialize
 from .html_text import extract
 
 SAMPLE, BUCKETS = 1_000, 1 << 15
-TEMPER, WEIGHTY = 0.25, 200.0
+TEMPER = 0.25  #: of the logarithm of the likelihood, whatever the length of the text
 STRENGTH = 4.0  #: pages that the level above counts for
 
 
@@ -83,9 +84,10 @@ def evidence(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
             out = []
             for text, html in zip(batch.column("content").to_pylist(), batch.column("is_html").to_pylist(), strict=True):
                 grams = _trigrams(extract(text) if html else text)
-                used = len(grams)
-                total = shared.value[grams].sum(axis=0, dtype=np.float64) if used and langs else np.zeros(len(langs))
-                total = total * TEMPER * min(1.0, WEIGHTY / max(1, used))
+                # by distinct trigrams, so that a very long text takes no more memory than its trigrams
+                seen = np.bincount(grams, minlength=BUCKETS)
+                at = np.flatnonzero(seen)
+                total = TEMPER * (seen[at].astype(np.float64) @ shared.value[at].astype(np.float64)) if langs else np.zeros(0)
                 p = np.exp(total - total.max()) if langs else total
                 out.append((p / p.sum() if langs else p).tolist())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keys), pa.array(out, pa.list_(pa.float64()))], names=[*keys, "p"])
@@ -94,9 +96,10 @@ def evidence(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
 
 
 def _sums(rows: DataFrame, by: str, n: int) -> DataFrame:
-    """The summed posteriors of each value of ``by``: (by_key, by_sum)."""
+    """The summed posteriors of each value of ``by``: (by_key, by_sum, by_total)."""
     each = rows.groupBy(by).agg(*[F.sum(F.get("p", F.lit(i))).alias(f"s{i}") for i in range(n)])
-    return each.select(F.col(by).alias(f"{by}_key"), F.array(*[f"s{i}" for i in range(n)]).alias(f"{by}_sum"))
+    each = each.select(F.col(by).alias(f"{by}_key"), F.array(*[f"s{i}" for i in range(n)]).alias(f"{by}_sum"))
+    return each.withColumn(f"{by}_total", F.aggregate(f"{by}_sum", F.lit(0.0), lambda a, x: a + x))
 
 
 def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], keys: list[str]) -> DataFrame:
@@ -108,14 +111,12 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], keys: list[st
         return rows.select(*keys, F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("probability"), F.lit(None).cast("string").alias("text_lang"), *labels)
     seen = materialize(evidence(rows, model))
     whole = seen.agg(*[F.coalesce(F.sum(F.get("p", F.lit(i))), F.lit(0.0)) for i in range(n)]).first()  # one number per language
-    out = seen.withColumn("all_sum", F.array(*[F.lit(x) for x in whole]))
+    out = seen.withColumn("all_sum", F.array(*[F.lit(x) for x in whole])).withColumn("all_total", F.lit(float(sum(whole))))
     values = ("host", "domain", "declared", "suffix")
     for by in values:
         sums = _sums(seen, by, n)
         out = out.join(sums, F.col(by).eqNullSafe(F.col(f"{by}_key")), "left")
     one = lambda name, i: F.get(name, i)
-    for name in ("all", *values):
-        out = out.withColumn(f"{name}_total", F.aggregate(f"{name}_sum", F.lit(0.0), lambda a, x: a + x))
 
     def log(p: Column, i: Column) -> Column:
         """Of one language by its place; a function of the place, so that the plan doesn't grow with the languages."""
