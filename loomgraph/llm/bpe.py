@@ -42,9 +42,9 @@ from .common import fresh, materialize
 
 LEXICON_SIZE = 32_768
 #: Distinct pieces, and characters of texts, that a counting task gathers before it counts their words.
-HELD, HELD_CHARS = 300_000, 64 << 20
+HELD, HELD_CHARS = 150_000, 32 << 20
 #: Characters of texts that are encoded together, pieces of one long text, and bytes of what is kept of pieces.
-CHUNK, SLICE, KEPT = 4 << 20, 500_000, 96 << 20
+CHUNK, SLICE, KEPT = 1 << 20, 150_000, 32 << 20
 #: Bytes from which a word is merged with a heap; and marks of no merge and of a part merged away.
 LONG, NEVER, GONE = 64, 1 << 30, -1
 
@@ -411,6 +411,13 @@ def coder(path: str, lexicon: bytes) -> Coder:
     return _CODERS[key]
 
 
+def column_texts(column: pa.Array, step: int = 256) -> Iterator[str]:
+    """The texts of a column, some at a time, so that a batch isn't held twice."""
+    for at in range(0, len(column), step):
+        for text in column.slice(at, step).to_pylist():
+            yield text or ""
+
+
 def frequent_words(docs: DataFrame, path: str, size: int = LEXICON_SIZE) -> DataFrame:
     """The most frequent words of all texts, ``size`` at most: word, n. Counts are summed per task, some
     ``HELD`` pieces at a time, then by word."""
@@ -430,11 +437,11 @@ def frequent_words(docs: DataFrame, path: str, size: int = LEXICON_SIZE) -> Data
 
         size = 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for special, part in v.pieces(text or ""):
+            for text in column_texts(batch.column(0)):
+                for special, part in v.pieces(text):
                     if not special:
                         pieces.update(part)
-                size += len(text or "")
+                size += len(text)
                 if len(pieces) >= HELD or size >= HELD_CHARS:
                     yield out()
                     size = 0
@@ -474,7 +481,7 @@ def encode(docs: DataFrame, path: str, size: int = LEXICON_SIZE, digests: bool =
         sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
         for batch in batches:
             n, first, second = [], [], []
-            for count, ids, decoded in code.encode(t or "" for t in batch.column(len(carry)).to_pylist()):
+            for count, ids, decoded in code.encode(column_texts(batch.column(len(carry)))):
                 n.append(count)
                 first.append(sha(ids) if digests else [int(i) for i in ids.split()])
                 second.append(sha(decoded) if digests else decoded)
