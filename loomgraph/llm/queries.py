@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_text, language, line_dedup, media, mixing, near_dups, quality, rules, warc
+from . import bpe, collocations, divergence, html_text, language, line_dedup, media, mixing, near_dups, quality, rules, toxicity, warc
 from .common import read
 
 
@@ -64,9 +64,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(docs.select("doc_id", "source", "text"), counts=True)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing_sources": mixing.SQL, "op6_warc": warc.SQL, "op8_quality_rules": rules.SQL, "op10_line_dedup": line_dedup.SQL}
+    return {"op5_mixing_sources": mixing.SQL, "op6_warc": warc.SQL, "op8_quality_rules": rules.SQL, "op10_line_dedup": line_dedup.SQL, "op11_phrase_collocations": collocations.SQL, "op13_source_divergence": divergence.SQL}
