@@ -5,7 +5,8 @@ inside a word, into those letters, and drops invisible characters. A text is the
 and entries of the lexicon are beginnings of words or, with the mark, whole words: an entry that has only one continuation
 is left to that continuation. Their weights are the logarithms of how much likelier toxic texts have them. An exception is
 a word, or a phrase of two words, that holds an entry and is not toxic itself; of entries and exceptions that overlap, the
-first and then the longest counts. A logistic function of the weights' sum, its rate by length and the length gives the score.
+first and then the longest counts. A logistic function of the weights' sum, its rate by length, the number of different
+entries and the length gives the score.
 
 Labels come only from rows whose crc32(doc_id) mod 5 is not 0, at most ``SAMPLE`` texts per class by the order of a hash of
 the id (a bound, not a share of the input); the lexicon has at most ``MOST_ENTRIES`` entries. All are parameters.
@@ -88,12 +89,13 @@ class Lexicon:
 
     def features(self, text: str | None) -> list[float]:
         words = fold(text)
-        weights = [w for _, _, w in self.matches(marked(words))]
-        total, n = sum(weights), len(words)
-        return [np.log1p(total), np.log1p(len(weights)), np.log1p(1000 * total / (n + 20)), np.log1p(n), float(bool(weights))]
+        whole = marked(words)
+        found = [(whole[start:end], w) for start, end, w in self.matches(whole)]
+        total, n = sum(w for _, w in found), len(words)
+        return [np.log1p(total), np.log1p(len(found)), np.log1p(len(set(found))), np.log1p(1000 * total / (n + 20)), np.log1p(n), float(bool(found))]
 
 
-WIDTH = 5
+WIDTH = 6
 
 
 def _beginnings(word: str) -> Iterator[str]:
