@@ -1,10 +1,10 @@
 """Collocations by contiguous pattern growth: occurrence pointers are projected per frequent prefix and extended to the right.
 
-The texts are read twice. The first pass counts words, and counts pairs of neighbouring words by hash in a table of fixed
-size (``BUCKETS`` counters that stop at the least frequency): a phrase can only be frequent if all its pairs are, so a pair
-whose bucket stays below is in none. The second pass projects pointers: one for every occurrence of a pair that may be
-frequent, with what stands to its right, at most two more words and only as long as the pairs may be frequent; pointers of
-one slice that agree are one with a number. Sorted by range, the pointers of a prefix stand together in the order of their
+The texts are read twice. The first pass counts words, and counts pairs and triples of neighbouring words by hash in tables
+of fixed size (``BUCKETS`` counters that stop at the least frequency): a phrase can only be frequent if all its pairs and
+triples are, so one whose bucket stays below is in none. The second pass projects pointers: one for every occurrence of a
+pair that may be frequent, with what stands to its right, at most two more words and only as long as the triples may be
+frequent; pointers of one slice that agree are one with a number. Sorted by range, the pointers of a prefix stand together in the order of their
 extensions, so that a task grows its prefixes depth first, reading its pointers once and holding one open phrase per
 length, whatever the size of a group. A prefix with more pointers than a task takes goes on in the next task: what is open
 at the edges of a task is passed on below the least frequency too and summed. Buckets that collide cost pointers, never
@@ -17,6 +17,7 @@ their names, play no part. Ties are broken as the ranking says, so that reruns a
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import groupby
@@ -31,13 +32,15 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Counters for hashed pairs of words: 16 MB in a task, 2 MB of bits in a broadcast, whatever the corpus.
-BUCKETS = 1 << 24
+#: Counters for hashed pairs and, behind them, for triples of words: 48 MB in a task, 6 MB of bits in a broadcast, whatever
+#: the corpus.
+PAIRS, TRIPLES = 1 << 24, 1 << 25
+BUCKETS = PAIRS + TRIPLES
 BLOCK = 1 << 16
 #: Bytes of text that a task works on at once, at least one text.
 SLICE = 8 << 20
 #: Different words that a task holds before it passes their counts on.
-MOST_WORDS = 400_000
+MOST_WORDS = 800_000
 LONGEST = 4
 
 _BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -76,15 +79,16 @@ class _Words:
         piece = np.cumsum(a == 10, dtype=np.int32)[starts]
         self.joined = piece[1:] == piece[:-1]
 
-    def pairs(self, lang: str) -> np.ndarray:
-        """The bucket of each word and the next, whether joined or not."""
+    def buckets(self, lang: str) -> tuple[np.ndarray, np.ndarray]:
+        """The bucket of each word and the next, and of each word and the next two, whether joined or not."""
         if len(self.ids) < 2:
-            return np.zeros(0, np.uint32)
-        own = pd.util.hash_array(self.dictionary.to_numpy(zero_copy_only=False), categorize=False)
+            return np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+        own = pd.util.hash_array(self.dictionary.to_numpy(zero_copy_only=False), categorize=False)[self.ids]
         salt = pd.util.hash_array(np.array([lang], object), categorize=False)
         with np.errstate(over="ignore"):
-            mixed = (own[self.ids[:-1]] * np.uint64(0x9E3779B97F4A7C15) + (own[self.ids[1:]] ^ salt)) * np.uint64(0xD6E8FEB86659FD93)
-        return (mixed >> np.uint64(40)).astype(np.uint32) & np.uint32(BUCKETS - 1)
+            two = (own[:-1] * np.uint64(0x9E3779B97F4A7C15) + (own[1:] ^ salt)) * np.uint64(0xD6E8FEB86659FD93)
+            three = ((two[:-1] ^ (two[:-1] >> np.uint64(32))) + own[2:]) * np.uint64(0x9E3779B97F4A7C15)
+        return (two >> np.uint64(40)).astype(np.uint32), (three >> np.uint64(39)).astype(np.uint32) + np.uint32(PAIRS)
 
 
 def _counting(least: int):
@@ -104,14 +108,15 @@ def _counting(least: int):
             n = np.bincount(w.ids, minlength=len(w.dictionary))
             words[lang][None] += len(w.ids)
             words[lang].update(dict(zip(w.dictionary.to_pylist(), n.tolist(), strict=True)))
-            at, n = np.unique(w.pairs(lang)[w.joined], return_counts=True)
+            two, three = w.buckets(lang)
+            at, n = np.unique(np.concatenate([two[w.joined], three[w.joined[:-1] & w.joined[1:]]]), return_counts=True)
             table[at] = np.minimum(table[at] + np.minimum(n, least), least)
             if sum(map(len, words.values())) > MOST_WORDS:
                 yield from flush()
         yield from flush()
         for i, part in enumerate(table.reshape(-1, BLOCK)):
             if part.any():
-                yield say([None], [None], [None], [i], [part.tobytes()])
+                yield say([None], [None], [None], [i], [zlib.compress(part, 1)])
 
     return count
 
@@ -124,13 +129,13 @@ def _summing(least: int):
         for block, own in groupby(rows, itemgetter(0)):
             total = np.zeros(BLOCK, np.uint8)
             for _, c in own:
-                total = np.minimum(total + np.frombuffer(c, np.uint8), least).astype(np.uint8)
-            yield pa.record_batch([pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["block", "counters"])
+                total = np.minimum(total + np.frombuffer(zlib.decompress(c), np.uint8), least).astype(np.uint8)
+            yield pa.record_batch([pa.array([block], pa.int32()), pa.array([zlib.compress(total, 1)], pa.binary())], names=["block", "counters"])
 
     return fold
 
 
-def frequent_pairs(counts: DataFrame, least: int) -> bytes:
+def frequent_buckets(counts: DataFrame, least: int) -> bytes:
     """The buckets that reach the least frequency, as bits: summed in parts first, so that no task reads what all tasks of
     the corpus have counted; what reaches the driver has a fixed size."""
     blocks = counts.where("block is not null").select("block", "counters", F.pmod(F.xxhash64("counters"), F.lit(64)).alias("part"))
@@ -138,7 +143,7 @@ def frequent_pairs(counts: DataFrame, least: int) -> bytes:
     full = some.repartition("block").sortWithinPartitions("block").mapInArrow(_summing(least), "block int, counters binary")
     bits = np.zeros((BUCKETS // BLOCK, BLOCK // 8), np.uint8)
     for r in full.collect():  # at most BUCKETS / BLOCK rows
-        bits[r.block] = np.packbits(np.frombuffer(r.counters, np.uint8) >= least)
+        bits[r.block] = np.packbits(np.frombuffer(zlib.decompress(r.counters), np.uint8) >= least)
     return bits.tobytes()
 
 
@@ -147,12 +152,14 @@ def _projecting(bits: bytes):
         may = np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool)
         for lang, texts in _slices(batches):
             w = _Words(texts)
-            ok = may[w.pairs(lang)] & w.joined
+            two, three = w.buckets(lang)
+            ok = may[two] & w.joined
             at = np.flatnonzero(ok)
             if not len(at):
                 continue
-            ids, ok = np.append(w.ids.astype(np.int64), [-1, -1, -1]), np.append(ok, [False, False, False])
-            columns = [ids[at], ids[at + 1], np.where(ok[at + 1], ids[at + 2], -1), np.where(ok[at + 1] & ok[at + 2], ids[at + 3], -1)]
+            on = np.append(may[three] & ok[:-1] & ok[1:], [False] * 3)  # goes on with a third word
+            ids = np.append(w.ids.astype(np.int64), [-1] * 3)
+            columns = [ids[at], ids[at + 1], np.where(on[at], ids[at + 2], -1), np.where(on[at] & on[at + 1], ids[at + 3], -1)]
             code, size = columns[0], len(w.dictionary) + 1
             for c in columns[1:]:  # pointers that agree get one number
                 code = pd.factorize(code * size + c + 1)[0].astype(np.int64)
@@ -215,7 +222,7 @@ def frequencies(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     counts = materialize(texts.mapInArrow(_counting(full), _COUNTS))
     sums = counts.where("block is null").groupBy("lang", "word").agg(F.sum("n").alias("f"))
     words = materialize(sums.where(F.col("word").isNull() | (F.col("f") >= least)))
-    bits = frequent_pairs(counts, full)
+    bits = frequent_buckets(counts, full)
     pointers = materialize(texts.mapInArrow(_projecting(bits), _POINTERS))
     order = ("lang", "prefix", "third", "fourth")
     grown = pointers.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_growing(least), "lang string, phrase string, f long")
