@@ -29,6 +29,8 @@ from __future__ import annotations
 
 import html as _html
 import re
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -43,8 +45,9 @@ from .common import materialize
 GRAM, STEP = 8, 12
 LONG, DEPTH = GRAM + STEP - 1, 28
 PAGES, COVERED = 3, 0.7
-#: Bits of the broadcast table that tells pages' windows that no other page has. How full it is changes the traffic alone.
-BITS = 1 << 24
+#: Bits, at most, of the broadcast table that tells pages' windows that no other page has: 16 MB. It is sized by the windows
+#: counted; how full it is changes the traffic alone.
+MOST_BITS = 1 << 27
 MAIN, CONTESTED, OUTSIDE = 0, 1, 2
 
 #: Fixed names of the markup.
@@ -91,9 +94,13 @@ PLAIN = {
 NOT = {"has", "with", "no", "without", "is"}
 SKIP, SKIP_COMMENTS, WEAK, HEADER = 1, 2, 3, 4
 
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>|<[!?/][^>]*>", re.S | re.I
-)
+_RAW = re.compile(rf"<({RAW})\b", re.I)
+_RAW_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW.split("|")}
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_REST = re.compile(r"[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*>")
+_STOPS = re.compile(r"[>\"']")
+#: References by more digits than any character has, which the library refuses to read: eight of them are too many as well.
+_HUGE = re.compile(r"&#([0-9]{8,});?")
 _MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _ROLE_MAIN = re.compile(r"\brole\s*=\s*[\"']?main\b", re.I)
 _CASES = re.compile(r"([a-z0-9])([A-Z])")
@@ -120,6 +127,78 @@ def marks(attributes: str) -> int:
     return found
 
 
+class _Ends:
+    """Where tags of a page end: at the first ``>`` outside quotes. Once a tag has been found without an end, quotes are looked
+    up in a table, and no place that led to no end is tried twice, so that a page of such tags takes linear time."""
+
+    def __init__(self, page: str):
+        self.page, self.stops = page, None
+
+    def after(self, place: int) -> int:
+        """The place behind the tag whose name ends at ``place``; -1 if it has no end."""
+        if self.stops is None:
+            if m := _REST.match(self.page, place):
+                return m.end()
+            self.stops = [m.start() for m in _STOPS.finditer(self.page)]
+            self.next, last = [-1] * len(self.stops), {}
+            for k in range(len(self.stops) - 1, -1, -1):
+                mark = self.page[self.stops[k]]
+                self.next[k] = last.get(mark, -1)
+                last[mark] = k
+            self.dead: set[int] = set()
+        k, seen = bisect_left(self.stops, place), []
+        while 0 <= k < len(self.stops) and k not in self.dead:
+            if self.page[self.stops[k]] == ">":
+                return self.stops[k] + 1
+            seen.append(k)
+            k = self.next[k] + 1 or -1
+        self.dead.update(seen)
+        return -1
+
+
+def tags(page: str) -> Iterator[tuple[int, int, bool, str | None, str]]:
+    """(start, end, whether it ends an element, name, attributes) of the tags of a page in order, each place read once. The name
+    is None for comments, declarations and elements whose content is no text, which are taken whole."""
+    ends, last, at = _Ends(page), page.rfind(">"), page.find("<")
+    while 0 <= at < last:
+        end = -1
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4) + 3
+            yield at, (end := end if end > 2 else len(page)), False, None, ""
+        elif raw := _RAW.match(page, at):
+            begin = page.find(">", raw.end()) + 1  # there is one, as the last is beyond
+            m = _RAW_ENDS[raw[1].lower()].search(page, begin)
+            yield at, (end := m.end() if m else len(page)), False, None, ""
+        elif (name := _NAME.match(page, at)) and (end := ends.after(name.end())) > 0:
+            yield at, end, bool(name[1]), name[2].lower(), page[name.end() : end - 1]
+        elif page[at + 1 : at + 2] in ("!", "?", "/"):
+            end = page.find(">", at + 2) + 1
+            if end:
+                yield at, end, False, None, ""
+        at = page.find("<", end if end > 0 else at + 1)
+    if at >= 0 and (at := page.find("<!--", at)) >= 0:
+        yield at, len(page), False, None, ""  # a comment without an end
+
+
+def _plain(piece: str) -> str:
+    """A piece of text with its references decoded."""
+    if "&" not in piece:
+        return piece
+    return _html.unescape(_HUGE.sub(lambda m: f"&#{m[1].lstrip('0')[:8] or 0};", piece))
+
+
+class _Later:
+    """Whether something still follows in a page, by its last place, which is looked up once."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, {}
+
+    def has(self, what: str, place: int) -> bool:
+        if what not in self.last:
+            self.last[what] = max((m.start() for m in re.finditer(re.escape(what), self.page, re.I)), default=-1)
+        return self.last[what] >= place
+
+
 def parse(page: str | None) -> tuple[list[str], list[int], bool]:
     """The page's text blocks in order without skipped parts, their kinds, and whether the page declares a main part."""
     page = page or ""
@@ -128,6 +207,9 @@ def parse(page: str | None) -> tuple[list[str], list[int], bool]:
     run: list[str] = []
     stack: list[list] = []  # [name, mark, whether it is a main part]
     names: list[str] = []  # the names in the stack
+    where: dict[str, list[int]] = defaultdict(list)  # the places of each name in it
+    skips: Counter = Counter()  # how many open elements are skipped, by what would end them
+    later = _Later(page)
     open_marks, mains, declared, at = [0, 0, 0, 0, 0], 0, False, 0
 
     def end_block() -> None:
@@ -144,50 +226,47 @@ def parse(page: str | None) -> tuple[list[str], list[int], bool]:
             end_block()
         del names[i:]
         while len(stack) > i:
-            _, mark, is_main = stack.pop()
+            name, mark, is_main = stack.pop()
+            where[name].pop()
             open_marks[mark] -= 1
             mains -= is_main
+            if mark == SKIP:
+                skips[end_of(name)] -= 1
 
     def close(wanted: set[str], beyond: set[str]) -> None:
-        for i in range(len(names) - 1, -1, -1):
-            if names[i] in wanted:
-                pop_to(i)
-                return
-            if names[i] in beyond:
-                return
+        """Closes the innermost of the wanted elements, if none of those beyond which they aren't looked for is within it."""
+        i = max((where[x][-1] for x in wanted if where.get(x)), default=-1)
+        if i >= 0 and i >= max((where[x][-1] for x in beyond if where.get(x)), default=-1):
+            pop_to(i)
+
+    def end_of(name: str) -> str:
+        return "" if name == "form" else f"</{name}" if name in SKIPPED or name == "header" else "<main"
 
     def lifted(end: int) -> bool:
         """Whether a main part that begins within skipped parts ends them: those that have no end tag, a form, and a part
         skipped by its name alone if no other main part follows."""
-        low = page[end:].lower()
-        for name, mark, _ in stack:
-            if mark == SKIP and name != "form" and (f"</{name}" in low if name in SKIPPED or name == "header" else "<article" in low or "<main" in low):
-                return False
-        return True
-
-    for m in _TOKEN.finditer(page):
-        if m.start() > at and not (open_marks[SKIP] or open_marks[SKIP_COMMENTS]):
-            piece = page[at : m.start()]
-            run.append(_html.unescape(piece) if "&" in piece else piece)
-        at = m.end()
-        name = m[3]
+        return not any(n > 0 and what and (later.has(what, end) or what == "<main" and later.has("<article", end)) for what, n in skips.items())
+
+    for start, end, ending, name, attributes in tags(page):
+        if start > at and not (open_marks[SKIP] or open_marks[SKIP_COMMENTS]):
+            run.append(_plain(page[at:start]))
+        at = end
         if name is None:
             continue
-        name, attributes = name.lower(), m[4]
         block = name in EVERY_BLOCK
         if not block and not attributes and len(stack) == open_marks[0] and name not in VOID:
             continue  # a part of a line that nothing depends on
-        if m[2]:  # an end tag
+        if ending:
             if block and run:
                 end_block()
-            if name in names:
+            if where.get(name):
                 close({name}, BEYOND.get(name, CELLS) if block else EVERY_BLOCK)
             continue
         if names and names[-1] == "head" and name not in IN_HEAD:
             pop_to(len(names) - 1)
         if block:
             if name in CLOSES_P:
-                if "p" in names:
+                if where.get("p"):
                     close({"p"}, P_SCOPE)
                 if name in HEADINGS and names and names[-1] in HEADINGS:
                     pop_to(len(names) - 1)
@@ -201,13 +280,14 @@ def parse(page: str | None) -> tuple[list[str], list[int], bool]:
         if mark == HEADER:
             mark = 0 if mains else SKIP
         is_main = name == "main" or name == "article" and not mark or "role" in attributes and _ROLE_MAIN.search(attributes) is not None
-        if is_main and not open_marks[SKIP_COMMENTS] and (not open_marks[SKIP] or not mains and lifted(m.end())):
+        if is_main and not open_marks[SKIP_COMMENTS] and (not open_marks[SKIP] or not mains and lifted(end)):
             mark = 0
-            for x in stack:  # the main part begins within something that isn't closed, or that wraps the page
+            for x in stack if open_marks[SKIP] else ():  # the main part begins within something that isn't closed, or that wraps the page
                 if x[1] == SKIP:
                     x[1] = 0
                     open_marks[SKIP] -= 1
                     open_marks[0] += 1
+            skips.clear()
         else:
             is_main = False
             if name in SKIPPED or name == "header" and not mains:
@@ -215,13 +295,16 @@ def parse(page: str | None) -> tuple[list[str], list[int], bool]:
             elif not block and mark == WEAK:
                 mark = 0  # a part of a line isn't decided alone
         if block or mark or open_marks[SKIP] or open_marks[SKIP_COMMENTS]:
+            where[name].append(len(stack))
             stack.append([name, mark, is_main])
             names.append(name)
             open_marks[mark] += 1
             mains += is_main
             declared |= is_main
+            if mark == SKIP:
+                skips[end_of(name)] += 1
     if not (open_marks[SKIP] or open_marks[SKIP_COMMENTS]):
-        run.append(_html.unescape(page[at:]))
+        run.append(_plain(page[at:]))
     end_block()
     if not (declared and any(k != OUTSIDE for k in kinds)):
         return texts, [CONTESTED] * len(texts), False
@@ -290,14 +373,42 @@ class Streams:
         return np.array([_body(texts) for texts, _, _ in self.parsed], np.int64)
 
 
-def streams(hosts: list[int], pages: list[str | None]) -> Iterator[Streams]:
-    """The pages in their order, by CHUNK characters or so."""
-    at, size = 0, 0
-    for i, page in enumerate(pages):
-        size += len(page or "")
-        if size >= CHUNK or i + 1 == len(pages):
-            yield Streams(hosts[at : i + 1], [parse(x) for x in pages[at : i + 1]])
-            at, size = i + 1, 0
+BLOCKS_OF = "host long, texts array<string>, kinds array<int>, declared boolean"
+
+
+def parsed(pages: DataFrame) -> DataFrame:
+    """page_id, url, host and the blocks of every page, parsed once."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple] = []
+            at = size = 0
+            for i, page in enumerate(batch["html"]):
+                found.append(parse(page.as_py()))
+                size += sum(map(len, found[-1][0]))
+                if size >= CHUNK or i + 1 == batch.num_rows:
+                    columns = (pa.array([x[k] for x in found], t) for k, t in enumerate((pa.list_(pa.string()), pa.list_(pa.int32()), pa.bool_())))
+                    rows = batch.slice(at, len(found))
+                    yield pa.record_batch([rows["page_id"], rows["url"], rows["host"], *columns], names=["page_id", "url", "host", "texts", "kinds", "declared"])
+                    found, at, size = [], i + 1, 0
+
+    return pages.select("page_id", "url", _host(F.col("url")).alias("host"), "html").mapInArrow(run, f"{_fields(pages)}, {BLOCKS_OF}")
+
+
+def _fields(pages: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select("page_id", "url").schema.fields)
+
+
+def streams(batch: pa.RecordBatch) -> Iterator[Streams]:
+    """The parsed pages of a batch in their order, by CHUNK characters or so."""
+    hosts, at, size = batch["host"].to_pylist(), 0, 0
+    pages: list[tuple] = []
+    for i, page in enumerate(zip(batch["texts"], batch["kinds"], batch["declared"], strict=True)):
+        pages.append(tuple(x.as_py() for x in page))
+        size += sum(map(len, pages[-1][0]))
+        if size >= CHUNK or i + 1 == len(hosts):
+            yield Streams(hosts[at : i + 1], pages)
+            pages, at, size = [], i + 1, 0
 
 
 def near(places: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -332,27 +443,29 @@ def candidates(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in streams(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for part in streams(batch):
                 own = (part.bodies() & 0x7FFFFFFF).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(part.fps), pa.array(own[part.owner])], names=["fp", "body"])
 
-    rows = pages.select(_host(F.col("url")).alias("host"), "html").mapInArrow(run, "fp long, body int")
+    rows = pages.select("host", "texts", "kinds", "declared").mapInArrow(run, "fp long, body int")
     both = rows.groupBy("fp").agg(F.min("body").alias("lo"), F.max("body").alias("hi"))
     return both.where("lo <> hi").select("fp")
 
 
 def bitmap(fps: DataFrame) -> np.ndarray:
-    """A table of BITS bits, of which each fingerprint sets one; it comes to the driver as at most BITS / 32,768 rows."""
-    place = F.pmod(F.col("fp"), F.lit(BITS))
+    """A table of 16 bits for each fingerprint, MOST_BITS at most, of which each one sets one; it comes to the driver as one row
+    for every 32,768 bits."""
+    size = min(MOST_BITS, 1 << max(20, (16 * fps.count()).bit_length()))
+    place = F.pmod(F.col("fp"), F.lit(size))
     rows = fps.groupBy(F.shiftright(place, 15).alias("bucket")).agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit(32_767))).alias("bits")).collect()
-    out = np.zeros(BITS, bool)
+    out = np.zeros(size >> 3, np.uint8)
     for r in rows:
-        out[r.bucket << 15 : (r.bucket + 1) << 15] = np.unpackbits(np.frombuffer(r.bits, np.uint8), bitorder="little")
-    return np.packbits(out, bitorder="little")
+        out[r.bucket << 12 : (r.bucket + 1) << 12] = np.frombuffer(r.bits, np.uint8)
+    return out
 
 
 def likely(fps: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    place = fps % BITS
+    place = fps % (len(bits) << 3)
     return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
@@ -361,7 +474,7 @@ def suffixes(pages: DataFrame, bits) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in streams(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for part in streams(batch):
                 hit = likely(part.fps, bits.value)
                 owner = part.owner[hit]
                 starts = near(part.places[hit], part.bounds[owner], part.bounds[owner + 1])
@@ -371,7 +484,7 @@ def suffixes(pages: DataFrame, bits) -> DataFrame:
                 bodies = part.bodies()[owner] if len(owner) else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(part.hosts[owner]), _binary(keys), pa.array(bodies)], names=["host", "key", "body"])
 
-    return pages.select(_host(F.col("url")).alias("host"), "html").mapInArrow(run, "host long, key binary, body long")
+    return pages.select("host", "texts", "kinds", "declared").mapInArrow(run, "host long, key binary, body long")
 
 
 def common_prefixes(keys: np.ndarray, hosts: np.ndarray) -> np.ndarray:
@@ -435,15 +548,15 @@ def decide(texts: list[str], kinds: list[int], declared: bool, repeated: np.ndar
 def main_text(pages: DataFrame) -> DataFrame:
     """Per row of ``pages``: page_id, url, text, n_chars, n_repeated."""
     spark = pages.sparkSession
-    bits = spark.sparkContext.broadcast(bitmap(materialize(candidates(pages))))
-    rows = materialize(suffixes(pages, bits))
+    source = materialize(parsed(pages))
+    bits = spark.sparkContext.broadcast(bitmap(materialize(candidates(source))))
+    rows = materialize(suffixes(source, bits))
     found = materialize(repeats(rows).withColumnsRenamed({"host": "r_host", "start": "r_start"}))
     start = F.substring("key", 1, 2 * LONG)
     shared = rows.select("host", "body", start.alias("start")).join(found, (F.col("host") == F.col("r_host")) & (F.col("start") == F.col("r_start")))
     # one list for each distinct page, no longer than the page
     lists = materialize(shared.groupBy(F.col("host").alias("l_host"), F.col("body").alias("l_body")).agg(F.collect_set("start").alias("starts")))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select("page_id", "url").schema.fields)
-    source = pages.select("page_id", "url", _host(F.col("url")).alias("host"), "html")
+    fields = _fields(pages)
     answer = fields + ", text string, n_chars long, n_repeated long"
 
     def answers(ids: list, batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -455,7 +568,7 @@ def main_text(pages: DataFrame) -> DataFrame:
         """Pages without a window that another page may have."""
         for batch in batches:
             out, kept, at = [], [], 0
-            for part in streams(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for part in streams(batch):
                 hits = set(part.owner[likely(part.fps, bits.value)].tolist())
                 for i, (texts, kinds, declared) in enumerate(part.parsed):
                     if i not in hits:
@@ -465,17 +578,16 @@ def main_text(pages: DataFrame) -> DataFrame:
             yield answers(out, batch.take(pa.array(kept, pa.int64())))
 
     def shares(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The others, parsed, to be joined with their repeats."""
+        """The others, to be joined with their repeats."""
         for batch in batches:
-            parsed, kept, at = [], [], 0
-            for part in streams(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            bodies, kept, at = [], [], 0
+            for part in streams(batch):
                 for i in sorted(set(part.owner[likely(part.fps, bits.value)].tolist())):
-                    parsed.append(part.parsed[i])
+                    bodies.append(_body(part.parsed[i][0]))
                     kept.append(at + i)
                 at += len(part.parsed)
             rows = batch.take(pa.array(kept, pa.int64()))
-            texts, kinds, declared = (pa.array([x[k] for x in parsed], t) for k, t in enumerate((pa.list_(pa.string()), pa.list_(pa.int32()), pa.bool_())))
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), rows.column(2), texts, kinds, declared, pa.array([_body(x[0]) for x in parsed], pa.int64())], names=["page_id", "url", "host", "texts", "kinds", "declared", "body"])
+            yield pa.record_batch([*rows.columns, pa.array(bodies, pa.int64())], names=[*rows.schema.names, "body"])
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -485,6 +597,6 @@ def main_text(pages: DataFrame) -> DataFrame:
                 out.append((" ".join(decide(texts, kinds, declared, repeated)), int(repeated.sum())))
             yield answers(out, batch)
 
-    joined = source.mapInArrow(shares, fields + ", host long, texts array<string>, kinds array<int>, declared boolean, body long").join(lists, (F.col("host") == F.col("l_host")) & (F.col("body") == F.col("l_body")), "left")
+    joined = source.mapInArrow(shares, f"{fields}, {BLOCKS_OF}, body long").join(lists, (F.col("host") == F.col("l_host")) & (F.col("body") == F.col("l_body")), "left")
     both = joined.select("page_id", "url", "texts", "kinds", "declared", "starts").mapInArrow(cut, answer)
     return source.mapInArrow(alone, answer).unionByName(both)

@@ -144,7 +144,7 @@ def host_of(url: Column) -> Column:
 
 def page_rows(pages: DataFrame) -> DataFrame:
     host = host_of(F.col("url"))
-    declared = F.nullif(F.lower(F.regexp_extract("html", r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b", 1)), F.lit(""))
+    declared = F.nullif(F.lower(F.regexp_extract("html", r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b", 1)), F.lit(""))
     return pages.select(
         F.lit(None).cast("long").alias("doc_id"), F.col("page_id").cast("long").alias("page_id"), declared.alias("declared"),
         F.nullif(F.regexp_extract(host, r"\.([a-z]{2,})$", 1), F.lit("")).alias("suffix"), host.alias("host"),
