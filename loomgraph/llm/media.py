@@ -1,7 +1,8 @@
 """Media columns: texts stored as WAV, read back, and fingerprinted by spectral peaks.
 
 A text's UTF-8 bytes, filled with spaces up to a positive multiple of 192, become the samples of an 8-bit
-mono WAV file, byte for byte. The stored file is read back with the ``wave`` module and cut into
+mono WAV file, byte for byte, which is written as a binary column (``store``). What is written is read back
+from there (``features``), with the ``wave`` module, and cut into
 overlapping frames; of each frame's short-time Fourier transform the strongest bins in three bands are
 its peaks, and pairs of a peak with the strongest peaks of the next frames give the fingerprint: for each
 pair its time (frame number) and its code (first bin, second bin, distance). A frame is worked on as part
@@ -24,10 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 UNIT, RATE = 192, 8_000
 FRAME, HOP, REACH = 384, 192, 2
 #: Bands of Fourier bins, low to high; one peak is taken in each.
 BANDS = ((4, 24), (24, 72), (72, 193))
+#: Bytes of texts or files that are passed on together.
+BYTES = 8 << 20
 #: Frames that are transformed at a time.
 BLOCK = 2_048
 SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, pair_times array<int>, pair_codes array<int>"
@@ -85,22 +90,48 @@ def fingerprint(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
     return t[order], c[order]
 
 
-def media(docs: DataFrame, text: Column | None = None) -> DataFrame:
-    """One row per document: the payload read back from the stored file, its checksums, the stored form's
-    digest, and the fingerprint (pair_times, pair_codes; ``feature`` is their number and digest)."""
+def _rows(batches: Iterable[pa.RecordBatch], schema: pa.Schema, row) -> Iterator[pa.RecordBatch]:
+    """``row`` of every row, in batches of BYTES or so."""
+    for batch in batches:
+        rows, size = [], 0
+        for values in zip(*batch.columns, strict=True):
+            rows.append(row(*(v.as_py() for v in values)))
+            size += len(values[-1].as_buffer() or b"") if values[-1].is_valid else 0
+            if size >= BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+
+def store(docs: DataFrame, text: Column | None = None) -> DataFrame:
+    """The media table: doc_id, n_bytes and ``wav``, the stored form of each text, written as Parquet."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("wav", pa.binary())])
+
+    def row(doc_id: int, text: str | None) -> tuple:
+        n, raw = payload(text)
+        return doc_id, n, to_wav(raw)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("text") if text is None else text).alias("text"))
+    return materialize(rows.mapInArrow(lambda b: _rows(b, schema, row), "doc_id long, n_bytes long, wav binary"))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def features(stored: DataFrame) -> DataFrame:
+    """One row per stored file: the payload read back, its checksums, the file's digest, and the fingerprint (pair_times,
+    pair_codes; ``feature`` is their number and digest)."""
+    kinds = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+    schema = pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in SCHEMA.split(", "))])
+
+    def row(doc_id: int, n: int, wav: bytes) -> tuple:
         sha = lambda b: hashlib.sha256(b).hexdigest()
-        schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string()), ("pair_times", pa.list_(pa.int32())), ("pair_codes", pa.list_(pa.int32()))])
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                n, raw = payload(text)
-                stored = to_wav(raw)
-                back = from_wav(stored)
-                times, codes = fingerprint(back)
-                digest = sha(times.astype("<i4").tobytes() + codes.astype("<i4").tobytes())
-                rows.append((doc_id, n, len(back), sha(back), zlib.crc32(back[-16:]), len(stored), sha(stored), f"{len(codes)}:{digest}", times, codes))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)] if rows else [pa.array([], f.type) for f in schema], schema=schema)
-
-    return docs.select("doc_id", (F.col("text") if text is None else text).alias("text")).mapInArrow(run, SCHEMA)
+        back = from_wav(wav)
+        times, codes = fingerprint(back)
+        digest = sha(times.astype("<i4").tobytes() + codes.astype("<i4").tobytes())
+        return doc_id, n, len(back), sha(back), zlib.crc32(back[-16:]), len(wav), sha(wav), f"{len(codes)}:{digest}", times, codes
+
+    return stored.select("doc_id", "n_bytes", "wav").mapInArrow(lambda b: _rows(b, schema, row), SCHEMA)
+
+
+def media(docs: DataFrame, text: Column | None = None) -> DataFrame:
+    """One row per document: ``features`` of what ``store`` has written."""
+    return features(store(docs, text))
