@@ -85,12 +85,12 @@ def _log_factorial(n: Column) -> Column:
 
 
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
-    """P(at most k of n) for k <= n p: the largest term times a falling series, which 20,000 terms
-    exhaust to double precision for any n below 10**8."""
+    """P(at most k of n) for k <= n p: the largest term times a falling series, which 40 standard deviations of
+    the binomial and 1,000 terms exhaust to double precision for any n."""
     k, n = k.cast("double"), n.cast("double")
     largest = F.exp(_log_factorial(n) - _log_factorial(k) - _log_factorial(n - k) + k * math.log(p) + (n - k) * math.log1p(-p))
     step = lambda acc, i: F.struct((acc["t"] * (k - i + 1) / (n - k + i) * ((1 - p) / p)).alias("t"), (acc["s"] + acc["t"]).alias("s"))
-    terms = F.sequence(F.lit(1), F.least(k.cast("int") + 1, F.lit(20_000)))
+    terms = F.sequence(F.lit(1), F.least(k + 1, 40 * F.sqrt(n * p * (1 - p)) + 1_000).cast("int"))
     return largest * F.aggregate(terms, F.struct(F.lit(1.0).alias("t"), F.lit(0.0).alias("s")), step, lambda acc: acc["s"])
 
 
