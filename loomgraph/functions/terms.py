@@ -46,6 +46,20 @@ def norm_ref(reference: Column, base: Column) -> Column:
     return F.when(F.startswith(plain, F.lit("#")), plain).when(F.rlike(plain, F.lit("^[A-Za-z][A-Za-z0-9+.-]*:")), plain).when(F.rlike(plain, F.lit("^[A-Za-z]+/[^/]+$")), F.concat(base, F.lit("/"), plain))
 
 
+def relative_ref(reference: Column, base: str) -> Column:
+    """A reference as identity tables have it: relative, and without the version that it names. Only those that need it pay."""
+    longer = F.contains(reference, F.lit("/_history/")) | F.startswith(reference, F.lit(base + "/"))
+    return F.when(longer, F.regexp_replace(F.replace(reference, F.lit(base + "/"), F.lit("")), r"/_history/[^/]*$", "")).otherwise(reference)
+
+
+def local_id(ident: Column, prefix: str) -> Column:
+    """The part of an id that node keys take: without the prefix that ids of its kind have, and marked where an id has none, so
+    that no two ids share a key."""
+    rest = F.substring(ident, F.lit(len(prefix) + 1), F.length(ident))
+    plain = F.when(F.startswith(ident, F.lit(prefix)), rest).otherwise(F.concat(F.lit("~."), ident))
+    return F.when(F.contains(ident, F.lit("~")), F.when(F.startswith(ident, F.lit(prefix)), F.replace(rest, F.lit("~"), F.lit("~~"))).otherwise(F.concat(F.lit("~."), F.replace(ident, F.lit("~"), F.lit("~~"))))).otherwise(plain)
+
+
 def quality_key(policy: str, name: str, person: Column, source: Column, time: Column, code: Column) -> Column:
     """``persistent``: one quality per person; ``observation``: one per observation, time and code."""
     if policy == "persistent":

@@ -79,11 +79,25 @@ def validate_target(quads: DataFrame, m) -> DataFrame:
     return whole.select("graph_key", "s", F.explode(F.array_compact(F.array(*bad))).alias("violation"))
 
 
+def multiset_hash(line: Column) -> Column:
+    """An aggregate that is the same for the same lines in any order and split: their number, and two sums of 60 bits each of
+    their SHA-256. Sums are decimals, which 10**19 lines don't fill; partial sums meet in any order."""
+    hexes = F.sha2(line.cast("binary"), 256)
+    part = lambda at: F.sum(F.conv(F.substring(hexes, at, 15), 16, 10).cast("decimal(20,0)")).cast("decimal(38,0)").cast("string")
+    return F.concat_ws("-", F.count(F.lit(1)).cast("string"), part(1), part(16))
+
+
 def validation_digest(violations: DataFrame) -> str:
-    """A digest of a validation report that doesn't depend on the order of its rows: counts by violation, which are as few
-    as the rules of the map."""
-    rows = violations.groupBy("violation").agg(F.count(F.lit(1)).alias("n"), F.sum(F.crc32(F.concat_ws(" ", "graph_key", "s").cast("binary"))).alias("sum"))
-    return rows.agg(F.sha2(F.coalesce(F.array_join(F.array_sort(F.collect_list(F.concat_ws("|", "violation", "n", "sum"))), "\n"), F.lit("")), 256)).first()[0]
+    """A digest of a validation report that doesn't depend on the order of its rows. Fields are parted so that none runs into
+    the next."""
+    line = F.to_json(F.struct("graph_key", "s", "violation"), {"ignoreNullFields": "false"})
+    return violations.agg(F.sha2(multiset_hash(line).cast("binary"), 256)).first()[0]
+
+
+def set_hashes(quads: DataFrame) -> DataFrame:
+    """(graph_key, h): a hash of each graph as a set, by sums and so without its lines in one place."""
+    line = F.to_json(F.struct(*KEYS[1:]), {"ignoreNullFields": "false"})
+    return quads.select("graph_key", line.alias("line")).distinct().groupBy("graph_key").agg(multiset_hash(F.col("line")).alias("h"))
 
 
 def graph_diff(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -92,6 +106,22 @@ def graph_diff(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
     return a.subtract(b), b.subtract(a)
 
 
+def graph_diff_by_hash(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(removed, added) as sets, in two levels: graphs are compared by their hashes first, and the quads of those that differ,
+    or that one side lacks, alone are compared. For stores of which most graphs stay as they are; where the hashes were kept
+    from an earlier comparison, give them as ``set_hashes`` of both sides costs one grouping each."""
+    a, b = set_hashes(old).withColumnsRenamed({"graph_key": "a_key", "h": "a_h"}), set_hashes(new).withColumnsRenamed({"graph_key": "b_key", "h": "b_h"})
+    changed = a.join(b, F.col("a_key") == F.col("b_key"), "full").where(~F.col("a_h").eqNullSafe(F.col("b_h"))).select(F.coalesce("a_key", "b_key").alias("changed"))
+    only = lambda q: q.select(*KEYS).join(changed, F.col("graph_key") == F.col("changed"), "left_semi")
+    return graph_diff(only(old), only(new))
+
+
+def key_collisions(quads: DataFrame, record: str, classes: list[str]) -> DataFrame:
+    """(node, n): nodes of classes of which every record has its own, that come from several records (column ``record``)."""
+    own = quads.where((F.col("p") == "rdf:type") & F.col("o_value").isin(*classes))
+    return own.groupBy(F.col("s").alias("node")).agg(F.count_distinct(record).alias("n")).where("n > 1")
+
+
 def union_graphs(*graphs: DataFrame) -> DataFrame:
     out = graphs[0]
     for g in graphs[1:]:
@@ -198,7 +228,7 @@ def inconsistencies(quads: DataFrame, disjoint: list[tuple[str, str]]) -> DataFr
     return types.withColumn("axiom", F.explode(hit)).select("graph_key", "s", "axiom")
 
 
-#: Characters that an IRI may not hold, apart from control characters: they are percent-encoded on export.
+#: Characters that an IRI may not hold, apart from control characters: all are percent-encoded on export, so that none is lost.
 NOT_IN_IRIS = {" ": "%20", "<": "%3C", ">": "%3E", '"': "%22", "{": "%7B", "}": "%7D", "|": "%7C", "^": "%5E", "`": "%60", "\\": "%5C"}
 
 
@@ -211,8 +241,8 @@ def to_nquads(quads: DataFrame, prefixes: dict[str, str]) -> DataFrame:
         prefix = F.split_part(c, F.lit(":"), F.lit(1))
         name = F.element_at(table, prefix)
         out = F.when(name.isNotNull(), F.concat(name, F.substring(c, F.length(prefix) + 2, F.length(c)))).otherwise(c)
-        safe = F.regexp_replace(out, r"[\x00-\x1F\x7F]", "")
-        for character, code in NOT_IN_IRIS.items():
+        safe = out
+        for character, code in (NOT_IN_IRIS | {chr(i): f"%{i:02X}" for i in (*range(1, 32), 127)}).items():
             safe = F.replace(safe, F.lit(character), F.lit(code))
         return F.concat(F.lit("<"), F.when(F.rlike(out, F.lit(r'[\x00-\x20\x7F<>"{}|^`\\]')), safe).otherwise(out), F.lit(">"))
 

@@ -25,11 +25,16 @@ def present_values(**variants: Column) -> Column:
 
 
 def resolve_identity(rows: DataFrame, reference: str, identity_map: DataFrame) -> DataFrame:
-    """``rows`` with person_iri and n_candidates. Candidates are counted before the join, so an ambiguous reference
-    never multiplies rows; its person is null, as is that of an unknown one."""
-    known = identity_map.groupBy(F.col("source_ref").alias("ref_key")).agg(F.count_distinct("person_iri").alias("n_candidates"), F.min("person_iri").alias("one"))
+    """``rows`` with person_iri and n_candidates, and the evidence of the identity table, if it has any, after that of earlier
+    references. Candidates are counted before the join, so an ambiguous reference never multiplies rows; its person is null, as
+    is that of an unknown one."""
+    shown = "evidence" in identity_map.columns
+    n = F.min("evidence").alias("why") if shown else F.lit(None).cast("string").alias("why")
+    known = identity_map.groupBy(F.col("source_ref").alias("ref_key")).agg(F.count_distinct("person_iri").alias("n_candidates"), F.min("person_iri").alias("one"), n)
     out = rows.join(known, F.col(reference) == F.col("ref_key"), "left")
-    return out.withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0))).withColumn("person_iri", F.when(F.col("n_candidates") == 1, F.col("one"))).drop("ref_key", "one")
+    if shown:
+        out = out.withColumn("evidence", F.concat_ws("; ", *[F.col("evidence")] * ("evidence" in rows.columns), "why"))
+    return out.drop("why").withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0))).withColumn("person_iri", F.when(F.col("n_candidates") == 1, F.col("one"))).drop("ref_key", "one")
 
 
 def resolve_refs(rows: DataFrame, reference: Column, targets: DataFrame, key: str, contained: Column | None = None) -> DataFrame:

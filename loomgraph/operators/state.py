@@ -34,7 +34,7 @@ def replace(pointer: DataFrame, outcomes: DataFrame, run_id: str, run_seq: int)
     graph; any other outcome retracts. A later run of the current version replaces it (a new map, a new policy); an
     earlier version, and a run that isn't later, change nothing. Of versions in one run the last counts."""
     now = latest(pointer, "resource_key", *ORDER).select(F.col("resource_key").alias("k"), *[F.col(c).alias(f"now_{c}") for c in ORDER])
-    news = latest(outcomes.withColumn("run_seq", F.lit(run_seq).cast("long")), "resource_key", "seq").join(now, F.col("resource_key") == F.col("k"), "left")
+    news = latest(outcomes.withColumn("run_seq", F.lit(run_seq).cast("long")), "resource_key", "seq", "graph_key").join(now, F.col("resource_key") == F.col("k"), "left")
     news = news.where("k is null or seq > now_seq or (seq = now_seq and run_seq > now_run_seq)")
     return news.select("resource_key", "seq", "run_seq", F.when(F.col("outcome") == "mapped", F.col("graph_key")).alias("graph_key"), F.lit(run_id).alias("run_id"), "outcome")
 
@@ -46,8 +46,14 @@ def retract(pointer: DataFrame, keys: DataFrame, run_id: str, run_seq: int) -> D
     return now.select("resource_key", "seq", F.lit(run_seq).cast("long").alias("run_seq"), F.lit(None).cast("string").alias("graph_key"), F.lit(run_id).alias("run_id"), F.lit("source-only").alias("outcome"))
 
 
+def committed(run_record: DataFrame, commit_log: DataFrame) -> DataFrame:
+    """Records of runs that the log names. The log is written after the pointer, so a run that died before has no part in it,
+    and a record counts as done whatever its run made of it: mapped, late, ambiguous or retracted since."""
+    return run_record.join(commit_log.select("run_id").distinct(), "run_id", "left_semi")
+
+
 def pending(contexts: DataFrame, committed: DataFrame) -> DataFrame:
-    """Contexts whose full run key no committed run has; a run counts only once its pointer is written."""
+    """Contexts whose full run key no committed run has."""
     on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"done_{c}")) for c in RUN_KEY])
     done = committed.select(*[F.col(c).alias(f"done_{c}") for c in RUN_KEY]).distinct()
     return contexts.join(done, on, "left_anti")

@@ -6,11 +6,13 @@ isn't supported" keep the source only; failures of identity, unit, value or time
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import maps
-from ..functions.terms import coding_key, graph_key, has_code, is_decimal, norm_ref, quality_key, time_precision, version_iri
+from ..functions.terms import coding_key, graph_key, has_code, is_decimal, local_id, norm_ref, quality_key, relative_ref, time_precision, version_iri
 from ..operators import graph, routing
 from .compiler import bind, complete, materialize_graph
 from .contract import MapContract
@@ -32,20 +34,28 @@ def select_map(records: DataFrame, contracts: list[MapContract], release: str =
         ok = F.lit(m.spec["source_release"] == release) & (F.col("resourceType") == m.spec["source_shape"])
         if m.spec.get("source_profile"):
             ok = ok & F.array_contains("meta.profile", m.spec["source_profile"])
-        for i, (system, code) in enumerate(m.spec["codes"]):
-            ok = ok & has_code(F.col("code"), system, code) if i == 0 else ok | has_code(F.col("code"), system, code)
+        if m.spec["codes"]:
+            ok = ok & reduce(lambda a, b: a | b, [has_code(F.col("code"), system, code) for system, code in m.spec["codes"]])
         return ok
 
     return routing.alternatives(records, {m.map_id: fits(m) for m in contracts})
 
 
+def version_of(records: DataFrame) -> Column:
+    """A record's version: its number, or the time of its update, or else its content (column ``source_digest``, where a run
+    has added it), so that two records without a version are never taken for one."""
+    last = [F.concat(F.lit("h"), F.substring("source_digest", 1, 16))] if "source_digest" in records.columns else []
+    updated = [F.col("meta.lastUpdated")] if "lastUpdated" in records.select("meta.*").columns else []
+    return F.coalesce(F.col("meta.versionId"), *updated, *last, F.lit("1"))
+
+
 def _context(records: DataFrame, kind: str, map_id: str, identity_map: DataFrame, policy: DataFrame) -> DataFrame:
     """``records`` with person and n_candidates, status_outcome, source (version IRI) and graph key. The resource's clocks
     stay apart: only the clinically relevant time enters the graph."""
-    rows = records.withColumn("reference", F.col("subject.reference"))
+    rows = records.withColumn("reference", relative_ref(F.col("subject.reference"), SERVER))
     rows = routing.resolve_identity(rows, "reference", identity_map)
     rows = routing.eligibility(rows, F.col("status"), policy, kind)
-    version = F.coalesce("meta.versionId", F.lit("1"))
+    version = version_of(records)
     return rows.withColumns({
         "source": version_iri(F.lit(SERVER), F.lit(kind), F.col("id"), version), "person": F.col("person_iri"),
         "graph_key": graph_key(F.lit(SERVER), F.lit(kind), F.col("id"), version, F.lit(map_id)),
@@ -66,7 +76,7 @@ def observation_outcomes(
 ) -> DataFrame:
     """``records`` (the observation schema) with identity, unit, graph key, outcome and reasons."""
     value = F.col("valueQuantity")
-    rows = _context(records, "Observation", "egfr", identity_map, policy).withColumn("local", F.regexp_replace("id", "^egfr-", ""))
+    rows = _context(records, "Observation", "egfr", identity_map, policy).withColumn("local", local_id(F.col("id"), "egfr-"))
     rows = routing.unit_node(rows, value["system"], value["code"], unit_rules)
     rows = rows.withColumns({"unit": F.col("unit_iri"), "quality": quality_key(quality_policy, "renal-quality", F.col("person_iri"), F.col("id"), F.col("effectiveDateTime"), F.lit(codes[0]))})
     known = F.lit(False)
@@ -110,7 +120,9 @@ def panel_outcomes(records: DataFrame, identity_map: DataFrame, unit_rules: Data
     rows = _context(records, "Observation", "bp", identity_map, policy)
     kinds = F.create_map(*[F.lit(x) for kv in KINDS.items() for x in kv])
     own = F.filter(F.transform(F.col("c.code.coding"), coding_key), lambda k: k["system"] == system)
-    parts = rows.select("graph_key", "person", F.explode("component").alias("c")).withColumns({
+    # trees are those of a record's content, so that rows that repeat a record, and two versions under one key, keep their own
+    rows = rows.withColumn("instance", F.sha2(F.to_json(F.struct("graph_key", "component"), {"ignoreNullFields": "false"}), 256))
+    parts = rows.select("instance", "component").dropDuplicates(["instance"]).select("instance", F.explode("component").alias("c")).withColumns({
         "kind": F.get(F.array_compact(F.transform(own, lambda k: F.try_element_at(kinds, k["code"]))), F.lit(0)), "value": F.col("c.valueQuantity.value"),
     })
     parts = routing.unit_node(parts, F.col("c.valueQuantity.system"), F.col("c.valueQuantity.code"), unit_rules)
@@ -120,9 +132,9 @@ def panel_outcomes(records: DataFrame, identity_map: DataFrame, unit_rules: Data
     )
     parts = parts.withColumn("issue", issue).where("kind is not null")
     number = F.when(F.col("issue").isNull(), F.col("value"))
-    parts = parts.select("graph_key", F.col("kind"), number.alias("value"), F.when(F.col("issue").isNull(), F.col("unit_iri")).alias("unit"), "issue", routing.has_modifier(F.col("c.modifierExtension")).alias("modifier"))
-    trees = graph.nest(parts.withColumnRenamed("graph_key", "part_key"), "part_key", "kind", "value", "unit", "issue", "modifier")
-    rows = rows.join(trees, F.col("graph_key") == F.col("part_key"), "left").drop("part_key")
+    parts = parts.select("instance", F.col("kind"), number.alias("value"), F.when(F.col("issue").isNull(), F.col("unit_iri")).alias("unit"), "issue", routing.has_modifier(F.col("c.modifierExtension")).alias("modifier"))
+    trees = graph.nest(parts.withColumnRenamed("instance", "part_of"), "part_of", "kind", "value", "unit", "issue", "modifier")
+    rows = rows.join(trees, F.col("instance") == F.col("part_of"), "left").drop("part_of", "instance")
 
     def key(x: Column, i: Column) -> Column:
         same = F.size(F.filter("tree", lambda y: y["kind"] == x["kind"]))
@@ -155,9 +167,9 @@ def encounter_rows(records: DataFrame) -> DataFrame:
     """Encounter records with the variables that the run supplies; an open period has no end node."""
     ident = F.col("id")
     return records.withColumns({
-        "local": F.regexp_replace("id", "^enc-", ""), "startNode": F.concat(F.lit("ex:start-"), ident),
+        "local": local_id(ident, "enc-"), "startNode": F.concat(F.lit("ex:start-"), ident),
         "endNode": F.when(F.col("period.end").isNotNull(), F.concat(F.lit("ex:end-"), ident)),
-        "graph_key": graph_key(F.lit(SERVER), F.lit("Encounter"), ident, F.coalesce("meta.versionId", F.lit("1")), F.lit("encounter")),
+        "graph_key": graph_key(F.lit(SERVER), F.lit("Encounter"), ident, version_of(records), F.lit("encounter")),
     })
 
 
@@ -166,7 +178,7 @@ def encounter_outcomes(records: DataFrame, identity_map: DataFrame, policy: Data
     named, as the map has one role for it."""
     rows = _context(records, "Encounter", "encounter", identity_map, policy).withColumnsRenamed({"n_candidates": "n_patients", "person_iri": "patient_iri"})
     one = F.when(F.size("participant") == 1, F.get("participant", F.lit(0))["individual"]["reference"])
-    rows = routing.resolve_identity(rows.withColumn("clinician_ref", one), "clinician_ref", identity_map)
+    rows = routing.resolve_identity(rows.withColumn("clinician_ref", relative_ref(one, SERVER)), "clinician_ref", identity_map)
     rows = encounter_rows(rows.withColumnsRenamed({"n_candidates": "n_clinicians", "person_iri": "clinician"}).withColumn("n_candidates", F.least("n_patients", "n_clinicians")))
     rows = rows.withColumn("n_candidates", F.when((F.col("n_patients") == 1) & (F.col("n_clinicians") == 1), 1).otherwise(0))
     bad = _bad_time(F.col("period.start")) | (F.col("period.end").isNotNull() & _bad_time(F.col("period.end")))
@@ -186,12 +198,12 @@ def medication_outcomes(records: DataFrame, identity_map: DataFrame, unit_rules:
     a code: it isn't taken for a physical drug."""
     rows = _context(records, "MedicationAdministration", "medication", identity_map, policy).withColumnsRenamed({"n_candidates": "n_patients", "person_iri": "patient_iri"})
     one = F.when(F.size("performer") == 1, F.get("performer", F.lit(0))["actor"]["reference"])
-    rows = routing.resolve_identity(rows.withColumn("performer_ref", one), "performer_ref", identity_map)
+    rows = routing.resolve_identity(rows.withColumn("performer_ref", relative_ref(one, SERVER)), "performer_ref", identity_map)
     dose = F.col("dosage.dose")
     code = lambda concept: F.transform(concept, lambda k: F.concat_ws("|", k["system"], k["code"]))
     rows = routing.unit_node(rows, dose["system"], dose["code"], unit_rules).withColumns({
         "performer": F.col("person_iri"), "n_candidates": F.when((F.col("n_patients") == 1) & (F.col("n_candidates") == 1), 1).otherwise(0), "unit": F.col("unit_iri"),
-        "local": F.regexp_replace("id", "^med-", ""), "code": F.get(code(F.col("medicationCodeableConcept.coding")), F.lit(0)), "route": F.get(code(F.col("dosage.route.coding")), F.lit(0)),
+        "local": local_id(F.col("id"), "med-"), "code": F.get(code(F.col("medicationCodeableConcept.coding")), F.lit(0)), "route": F.get(code(F.col("dosage.route.coding")), F.lit(0)),
     })
     return routing.route(rows, _common() | {
         "code": (F.col("code").isNull(), routing.SOURCE_ONLY),

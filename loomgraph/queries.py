@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from . import maps
 from .functions.terms import norm_ref, time_precision
-from .operators import graph, routing, state
+from .operators import elements, graph, routing, state
+from .operators.closure import closure
 from .plans import compiler, forward
+from .sources import records
 from .sources.scratch import stored
 
 QUAD = ["s", "p", "o_kind", "o_value", "o_datatype"]
@@ -363,9 +365,7 @@ def encounter_routing(spark, d):
     return forward.encounter_outcomes(encounter_records(spark, d), people, policy(spark)).select("id", "outcome", F.array_join("reasons", " ").alias("reasons"))
 
 
-def panel_routing(spark, d):
-    """Outcomes of panels whose components are read in the order of the table, with what is wrong with single components:
-    quantities over 45 have an unknown unit, and a third kind of component has no code that the map knows."""
+def _panel_records(spark, d):
     li = _read(spark, d, "lineitem")
     code = F.when(F.col("l_returnflag") == "A", maps.SYSTOLIC).when(F.col("l_returnflag") == "N", maps.DIASTOLIC).otherwise("x")
     unit = F.when(F.col("l_quantity") > 45, "?").otherwise("u-click")
@@ -374,20 +374,120 @@ def panel_routing(spark, d):
     part = F.struct(concept.alias("code"), quantity.alias("valueQuantity"), F.lit(None).cast("struct<coding:array<string>>").alias("dataAbsentReason"), F.lit(None).cast("array<string>").alias("modifierExtension"))
     parts = li.groupBy("l_orderkey").agg(F.collect_list(part).alias("component"))
     o = _read(spark, d, "orders").join(parts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    rows = o.select(
+    return o.select(
         _text("o_orderkey").alias("id"), F.struct(F.lit("1").alias("versionId")).alias("meta"), F.lit("final").alias("status"), F.struct(F.concat(F.lit("Patient/"), _text("o_custkey")).alias("reference")).alias("subject"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("effectiveDateTime"), "component", F.lit(None).cast("array<string>").alias("modifierExtension"),
     )
-    out = forward.panel_outcomes(rows, identities(spark, d), unit_rules(spark), policy(spark))
+
+
+def _panel_report(out):
     return out.select("id", "outcome", F.coalesce(F.size("component"), F.lit(0)).cast("long").alias("n_parts"), F.coalesce(F.size("diagnostics"), F.lit(0)).cast("long").alias("n_issues"))
 
 
+def panel_routing(spark, d):
+    """Outcomes of panels whose components are read in the order of the table, with what is wrong with single components:
+    quantities over 45 have an unknown unit, and a third kind of component has no code that the map knows."""
+    return _panel_report(forward.panel_outcomes(_panel_records(spark, d), identities(spark, d), unit_rules(spark), policy(spark)))
+
+
+def ledger_pending(spark, d):
+    """What is left to do after four runs of which the log names three: whatever came of a record, it is done if its run is."""
+    keyed = _read(spark, d, "events").select("event_id", F.concat(F.lit("d-"), _text("event_id")).alias("source_digest"), *[F.lit("v1").alias(c) for c in state.RUN_KEY[1:]])
+    record = keyed.withColumns({"run_id": F.concat(F.lit("r"), (F.col("event_id") % 4).cast("string")), "policy": F.when(F.col("event_id") % 5 == 0, "v0").otherwise(F.col("policy"))})
+    log = spark.createDataFrame([("r0", 1), ("r1", 2), ("r2", 3), ("r2", 3)], "run_id string, run_seq long")
+    return state.pending(keyed, state.committed(record, log)).select("event_id")
+
+
+AXIOMS = [
+    ("chain", "sulo:hasParticipant", "sulo:isFeatureOf", "sulo:hasParticipant"), ("chain", "sulo:hasParticipant", "ex:memberOf", "ex:involves"), ("chain", "ex:involves", "ex:partOf", "ex:locatedIn"),
+    ("inverse", "ex:locatedIn", "ex:siteOf", None),
+]
+
+
+def axiom_closure(spark, d):
+    """Where encounters took place, through their roles, who has them, and the nations and regions of those."""
+    q = _encounter_quads(spark, d).where("o_kind = 'iri'").select("s", "p", F.col("o_value").alias("o"))
+    say = lambda s, p, o: [s.alias("s"), F.lit(p).alias("p"), o.alias("o")]
+    members = _read(spark, d, "customer").select(*say(F.concat(F.lit("ex:person-"), _text("c_custkey")), "ex:memberOf", F.concat(F.lit("ex:nation-"), _text("c_nationkey"))))
+    parts = _read(spark, d, "nation").select(*say(F.concat(F.lit("ex:nation-"), _text("n_nationkey")), "ex:partOf", F.concat(F.lit("ex:region-"), _text("n_regionkey"))))
+    return closure(q.unionByName(members).unionByName(parts), spark.createDataFrame(AXIOMS, "kind string, a string, b string, c string"))
+
+
+def nested_elements(spark, d):
+    """Elements of panels as JSON that the pinned schema lacks, and modifiers, at any level, with the numbers of records."""
+    part = F.struct(
+        F.struct(F.array(F.struct(F.lit(maps.LOINC).alias("system"), F.when(F.col("l_linenumber") == 1, True).alias("userSelected"))).alias("coding")).alias("code"), F.struct(_text("l_quantity").alias("value")).alias("valueQuantity"),
+        F.when(F.col("l_quantity") > 45, F.array(F.struct(F.lit("urn:m").alias("url")))).alias("modifierExtension"),
+        F.when(F.col("l_returnflag") == "R", F.array(F.struct(F.lit("x").alias("text"), F.when(F.col("l_linenumber") == 2, F.array(F.struct(F.lit("urn:m").alias("url")))).alias("modifierExtension")))).alias("note"),
+    )
+    parts = _read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(part).alias("component"))
+    o = _read(spark, d, "orders").join(parts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    raw = o.select(_text("o_orderkey").alias("record"), F.lit("Observation").alias("kind"), F.to_json(F.struct(F.lit("Observation").alias("resourceType"), _text("o_orderkey").alias("id"), "component")).alias("raw"))
+    allowed = elements.schema_paths(spark.createDataFrame([], records.SCHEMAS["Observation"]).schema)
+    return elements.inventory(elements.elements(raw, "raw", "kind", "record"), [f"Observation:{p}" for p in allowed]).select("kind", "path", "finding", "n")
+
+
+PROFILE = [
+    {"path": "id", "least": 1, "most": 1, "type": "id"}, {"path": "component", "least": 1, "most": 4}, {"path": "component.code.coding", "least": 1}, {"path": "component.valueQuantity.value", "least": 1, "type": "decimal"},
+    {"path": "component.valueQuantity.code", "values": ["u-click"]},
+]
+
+
+def conformance_issues(spark, d):
+    """What panels lack or have too much of, in any repetition, against constraints of their elements."""
+    coding = F.when(F.col("l_returnflag") == "R", F.array().cast("array<struct<system:string,code:string>>")).otherwise(F.array(F.struct(F.lit(maps.LOINC).alias("system"), F.lit("x").alias("code"))))
+    value = F.when(F.col("l_linenumber") == 3, "some").when(F.col("l_linenumber") < 6, _text("l_partkey"))
+    part = F.struct(F.struct(coding.alias("coding")).alias("code"), F.struct(value.alias("value"), F.when(F.col("l_quantity") > 45, "?").otherwise("u-click").alias("code")).alias("valueQuantity"))
+    parts = _read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(part).alias("component"))
+    rows = _read(spark, d, "orders").join(parts, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(F.concat(F.when(F.col("o_orderstatus") == "P", "order ").otherwise("order-"), _text("o_orderkey")).alias("id"), "component")
+    return rows.select("id", F.array_join(elements.issues(rows.schema, PROFILE), "; ").alias("issues"))
+
+
+def graph_diff_by_hash(spark, d):
+    """From the first half of the events to all but the errors, in one graph for each user: only graphs that differ are read."""
+    e = _read(spark, d, "events")
+    q = e.select(F.concat(F.lit("graph:"), _text("user_id")).alias("graph_key"), F.concat(F.lit("ex:event-"), _text("event_id")).alias("s"), F.lit("sulo:hasValue").alias("p"), F.lit("literal").alias("o_kind"), F.col("event_type").alias("o_value"), F.lit("xsd:string").alias("o_datatype"), "event_id")
+    half = q.join(F.broadcast(e.agg(F.max("event_id").alias("last"))), F.col("event_id") * 2 < F.col("last"))  # one row
+    removed, added = graph.graph_diff_by_hash(half, q.where("o_value <> 'error'"))
+    return removed.withColumn("change", F.lit("removed")).unionByName(added.withColumn("change", F.lit("added"))).select("change", "graph_key", "s", "o_value")
+
+
+def graph_set_hash(spark, d):
+    """A hash of every graph that its order, its repetitions and its split don't change."""
+    q = quads(spark, d).withColumn("graph_key", F.col("id"))
+    return graph.set_hashes(q.unionByName(q)).select(F.col("graph_key").alias("id"), "h")
+
+
+def doubled_panels(spark, d):
+    """Panels that were given twice have the components of one."""
+    rows = _panel_records(spark, d)
+    out = forward.panel_outcomes(rows.unionByName(rows), identities(spark, d), unit_rules(spark), policy(spark))
+    return _panel_report(out).groupBy("id", "outcome", "n_parts", "n_issues").agg(F.count(F.lit(1)).alias("n"))
+
+
+def injective_keys(spark, d):
+    """Nodes of results whose records' ids differ by a prefix alone."""
+    o = observations(spark, d)
+    both = o.unionByName(o.withColumn("id", F.regexp_replace("id", "^egfr-", "")))
+    q = forward.observation_graph(forward.observation_outcomes(both, identities(spark, d), unit_rules(spark), policy(spark), [maps.EGFR_CODE]), ("graph_key", "id"))
+    results = q.where("p = 'rdf:type' and o_value = 'ex:EGFRResult'").groupBy(F.col("s").alias("node")).agg(F.count_distinct("id").alias("records"))
+    return results.join(graph.key_collisions(q, "id", ["ex:EGFRResult", "ex:ObservationRecord"]), "node", "left").select("node", "records", F.coalesce("n", F.lit(0)).cast("long").alias("collisions"))
+
+
+def normalised_identity(spark, d):
+    """Outcomes of records that name their subject by a relative, an absolute or a versioned reference."""
+    ref = F.col("subject.reference")
+    form = F.when(F.col("seq") % 3 == 0, ref).when(F.col("seq") % 3 == 1, F.concat(F.lit(forward.SERVER + "/"), ref)).otherwise(F.concat(ref, F.lit("/_history/4")))
+    o = observations(spark, d).withColumn("subject", F.struct(form.alias("reference")))
+    return forward.observation_outcomes(o, identities(spark, d), unit_rules(spark), policy(spark), [maps.EGFR_CODE]).select("id", "outcome", "person_iri")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         eligibility_routing, identity_resolution, identity_ambiguous, reference_resolution, code_typing, unit_resolution, materialize_quads, lineage_trace, graph_hash, result_for_person, pivot_round_trip,
         scoped_components, pair_multiset, panel_quads, pair_by_time, interval_open_end, pro_participants, participants, latest_version, current_graph, graph_diff, replay_pending, orphan_check, cross_patient_check,
         erroneous_check, exactly_one_check, invariant_check, time_forms, nquads, code_guard, ambiguous_rules, shape_outcomes, store_replay, store_retract, panel_graph_quads, lineage_quads, target_validation, encounter_routing,
-        panel_routing)}
+        panel_routing, ledger_pending, axiom_closure, nested_elements, conformance_issues, graph_diff_by_hash, graph_set_hash, doubled_panels, injective_keys, normalised_identity)}
 
 
 # --- the same in SQL, computed from the tables directly ----------------------------------------------------
@@ -447,6 +547,11 @@ j AS (SELECT id, person, kind, value, key FROM o JOIN k ON o_orderkey = l_orderk
     ))
 
 
+_PANELS = """WITH c AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_quantity > 45) AS bad FROM lineitem WHERE l_returnflag IN ('A', 'N') GROUP BY l_orderkey)
+    SELECT cast(o_orderkey AS VARCHAR) AS id, CASE WHEN o_custkey % 7 = 0 OR o_custkey % 11 = 0 THEN 'rejected' WHEN n IS NULL THEN 'source-only' ELSE 'mapped' END AS outcome, coalesce(n, 0)::BIGINT AS n_parts, coalesce(bad, 0)::BIGINT AS n_issues
+    FROM orders LEFT JOIN c ON o_orderkey = l_orderkey"""
+
+
 def _nq(x: str) -> str:
     """The IRI of a prefixed name in SQL."""
     cases = " ".join(f"WHEN starts_with({x}, '{k}:') THEN '{v}' || substr({x}, {len(k) + 2})" for k, v in maps.PREFIXES.items())
@@ -509,8 +614,32 @@ def oracle_sql() -> dict[str, str]:
         "target_validation": _B + "x AS (SELECT 1) SELECT 'Result: sulo:hasValue isn''t there 1 times' AS violation, count(*) AS n FROM m WHERE k % 10 = 3 UNION ALL SELECT 'Result: sulo:hasValue isn''t xsd:decimal', count(*) FROM m WHERE k % 10 = 5",
         "encounter_routing": """WITH x AS (SELECT 'enc-' || o_orderkey AS id, o_orderstatus = 'P' AS s, o_custkey % 7 = 0 OR o_custkey % 11 = 0 OR o_custkey % 10 = 9 AS i FROM orders)
             SELECT id, CASE WHEN i THEN 'rejected' WHEN s THEN 'source-only' ELSE 'mapped' END AS outcome, concat_ws(' ', CASE WHEN s THEN 'status' END, CASE WHEN i THEN 'identity' END) AS reasons FROM x""",
-        "panel_routing": """WITH c AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_quantity > 45) AS bad FROM lineitem WHERE l_returnflag IN ('A', 'N') GROUP BY l_orderkey)
-            SELECT cast(o_orderkey AS VARCHAR) AS id, CASE WHEN o_custkey % 7 = 0 OR o_custkey % 11 = 0 THEN 'rejected' WHEN n IS NULL THEN 'source-only' ELSE 'mapped' END AS outcome, coalesce(n, 0)::BIGINT AS n_parts, coalesce(bad, 0)::BIGINT AS n_issues
+        "panel_routing": _PANELS,
+        "doubled_panels": "SELECT *, 2::BIGINT AS n FROM (" + _PANELS + ")",
+        "ledger_pending": "SELECT event_id FROM events WHERE event_id % 4 = 3 OR event_id % 5 = 0",
+        "axiom_closure": _E.replace("WITH e AS", "WITH RECURSIVE e AS", 1) + """, ax(a, b, c) AS (VALUES """ + ", ".join(f"('{a}', '{b}', '{c}')" for k, a, b, c in AXIOMS if k == "chain") + """),
+            base AS (
+              SELECT 'ex:encounter-' || k AS s, 'sulo:hasParticipant' AS p, 'ex:patient-role-enc-' || k AS o FROM e UNION SELECT 'ex:encounter-' || k, 'sulo:hasParticipant', 'ex:clinician-role-enc-' || k FROM e
+              UNION SELECT 'ex:patient-role-enc-' || k, 'sulo:isFeatureOf', 'ex:person-' || c FROM e UNION SELECT 'ex:clinician-role-enc-' || k, 'sulo:isFeatureOf', 'ex:clinician-' || (c % 10) FROM e
+              UNION SELECT 'ex:person-' || c_custkey, 'ex:memberOf', 'ex:nation-' || c_nationkey FROM customer UNION SELECT 'ex:nation-' || n_nationkey, 'ex:partOf', 'ex:region-' || n_regionkey FROM nation),
+            f AS (SELECT s, p, o FROM base UNION SELECT f.s, ax.c, b.o FROM f JOIN ax ON f.p = ax.a JOIN base b ON b.p = ax.b AND b.s = f.o),
+            x AS (FROM f EXCEPT FROM base)
+            SELECT s, p, o FROM x UNION SELECT o, 'ex:siteOf', s FROM x WHERE p = 'ex:locatedIn'""",
+        "nested_elements": """WITH l AS (SELECT l.* FROM lineitem l JOIN orders ON o_orderkey = l_orderkey)
+            SELECT 'Observation' AS kind, 'component.code.coding.userSelected' AS path, 'unknown' AS finding, count(DISTINCT l_orderkey) AS n FROM l WHERE l_linenumber = 1
+            UNION ALL SELECT 'Observation', 'component.note', 'unknown', count(DISTINCT l_orderkey) FROM l WHERE l_returnflag = 'R' UNION ALL SELECT 'Observation', 'component.modifierExtension', 'modifier', count(DISTINCT l_orderkey) FROM l WHERE l_quantity > 45
+            UNION ALL SELECT 'Observation', 'component.note.modifierExtension', 'modifier', count(DISTINCT l_orderkey) FROM l WHERE l_returnflag = 'R' AND l_linenumber = 2""",
+        "conformance_issues": """WITH c AS (SELECT l_orderkey, count(*) AS n, bool_or(l_returnflag = 'R') AS r, bool_or(l_linenumber >= 6) AS no, bool_or(l_linenumber = 3) AS w, bool_or(l_quantity > 45) AS q FROM lineitem GROUP BY l_orderkey)
+            SELECT CASE WHEN o_orderstatus = 'P' THEN 'order ' ELSE 'order-' END || o_orderkey AS id, concat_ws('; ', CASE WHEN o_orderstatus = 'P' THEN 'id: type' END, CASE WHEN n IS NULL OR n > 4 THEN 'component: number' END,
+            CASE WHEN r THEN 'component.code.coding: number' END, CASE WHEN no THEN 'component.valueQuantity.value: number' END, CASE WHEN w THEN 'component.valueQuantity.value: type' END, CASE WHEN q THEN 'component.valueQuantity.code: value' END) AS issues
             FROM orders LEFT JOIN c ON o_orderkey = l_orderkey""",
+        "graph_diff_by_hash": """WITH q AS (SELECT 'graph:' || user_id AS graph_key, 'ex:event-' || event_id AS s, event_type AS o_value, event_id FROM events),
+            a AS (SELECT graph_key, s, o_value FROM q WHERE event_id * 2 < (SELECT max(event_id) FROM events)), b AS (SELECT graph_key, s, o_value FROM q WHERE o_value <> 'error')
+            SELECT 'removed' AS change, * FROM (FROM a EXCEPT FROM b) UNION ALL SELECT 'added', * FROM (FROM b EXCEPT FROM a)""",
+        "graph_set_hash": _Q + """, l AS (SELECT DISTINCT id, '{"s":"' || s || '","p":"' || p || '","o_kind":"' || o_kind || '","o_value":"' || o_value || '","o_datatype":' || coalesce('"' || o_datatype || '"', 'null') || '}' AS line FROM q),
+            h AS (SELECT id, sha256(line) AS h FROM l)
+            SELECT id, count(*) || '-' || sum(('0x' || substr(h, 1, 15))::BIGINT)::HUGEINT || '-' || sum(('0x' || substr(h, 16, 15))::BIGINT)::HUGEINT AS h FROM h GROUP BY id""",
+        "injective_keys": _B + "x AS (SELECT unnest(['ex:egfr-result-' || event_id, 'ex:egfr-result-~.' || event_id]) AS node FROM m) SELECT node, 1::BIGINT AS records, 0::BIGINT AS collisions FROM x",
+        "normalised_identity": _B + "x AS (SELECT 1) SELECT id, outcome, CASE WHEN nc = 1 THEN 'ex:person-' || user_id END AS person_iri FROM o",
         "time_forms": "SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'year' WHEN 1 THEN 'month' WHEN 2 THEN 'day' ELSE 'instant' END AS precision FROM events",
     }
