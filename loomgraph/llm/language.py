@@ -31,6 +31,7 @@ from .html_text import extract
 SAMPLE, BUCKETS = 1_000, 1 << 15
 TEMPER = 0.25  #: of the logarithm of the likelihood, whatever the length of the text
 STRENGTH = 4.0  #: pages that the level above counts for
+SENT = 8 << 20  #: bytes of sums, as their counted rows have them, up to which a table of them is broadcast
 
 
 def _trigrams(text: str | None) -> np.ndarray:
@@ -114,7 +115,10 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], keys: list[st
     out = seen.withColumn("all_sum", F.array(*[F.lit(x) for x in whole])).withColumn("all_total", F.lit(float(sum(whole))))
     values = ("host", "domain", "declared", "suffix")
     for by in values:
-        sums = _sums(seen, by, n)
+        sums = materialize(_sums(seen, by, n))
+        # declarations and suffixes are few, and hot keys among them need no exchange then; a table that isn't small is joined
+        # by a shuffle, where Spark splits partitions that are skewed
+        sums = F.broadcast(sums) if sums.count() * (n + 8) * 8 <= SENT else sums
         out = out.join(sums, F.col(by).eqNullSafe(F.col(f"{by}_key")), "left")
     one = lambda name, i: F.get(name, i)
 
