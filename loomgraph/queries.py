@@ -26,13 +26,20 @@ def _text(c: str):
     return F.col(c).cast("string")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A table of fewer partitions than the session has cores, dealt out evenly: each of its rows becomes some twenty quads. A
+    table of many files is read as it is, without an exchange."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # --- the tables as records ------------------------------------------------------------------------------
 
 
 def observations(spark: SparkSession, d: str) -> DataFrame:
     """``events`` as numeric observations; values in hundredths, so that both sides print them alike."""
     none = F.lit(None)
-    e = _read(spark, d, "events")
+    e = _spread(_read(spark, d, "events"))
     return e.select(
         F.concat(F.lit("egfr-"), _text("event_id")).alias("id"), F.col("event_id").alias("seq"), F.struct(F.lit("1").alias("versionId")).alias("meta"),
         F.when(F.col("event_type") == "error", "entered-in-error").otherwise("final").alias("status"),
@@ -77,7 +84,7 @@ def stored_quads(spark: SparkSession, d: str) -> DataFrame:
 def encounters(spark: SparkSession, d: str) -> DataFrame:
     """``orders`` as encounters: F finished, O open (finished without an end), P in progress."""
     start = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    return _read(spark, d, "orders").select(
+    return _spread(_read(spark, d, "orders")).select(
         F.concat(F.lit("enc-"), _text("o_orderkey")).alias("id"), F.struct(F.lit("1").alias("versionId")).alias("meta"), F.when(F.col("o_orderstatus") == "P", "in-progress").otherwise("finished").alias("status"),
         F.struct(start.alias("start"), F.when(F.col("o_orderstatus") == "F", start).alias("end")).alias("period"),
         F.concat(F.lit("ex:person-"), _text("o_custkey")).alias("person"), F.concat(F.lit("ex:clinician-"), (F.col("o_custkey") % 10).cast("string")).alias("clinician"),
