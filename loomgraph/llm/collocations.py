@@ -1,10 +1,10 @@
 """Collocations by contiguous pattern growth: occurrence pointers are projected per frequent prefix and extended to the right.
 
-The texts are read twice. The first pass counts words, and counts pairs and triples of neighbouring words by hash in tables
-of fixed size (``BUCKETS`` counters that stop at the least frequency): a phrase can only be frequent if all its pairs and
-triples are, so one whose bucket stays below is in none. The second pass projects pointers: one for every occurrence of a
-pair that may be frequent, with what stands to its right, at most two more words and only as long as the triples may be
-frequent; pointers of one slice that agree are one with a number. Sorted by range, the pointers of a prefix stand together in the order of their
+The texts are read twice. The first pass counts words, and counts pairs of neighbouring words by hash in a table of fixed
+size (``BUCKETS`` counters that stop at the least frequency): a phrase can only be frequent if all its pairs are, so a pair
+whose bucket stays below is in none. The second pass projects pointers: one for every occurrence of a pair that may be
+frequent, with what stands to its right, at most two more words and only as long as the pairs may be frequent; pointers of
+a task that agree are one with a number. Sorted by range, the pointers of a prefix stand together in the order of their
 extensions, so that a task grows its prefixes depth first, reading its pointers once and holding one open phrase per
 length, whatever the size of a group. A prefix with more pointers than a task takes goes on in the next task: what is open
 at the edges of a task is passed on below the least frequency too and summed. Buckets that collide cost pointers, never
@@ -32,15 +32,15 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Counters for hashed pairs and, behind them, for triples of words: 48 MB in a task, 6 MB of bits in a broadcast, whatever
-#: the corpus.
-PAIRS, TRIPLES = 1 << 24, 1 << 25
-BUCKETS = PAIRS + TRIPLES
+#: Counters for hashed pairs of words: 16 MB in a task, 2 MB of bits in a broadcast, whatever the corpus.
+BUCKETS = 1 << 24
 BLOCK = 1 << 16
 #: Bytes of text that a task works on at once, at least one text.
 SLICE = 8 << 20
 #: Different words that a task holds before it passes their counts on.
 MOST_WORDS = 800_000
+#: Different pointers that a task holds before it passes them on.
+MOST_POINTERS = 1_000_000
 LONGEST = 4
 
 _BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -79,16 +79,15 @@ class _Words:
         piece = np.cumsum(a == 10, dtype=np.int32)[starts]
         self.joined = piece[1:] == piece[:-1]
 
-    def buckets(self, lang: str) -> tuple[np.ndarray, np.ndarray]:
-        """The bucket of each word and the next, and of each word and the next two, whether joined or not."""
+    def pairs(self, lang: str) -> np.ndarray:
+        """The bucket of each word and the next, whether joined or not."""
         if len(self.ids) < 2:
-            return np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+            return np.zeros(0, np.uint32)
         own = pd.util.hash_array(self.dictionary.to_numpy(zero_copy_only=False), categorize=False)[self.ids]
         salt = pd.util.hash_array(np.array([lang], object), categorize=False)
         with np.errstate(over="ignore"):
             two = (own[:-1] * np.uint64(0x9E3779B97F4A7C15) + (own[1:] ^ salt)) * np.uint64(0xD6E8FEB86659FD93)
-            three = ((two[:-1] ^ (two[:-1] >> np.uint64(32))) + own[2:]) * np.uint64(0x9E3779B97F4A7C15)
-        return (two >> np.uint64(40)).astype(np.uint32), (three >> np.uint64(39)).astype(np.uint32) + np.uint32(PAIRS)
+        return (two >> np.uint64(40)).astype(np.uint32)
 
 
 def _counting(least: int):
@@ -108,8 +107,7 @@ def _counting(least: int):
             n = np.bincount(w.ids, minlength=len(w.dictionary))
             words[lang][None] += len(w.ids)
             words[lang].update(dict(zip(w.dictionary.to_pylist(), n.tolist(), strict=True)))
-            two, three = w.buckets(lang)
-            at, n = np.unique(np.concatenate([two[w.joined], three[w.joined[:-1] & w.joined[1:]]]), return_counts=True)
+            at, n = np.unique(w.pairs(lang)[w.joined], return_counts=True)
             table[at] = np.minimum(table[at] + np.minimum(n, least), least)
             if sum(map(len, words.values())) > MOST_WORDS:
                 yield from flush()
@@ -150,16 +148,15 @@ def frequent_buckets(counts: DataFrame, least: int) -> bytes:
 def _projecting(bits: bytes):
     def project(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool)
+        held, names = [], ["lang", "prefix", "third", "fourth", "n"]
         for lang, texts in _slices(batches):
             w = _Words(texts)
-            two, three = w.buckets(lang)
-            ok = may[two] & w.joined
+            ok = may[w.pairs(lang)] & w.joined
             at = np.flatnonzero(ok)
             if not len(at):
                 continue
-            on = np.append(may[three] & ok[:-1] & ok[1:], [False] * 3)  # goes on with a third word
-            ids = np.append(w.ids.astype(np.int64), [-1] * 3)
-            columns = [ids[at], ids[at + 1], np.where(on[at], ids[at + 2], -1), np.where(on[at] & on[at + 1], ids[at + 3], -1)]
+            ids, ok = np.append(w.ids.astype(np.int64), [-1] * 3), np.append(ok, [False] * 3)
+            columns = [ids[at], ids[at + 1], np.where(ok[at + 1], ids[at + 2], -1), np.where(ok[at + 1] & ok[at + 2], ids[at + 3], -1)]
             code, size = columns[0], len(w.dictionary) + 1
             for c in columns[1:]:  # pointers that agree get one number
                 code = pd.factorize(code * size + c + 1)[0].astype(np.int64)
@@ -167,11 +164,23 @@ def _projecting(bits: bytes):
             first[code[::-1]] = np.arange(len(code))[::-1]
             words = [w.dictionary.take(pa.array(c[first], mask=c[first] < 0)).cast(pa.string()) for c in columns]
             prefix = pc.binary_join_element_wise(words[0], words[1], " ")
-            yield pa.record_batch([pa.array([lang] * len(first), pa.string()), prefix, words[2], words[3], pa.array(np.bincount(code))], names=["lang", "prefix", "third", "fourth", "n"])
+            held.append(pa.table([pa.array([lang] * len(first), pa.string()), prefix, words[2], words[3], pa.array(np.bincount(code))], names=names))
+            if sum(map(len, held)) > MOST_POINTERS:
+                held = [_summed(held)]
+                if len(held[0]) > MOST_POINTERS // 2:
+                    yield from held.pop().to_batches(1 << 16)
+        if held:
+            yield from _summed(held).to_batches(1 << 16)
 
     return project
 
 
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    """Pointers that agree as one."""
+    keys = ["lang", "prefix", "third", "fourth"]
+    return pa.concat_tables(tables).group_by(keys).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).select([*keys, "n"])
+
+
 def _growing(least: int):
     """Phrases with their numbers, from sorted pointers."""
 
@@ -219,11 +228,11 @@ def frequencies(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     number of words of each language."""
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     full = min(least, 127)  # counters are bytes: two of them have to add up
-    counts = materialize(texts.mapInArrow(_counting(full), _COUNTS))
+    counts = materialize(texts.mapInArrow(_counting(full), _COUNTS), "zstd")
     sums = counts.where("block is null").groupBy("lang", "word").agg(F.sum("n").alias("f"))
     words = materialize(sums.where(F.col("word").isNull() | (F.col("f") >= least)))
     bits = frequent_buckets(counts, full)
-    pointers = materialize(texts.mapInArrow(_projecting(bits), _POINTERS))
+    pointers = materialize(texts.mapInArrow(_projecting(bits), _POINTERS), "zstd")
     order = ("lang", "prefix", "third", "fourth")
     grown = pointers.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_growing(least), "lang string, phrase string, f long")
     phrases = grown.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)

@@ -38,14 +38,14 @@ def shared_dir(spark: SparkSession) -> str:
 _MADE: list[list[str]] = []
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: it cuts the lineage, and any
     executor that is lost later costs only the tasks that were running on it. What a caller still reads
     lazily has to stay; within ``scratch`` it goes at the end."""
     path = shared_dir(df.sparkSession)
     if _MADE:
         _MADE[-1].append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
