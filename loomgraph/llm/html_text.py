@@ -94,6 +94,10 @@ PLAIN = {
 NOT = {"has", "with", "no", "without", "is"}
 SKIP, SKIP_COMMENTS, WEAK, HEADER = 1, 2, 3, 4
 
+_TOKEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>|<[!?/][^>]*>", re.S | re.I
+)
+_BEGINS = re.compile(r"<[a-zA-Z!?/]")  #: of tags; any other one is text
 _RAW = re.compile(rf"<({RAW})\b", re.I)
 _RAW_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW.split("|")}
 _NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
@@ -158,8 +162,20 @@ class _Ends:
 
 def tags(page: str) -> Iterator[tuple[int, int, bool, str | None, str]]:
     """(start, end, whether it ends an element, name, attributes) of the tags of a page in order, each place read once. The name
-    is None for comments, declarations and elements whose content is no text, which are taken whole."""
-    ends, last, at = _Ends(page), page.rfind(">"), page.find("<")
+    is None for comments, declarations and elements whose content is no text, which are taken whole. One expression reads a
+    tag; from the first one that it can't read on, tags are read by their parts, so that none takes more than its share."""
+    read, find, at = _TOKEN.match, page.find, page.find("<")
+    while at >= 0:
+        if m := read(page, at):
+            _, slash, name, rest = m.groups("")
+            start, at = at, m.end()
+            yield start, at, slash == "/", name.lower() if name else None, rest
+        elif _BEGINS.match(page, at):
+            break
+        else:
+            at += 1
+        at = find("<", at)
+    ends, last = _Ends(page), page.rfind(">")
     while 0 <= at < last:
         end = -1
         if page.startswith("<!--", at):
@@ -453,9 +469,9 @@ def candidates(pages: DataFrame) -> DataFrame:
 
 
 def bitmap(fps: DataFrame) -> np.ndarray:
-    """A table of 16 bits for each fingerprint, MOST_BITS at most, of which each one sets one; it comes to the driver as one row
+    """A table of 256 bits for each fingerprint, MOST_BITS at most, of which each one sets one; it comes to the driver as one row
     for every 32,768 bits."""
-    size = min(MOST_BITS, 1 << max(20, (16 * fps.count()).bit_length()))
+    size = min(MOST_BITS, 1 << max(24, (256 * fps.count()).bit_length()))
     place = F.pmod(F.col("fp"), F.lit(size))
     rows = fps.groupBy(F.shiftright(place, 15).alias("bucket")).agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit(32_767))).alias("bits")).collect()
     out = np.zeros(size >> 3, np.uint8)
