@@ -469,9 +469,9 @@ def candidates(pages: DataFrame) -> DataFrame:
 
 
 def bitmap(fps: DataFrame) -> np.ndarray:
-    """A table of 256 bits for each fingerprint, MOST_BITS at most, of which each one sets one; it comes to the driver as one row
+    """A table of 1,024 bits for each fingerprint, MOST_BITS at most, of which each one sets one; it comes to the driver as one row
     for every 32,768 bits."""
-    size = min(MOST_BITS, 1 << max(24, (256 * fps.count()).bit_length()))
+    size = min(MOST_BITS, 1 << max(24, (1024 * fps.count()).bit_length()))
     place = F.pmod(F.col("fp"), F.lit(size))
     rows = fps.groupBy(F.shiftright(place, 15).alias("bucket")).agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit(32_767))).alias("bits")).collect()
     out = np.zeros(size >> 3, np.uint8)
@@ -564,7 +564,7 @@ def decide(texts: list[str], kinds: list[int], declared: bool, repeated: np.ndar
 def main_text(pages: DataFrame) -> DataFrame:
     """Per row of ``pages``: page_id, url, text, n_chars, n_repeated."""
     spark = pages.sparkSession
-    source = materialize(parsed(pages))
+    source = materialize(parsed(pages), "zstd")
     bits = spark.sparkContext.broadcast(bitmap(materialize(candidates(source))))
     rows = materialize(suffixes(source, bits))
     found = materialize(repeats(rows).withColumnsRenamed({"host": "r_host", "start": "r_start"}))
