@@ -566,12 +566,12 @@ def main_text(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     source = materialize(parsed(pages), "zstd")
     bits = spark.sparkContext.broadcast(bitmap(materialize(candidates(source))))
-    rows = materialize(suffixes(source, bits))
+    rows = materialize(suffixes(source, bits), "zstd")
     found = materialize(repeats(rows).withColumnsRenamed({"host": "r_host", "start": "r_start"}))
     start = F.substring("key", 1, 2 * LONG)
     shared = rows.select("host", "body", start.alias("start")).join(found, (F.col("host") == F.col("r_host")) & (F.col("start") == F.col("r_start")))
     # one list for each distinct page, no longer than the page
-    lists = materialize(shared.groupBy(F.col("host").alias("l_host"), F.col("body").alias("l_body")).agg(F.collect_set("start").alias("starts")))
+    lists = materialize(shared.groupBy(F.col("host").alias("l_host"), F.col("body").alias("l_body")).agg(F.collect_set("start").alias("starts")), "zstd")
     fields = _fields(pages)
     answer = fields + ", text string, n_chars long, n_repeated long"
 
