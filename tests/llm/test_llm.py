@@ -289,6 +289,21 @@ def test_mixing_meets_budgets(spark):
     assert all(abs(words[s] - target[s]) <= 50 for s in size)
 
 
+def test_mixing_targets_with_several_sources_below_their_caps(spark):
+    """Against resharing by hand, round by round."""
+    for sizes in ({f"s{i:02}": 100 for i in range(20)}, {"a": 5, "b": 900, "c": 700, "d": 0, None: 800}, {"a": 0, "b": 0}):
+        names = sorted(s for s in sizes if s is not None) + [None] * (None in sizes)
+        weight, want, free = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}, {}, set(names)
+        while True:
+            level = (1.5 * sum(sizes.values()) - sum(want.values())) / max(1, sum(weight[s] for s in free))
+            if not (over := {s for s in free if level * weight[s] > 2 * sizes[s]}):
+                break
+            want, free = want | {s: 2.0 * sizes[s] for s in over}, free - over
+        want |= {s: level * weight[s] for s in free}
+        rows = spark.createDataFrame(list(sizes.items()), "source string, size long")
+        assert {r.source: r.target for r in mixing.targets(rows).collect()} == pytest.approx(want)
+
+
 def test_mixing_on_odd_tables(spark, odd):
     out = mixing.mix(odd).collect()
     assert len(out) == len(ODD) and {r.size for r in out if r.doc_id in (1, 2, 3)} == {0}
