@@ -120,8 +120,10 @@ def panel_outcomes(records: DataFrame, identity_map: DataFrame, unit_rules: Data
     rows = _context(records, "Observation", "bp", identity_map, policy)
     kinds = F.create_map(*[F.lit(x) for kv in KINDS.items() for x in kv])
     own = F.filter(F.transform(F.col("c.code.coding"), coding_key), lambda k: k["system"] == system)
-    # trees are those of a record's content, so that rows that repeat a record, and two versions under one key, keep their own
-    rows = rows.withColumn("instance", F.sha2(F.to_json(F.struct("graph_key", "component"), {"ignoreNullFields": "false"}), 256))
+    # trees are those of a record's content, so that rows that repeat a record, and two versions under one key, keep their own;
+    # in any order of the components, as both sides of the join below read the records, and lists that a shuffle gathered may
+    # come in another order each time
+    rows = rows.withColumn("instance", F.sha2(F.to_json(F.struct("graph_key", F.array_sort("component").alias("component")), {"ignoreNullFields": "false"}), 256))
     parts = rows.select("instance", "component").dropDuplicates(["instance"]).select("instance", F.explode("component").alias("c")).withColumns({
         "kind": F.get(F.array_compact(F.transform(own, lambda k: F.try_element_at(kinds, k["code"]))), F.lit(0)), "value": F.col("c.valueQuantity.value"),
     })

@@ -1,6 +1,7 @@
 """The run ledger, repeated and version-less records, snapshots, entailment, nested elements, profiles, diffs and keys."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,6 +156,19 @@ def test_records_without_a_version_keep_their_own_components(spark, place):
     assert len(out) == 3 and all(sorted(r.key) == ["bp-1-diastolic", "bp-1-systolic"] for r in out)
 
 
+def test_components_may_come_in_another_order_each_time(spark, place):
+    panel = lines("bp")[0]
+    panels = [json.loads(json.dumps(panel)) | {"id": f"bp-{i}"} for i in range(40)]
+    for x in panels:
+        x["component"] *= 3
+    place.put("a.json", *panels)
+    tables = records.read_rules(spark, f"file://{place.rules}")
+    rows = records.read_json(spark, f"file://{place.source}", "Observation")
+    mixed = F.udf(lambda c: random.sample(c, len(c)), rows.schema["component"].dataType).asNondeterministic()
+    out = forward.panel_outcomes(rows.withColumn("component", mixed("component")), tables["identity_map"], tables["unit_rule"], tables["status_policy"])
+    assert [r.n for r in out.select(F.size("component").alias("n")).collect()] == [6] * 40
+
+
 def test_profiles_and_nested_elements_decide(place):
     first = lines("egfr")[0]
     sly = json.loads(json.dumps(first)) | {"id": "egfr-sly"}
