@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import stored
 
+#: Facts that point to one thing; with more, they are joined apart.
+HUB = 20_000
+
 
 def closure(facts: DataFrame, axioms: DataFrame, within: tuple[str, ...] = (), folder: str | None = None) -> DataFrame:
     """The facts (``within``, s, p, o) that follow from ``facts`` by ``axioms`` and aren't among them.
@@ -22,29 +25,38 @@ def closure(facts: DataFrame, axioms: DataFrame, within: tuple[str, ...] = (), f
     chains = axioms.where("kind = 'chain' and a is not null and b is not null and c is not null").select(F.col("a").alias("first"), F.col("b").alias("second"), F.col("c").alias("says")).distinct()
     pairs = axioms.where("kind = 'inverse' and a is not null and b is not null")
     turns = pairs.select(F.col("a").alias("one"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("one"), F.col("a").alias("other"))).distinct()
+    seconds = chains.select(F.col("second").alias("p")).distinct()
     used = chains.select(F.explode(F.array("first", "second")).alias("p")).unionByName(turns.select(F.col("one").alias("p"))).distinct()
 
     def chained(left: DataFrame, right: DataFrame) -> DataFrame:
         begun = left.join(chains, F.col("p") == F.col("first")).drop("p", "first")
-        ends = right.select(*[F.col(c).alias(f"r_{c}") for c in keys])
-        same = [F.col("o") == F.col("r_s"), F.col("second") == F.col("r_p"), *[F.col(c) == F.col(f"r_{c}") for c in within]]
-        return begun.join(ends, reduce(lambda a, b: a & b, same)).select(*within, "s", F.col("says").alias("p"), F.col("r_o").alias("o"))
+        ends = right.join(F.broadcast(seconds), "p", "left_semi").select(*[F.col(c).alias(f"r_{c}") for c in keys])
+        same = lambda a: reduce(lambda x, y: x & y, [F.col("o") == F.col(f"{a}s"), F.col("second") == F.col(f"{a}p"), *[F.col(c) == F.col(f"{a}{c}") for c in within]])
+        # things that very many facts point to are few: their ends go to the facts, which one task would have to sort otherwise
+        hubs = begun.groupBy(*within, "o", "second").count().where(F.col("count") > HUB).select(*[F.col(c).alias(f"h_{c}") for c in within], F.col("o").alias("h_s"), F.col("second").alias("h_p"))
+        is_hub = reduce(lambda x, y: x & y, [F.col(f"r_{c}") == F.col(f"h_{c}") for c in (*within, "s", "p")])
+        met = begun.join(hubs, same("h_"), "left_anti").join(ends, same("r_"))
+        met = met.unionByName(begun.join(hubs, same("h_"), "left_semi").join(ends.join(hubs, is_hub, "left_semi"), same("r_")))
+        return met.select(*within, "s", F.col("says").alias("p"), F.col("r_o").alias("o"))
 
     def turned(rows: DataFrame) -> DataFrame:
         return rows.join(turns, F.col("p") == F.col("one")).select(*within, F.col("o").alias("s"), F.col("other").alias("p"), F.col("s").alias("o"))
 
     # a fact that an axiom says is a fact for other axioms only if one of them has its predicate, but a result in any case
-    known = [stored(facts.select(*keys).dropna().join(used, "p", "left_semi").distinct(), folder)]
+    # facts are dealt out before the different ones are found, so that no task of a join or scan holds all that it makes
+    known = [stored(facts.select(*keys).dropna().join(used, "p", "left_semi").repartition(*keys).distinct(), folder)]
     delta = known[0]
     while True:
         every = reduce(DataFrame.unionByName, known)
         new = turned(delta).unionByName(chained(delta, every))
         if len(known) > 1:
             new = new.unionByName(chained(reduce(DataFrame.unionByName, known[:-1]), delta))
-        new = stored(new.distinct().join(every, keys, "left_anti"), folder)
+        new = stored(new.repartition(*keys).distinct().join(every, keys, "left_anti"), folder)
         if new.isEmpty():
             break
         known.append(new)
         delta = new
     found = reduce(DataFrame.unionByName, known[1:], known[0].limit(0))
-    return found.join(facts.select(*keys).distinct(), keys, "left_anti")
+    # what is found isn't among the facts that axioms use; of the others, only those that an axiom says can be found
+    said = chains.select(F.col("says").alias("p")).unionByName(turns.select(F.col("other").alias("p"))).distinct().join(used, "p", "left_anti")
+    return found.join(facts.select(*keys).join(said, "p", "left_semi"), keys, "left_anti")
