@@ -82,7 +82,10 @@ def validate_target(quads: DataFrame, m) -> DataFrame:
 def multiset_hash(line: Column) -> Column:
     """An aggregate that is the same for the same lines in any order and split: their number, and two sums of 60 bits each of
     their SHA-256. Sums are decimals, which 10**19 lines don't fill; partial sums meet in any order."""
-    hexes = F.sha2(line.cast("binary"), 256)
+    return _summed(F.sha2(line.cast("binary"), 256))
+
+
+def _summed(hexes: Column) -> Column:
     part = lambda at: F.sum(F.conv(F.substring(hexes, at, 15), 16, 10).cast("decimal(20,0)")).cast("decimal(38,0)").cast("string")
     return F.concat_ws("-", F.count(F.lit(1)).cast("string"), part(1), part(16))
 
@@ -95,9 +98,10 @@ def validation_digest(violations: DataFrame) -> str:
 
 
 def set_hashes(quads: DataFrame) -> DataFrame:
-    """(graph_key, h): a hash of each graph as a set, by sums and so without its lines in one place."""
+    """(graph_key, h): a hash of each graph as a set, by sums and so without its lines in one place. Lines are told apart by their
+    SHA-256, which is shorter."""
     line = F.to_json(F.struct(*KEYS[1:]), {"ignoreNullFields": "false"})
-    return quads.select("graph_key", line.alias("line")).distinct().groupBy("graph_key").agg(multiset_hash(F.col("line")).alias("h"))
+    return quads.select("graph_key", F.unhex(F.sha2(line.cast("binary"), 256)).alias("digest")).distinct().groupBy("graph_key").agg(_summed(F.hex("digest")).alias("h"))
 
 
 def graph_diff(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -26,11 +26,35 @@ def _text(c: str):
     return F.col(c).cast("string")
 
 
+#: Records for one task. Each becomes 20 to 40 quads, of which a task may hold all to find the different ones, so that its memory
+#: must not grow with the table.
+TASK_ROWS = 50_000
+
+
+def _tasks(table: DataFrame) -> int:
+    """As many tasks as a table's records need, and as the session has cores. The count is in the files' footers."""
+    return max(table.sparkSession.sparkContext.defaultParallelism, -(-table.count() // TASK_ROWS))
+
+
 def _spread(df: DataFrame) -> DataFrame:
-    """A table of fewer partitions than the session has cores, dealt out evenly: each of its rows becomes some twenty quads. A
-    table of many files is read as it is, without an exchange."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A table of fewer partitions than its records need tasks, dealt out evenly. A table of many files is read as it is, without
+    an exchange."""
+    n = _tasks(df)
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
+def _dealt(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``rows``, made of those of ``table`` by joins, dealt out by ``key`` if there are more than the cores' shares of them: an
+    exchange in a join may gather far more records in a task."""
+    n = _tasks(table)
+    return rows.repartition(n, key) if n > rows.sparkSession.sparkContext.defaultParallelism else rows
+
+
+def _orders_lines(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """``orders`` and ``lineitem``, both dealt out by the order, in so many tasks that each has few orders."""
+    o = _read(spark, d, "orders")
+    n = _tasks(o)
+    return o.repartition(n, "o_orderkey"), _read(spark, d, "lineitem").repartition(n, "l_orderkey")
 
 
 # --- the tables as records ------------------------------------------------------------------------------
@@ -73,7 +97,7 @@ def outcomes(spark: SparkSession, d: str) -> DataFrame:
 
 def quads(spark: SparkSession, d: str) -> DataFrame:
     """The graph with lineage, in the plan of the query that reads it once."""
-    return forward.observation_graph(outcomes(spark, d), ("graph_key", "id"))
+    return forward.observation_graph(_dealt(outcomes(spark, d), _read(spark, d, "events"), "graph_key"), ("graph_key", "id"))
 
 
 def stored_quads(spark: SparkSession, d: str) -> DataFrame:
@@ -94,12 +118,13 @@ def encounters(spark: SparkSession, d: str) -> DataFrame:
 def panels(spark: SparkSession, d: str) -> DataFrame:
     """``orders`` as panels with their ``lineitem`` rows as components, orders without any included. A component's key
     is its content and its rank among equals, never its place."""
-    li = _read(spark, d, "lineitem").select("l_orderkey", F.when(F.col("l_returnflag") == "A", "sys").when(F.col("l_returnflag") == "N", "dia").otherwise("other").alias("kind"), F.col("l_quantity").cast("long").cast("string").alias("value"))
+    o, li = _orders_lines(spark, d)
+    li = li.select("l_orderkey", F.when(F.col("l_returnflag") == "A", "sys").when(F.col("l_returnflag") == "N", "dia").otherwise("other").alias("kind"), F.col("l_quantity").cast("long").cast("string").alias("value"))
     each = li.groupBy("l_orderkey", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
     key = F.concat(_text("l_orderkey"), F.lit("-"), F.col("kind"), F.lit("-"), F.col("value"), F.lit("-"), F.col("i").cast("string"))
     each = each.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
     parts = each.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("kind", key.alias("key"), F.concat(F.lit("ex:quality-"), key).alias("quality"), "value", F.lit("ex:unit-piece").alias("unit")))).alias("component"))
-    o = _read(spark, d, "orders").join(parts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    o = o.join(parts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     ident = _text("o_orderkey")
     return o.select(ident.alias("id"), F.concat(F.lit("graph:bp-"), ident).alias("graph_key"), F.lit("final").alias("status"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("effectiveDateTime"),
                     F.coalesce("component", F.array().cast(parts.schema["component"].dataType)).alias("component"), F.concat(F.lit("ex:person-"), _text("o_custkey")).alias("person"), F.concat(F.lit("ex:src-"), ident).alias("source"))
@@ -145,11 +170,16 @@ def materialize_quads(spark, d):
     return quads(spark, d).select("id", *QUAD)
 
 
+def _traced(spark, d):
+    """The quads with their runs, both dealt out by their graph before the join where there are many."""
+    o = _dealt(outcomes(spark, d).where("outcome = 'mapped'"), _read(spark, d, "events"), "graph_key")
+    runs = o.select("graph_key", F.lit("run-1").alias("run_id"), F.col("source").alias("source_version"), F.lit(maps.egfr().pair_hash).alias("pair_hash"))
+    return graph.trace(quads(spark, d), runs)
+
+
 def lineage_trace(spark, d):
     """Quads by predicate and by whether a binding or a constant made them; all have a source."""
-    q = quads(spark, d)
-    runs = outcomes(spark, d).where("outcome = 'mapped'").select("graph_key", F.lit("run-1").alias("run_id"), F.col("source").alias("source_version"), F.lit(maps.egfr().pair_hash).alias("pair_hash"))
-    return graph.trace(q, runs).groupBy("p", "is_constant").agg(F.count(F.lit(1)).alias("n"), F.count("source_version").alias("traced"), F.count_distinct("source_version").alias("sources"))
+    return _traced(spark, d).groupBy("p", "is_constant").agg(F.count(F.lit(1)).alias("n"), F.count("source_version").alias("traced"), F.count_distinct("source_version").alias("sources"))
 
 
 def graph_hash(spark, d):
@@ -181,7 +211,9 @@ def pair_multiset(spark, d):
 
 
 def panel_quads(spark, d):
-    return forward.panel_graph(panels(spark, d)).groupBy("p", "o_kind").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("s").alias("subjects"))
+    # dealt out by their subjects before they are counted, so that no task holds those of more than its share of panels
+    q = forward.panel_graph(panels(spark, d)).select("s", "p", "o_kind").repartition(_tasks(_read(spark, d, "orders")), "s")
+    return q.groupBy("p", "o_kind").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("s").alias("subjects"))
 
 
 def pair_by_time(spark, d):
@@ -194,7 +226,9 @@ def pair_by_time(spark, d):
 
 
 def _encounter_quads(spark, d):
-    return stored(forward.encounter_graph(forward.encounter_rows(encounters(spark, d)), ("graph_key", "id")))
+    """Made anew for each use, in tasks of few records: files would be read in tasks of any number."""
+    rows = _dealt(forward.encounter_rows(encounters(spark, d)), _read(spark, d, "orders"), "graph_key")
+    return forward.encounter_graph(rows, ("graph_key", "id"))
 
 
 def interval_open_end(spark, d):
@@ -344,9 +378,7 @@ def panel_graph_quads(spark, d):
 
 def lineage_quads(spark, d):
     """Every quad with the variable or constant that made it, its source version, map and run."""
-    o = outcomes(spark, d).where("outcome = 'mapped'")
-    runs = o.select("graph_key", F.lit("run-1").alias("run_id"), F.col("source").alias("source_version"), F.lit(maps.egfr().pair_hash).alias("pair_hash"))
-    return graph.trace(quads(spark, d), runs).select("id", "s", "p", "o_value", "is_constant", F.col("var").isNull().alias("no_variable"), "source_version", "pair_hash", "run_id")
+    return _traced(spark, d).select("id", "s", "p", "o_value", "is_constant", F.col("var").isNull().alias("no_variable"), "source_version", "pair_hash", "run_id")
 
 
 def target_validation(spark, d):
@@ -373,14 +405,14 @@ def encounter_routing(spark, d):
 
 
 def _panel_records(spark, d):
-    li = _read(spark, d, "lineitem")
+    o, li = _orders_lines(spark, d)
     code = F.when(F.col("l_returnflag") == "A", maps.SYSTOLIC).when(F.col("l_returnflag") == "N", maps.DIASTOLIC).otherwise("x")
     unit = F.when(F.col("l_quantity") > 45, "?").otherwise("u-click")
     concept = F.struct(F.array(F.struct(F.lit(maps.LOINC).alias("system"), code.alias("code"))).alias("coding"))
     quantity = F.struct(F.col("l_quantity").cast("long").cast("string").alias("value"), F.lit(None).cast("string").alias("comparator"), F.lit(maps.UCUM).alias("system"), unit.alias("code"))
     part = F.struct(concept.alias("code"), quantity.alias("valueQuantity"), F.lit(None).cast("struct<coding:array<string>>").alias("dataAbsentReason"), F.lit(None).cast("array<string>").alias("modifierExtension"))
     parts = li.groupBy("l_orderkey").agg(F.collect_list(part).alias("component"))
-    o = _read(spark, d, "orders").join(parts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    o = o.join(parts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return o.select(
         _text("o_orderkey").alias("id"), F.struct(F.lit("1").alias("versionId")).alias("meta"), F.lit("final").alias("status"), F.struct(F.concat(F.lit("Patient/"), _text("o_custkey")).alias("reference")).alias("subject"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("effectiveDateTime"), "component", F.lit(None).cast("array<string>").alias("modifierExtension"),
@@ -427,8 +459,9 @@ def nested_elements(spark, d):
         F.when(F.col("l_quantity") > 45, F.array(F.struct(F.lit("urn:m").alias("url")))).alias("modifierExtension"),
         F.when(F.col("l_returnflag") == "R", F.array(F.struct(F.lit("x").alias("text"), F.when(F.col("l_linenumber") == 2, F.array(F.struct(F.lit("urn:m").alias("url")))).alias("modifierExtension")))).alias("note"),
     )
-    parts = _read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(part).alias("component"))
-    o = _read(spark, d, "orders").join(parts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    o, li = _orders_lines(spark, d)
+    parts = li.groupBy("l_orderkey").agg(F.collect_list(part).alias("component"))
+    o = o.join(parts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     raw = o.select(_text("o_orderkey").alias("record"), F.lit("Observation").alias("kind"), F.to_json(F.struct(F.lit("Observation").alias("resourceType"), _text("o_orderkey").alias("id"), "component")).alias("raw"))
     allowed = elements.schema_paths(spark.createDataFrame([], records.SCHEMAS["Observation"]).schema)
     return elements.inventory(elements.elements(raw, "raw", "kind", "record"), [f"Observation:{p}" for p in allowed]).select("kind", "path", "finding", "n")
@@ -445,8 +478,9 @@ def conformance_issues(spark, d):
     coding = F.when(F.col("l_returnflag") == "R", F.array().cast("array<struct<system:string,code:string>>")).otherwise(F.array(F.struct(F.lit(maps.LOINC).alias("system"), F.lit("x").alias("code"))))
     value = F.when(F.col("l_linenumber") == 3, "some").when(F.col("l_linenumber") < 6, _text("l_partkey"))
     part = F.struct(F.struct(coding.alias("coding")).alias("code"), F.struct(value.alias("value"), F.when(F.col("l_quantity") > 45, "?").otherwise("u-click").alias("code")).alias("valueQuantity"))
-    parts = _read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(part).alias("component"))
-    rows = _read(spark, d, "orders").join(parts, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(F.concat(F.when(F.col("o_orderstatus") == "P", "order ").otherwise("order-"), _text("o_orderkey")).alias("id"), "component")
+    o, li = _orders_lines(spark, d)
+    parts = li.groupBy("l_orderkey").agg(F.collect_list(part).alias("component"))
+    rows = o.join(parts, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(F.concat(F.when(F.col("o_orderstatus") == "P", "order ").otherwise("order-"), _text("o_orderkey")).alias("id"), "component")
     return rows.select("id", F.array_join(elements.issues(rows.schema, PROFILE), "; ").alias("issues"))
 
 

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loomgraph import maps
+from loomgraph import maps, queries
 from loomgraph import run as running
 from loomgraph.functions import terms
 from loomgraph.operators import elements, graph, routing, state
@@ -245,6 +245,27 @@ def test_closure_is_a_fixpoint(spark):
     assert closure(df, spark.createDataFrame([], AXIOMS), ("graph_key",)).count() == 0 and closure(df.limit(0), axioms, ("graph_key",)).count() == 0
 
 
+@pytest.mark.parametrize("hub", [0, 2])
+def test_closure_with_things_that_many_facts_point_to(spark, monkeypatch, hub):
+    monkeypatch.setattr("loomgraph.operators.closure.HUB", hub)
+    facts = [(f"x{i}", "a", f"y{i % 3}") for i in range(20)] + [(f"y{i}", "b", f"z{j}") for i in range(2) for j in range(3)] + [("x1", "k", "z1"), ("z1", "q", "x0")]
+    axioms = [("chain", "a", "b", "k"), ("chain", "k", "q", "said"), ("inverse", "k", "l", None)]
+    found = closure(spark.createDataFrame([*facts, ("x1", "said", "x0")], "s string, p string, o string"), spark.createDataFrame(axioms, "kind string, a string, b string, c string")).collect()
+    k = {(s, o) for s, p, m in facts if p == "a" for n, q, o in facts if q == "b" and n == m} | {("x1", "z1")}
+    want = {(s, "k", o) for s, o in k} | {(o, "l", s) for s, o in k} | {(s, "said", "x0") for s, o in k if o == "z1"}
+    assert sorted(tuple(r) for r in found) == sorted(want - {("x1", "k", "z1"), ("x1", "said", "x0")})
+
+
+def test_tasks_have_few_records(spark, monkeypatch):
+    """However many there are: what a task holds must not grow with the tables."""
+    monkeypatch.setattr("loomgraph.queries.TASK_ROWS", 500)
+    d = "/root/testdata/sf0.01"
+    rows = {"outcomes": queries.quads(spark, d), "encounters": queries._encounter_quads(spark, d), "panels": queries.panels(spark, d)}
+    for name, df in rows.items():
+        most = df.groupBy(F.spark_partition_id()).agg(F.count_distinct("id").alias("n")).agg(F.max("n")).first()[0]
+        assert most <= 700, name
+
+
 def test_two_level_diff_and_hashes(spark):
     quad = lambda g, o: (g, "s", "p", "literal", o, None)
     old = spark.createDataFrame([quad("same", "1"), quad("same", "2"), quad("less", "1"), quad("less", "2"), quad("gone", "1"), quad("twice", "1"), quad("twice", "1")], QUADS)
