@@ -101,6 +101,22 @@ def test_quality_weights_minimise_the_loss():
     assert ((s >= 0) == (y == 1)).mean() >= best - 0.1
 
 
+@pytest.mark.parametrize("block", [10_000, 60])
+def test_quality_is_fitted_on_all_labels(spark, monkeypatch, block):
+    monkeypatch.setattr(quality, "BLOCK", block)
+    r = np.random.default_rng(4)
+    y = (r.random(300) < 0.8).astype(int)
+    x = r.normal(size=(300, quality.WIDTH)) * 0.1
+    x[:, 0] += y * 0.1 + r.normal(size=300) * 0.05
+    rows = spark.createDataFrame([(i, x[i].tolist(), int(y[i])) for i in range(300)], "doc_id long, value array<double>, quality int")
+    w = quality.fit_all(rows)
+    if block == 10_000:
+        assert w == pytest.approx(quality.fit(x, y, (y == 0).mean()), abs=1e-4)
+    s = x @ w[:-1] + w[-1]
+    assert abs((s < 0).sum() - (y == 0).sum()) <= 0.25 * (y == 0).sum() + 2
+    assert ((s >= 0) == (y == 1)).mean() >= max(((s >= t) == (y == 1)).mean() for t in s) - 0.1
+
+
 def test_quality_on_odd_tables(spark, odd, labels):
     out = quality.score(odd, labels).collect()
     assert len(out) == len(ODD) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in out)
