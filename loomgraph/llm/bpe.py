@@ -40,7 +40,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize
+from .common import fresh, materialize, small_batches
 
 LEXICON_SIZE = 32_768
 #: Distinct pieces, and characters of texts, that a counting task gathers before it counts their words.
@@ -426,6 +426,7 @@ def frequent_words(docs: DataFrame, path: str, size: int = LEXICON_SIZE) -> Data
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, pieces = vocabulary(path), Counter()
+        _CODERS.clear()  # another lexicon is on its way
 
         def out() -> pa.RecordBatch:
             counts = Counter({p: n for p, n in pieces.items() if p.isalpha()})  # a piece of letters alone is one word
@@ -471,6 +472,7 @@ def build_lexicon(docs: DataFrame, path: str, size: int = LEXICON_SIZE) -> bytes
 def encode(docs: DataFrame, path: str, size: int = LEXICON_SIZE, digests: bool = True, carry: Iterable[str] = ("doc_id",)) -> DataFrame:
     """The ``carry`` columns of ``docs`` with n_tokens and, of the ids and the text decoded from them,
     either digests (ids_sha256, decoded_sha256) or the values (ids array<int>, decoded)."""
+    docs = small_batches(docs)
     lexicon = docs.sparkSession.sparkContext.broadcast(build_lexicon(docs, path, size))
     carry = list(carry)
     text = fresh(docs, "bpe_text")[0]

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize
+from .common import fresh, materialize, small_batches
 
 TREES, SHALLOW, DEEP, LEVELS = 20, 3, 6, 8
 CROWDED = 4_096
@@ -97,7 +97,7 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
                 sigs.append(signature(h).astype(">u4").tobytes() if len(h) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(sigs, pa.binary())], names=["doc_id", "n_shingles", "set_hash", "sig"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_hash binary, sig binary")
+    return small_batches(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_hash binary, sig binary")
 
 
 def forest_edges(classes: DataFrame, similarity: float) -> DataFrame:

@@ -55,6 +55,24 @@ def test_bpe_equals_the_library_and_round_trips(spark, odd):
     assert bpe.encode(odd.limit(0), tokenizer_file()).count() == 0
 
 
+def test_batches_of_texts_are_small(spark):
+    """What goes to Python at once is bounded in bytes."""
+    import pyarrow as pa
+
+    texts = spark.range(0, 6_000, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('two words ', 200)").alias("text"))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    for operator in (lambda: bpe.encode(texts.limit(3), tokenizer_file()), lambda: near_dups.near_duplicates(texts.limit(3))):
+        operator()
+        sizes = texts.mapInArrow(lambda batches: (pa.record_batch([pa.array([b.nbytes])], names=["n"]) for b in batches), "n long")
+        assert sizes.agg(F.max("n")).first()[0] < 5 << 20
+        spark.conf.unset(key)
+    spark.conf.set(key, "8m")
+    bpe.encode(texts.limit(3), tokenizer_file())
+    assert spark.conf.get(key) == "8m"  # a size of the session's own
+    spark.conf.unset(key)
+
+
 def test_lexicon_is_minimal_and_exact():
     words = {"sing": [1], "ring": [2], "singing": [3, 4], "ringing": [5], "ß": [6], "a": [7, 8, 9]}
     lexicon = bpe.Lexicon(bpe.compile_lexicon(words))
