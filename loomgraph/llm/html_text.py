@@ -7,9 +7,8 @@
    name may mean chrome or article ("related-work", "post-header"), and all blocks of a page that declares no main part.
 2. The host's suffix array: the token streams of all pages of a host, of every kind, with and without a main part. A page
    enters suffixes that start near a *sampled* window of ``GRAM`` tokens, the least hash of every ``STEP`` windows, which
-   another page of the host has too. Any stretch of ``LONG`` tokens shared by two pages has such a window in both, at the
-   same place of the stretch, so that no shared stretch of that length is missed, and text that no other page has isn't
-   shuffled. The suffixes, cut to ``DEPTH`` tokens of 15 bits each, are sorted across the cluster by range; runs of
+   two other pages of the host have too. Any stretch of ``LONG`` tokens shared by ``PAGES`` pages has such a window in all, at
+   the same place of the stretch, so that no repeat is missed, and text that one or two pages have isn't shuffled. The suffixes, cut to ``DEPTH`` tokens of 15 bits each, are sorted across the cluster by range; runs of
    neighbours with common prefixes of ``LONG`` tokens from ``PAGES`` distinct pages are repeats, however large the host is.
    Ranges include the page, so that a prefix on all pages of a large host is spread over several, and of each run
    ``PAGES`` pages at most are counted together with those of its parts in other ranges. Pages with equal streams are one
@@ -45,7 +44,7 @@ from .common import materialize
 GRAM, STEP = 8, 12
 LONG, DEPTH = GRAM + STEP - 1, 28
 PAGES, COVERED = 3, 0.7
-#: Bits, at most, of the broadcast table that tells pages' windows that no other page has: 16 MB. It is sized by the windows
+#: Bits, at most, of the broadcast table that tells pages' windows that fewer than PAGES pages have: 16 MB. It is sized by the windows
 #: counted; how full it is changes the traffic alone.
 MOST_BITS = 1 << 27
 MAIN, CONTESTED, OUTSIDE = 0, 1, 2
@@ -455,7 +454,8 @@ def _body(texts: list[str]) -> int:
 
 
 def candidates(pages: DataFrame) -> DataFrame:
-    """Fingerprints (fp) of sampled windows that two pages of a host share."""
+    """Fingerprints (fp) of sampled windows that three pages of a host share, PAGES, as fewer make no repeat. What lies between the
+    least and the greatest page shows in a remainder of the sum, so that a window of any number of pages is one row per task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -464,8 +464,8 @@ def candidates(pages: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(part.fps), pa.array(own[part.owner])], names=["fp", "body"])
 
     rows = pages.select("host", "texts", "kinds", "declared").mapInArrow(run, "fp long, body int")
-    both = rows.groupBy("fp").agg(F.min("body").alias("lo"), F.max("body").alias("hi"))
-    return both.where("lo <> hi").select("fp")
+    both = rows.groupBy("fp").agg(F.min("body").alias("lo"), F.max("body").alias("hi"), F.count("*").alias("n"), F.sum("body").alias("total"))
+    return both.where("(total - n * lo) % nullif(hi - lo, 0) <> 0").select("fp")
 
 
 def bitmap(fps: DataFrame) -> np.ndarray:

@@ -450,6 +450,22 @@ def test_html_repeats_equal_brute_force(spark, declared):
     assert all(x.n_chars == len(x.text) for x in out)
 
 
+def test_html_windows_on_two_pages_are_not_shuffled(spark):
+    """Only windows of three pages and more enter suffixes; copies of a page are one page."""
+    two, three, many = (prose(60, k) for k in (91, 92, 93))
+    stream = lambda i: f"{prose(30, 600 + i)} {two if i < 2 else three if i < 5 else many}"
+    pages = [(i, "http://h.example/", f"<p>{stream(i)}") for i in range(40)] + [(100 + i, "http://h.example/", f"<p>{stream(0)}") for i in range(50)]
+    parsed = html_text.parsed(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    got = {r.fp for r in html_text.candidates(parsed).collect()}
+    seen = defaultdict(set)
+    for row in parsed.toArrow().to_batches():
+        for part in html_text.streams(row):
+            for fp, i in zip(part.fps.tolist(), part.owner.tolist(), strict=True):
+                seen[fp].add(part.parsed[i][0][0])
+    assert got == {fp for fp, own in seen.items() if len(own) >= html_text.PAGES} and got
+    assert any(len(own) == 2 for own in seen.values())
+
+
 def test_html_runs_cross_ranges(spark):
     """Repeats are found whatever the number of ranges that their suffixes are sorted into."""
     legal = prose(60, 81)
