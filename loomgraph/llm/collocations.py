@@ -2,7 +2,7 @@
 
 The texts are read twice. The first pass counts words, and counts pairs of neighbouring words by hash in a table of fixed
 size (``BUCKETS`` counters that stop at the least frequency): a phrase can only be frequent if all its pairs are, so a pair
-whose bucket stays below is in none. The second pass projects pointers: one for every occurrence of a pair that may be
+whose bucket stays below is in none, nor is one of a word that is found less often. The second pass projects pointers: one for every occurrence of a pair that may be
 frequent, with what stands to its right, at most two more words and only as long as the pairs may be frequent; pointers of
 one slice that agree are one with a number. Sorted by range, the pointers of a prefix stand together in the order of their
 extensions, so that a task grows its prefixes depth first, reading its pointers once and holding one open phrase per
@@ -43,6 +43,7 @@ LONGEST = 4
 
 _BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 _MAP = bytes(10 if c in _BREAKS else 32 if c in b"\x20\x09" else c + 32 if 65 <= c <= 90 else c for c in range(256))
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _COUNTS = "lang string, word string, n long, block int, counters binary"
 _POINTERS = "lang string, prefix string, third string, fourth string, n long"
 
@@ -81,12 +82,25 @@ class _Words:
         """The bucket of each word and the next, whether joined or not."""
         if len(self.ids) < 2:
             return np.zeros(0, np.uint32)
-        own = pd.util.hash_array(self.dictionary.to_numpy(zero_copy_only=False), categorize=False)[self.ids]
-        salt = pd.util.hash_array(np.array([lang], object), categorize=False)
+        own = _hash(self.dictionary.to_numpy(zero_copy_only=False))[self.ids]
         with np.errstate(over="ignore"):
-            two = (own[:-1] * np.uint64(0x9E3779B97F4A7C15) + (own[1:] ^ salt)) * np.uint64(0xD6E8FEB86659FD93)
+            two = (own[:-1] * _ODD + (own[1:] ^ _hash([lang]))) * np.uint64(0xD6E8FEB86659FD93)
         return (two >> np.uint64(40)).astype(np.uint32)
 
+    def among(self, lang: str, bits: np.ndarray) -> np.ndarray:
+        """Whether each word of the dictionary may be one of those that ``frequent_words`` has marked."""
+        at = _places(self.dictionary.to_numpy(zero_copy_only=False), [lang])
+        return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _hash(texts) -> np.ndarray:
+    return pd.util.hash_array(np.asarray(texts, object), categorize=False)
+
+
+def _places(words, langs) -> np.ndarray:
+    """The bit of each word of a language, among as many as there are counters."""
+    return (((_hash(words) ^ _hash(langs)) * _ODD) >> np.uint64(40)).astype(np.int64)
+
 
 def _counting(least: int):
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,12 +157,28 @@ def frequent_buckets(counts: DataFrame, least: int) -> bytes:
     return bits.tobytes()
 
 
-def _projecting(bits: bytes):
+def frequent_words(words: DataFrame) -> bytes:
+    """The (lang, word) of ``words`` as bits; what reaches the driver has a fixed size."""
+
+    def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.record_batch([pa.array(_places(batch["word"].to_pylist(), batch["lang"].to_pylist()))], names=["place"])
+
+    places = words.select("lang", "word").mapInArrow(mark, "place long")
+    bits = np.zeros((BUCKETS >> 15, 4096), np.uint8)
+    for r in places.groupBy(F.shiftright("place", 15).alias("block")).agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit(32_767))).alias("bits")).collect():
+        bits[r.block] = np.frombuffer(r.bits, np.uint8)
+    return bits.tobytes()
+
+
+def _projecting(bits: bytes, known: bytes):
     def project(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool)
         for lang, texts in _slices(batches):
             w = _Words(texts)
-            ok = may[w.pairs(lang)] & w.joined
+            frequent = w.among(lang, np.frombuffer(known, np.uint8))[w.ids]
+            ok = may[w.pairs(lang)] & w.joined & frequent[:-1] & frequent[1:]
             at = np.flatnonzero(ok)
             if not len(at):
                 continue
@@ -216,13 +246,13 @@ def frequencies(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     counts = materialize(texts.mapInArrow(_counting(full), _COUNTS), "zstd")
     sums = counts.where("block is null").groupBy("lang", "word").agg(F.sum("n").alias("f"))
     words = materialize(sums.where(F.col("word").isNull() | (F.col("f") >= least)))
-    bits = frequent_buckets(counts, full)
-    pointers = materialize(texts.mapInArrow(_projecting(bits), _POINTERS), "zstd")
+    single = words.where("word is not null")
+    bits, known = frequent_buckets(counts, full), frequent_words(single)
+    pointers = materialize(texts.mapInArrow(_projecting(bits, known), _POINTERS), "zstd")
     order = ("lang", "prefix", "third", "fourth")
     grown = pointers.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_growing(least), "lang string, phrase string, f long")
     phrases = grown.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-    single = words.where("word is not null").select("lang", F.col("word").alias("phrase"), "f")
-    return materialize(single.unionByName(phrases)), words.where("word is null").select("lang", F.col("f").alias("n"))
+    return materialize(single.select("lang", F.col("word").alias("phrase"), "f").unionByName(phrases)), words.where("word is null").select("lang", F.col("f").alias("n"))
 
 
 def collocations(docs: DataFrame, least: int = 30, top: int = 2000, within: int = 80) -> DataFrame:

@@ -69,6 +69,21 @@ def test_collocations_equal_brute_force(spark, spread, least):
     assert sorted(map(tuple, got.collect())) == brute_collocations(rows, least)
 
 
+def test_collocations_project_no_pair_of_a_rare_word(spark):
+    """However full the counters of pairs are, a word that is not frequent in its language is in no pointer."""
+    import numpy as np
+    import pyarrow as pa
+
+    known = collocations.frequent_words(spark.createDataFrame([("en", w, 50) for w in "abc"] + [("de", "x", 50)], "lang string, word string, f long"))
+    full = np.full(collocations.BUCKETS // 8, 255, np.uint8).tobytes()
+    texts = pa.record_batch([pa.array(["en", "de"]), pa.array(["a b x c b a y a b c", "x a x x"])], names=["lang", "text"])
+    got = Counter()
+    for batch in collocations._projecting(full, known)([texts]):
+        for r in batch.to_pylist():
+            got[r["lang"], r["prefix"], r["third"], r["fourth"]] += r["n"]
+    assert got == {("en", "a b", None, None): 1, ("en", "c b", "a", None): 1, ("en", "b a", None, None): 1, ("en", "a b", "c", None): 1, ("en", "b c", None, None): 1, ("de", "x x", None, None): 1}
+
+
 def test_collocations_grow_across_the_edges_of_tasks():
     """A prefix that several tasks share is counted as one: whatever the cut, the sums are those of one task."""
     import pyarrow as pa
