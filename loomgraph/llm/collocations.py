@@ -32,9 +32,14 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Counters for hashed pairs of words: 16 MB in a task, 2 MB of bits in a broadcast, whatever the corpus.
-BUCKETS = 1 << 24
+#: Counters for hashed pairs of words: 64 MB in a task, 8 MB of bits in a broadcast, whatever the corpus. Rare pairs that share a
+#: counter pass for frequent ones, the more the larger the corpus: 70 million of them to 16 million counters is too many.
+BUCKETS = 1 << 26
+#: The hash's bits beyond those that number a counter.
+_REST = np.uint64(64 - BUCKETS.bit_length() + 1)
 BLOCK = 1 << 16
+#: Bits for the frequent words, in a broadcast.
+WORD_BITS = 1 << 24
 #: Bytes of text that a task works on at once, at least one text.
 SLICE = 8 << 20
 #: Different words that a task holds before it passes their counts on.
@@ -85,12 +90,11 @@ class _Words:
         own = _hash(self.dictionary.to_numpy(zero_copy_only=False))[self.ids]
         with np.errstate(over="ignore"):
             two = (own[:-1] * _ODD + (own[1:] ^ _hash([lang]))) * np.uint64(0xD6E8FEB86659FD93)
-        return (two >> np.uint64(40)).astype(np.uint32)
+        return (two >> _REST).astype(np.uint32)
 
     def among(self, lang: str, bits: np.ndarray) -> np.ndarray:
         """Whether each word of the dictionary may be one of those that ``frequent_words`` has marked."""
-        at = _places(self.dictionary.to_numpy(zero_copy_only=False), [lang])
-        return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+        return _marked(bits, _places(self.dictionary.to_numpy(zero_copy_only=False), [lang]))
 
 
 def _hash(texts) -> np.ndarray:
@@ -98,10 +102,15 @@ def _hash(texts) -> np.ndarray:
 
 
 def _places(words, langs) -> np.ndarray:
-    """The bit of each word of a language, among as many as there are counters."""
+    """The bit of each word of a language, among WORD_BITS."""
     return (((_hash(words) ^ _hash(langs)) * _ODD) >> np.uint64(40)).astype(np.int64)
 
 
+def _marked(bits: np.ndarray, at: np.ndarray, first: int = 0) -> np.ndarray:
+    """Which bits are set; ``first`` is the place within a byte's bits, 0 for the lowest, of number 0."""
+    return (bits[at >> 3] >> ((at & 7) ^ first).astype(np.uint8)) & 1 == 1
+
+
 def _counting(least: int):
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def say(lang: list, word: list, n: list, block: list, counters: list) -> pa.RecordBatch:
@@ -166,7 +175,7 @@ def frequent_words(words: DataFrame) -> bytes:
                 yield pa.record_batch([pa.array(_places(batch["word"].to_pylist(), batch["lang"].to_pylist()))], names=["place"])
 
     places = words.select("lang", "word").mapInArrow(mark, "place long")
-    bits = np.zeros((BUCKETS >> 15, 4096), np.uint8)
+    bits = np.zeros((WORD_BITS >> 15, 4096), np.uint8)
     for r in places.groupBy(F.shiftright("place", 15).alias("block")).agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit(32_767))).alias("bits")).collect():
         bits[r.block] = np.frombuffer(r.bits, np.uint8)
     return bits.tobytes()
@@ -174,11 +183,11 @@ def frequent_words(words: DataFrame) -> bytes:
 
 def _projecting(bits: bytes, known: bytes):
     def project(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        may = np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool)
+        may = np.frombuffer(bits, np.uint8)
         for lang, texts in _slices(batches):
             w = _Words(texts)
             frequent = w.among(lang, np.frombuffer(known, np.uint8))[w.ids]
-            ok = may[w.pairs(lang)] & w.joined & frequent[:-1] & frequent[1:]
+            ok = _marked(may, w.pairs(lang), 7) & w.joined & frequent[:-1] & frequent[1:]
             at = np.flatnonzero(ok)
             if not len(at):
                 continue

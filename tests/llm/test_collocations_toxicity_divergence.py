@@ -84,6 +84,17 @@ def test_collocations_project_no_pair_of_a_rare_word(spark):
     assert got == {("en", "a b", None, None): 1, ("en", "c b", "a", None): 1, ("en", "b a", None, None): 1, ("en", "a b", "c", None): 1, ("en", "b c", None, None): 1, ("de", "x x", None, None): 1}
 
 
+def test_collocations_counters_keep_rare_pairs_apart():
+    """Three million pairs, nearly all of them different: hardly any counter reaches three."""
+    import numpy as np
+    import pyarrow as pa
+
+    words = np.array([f"w{i}" for i in range(20_000)])
+    texts = pa.record_batch([pa.array(["en"] * 10), pa.array([" ".join(x) for x in words[np.random.default_rng(1).integers(0, len(words), (10, 300_000))]])], names=["lang", "text"])
+    counters = [c for batch in collocations._counting(3)([texts]) for c in batch["counters"].to_pylist() if c]
+    assert sum(int((np.frombuffer(zlib.decompress(c), np.uint8) >= 3).sum()) for c in counters) < 3_000
+
+
 def test_collocations_grow_across_the_edges_of_tasks():
     """A prefix that several tasks share is counted as one: whatever the cut, the sums are those of one task."""
     import pyarrow as pa
