@@ -38,6 +38,8 @@ BUCKETS = 1 << 26
 #: The hash's bits beyond those that number a counter.
 _REST = np.uint64(64 - BUCKETS.bit_length() + 1)
 BLOCK = 1 << 16
+#: Sums that are made of each block before the last one.
+PARTS = 8
 #: Bits for the frequent words, in a broadcast.
 WORD_BITS = 1 << 24
 #: Bytes of text that a task works on at once, at least one text.
@@ -135,21 +137,37 @@ def _counting(least: int):
         yield from flush()
         for i, part in enumerate(table.reshape(-1, BLOCK)):
             if part.any():
-                yield say([None], [None], [None], [i], [zlib.compress(part, 1)])
+                yield say([None], [None], [None], [i], [_packed(part)])
 
     return count
 
 
-def _summing(least: int):
-    """Adds up the counters of blocks that come one after the other; they stop at the least frequency."""
+def _packed(counters: np.ndarray) -> bytes:
+    """A block of counters, most of them 0: the gaps between the others, low bytes and high bytes apart, and their values."""
+    at = np.flatnonzero(counters)
+    gaps = np.diff(at, prepend=0).astype("<u2")
+    return zlib.compress(gaps.view(np.uint8).reshape(-1, 2).T.tobytes() + counters[at].tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    low, high, values = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(3, -1)
+    out = np.zeros(BLOCK, np.uint8)
+    out[np.cumsum(low.astype(np.int64) + (high.astype(np.int64) << 8))] = values
+    return out
+
+
+def _summing(least: int, last: bool):
+    """Adds up the counters of blocks that come one after the other; they stop at the least frequency. The last sums are given as
+    bits, of those that reach it."""
 
     def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = ((b, c.as_buffer()) for batch in batches for b, c in zip(batch["block"].to_pylist(), batch["counters"], strict=True))
         for block, own in groupby(rows, itemgetter(0)):
             total = np.zeros(BLOCK, np.uint8)
             for _, c in own:
-                total = np.minimum(total + np.frombuffer(zlib.decompress(c), np.uint8), least).astype(np.uint8)
-            yield pa.record_batch([pa.array([block], pa.int32()), pa.array([zlib.compress(total, 1)], pa.binary())], names=["block", "counters"])
+                total = np.minimum(total + _unpacked(c), least).astype(np.uint8)
+            out = zlib.compress(np.packbits(total >= least)) if last else _packed(total)
+            yield pa.record_batch([pa.array([block], pa.int32()), pa.array([out], pa.binary())], names=["block", "counters"])
 
     return fold
 
@@ -157,12 +175,12 @@ def _summing(least: int):
 def frequent_buckets(counts: DataFrame, least: int) -> bytes:
     """The buckets that reach the least frequency, as bits: summed in parts first, so that no task reads what all tasks of
     the corpus have counted; what reaches the driver has a fixed size."""
-    blocks = counts.where("block is not null").select("block", "counters", F.pmod(F.xxhash64("counters"), F.lit(64)).alias("part"))
-    some = blocks.repartition("block", "part").sortWithinPartitions("block", "part").select("block", "counters").mapInArrow(_summing(least), "block int, counters binary")
-    full = some.repartition("block").sortWithinPartitions("block").mapInArrow(_summing(least), "block int, counters binary")
+    blocks = counts.where("block is not null").select("block", "counters", F.pmod(F.xxhash64("counters"), F.lit(PARTS)).alias("part"))
+    some = blocks.repartition("block", "part").sortWithinPartitions("block", "part").select("block", "counters").mapInArrow(_summing(least, False), "block int, counters binary")
+    full = some.repartition("block").sortWithinPartitions("block").mapInArrow(_summing(least, True), "block int, counters binary")
     bits = np.zeros((BUCKETS // BLOCK, BLOCK // 8), np.uint8)
     for r in full.collect():  # at most BUCKETS / BLOCK rows
-        bits[r.block] = np.packbits(np.frombuffer(zlib.decompress(r.counters), np.uint8) >= least)
+        bits[r.block] = np.frombuffer(zlib.decompress(r.counters), np.uint8)
     return bits.tobytes()
 
 
