@@ -11,8 +11,9 @@
    the same place of the stretch, so that no repeat is missed, and text that one or two pages have isn't shuffled. The suffixes, cut to ``DEPTH`` tokens of 15 bits each, are sorted across the cluster by range; runs of
    neighbours with common prefixes of ``LONG`` tokens from ``PAGES`` distinct pages are repeats, however large the host is.
    Ranges include the page, so that a prefix on all pages of a large host is spread over several, and of each run
-   ``PAGES`` pages at most are counted together with those of its parts in other ranges. Pages with equal streams are one
-   page, so that copies don't make their own text boilerplate, and two pages may be versions of one text.
+   ``PAGES`` pages at most are counted together with those of its parts in other ranges; a run with so many within its range
+   needs no count. What goes back to a page are places in its stream, so that no suffix is joined with another table, and only
+   pages with repeats are joined with theirs, packed. Pages with equal streams are one page, so that copies don't make their own text boilerplate, and two pages may be versions of one text.
 3. A token lies in a repeat if any stretch of ``LONG`` tokens around it is one. Contested blocks with ``COVERED`` of their
    tokens in repeats are boilerplate and dropped; others are unique and stay whole. Blocks of the declared main part stay,
    as the contract has the whole article, and blocks outside it go. ``n_repeated`` says how many tokens of the page's
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+import zlib
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
@@ -486,7 +488,7 @@ def likely(fps: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 
 def suffixes(pages: DataFrame, bits) -> DataFrame:
-    """host, key, body of the suffixes that start near windows which other pages may have."""
+    """host, key, body of the suffixes that start near windows which other pages may have, and the token they start at."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -498,9 +500,10 @@ def suffixes(pages: DataFrame, bits) -> DataFrame:
                 keys = suffix_keys(part.ids, starts)
                 keys[starts[:, None] + np.arange(DEPTH)[None, :] >= part.bounds[owner + 1][:, None]] = 0  # a suffix ends with its page
                 bodies = part.bodies()[owner] if len(owner) else np.empty(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(part.hosts[owner]), _binary(keys), pa.array(bodies)], names=["host", "key", "body"])
+                places = (starts - part.bounds[owner]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(part.hosts[owner]), _binary(keys), pa.array(bodies), pa.array(places)], names=["host", "key", "body", "place"])
 
-    return pages.select("host", "texts", "kinds", "declared").mapInArrow(run, "host long, key binary, body long")
+    return pages.select("host", "texts", "kinds", "declared").mapInArrow(run, "host long, key binary, body long, place int")
 
 
 def common_prefixes(keys: np.ndarray, hosts: np.ndarray) -> np.ndarray:
@@ -513,39 +516,51 @@ def common_prefixes(keys: np.ndarray, hosts: np.ndarray) -> np.ndarray:
 
 
 def repeats(rows: DataFrame) -> DataFrame:
-    """(host, start): the first LONG tokens of suffixes that PAGES pages of a host share."""
+    """(l_host, l_body, places): where the suffixes of a page start whose first LONG tokens PAGES pages of its host share."""
 
     def runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
             if n:
                 keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(n, DEPTH)
-                hosts, bodies = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+                hosts, bodies, places = (batch.column(k).to_numpy() for k in (0, 2, 3))
                 begins = common_prefixes(keys, hosts) < LONG  # of runs that share LONG tokens
                 first, run = np.flatnonzero(begins), np.cumsum(begins) - 1
-                order = np.lexsort((bodies, run))
-                run, bodies = run[order], bodies[order]
-                new = np.append(True, (run[1:] != run[:-1]) | (bodies[1:] != bodies[:-1]))
-                run, bodies = run[new], bodies[new]
-                few = np.arange(len(run)) - np.searchsorted(run, run) < PAGES
-                run, bodies = run[few], bodies[few]
-                yield pa.RecordBatch.from_arrays([pa.array(hosts[first][run]), _binary(keys[first][run][:, :LONG]), pa.array(bodies)], names=["host", "start", "body"])
+                order = np.lexsort((places, bodies, run))
+                run, bodies, places = run[order], bodies[order], places[order]
+                other = np.append(True, (run[1:] != run[:-1]) | (bodies[1:] != bodies[:-1]))
+                new = other | np.append(True, places[1:] != places[:-1])
+                sizes = np.bincount(run[other], minlength=len(first))
+                sure = sizes >= PAGES
+                # the first and the last run of a batch may go on in others: those say some of their pages, and all places if they are few
+                edge = np.zeros(len(first), bool)
+                edge[[0, -1]] = True
+                nth = np.cumsum(other) - 1
+                few = nth - nth[np.searchsorted(run, run)] < PAGES
+                kept = new & (sure | edge)[run]
+                run, bodies, places, few = run[kept], bodies[kept], places[kept], few[kept]
+                starts: list = [None] * len(first)
+                starts[0], starts[-1] = (keys[first[k], :LONG].tobytes() for k in (0, -1))
+                yield pa.RecordBatch.from_arrays([pa.array(hosts[first][run]), pa.array(starts, pa.binary()).take(pa.array(run)), pa.array(bodies), pa.array(places), pa.array(sure[run]), pa.array(few)], names=["host", "start", "body", "place", "sure", "few"])
 
     ordered = rows.repartitionByRange("host", "key", "body").sortWithinPartitions("host", "key", "body")
-    parts = ordered.mapInArrow(runs, "host long, start binary, body long")
-    return parts.groupBy("host", "start").agg(F.count_distinct("body").alias("n")).where(F.col("n") >= PAGES).select("host", "start")
-
-
-def covered(ids: np.ndarray, starts: set[bytes]) -> np.ndarray:
-    """Which tokens lie in a repeat, by the first LONG tokens of the repeats."""
-    out = np.zeros(len(ids), bool)
-    if starts and len(ids) >= LONG:
-        keys = suffix_keys(ids, np.arange(len(ids) - LONG + 1))[:, :LONG]
-        raw, width = np.ascontiguousarray(keys).tobytes(), 2 * LONG
-        for p in range(len(keys)):
-            if raw[p * width : (p + 1) * width] in starts:
-                out[p : p + LONG] = True
-    return out
+    parts = materialize(ordered.mapInArrow(runs, "host long, start binary, body long, place int, sure boolean, few boolean"), "zstd")
+    told = parts.where(F.col("start").isNotNull() & F.col("few")).select("host", "start", "body")  # PAGES pages of two runs of a batch at most
+    wide = told.groupBy(F.col("host").alias("w_host"), F.col("start").alias("w_start")).agg(F.count_distinct("body").alias("n")).where(F.col("n") >= PAGES).drop("n")
+    unsure = parts.where(~F.col("sure"))
+    late = unsure.join(wide, (F.col("host") == F.col("w_host")) & (F.col("start") == F.col("w_start")), "left_semi")
+    both = parts.where("sure").select("host", "body", "place").unionByName(late.select("host", "body", "place"))
+    # one list for each distinct page, no longer than the page
+    return both.groupBy(F.col("host").alias("l_host"), F.col("body").alias("l_body")).agg(F.collect_set("place").alias("places"))
+
+
+def covered(n: int, places: list[int]) -> np.ndarray:
+    """Which of n tokens lie in a repeat, by where the repeats start."""
+    steps = np.zeros(n + 1, np.int64)
+    at = np.array(places, np.int64)
+    np.add.at(steps, at, 1)
+    np.add.at(steps, at + LONG, -1)
+    return np.cumsum(steps)[:n] > 0
 
 
 def decide(texts: list[str], kinds: list[int], declared: bool, repeated: np.ndarray | None) -> list[str]:
@@ -566,12 +581,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     source = materialize(parsed(pages), "zstd")
     bits = spark.sparkContext.broadcast(bitmap(materialize(candidates(source))))
-    rows = materialize(suffixes(source, bits), "zstd")
-    found = materialize(repeats(rows).withColumnsRenamed({"host": "r_host", "start": "r_start"}))
-    start = F.substring("key", 1, 2 * LONG)
-    shared = rows.select("host", "body", start.alias("start")).join(found, (F.col("host") == F.col("r_host")) & (F.col("start") == F.col("r_start")))
-    # one list for each distinct page, no longer than the page
-    lists = materialize(shared.groupBy(F.col("host").alias("l_host"), F.col("body").alias("l_body")).agg(F.collect_set("start").alias("starts")))
+    lists = materialize(repeats(materialize(suffixes(source, bits), "zstd")), "zstd")
+    marked = spark.sparkContext.broadcast(bitmap(lists.select(F.col("l_body").alias("fp"))))
     fields = _fields(pages)
     answer = fields + ", text string, n_chars long, n_repeated long"
 
@@ -580,39 +591,34 @@ def main_text(pages: DataFrame) -> DataFrame:
         n = pa.array([len(t) for t, _ in ids], pa.int64())
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts, n, pa.array([r for _, r in ids], pa.int64())], names=["page_id", "url", "text", "n_chars", "n_repeated"])
 
+    def sharing(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        bodies = np.array([_body(t) for t in batch["texts"].to_pylist()], np.int64)
+        return bodies, likely(bodies, marked.value)
+
     def alone(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pages without a window that another page may have."""
+        """Pages without a repeat."""
         for batch in batches:
-            out, kept, at = [], [], 0
-            for part in streams(batch):
-                hits = set(part.owner[likely(part.fps, bits.value)].tolist())
-                for i, (texts, kinds, declared) in enumerate(part.parsed):
-                    if i not in hits:
-                        out.append((" ".join(decide(texts, kinds, declared, None)), 0))
-                        kept.append(at + i)
-                at += len(part.parsed)
-            yield answers(out, batch.take(pa.array(kept, pa.int64())))
+            rows = batch.filter(pa.array(~sharing(batch)[1]))
+            pages = zip(*(rows[k].to_pylist() for k in ("texts", "kinds", "declared")), strict=True)
+            yield answers([(" ".join(decide(*page, None)), 0) for page in pages], rows)
 
     def shares(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The others, to be joined with their repeats."""
+        """The others, to be joined with their repeats; blocks are packed, as they hold no line feed."""
         for batch in batches:
-            bodies, kept, at = [], [], 0
-            for part in streams(batch):
-                for i in sorted(set(part.owner[likely(part.fps, bits.value)].tolist())):
-                    bodies.append(_body(part.parsed[i][0]))
-                    kept.append(at + i)
-                at += len(part.parsed)
-            rows = batch.take(pa.array(kept, pa.int64()))
-            yield pa.record_batch([*rows.columns, pa.array(bodies, pa.int64())], names=[*rows.schema.names, "body"])
+            bodies, hit = sharing(batch)
+            rows = batch.filter(pa.array(hit))
+            blocks = [zlib.compress("\n".join(t).encode()) for t in rows["texts"].to_pylist()]
+            yield pa.record_batch([rows["page_id"], rows["url"], rows["host"], pa.array(blocks, pa.binary()), rows["kinds"], rows["declared"], pa.array(bodies[hit])], names=["page_id", "url", "host", "blocks", "kinds", "declared", "body"])
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for texts, kinds, declared, starts in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
-                repeated = covered(hashes(texts), set(starts or ()))
+            for blocks, kinds, declared, places in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
+                texts = zlib.decompress(blocks).decode().split("\n") if kinds else []
+                repeated = covered(sum(t.count(" ") + 1 for t in texts), places or [])
                 out.append((" ".join(decide(texts, kinds, declared, repeated)), int(repeated.sum())))
             yield answers(out, batch)
 
-    joined = source.mapInArrow(shares, f"{fields}, {BLOCKS_OF}, body long").join(lists, (F.col("host") == F.col("l_host")) & (F.col("body") == F.col("l_body")), "left")
-    both = joined.select("page_id", "url", "texts", "kinds", "declared", "starts").mapInArrow(cut, answer)
+    joined = source.mapInArrow(shares, f"{fields}, host long, blocks binary, kinds array<int>, declared boolean, body long").join(lists, (F.col("host") == F.col("l_host")) & (F.col("body") == F.col("l_body")), "left")
+    both = joined.select("page_id", "url", "blocks", "kinds", "declared", "places").mapInArrow(cut, answer)
     return source.mapInArrow(alone, answer).unionByName(both)

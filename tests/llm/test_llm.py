@@ -482,6 +482,25 @@ def test_html_runs_cross_ranges(spark):
     assert got[1] == got[13] == dict.fromkeys(range(60), 60)
 
 
+@pytest.mark.parametrize("size", [1, 7, 10_000])
+def test_html_only_pages_with_repeats_are_joined(spark, size):
+    """Places of repeats go back to their pages alone, wherever the runs are cut: none to pages that share a window, or two of
+    whose stretches are alike, but no stretch of LONG tokens with PAGES pages."""
+    legal, window = prose(25, 83), prose(html_text.LONG - 1, 84)
+    texts = [f"{prose(9, 7100 + i)} {legal if i < 8 else window} {prose(9, 8100 + i)}" for i in range(16)] + [f"{legal} {legal}", f"{prose(30, 85)} {prose(30, 85)}"]
+    pages = spark.createDataFrame([(i, "http://h.example/x", f"<article><p>{t}") for i, t in enumerate([*texts, texts[0], texts[-1]])], "page_id long, url string, html string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+    try:
+        source = html_text.parsed(pages)
+        bits = spark.sparkContext.broadcast(np.full(1 << 10, 255, np.uint8))
+        got = {r.l_body: sorted(r.places) for r in html_text.repeats(html_text.suffixes(source, bits)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    n = 25 - html_text.LONG + 1
+    want = {html_text._body([t]): list(range(9, 9 + n)) for t in texts[:8]}
+    assert got == want | {html_text._body([texts[16]]): [*range(n), *range(25, 25 + n)]}
+
+
 def test_html_suffixes_sort_by_their_tokens():
     ids = html_text.hashes(["b a b a c", "a b"])
     keys = html_text.suffix_keys(ids, np.arange(len(ids)))
