@@ -31,6 +31,19 @@ def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that run in here drop their shuffle files when they end, instead of when the driver's memory is cleaned. For
+    tables that are written and read back: their plans don't run twice."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[str]:
     """A folder for the intermediate tables of a run, which is emptied after it."""

@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from loomgraph.operators.closure import closure
 from loomgraph.plans import forward
 from loomgraph.plans.contract import MapContract
 from loomgraph.sources import records
+from loomgraph.sources.scratch import stored
 from loomgraph.sources.store import TABLES, GraphStore
 
 from test_records import FIXTURES, QUADS, RULES
@@ -256,6 +258,54 @@ def test_closure_with_things_that_many_facts_point_to(spark, monkeypatch, hub):
     assert sorted(tuple(r) for r in found) == sorted(want - {("x1", "k", "z1"), ("x1", "said", "x0")})
 
 
+def _shuffled(spark):
+    """Bytes that the session has shuffled so far, and the shuffle files that are still there."""
+    jsc, env = spark._jsc.sc(), spark._jvm.org.apache.spark.SparkEnv.get()
+    spark.range(1).collect()
+    time.sleep(1)
+    jsc.listenerBus().waitUntilEmpty()
+    return jsc.statusStore().executorList(True).head().totalShuffleWrite(), sum(f.getName().startswith("shuffle_") for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(env.blockManager().diskBlockManager().getAllFiles()))
+
+
+def test_closure_shuffles_few_facts_and_keeps_none(spark, monkeypatch):
+    """What is shuffled must not grow with the rounds: each joins what is new, and none of it stays when it ends."""
+    monkeypatch.setattr("loomgraph.operators.closure.HUB", 500)
+    n = 6000
+    many = spark.range(n).select(F.explode(F.array(*[F.struct(*[F.format_string(x, "id").alias(k) for k, x in zip("spo", each, strict=True)]) for each in (
+        ("e-%s", "has", "role-%s"), ("role-%s", "of", "who-%s"), ("who-%s", "member", "nation"))])).alias("x")).select("x.*")
+    facts = stored(many.unionByName(spark.createDataFrame([("nation", "part", "region")], "s string, p string, o string")))
+    axioms = spark.createDataFrame([("chain", "has", "of", "has"), ("chain", "has", "member", "involves"), ("chain", "involves", "part", "in"), ("inverse", "in", "site", None)], "kind string, a string, b string, c string")
+    start = _shuffled(spark)[0]
+    facts.repartition("s", "p", "o").distinct().write.format("noop").mode("overwrite").save()
+    (before, files), want = _shuffled(spark), set()
+    found = closure(facts, axioms)
+    after, left = _shuffled(spark)
+    for i in range(n):
+        want |= {(f"e-{i}", "has", f"who-{i}"), (f"e-{i}", "involves", "nation"), (f"e-{i}", "in", "region"), ("region", "site", f"e-{i}")}
+    assert {tuple(r) for r in found.collect()} == want and found.count() == len(want)
+    assert 0 < after - before < 8 * (before - start) and left <= files, (start, before, after, files, left)
+
+
+@pytest.mark.parametrize("hub", [0, 3, 20_000])
+def test_closure_of_mixed_axioms_equals_brute_force(spark, monkeypatch, hub):
+    """Things of any names, chains over predicates that others say, inverses of inverses, symmetric ones, and facts that are known."""
+    monkeypatch.setattr("loomgraph.operators.closure.HUB", hub)
+    draw = random.Random(hub + 7)
+    facts = {(draw.choice("gh"), f"{draw.choice('az')}{draw.randrange(6)}", draw.choice(["p", "q", "r", "t", "other"]), f"{draw.choice('ak')}{draw.randrange(6)}") for _ in range(60)}
+    axioms = [("chain", "p", "q", "r"), ("chain", "r", "u", "t"), ("chain", "t", "t", "v"), ("inverse", "q", "u", None), ("inverse", "u", "w", None), ("inverse", "v", "v", None), ("chain", "p", "none", "p")]
+    turns = {x for k, a, b, _ in axioms if k == "inverse" for x in ((a, b), (b, a))}
+    known = set(facts)
+    while True:
+        new = {(g, s, c, z) for g, s, p, o in known for h, y, q, z in known if g == h and o == y for k, a, b, c in axioms if k == "chain" and (a, b) == (p, q)}
+        new |= {(g, o, b, s) for g, s, p, o in known for a, b in turns if a == p}
+        if new <= known:
+            break
+        known |= new
+    df = spark.createDataFrame(sorted(facts) * 2, "graph_key string, s string, p string, o string")
+    out = [tuple(r) for r in closure(df, spark.createDataFrame(axioms, "kind string, a string, b string, c string"), ("graph_key",)).collect()]
+    assert sorted(out) == sorted(known - facts)
+
+
 def test_tasks_have_few_records(spark, monkeypatch):
     """However many there are: what a task holds must not grow with the tables."""
     monkeypatch.setattr("loomgraph.queries.TASK_ROWS", 500)
