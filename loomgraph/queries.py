@@ -445,7 +445,8 @@ AXIOMS = [
 
 def axiom_closure(spark, d):
     """Where encounters took place, through their roles, who has them, and the nations and regions of those."""
-    q = _encounter_quads(spark, d).where("o_kind = 'iri'").select("s", "p", F.col("o_value").alias("o"))
+    # not dealt out as quads: the closure deals out those that it uses, before any task holds them
+    q = forward.encounter_graph(forward.encounter_rows(encounters(spark, d))).where("o_kind = 'iri'").select("s", "p", F.col("o_value").alias("o"))
     say = lambda s, p, o: [s.alias("s"), F.lit(p).alias("p"), o.alias("o")]
     members = _read(spark, d, "customer").select(*say(F.concat(F.lit("ex:person-"), _text("c_custkey")), "ex:memberOf", F.concat(F.lit("ex:nation-"), _text("c_nationkey"))))
     parts = _read(spark, d, "nation").select(*say(F.concat(F.lit("ex:nation-"), _text("n_nationkey")), "ex:partOf", F.concat(F.lit("ex:region-"), _text("n_regionkey"))))
